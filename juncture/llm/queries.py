@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_documents, small_batches
 from .exact_dedup import exact_duplicates
+from .language_id import identify_documents
+from .mixing import mix_sources
 from .secrets import scan_secrets
 from .sharding import shard_documents
 
@@ -16,6 +18,15 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read_documents(spark, sf_dir))
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read_documents(spark, sf_dir))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return identify_documents(read_documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score", "accepted", "cross_entropy")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_documents(spark, sf_dir))
 
@@ -25,7 +36,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_secret_scan, op7_exact_dedup, op10_sharding)}
+    return {f.__name__: f for f in (op4_secret_scan, op5_mix_sources, op6_language_id, op7_exact_dedup, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
