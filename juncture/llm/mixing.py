@@ -45,7 +45,7 @@ def cube_flight(size: np.ndarray, pi: np.ndarray, seed: int, land: bool) -> np.n
 
     Three units at a time: their 2 x 3 constraint matrix has a null vector, and a random one of the two ends of the
     segment along it is taken so that each pi keeps its expectation. At most two units stay between 0 and 1; with
-    land, these drop the size constraint first and then the count.
+    land, these drop the size constraint first and then the count, and a few flips repair the size total.
     """
     rng, p, s = random.Random(seed), pi.tolist(), size.astype(float).tolist()
     active: list[int] = []
@@ -79,9 +79,23 @@ def cube_flight(size: np.ndarray, pi: np.ndarray, seed: int, land: bool) -> np.n
             active = [j for j in active if 0 < p[j] < 1]
         for j in active:
             p[j] = float(rng.random() < p[j])
+        return _land(np.array(p), np.asarray(size, dtype=float), float(np.dot(size, pi)))
     return np.array(p)
 
 
+def _land(chosen: np.ndarray, size: np.ndarray, total: float, flips: int = 4) -> np.ndarray:
+    """Flip the units that bring sum(chosen * size) nearest to total, one at a time, a few at most."""
+    off = float(np.dot(chosen, size)) - total
+    for _ in range(flips):
+        after = np.abs(off + np.where(chosen > 0, -size, size))
+        best = int(np.argmin(after)) if len(after) else 0
+        if not len(after) or after[best] >= abs(off):
+            break
+        off += -size[best] if chosen[best] > 0 else size[best]
+        chosen[best] = 1 - chosen[best]
+    return chosen
+
+
 def _flight(stratum: str, turn: int, seed: int) -> Callable[[tuple, pa.Table], pa.Table]:
     def flight(key: tuple, table: pa.Table) -> pa.Table:
         name, block, blocks = (k.as_py() for k in key)
