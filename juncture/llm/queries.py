@@ -10,10 +10,16 @@ from .common import read_documents, small_batches
 from .exact_dedup import exact_duplicates
 from .language_id import identify_documents
 from .mixing import mix_sources
+from .ngram_join import jaccard_components
 from .secrets import scan_secrets
 from .sharding import shard_documents
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return jaccard_components(read_documents(spark, sf_dir), 3, 90, 100).drop("class")
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read_documents(spark, sf_dir))
 
@@ -36,7 +42,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_secret_scan, op5_mix_sources, op6_language_id, op7_exact_dedup, op10_sharding)}
+    return {f.__name__: f for f in (op2_ngram_jaccard, op4_secret_scan, op5_mix_sources, op6_language_id, op7_exact_dedup, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
