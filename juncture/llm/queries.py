@@ -9,17 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read_documents, small_batches
 from .exact_dedup import exact_duplicates
 from .language_id import identify_documents
+from .media import documents_as_media
 from .mixing import mix_sources
 from .ngram_join import jaccard_components
 from .secrets import scan_secrets
+from .sentencepiece import sample_segmentations
 from .sharding import shard_documents
 
 
+def op1_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return documents_as_media(read_documents(spark, sf_dir))
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return jaccard_components(read_documents(spark, sf_dir), 3, 90, 100).drop("class")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return sample_segmentations(read_documents(spark, sf_dir))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read_documents(spark, sf_dir))
 
@@ -42,7 +54,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ngram_jaccard, op4_secret_scan, op5_mix_sources, op6_language_id, op7_exact_dedup, op10_sharding)}
+    return {f.__name__: f for f in (op1_media_columns, op2_ngram_jaccard, op3_sentencepiece, op4_secret_scan, op5_mix_sources, op6_language_id, op7_exact_dedup, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
