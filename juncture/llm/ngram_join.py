@@ -15,9 +15,11 @@ from .components import connected_components
 from .shingles import shingle_sets
 
 #: Shingles that a map task sends at once, documents a chunk may hold, and bits of a token below its bucket.
-CHUNK_TOKENS, CHUNK_DOCS, LOW_BITS = 1 << 22, 60_000, 40
+CHUNK_TOKENS, CHUNK_DOCS, LOW_BITS = 3 << 20, 60_000, 40
 #: Bits of the bucket number; a bucket has about its share of all shingles. More for larger inputs (see bucket_bits).
 LEAST_BUCKET_BITS, BUCKET_TOKENS = 9, 2_000_000
+#: Bits of the parity map of a set in the suffix filter, as longs.
+MARK_LONGS = 4
 _MANY = np.uint16(0xFFFF)
 
 
@@ -154,6 +156,18 @@ def _count(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield _parcels(rows[k : k + 1024])
 
 
+def parity_marks(tokens: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
+    """For each owner MARK_LONGS longs: bit h is the parity of the number of its tokens of hash h.
+
+    Bits that differ between two sets need a token that only one of them has, so their number bounds the size of the
+    symmetric difference from below.
+    """
+    width = 64 * MARK_LONGS
+    bit = (mix64(tokens + np.uint64(7)) & np.uint64(width - 1)).astype(np.int64)
+    odd = (np.bincount(owner.astype(np.int64) * width + bit, minlength=owners * width) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(owners, width), axis=1).view(np.int64)
+
+
 def _assemble(num: int, den: int) -> Callable[[tuple, pa.Table], pa.Table]:
     """A chunk's classes: repeated tokens and the prefix part that others may share, for classes that have one."""
 
@@ -179,43 +193,53 @@ def _assemble(num: int, den: int) -> Callable[[tuple, pa.Table], pa.Table]:
                 tokens.append(np.repeat(t[~one], w))
                 owners.append(inside[where])
                 ranks.append(np.repeat(rank[~one], w))
-        out: dict[str, list] = {c: [] for c in ("class", "n", "lone", "tokens", "prefix")}
+        out: dict[str, list] = {c: [] for c in ("class", "n", "lone", "tokens", "prefix", "mark")}
         if tokens:
             tok, own, rank = np.concatenate(tokens), np.concatenate(owners), np.concatenate(ranks)
             order = np.lexsort((tok, rank, own))
             tok, own = tok[order], own[order]
             cut = np.searchsorted(own, np.arange(len(classes) + 1))
+            marks = parity_marks(tok, own, len(classes))
             for k in range(len(classes)):
                 mine, n = tok[cut[k] : cut[k + 1]], int(sizes[k])
                 lone = n - len(mine)
                 usable = prefix_length(n, num, den) - lone
                 if usable > 0 and len(mine):
-                    for c, v in zip(out, (int(classes[k]), n, lone, np.sort(mine).tobytes(), mine[:usable].tobytes()), strict=True):
+                    for c, v in zip(out, (int(classes[k]), n, lone, np.sort(mine).tobytes(), mine[:usable].tobytes(), marks[k].tobytes()), strict=True):
                         out[c].append(v)
-        return pa.table([pa.array(v, t) for v, t in zip(out.values(), (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=list(out))
+        return pa.table([pa.array(v, t) for v, t in zip(out.values(), (pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 3), strict=True)], names=list(out))
 
     return run
 
 
+_MARKS = [f"mark{k}" for k in range(MARK_LONGS)]
+
+
 def _entries(sets: DataFrame) -> DataFrame:
-    """One row for each prefix token of a class: token, class, n, lone, at (its rank among the repeated tokens)."""
+    """One row for each prefix token of a class: token, class, n, lone, at (its rank among the repeated tokens), mark."""
 
     def one(b: pa.RecordBatch) -> pa.RecordBatch:
         prefix = [np.frombuffer(p, dtype=np.int64) for p in b.column("prefix").to_pylist()]
         width = [len(p) for p in prefix]
         rep = [np.repeat(np.asarray(b.column(c)), width) for c in ("class", "n", "lone")]
         at = np.concatenate([np.arange(w, dtype=np.int32) for w in width])
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(prefix), *rep, at)], names=["token", "class", "n", "lone", "at"])
+        marks = np.repeat(np.frombuffer(b"".join(b.column("mark").to_pylist()), dtype=np.int64).reshape(-1, MARK_LONGS), width, axis=0).T
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(prefix), *rep, at, *marks)], names=["token", "class", "n", "lone", "at", *_MARKS])
 
-    return map_arrow(sets.select("class", "n", "lone", "prefix"), one, "token long, class long, n int, lone int, at int")
+    return map_arrow(sets.select("class", "n", "lone", "prefix", "mark"), one, "token long, class long, n int, lone int, at int, " + ", ".join(f"{m} long" for m in _MARKS))
 
 
 def _passes(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Length and positional filters over columns (n, lone, at) of two sides that share the token there."""
+    """Length, positional and suffix filters over columns (n, lone, at, mark) of two sides that share a token.
+
+    Positional: before the token at most the smaller rank, from it on at most the smaller rest is shared. Suffix: the
+    lone tokens and the differing bits of the marks bound the symmetric difference of the rest.
+    """
     na, nb = a[0], b[0]
     need = least_overlap(na, nb, num, den)
     most = np.minimum(a[2], b[2]) + np.minimum(na - a[1] - a[2], nb - b[1] - b[2])
-    return (den * np.minimum(na, nb) >= num * np.maximum(na, nb)) & (most >= need)
+    apart = a[1] + b[1] + np.bitwise_count(a[3:] ^ b[3:]).sum(axis=0, dtype=np.int64)
+    return (den * np.minimum(na, nb) >= num * np.maximum(na, nb)) & (most >= need) & (na + nb - apart >= 2 * need)
 
 
 def _pairs_of_runs(num: int, den: int, across: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -226,7 +250,7 @@ def _pairs_of_runs(num: int, den: int, across: bool) -> Callable[[Iterator[pa.Re
     """
 
     def pairs(run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        key, meta, label = run[0], run[1:4], run[4]
+        key, label, meta = run[0], run[1], run[2:]
         m = len(key)
         if not across:
             i = np.concatenate([np.zeros(m - 1, np.int64), np.arange(1, m - 1)])
@@ -246,7 +270,7 @@ def _pairs_of_runs(num: int, den: int, across: bool) -> Callable[[Iterator[pa.Re
 
     def done(run: np.ndarray) -> pa.RecordBatch | None:
         run = run[:, np.concatenate([[True], run[0, 1:] != run[0, :-1]])]
-        if run.shape[1] < 2 or across and (run[4] == run[4, 0]).all():
+        if run.shape[1] < 2 or across and (run[1] == run[1, 0]).all():
             return None
         a, b = pairs(run)
         if not len(a):
@@ -257,7 +281,7 @@ def _pairs_of_runs(num: int, den: int, across: bool) -> Callable[[Iterator[pa.Re
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, token, out = [], None, []
         for b in batches:
-            cols = [np.asarray(b.column(c)).astype(np.int64) for c in ("token", "class", "n", "lone", "at", "label")]
+            cols = [np.asarray(b.column(c)).astype(np.int64) for c in ("token", "class", "label", "n", "lone", "at", *_MARKS)]
             cut = np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1]]))
             block = np.stack(cols[1:])
             for lo, hi in zip(cut, np.append(cut[1:], len(cols[0])), strict=True):
@@ -303,7 +327,7 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int, num: int, den: int)
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     sent = _send(docs, n, bucket_bits(total))
     counted = sent.groupBy("bucket").applyInArrow(_count, _PARCEL)
-    found = counted.groupBy("chunk").applyInArrow(_assemble(num, den), "class long, n int, lone int, tokens binary, prefix binary")
+    found = counted.groupBy("chunk").applyInArrow(_assemble(num, den), "class long, n int, lone int, tokens binary, prefix binary, mark binary")
     sets = materialise(found.dropDuplicates(["class"]), "sets")
     entries = _entries(sets)
 
@@ -315,7 +339,7 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int, num: int, den: int)
     links = materialise(_verify(first, sets, num, den), "links")
     labels = connected_components(links).toDF("class", "label")
     named = entries.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    second = candidates(named.select("token", "class", "n", "lone", "at", "label"), True).join(first, ["a", "b"], "left_anti")
+    second = candidates(named.select(*entries.columns, "label"), True).join(first, ["a", "b"], "left_anti")
     more = materialise(_verify(second, sets, num, den), "links")
     return links.unionByName(more)
 
