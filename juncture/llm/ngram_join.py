@@ -238,7 +238,7 @@ def _passes(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
     na, nb = a[0], b[0]
     need = least_overlap(na, nb, num, den)
     most = np.minimum(a[2], b[2]) + np.minimum(na - a[1] - a[2], nb - b[1] - b[2])
-    apart = a[1] + b[1] + np.bitwise_count(a[3:] ^ b[3:]).sum(axis=0, dtype=np.int64)
+    apart = a[1] + b[1] + np.bitwise_count((a[3:] ^ b[3:]).view(np.uint64)).sum(axis=0, dtype=np.int64)
     return (den * np.minimum(na, nb) >= num * np.maximum(na, nb)) & (most >= need) & (na + nb - apart >= 2 * need)
 
 
