@@ -13,6 +13,7 @@ from .media import documents_as_media
 from .mixing import mix_sources
 from .ngram_join import jaccard_components
 from .secrets import scan_secrets
+from .passage_dedup import repeated_passages
 from .sentencepiece import sample_segmentations
 from .sharding import shard_documents
 from .suffix_dedup import remove_repeats
@@ -50,6 +51,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_documents(spark, sf_dir))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return repeated_passages(read_documents(spark, sf_dir))
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return remove_repeats(read_documents(spark, sf_dir))
@@ -60,7 +66,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_media_columns, op2_ngram_jaccard, op3_sentencepiece, op4_secret_scan, op5_mix_sources, op6_language_id, op7_exact_dedup, op9_suffix_array_dedup, op10_sharding)}
+    return {f.__name__: f for f in (op1_media_columns, op2_ngram_jaccard, op3_sentencepiece, op4_secret_scan, op5_mix_sources, op6_language_id, op7_exact_dedup, op8_substring_dedup, op9_suffix_array_dedup, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:

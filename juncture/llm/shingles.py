@@ -33,8 +33,8 @@ def _power(base: int, n: int) -> np.ndarray:
     return have
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, document, start, end) of each word of the texts; A-Z lower-cased, offsets in bytes of each text."""
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, document, line) of each word of the texts, A-Z lower-cased; lines count over all texts."""
     parts = [t.encode("utf-8", "surrogatepass") for t in texts]
     starts = np.cumsum([1, *(len(p) + 1 for p in parts)])[:-1] if parts else np.zeros(0, np.int64)
     data = np.frombuffer(b"\n" + b"\n".join(parts).translate(_LOWER) + b"\n", dtype=np.uint8)
@@ -46,7 +46,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
         raw = (total[end - 1] - total[begin - 1]) * _power(_INVERSE, len(data))[begin]
         hashes = mix64(raw + (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     doc = np.searchsorted(starts, begin, side="right") - 1
-    return hashes, doc, begin - starts[doc] if len(doc) else begin, end - starts[doc] if len(doc) else end
+    return hashes, doc, np.cumsum(data == 0x0A)[begin]
 
 
 def buffers(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
@@ -80,7 +80,7 @@ def shingle_sets(texts: list[str | None], n: int) -> Iterator[tuple[int, np.ndar
     A text of fewer than n words has its whole sequence as one shingle; one without words (or null) has none.
     """
     for first, run in buffers(texts):
-        words, doc, _, _ = word_hashes(run)
+        words, doc, _ = word_hashes(run)
         grams = ngram_hashes(words, n)
         cut = np.searchsorted(doc, np.arange(len(run) + 1))
         for k in range(len(run)):
