@@ -4,16 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from juncture.llm import exact_dedup, language_id, mixing, ngram_join, sentencepiece
 from juncture.llm.common import materialise, read_documents, small_batches
-from juncture.llm.exact_dedup import drop_duplicates
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_duplicates(docs)
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected go: texts without a letter, and those less predictable than any calibration text by a margin."""
+    small_batches(spark)
+    return language_id.keep_accepted(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup)]
-#: The stages are not expressible in SQL as a whole; tests hold them against brute force.
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return exact_dedup.drop_duplicates(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of Jaccard similarity 0.8 or more over five-word shingles stays."""
+    small_batches(spark)
+    return ngram_join.keep_one_of_each(docs, 5, 8, 10)
+
+
+def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, at most three times."""
+    return mixing.mixed_rows(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return sentencepiece.sample_segmentations(docs)
+
+
+STAGES = [
+    ("language_id", keep_known_languages),
+    ("exact_dedup", drop_exact_copies),
+    ("ngram_jaccard", drop_near_copies),
+    ("mix_sources", mix_to_weights),
+    ("sentencepiece", encode),
+]
+#: Language models, sampling and segmentation have no SQL form; tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 
 

@@ -29,8 +29,8 @@ def filter_bits(rows: int, max_bits: int = MAX_BITS) -> int:
     return min(max_bits, max(SEGMENT_BITS, 1 << max(rows * BITS_PER_ROW - 1, 1).bit_length()))
 
 
-def repeated_filter(hashes: DataFrame, key: str, bits: int) -> bytes:
-    """First pass: the bits that at least two keys (or one key twice) have set.
+def repeated_filter(hashes: DataFrame, key: str, bits: int, least: int = 2) -> bytes:
+    """First pass: the bits that at least two keys (or one key twice) have set; with least 1 a plain Bloom filter.
 
     Each task keeps two bitmaps, "set" and "set again", and sends the segments it touched, compressed; segments are
     merged by OR, where a bit set on both sides becomes "set again". What comes to the driver is bits/8 bytes at most.
@@ -61,7 +61,7 @@ def repeated_filter(hashes: DataFrame, key: str, bits: int) -> bytes:
             for o, t in zip(b.column("once").to_pylist(), b.column("twice").to_pylist(), strict=True):
                 o, t = (np.frombuffer(zlib.decompress(x), dtype=np.uint8) for x in (o, t))
                 twice, once = twice | t | (once & o), once | o
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([zlib.compress(twice.tobytes(), 1)], pa.binary())], names=["segment", "twice"])
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([zlib.compress((twice if least > 1 else once).tobytes(), 1)], pa.binary())], names=["segment", "twice"])
 
     parts = hashes.select(key).mapInArrow(local, "segment long, once binary, twice binary")
     merged = parts.groupBy("segment").applyInArrow(merge, "segment long, twice binary")
@@ -110,7 +110,20 @@ def exact_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return alone.unionByName(rows.select("doc_id", "keep_id", "group_size", kept.alias("kept"), sha))
 
 
+def without_ids(docs: DataFrame, gone: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of docs whose doc_id is not in gone (doc_id). Rows that a Bloom filter of the ids rules out stay where
+    they are; only the others, with their texts, are shuffled to an exact anti join."""
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_digest", F.unhex(F.md5(F.col("doc_id").cast("string").cast("binary"))))
+
+    ids = materialise(keyed(gone.select("doc_id").filter("doc_id is not null")), "gone")
+    seen = repeated_filter(ids, "_digest", filter_bits(ids.count(), max_bits), least=1)
+    flagged = maybe_repeated(keyed(docs.filter("doc_id is not null")), "_digest", seen, "_maybe")
+    near = flagged.filter("_maybe").join(ids.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    return flagged.filter("not _maybe").select(docs.columns).unionByName(near).unionByName(docs.filter("doc_id is null"))
+
+
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of docs that exact_duplicates keeps, with their columns; needs unique doc_id."""
-    gone = exact_duplicates(docs).filter(~F.col("kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return without_ids(docs, exact_duplicates(docs).filter(~F.col("kept")))

@@ -236,3 +236,16 @@ def identify_documents(docs: DataFrame) -> DataFrame:
     """Learn from the rows whose fold is not 0 (fold 1 calibrates), predict all rows from their texts."""
     models = train(docs.filter(fold() != 0), fold() == 1)
     return identify(docs, models).withColumn("held_out", fold() == 0)
+
+
+def keep_accepted(docs: DataFrame) -> DataFrame:
+    """The rows of docs whose language the models accept, with their columns; nothing is shuffled but the training sample."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs.filter(fold() != 0), fold() == 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for b in batches:
+            keep = [own.predict(t)[3] for t in b.column("text").to_pylist()]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

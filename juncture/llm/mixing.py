@@ -161,3 +161,10 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: flo
         F.col("key").alias("doc_id"), "size", "source_size", "target", (F.col("size") * (F.col("base") + F.col("pi").cast("long"))).alias("taken"),
         (F.col("base") + F.col("pi").cast("long")).alias("copies"),
     )
+
+
+def mixed_rows(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float = 3, seed: int = 0) -> DataFrame:
+    """The rows of docs that the mix takes, each as often as it takes them; needs unique, non-null doc_id."""
+    copies = mix_sources(docs, weights, most, seed).filter("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
+    taken = docs.join(copies, F.col("doc_id") == F.col("_id"))
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(docs.columns)

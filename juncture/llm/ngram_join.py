@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, materialise, mix64
 from .components import connected_components
+from .exact_dedup import without_ids
 from .shingles import shingle_sets
 
 #: Shingles that a map task sends at once, documents a chunk may hold, and bits of a token below its bucket.
@@ -364,5 +365,4 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10)
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """The rows of docs without those whose component has a smaller doc_id; needs unique doc_id."""
-    gone = jaccard_components(docs, n, num, den).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return without_ids(docs, jaccard_components(docs, n, num, den).filter("doc_id <> component_id"))
