@@ -75,14 +75,12 @@ def reverse_complement(s: Column) -> Column:
 def windows(s: Column, lengths: Sequence[int] = DEFAULT.peptide_lengths) -> Column:
     """Array of (start, length, peptide) of every window; none where the string is shorter."""
     kind = "array<struct<start:int,length:int,peptide:string>>"
-    parts = [
-        F.when(
-            F.length(s) >= k,
-            F.transform(F.sequence(F.lit(0), F.length(s) - k), lambda i, k=k: F.struct(i.alias("start"), F.lit(k).alias("length"), F.substring(s, i + 1, F.lit(k)).alias("peptide"))),
-        ).otherwise(F.array().cast(kind))
-        for k in lengths
-    ]
-    return F.concat(*parts)
+
+    def of(k: int) -> Column:
+        every = F.transform(F.sequence(F.lit(0), F.length(s) - k), lambda i: F.struct(i.alias("start"), F.lit(k).alias("length"), F.substring(s, i + 1, F.lit(k)).alias("peptide")))
+        return F.when(F.length(s) >= k, every).otherwise(F.array().cast(kind))
+
+    return F.concat(*[of(k) for k in lengths])
 
 
 def translate(nucleotides: Column) -> Column:

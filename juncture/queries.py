@@ -95,9 +95,9 @@ def event_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    with w as (select doc_id, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), x -> x <> '') a from documents),
+    with w as (select doc_id, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') a from documents),
     c as (select distinct doc_id, array_to_string(a[i + 1 : i + 8], ' ') g from w, unnest(range(greatest(len(a) - 7, 0))) t(i)),
-    bw as (select item_id, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), x -> x <> '') a from benchmark),
+    bw as (select item_id, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') a from benchmark),
     b as (select distinct item_id, array_to_string(a[i + 1 : i + 8], ' ') g from bw, unnest(range(greatest(len(a) - 7, 0))) t(i))
     select item_id, count(distinct doc_id) n_docs, count(distinct g) n_windows from c join b using (g) group by item_id""")
 def exact_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,10 +125,10 @@ def self_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     with t as (select distinct replace(p_name, ' ', '') s from part union select distinct c_name from customer),
-    a as (select s, list_filter(string_split(s, ''), x -> x <> '') l, list_distinct(list_filter(string_split(s, ''), x -> x <> '')) d from t),
-    b as (select s, len(d) n, list_transform(d, c -> len(list_filter(l, x -> x = c)) / len(s)) p, d from a),
-    c as (select s, n, round(list_sum(list_transform(p, x -> -x * log2(x))), 9) h, round(list_max(p), 9) m,
-                 list_max(list_filter(range(1, 30), k -> len(list_filter(d, c -> contains(s, repeat(c, k::int)))) > 0)) r from b)
+    a as (select s, list_filter(string_split(s, ''), lambda x: x <> '') l, list_distinct(list_filter(string_split(s, ''), lambda x: x <> '')) d from t),
+    b as (select s, len(d) n, list_transform(d, lambda c: len(list_filter(l, lambda x: x = c)) / len(s)) p, d from a),
+    c as (select s, n, round(list_sum(list_transform(p, lambda x: -x * log2(x))), 9) h, round(list_max(p), 9) m,
+                 list_max(list_filter(range(1, 30), lambda k: len(list_filter(d, lambda c: contains(s, repeat(c, k::int)))) > 0)) r from b)
     select s peptide, n::bigint n_letters, h entropy, m largest_share, r longest_run, (n <= 3 or m >= 0.5 or r >= 4 or h < 2.0) low_complexity from c""")
 def low_complexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = derive(spark, sf_dir, "part", "replace(p_name, ' ', '') as peptide").union(derive(spark, sf_dir, "customer", "c_name")).distinct()
@@ -144,7 +144,7 @@ CODON_SQL = "map([" + ", ".join(f"'{c}'" for c in sequence.CODONS) + "], [" + ",
 
 @query(f"""
     with n as (select distinct p_name, upper(translate(md5(p_name), '0123456789abcdef', 'ACGTACGTACGTACGT')) nt from part),
-    p as (select p_name, nt, array_to_string(list_transform(range(len(nt) // 3), i -> {CODON_SQL}[nt[i * 3 + 1 : i * 3 + 3]]), '') aa from n)
+    p as (select p_name, nt, array_to_string(list_transform(range(len(nt) // 3), lambda i: {CODON_SQL}[nt[i * 3 + 1 : i * 3 + 3]]), '') aa from n)
     select p_name, string_split(aa, '*')[1] protein, reverse(translate(nt, 'ACGT', 'TGCA')) reverse_complement,
            greatest(len(string_split(aa, '*')[1]) - 7, 0) + greatest(len(string_split(aa, '*')[1]) - 8, 0) n_windows from p""")
 def translation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,12 +183,12 @@ def browser_loci(spark: SparkSession, sf_dir: str) -> DataFrame:
     select event_id, user_id, pos, case when low then pos - lpos else hpos - pos end near_distance, case when low then lpos else hpos end near_pos,
            case when low then lt else ht end near_event_type, case when low then lid else hid end near_event_id from s""")
 def nearest_breakpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = derive(spark, sf_dir, "events", "event_id", "user_id", "unix_micros(ts) as pos", "event_type")
+    rows = derive(spark, sf_dir, "events", "event_id", "user_id", "unix_micros(cast(ts as timestamp)) as pos", "event_type")
     points = rows.filter("event_type = 'purchase'").drop("event_type")
     return ranges.nearest(points, rows.filter("event_type <> 'purchase'"), ["user_id"], "pos", ["event_type", "event_id"], 24 * 3600 * 1_000_000)
 
 
-_ENDS = ["event_id as id", "cast(user_id % 10 as string) as chrom1", "cast(user_id % 7 as string) as chrom2", "unix_seconds(ts) as pos1", "unix_seconds(ts) + cast(floor(value * 100) as bigint) as pos2"]
+_ENDS = ["event_id as id", "cast(user_id % 10 as string) as chrom1", "cast(user_id % 7 as string) as chrom2", "unix_seconds(cast(ts as timestamp)) as pos1", "unix_seconds(cast(ts as timestamp)) + cast(floor(value * 100) as bigint) as pos2"]
 
 
 @query("""
@@ -241,17 +241,17 @@ def point_in_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    with q as (select l_orderkey * 10 + l_linenumber id, l_suppkey % 5 c1, l_partkey % 5 c2, l_orderkey p1, l_extendedprice::bigint // 10 p2 from lineitem),
-    p as (select o_custkey % 5 c1, o_orderkey % 5 c2, o_orderkey s1, o_orderkey + 40 e1, o_totalprice::bigint // 60 s2, o_totalprice::bigint // 60 + 300 e2, (o_orderkey % 50)::int n from orders),
+    with q as (select l_orderkey * 10 + l_linenumber id, l_suppkey % 25 c1, l_partkey % 20 c2, l_orderkey p1, floor(l_extendedprice / 10)::bigint p2 from lineitem),
+    p as (select o_custkey % 25 c1, o_orderkey % 20 c2, o_orderkey s1, o_orderkey + 400 e1, floor(o_totalprice / 60)::bigint s2, floor(o_totalprice / 60)::bigint + 3000 e2, (o_orderkey % 50)::int n from orders),
     b as (select * from p union all select c2, c1, s2, e2, s1, e1, n from p)
     select id, count(*) n_rows, coalesce(max(n), 0) panel_count, max(n) is not null in_panel from (select distinct * from q) q left join b on q.c1 = b.c1 and q.c2 = b.c2 and p1 between s1 and e1 and p2 between s2 and e2 group by id""".replace("count(*) n_rows, ", ""))
 def panel_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asks = derive(spark, sf_dir, "lineitem", "l_orderkey * 10 + l_linenumber as id", "l_suppkey % 5 as chrom1", "l_partkey % 5 as chrom2", "l_orderkey as pos1", "floor(cast(l_extendedprice as bigint) / 10) as pos2")
+    asks = derive(spark, sf_dir, "lineitem", "l_orderkey * 10 + l_linenumber as id", "l_suppkey % 25 as chrom1", "l_partkey % 20 as chrom2", "l_orderkey as pos1", "floor(l_extendedprice / 10) as pos2")
     panel = derive(
-        spark, sf_dir, "orders", "o_custkey % 5 as chrom1", "o_orderkey % 5 as chrom2", "o_orderkey as start1", "o_orderkey + 40 as end1", "floor(cast(o_totalprice as bigint) / 60) as start2",
-        "floor(cast(o_totalprice as bigint) / 60) + 300 as end2", "cast(o_orderkey % 50 as int) as count",
+        spark, sf_dir, "orders", "o_custkey % 25 as chrom1", "o_orderkey % 20 as chrom2", "o_orderkey as start1", "o_orderkey + 400 as end1", "floor(o_totalprice / 60) as start2",
+        "floor(o_totalprice / 60) + 3000 as end2", "cast(o_orderkey % 50 as int) as count",
     )
-    return confidence.panel_lookup(asks.distinct(), panel, "id", 0, 50).groupBy("id").agg(F.max("panel_count").alias("panel_count"), F.bool_or("in_panel").alias("in_panel"))
+    return confidence.panel_lookup(asks.distinct(), panel, "id", 0, 500).groupBy("id").agg(F.max("panel_count").alias("panel_count"), F.bool_or("in_panel").alias("in_panel"))
 
 
 @query(f"""
@@ -281,12 +281,12 @@ def lineage_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     e as (select event_id, sample, pos from p where event_id % 10 = 0),
     h as (select e.event_id, e.sample, c.ancestor, c.depth, exists (select 1 from p where p.sample = c.ancestor and p.chrom = 'view' and abs(p.pos - e.pos) <= 20) and
                  exists (select 1 from p where p.sample = c.ancestor and p.chrom = 'click' and abs(p.pos - e.pos - 5) <= 20) hit from e join c using (sample)),
-    m as (select event_id, max(depth) filter (hit) at from h group by event_id)
-    select e.event_id, e.sample, coalesce(max(h.ancestor) filter (h.hit and h.depth = m.at), e.sample) attributed_to,
-           coalesce(string_agg(h.ancestor || case when h.hit then ':yes' else ':no' end, ';' order by h.depth desc) filter (m.at is null or h.depth >= m.at), 'root sample') checked, bool_and(m.at is null) acquired
+    m as (select event_id, max(depth) filter (hit) dep from h group by event_id)
+    select e.event_id, e.sample, coalesce(max(h.ancestor) filter (h.hit and h.depth = m.dep), e.sample) attributed_to,
+           coalesce(string_agg(h.ancestor || case when h.hit then ':yes' else ':no' end, ';' order by h.depth desc) filter (m.dep is null or h.depth >= m.dep), 'root sample') checked, bool_and(m.dep is null) acquired
     from e left join h using (event_id) left join m using (event_id) group by e.event_id, e.sample""")
 def attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = derive(spark, sf_dir, "events", "event_id", "cast(user_id % 25 as string) as sample", "event_type as chrom", "cast(floor(unix_seconds(ts) / 200) as bigint) as pos")
+    points = derive(spark, sf_dir, "events", "event_id", "cast(user_id % 25 as string) as sample", "event_type as chrom", "cast(floor(unix_seconds(cast(ts as timestamp)) / 200) as bigint) as pos")
     events = points.filter("event_id % 10 = 0").selectExpr("event_id", "sample", "'view' as chrom1", "pos as pos1", "'click' as chrom2", "pos + 5 as pos2")
     return lineage.attribute(events, points, lineage.closure(derive(spark, sf_dir, "nation", *_TREE)), "event_id")
 
@@ -295,8 +295,8 @@ def attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    with p as (select distinct left(p_name, 4) s from part union select distinct reverse(left(p_name, 4)) from part), k as (select unnest(range(1, 21)) perm),
-    x as (select distinct perm, array_to_string(list_transform(list_sort(list_transform(range(1, len(s) + 1), i -> {'k': md5('0|' || perm || '|' || s || '|' || i), 'c': s[i]})), z -> z.c), '') t from p, k),
+    with p as (select distinct left(p_name, 4) s from part union select distinct reverse(left(p_name, 4)) s from part), k as (select unnest(range(1, 21)) perm),
+    x as (select distinct perm, array_to_string(list_transform(list_sort(list_transform(range(1, len(s) + 1), lambda i: {'k': md5('0|' || perm || '|' || s || '|' || i), 'c': s[i]})), lambda z: z.c), '') t from p, k),
     h as (select perm, count(*) n from x where t in (select s from p) group by perm) select k.perm, coalesce(n, 0) hits from k left join h using (perm)""")
 def permutation_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = derive(spark, sf_dir, "part", "left(p_name, 4) as peptide").union(derive(spark, sf_dir, "part", "reverse(left(p_name, 4))")).distinct()
@@ -323,7 +323,7 @@ def comparison_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     with o as (select o_orderpriority k, o_orderstatus = 'F' a, o_totalprice > 100000 b, o_orderkey % 3 <> 0 c from orders),
     n as (select k, count(*) n0, count(*) filter (a) n1, count(*) filter (a and b) n2, count(*) filter (a and b and c) n3 from o group by k)
-    select k o_orderpriority, unnest([1, 2, 3]) place, unnest(['status', 'price', 'key']) filter, unnest([n0, n1, n2]) entered, unnest([n1, n2, n3]) passed, unnest([n0 - n1, n1 - n2, n2 - n3]) removed from n""")
+    select k o_orderpriority, unnest([1, 2, 3]) place, unnest(['status', 'price', 'key']) "filter", unnest([n0, n1, n2]) entered, unnest([n1, n2, n3]) passed, unnest([n0 - n1, n1 - n2, n2 - n3]) removed from n""")
 def filter_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = {"status": F.col("o_orderstatus") == "F", "price": F.col("o_totalprice") > 100000, "key": F.col("o_orderkey") % 3 != 0}
     return funnel.ledger(table(spark, sf_dir, "orders"), rules, ["o_orderpriority"])
@@ -333,7 +333,7 @@ _FLAGS = {"quantity": "l_quantity > 10", "discount": "l_discount < 0.08", "tax":
 
 
 @query("""
-    with f as (select *, list_filter([case when not l_quantity > 10 then 'quantity' end, case when not l_discount < 0.08 then 'discount' end, case when not l_tax < 0.07 then 'tax' end, case when l_returnflag = 'R' then 'flag' end], x -> x is not null) z from lineitem)
+    with f as (select *, list_filter([case when not l_quantity > 10 then 'quantity' end, case when not l_discount < 0.08 then 'discount' end, case when not l_tax < 0.07 then 'tax' end, case when l_returnflag = 'R' then 'flag' end], lambda x: x is not null) z from lineitem)
     select l_suppkey, z[1] failed, count(*) n from f where len(z) = 1 and l_orderkey not in (select o_orderkey from orders where o_orderstatus = 'P') group by all""")
 def near_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     surviving = derive(spark, sf_dir, "orders", "o_orderkey as l_orderkey", where="o_orderstatus = 'P'")
@@ -523,7 +523,7 @@ def universe_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""{UNIVERSE_SQL}, x as (select *, q > 10 cr, peptide % 7 = 0 co, f = 'N' b from w)
     select 'private_binders' view, count(*) n from x where cr and not co and b union all select 'credible_private', count(*) from x where cr and not co union all
-    select 'line 5', count(*) from x where cr and list_contains(present_in, '5') union all select 'only 0 5', count(*) from x where cr and len(list_filter(acquired_in, z -> z not in ('0', '5'))) = 0""")
+    select 'line 5', count(*) from x where cr and list_contains(present_in, '5') union all select 'only 0 5', count(*) from x where cr and len(list_filter(acquired_in, lambda z: z not in ('0', '5'))) = 0""")
 def universe_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     full = _universe(spark, sf_dir).withColumns({
         "credible": F.col("q") > 10, "common_in_population": F.col("peptide") % 7 == 0, "binder": F.col("f") == "N", "matched": F.lit(None).cast("boolean"), "high_confidence": F.lit(True), "rna_tier": F.lit("NA"),
@@ -557,7 +557,8 @@ def cohort_alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     select column_name "column", count(*) "rows", count(v) non_null, round(100.0 * count(v) / count(*), 2) percent, count(distinct v) "distinct", min(v) example, case when column_name = 'doc_id' then 'row key' else 'UNDOCUMENTED' end meaning
-    from (unpivot include nulls (select doc_id::varchar doc_id, text, lang, source, n_chars::varchar n_chars from documents) on doc_id, text, lang, source, n_chars into name column_name value v) group by column_name""")
+    from (select 'doc_id' column_name, doc_id::varchar v from documents union all select 'text', text from documents union all select 'lang', lang from documents union all
+          select 'source', source from documents union all select 'n_chars', n_chars::varchar from documents) group by column_name""")
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.column_profile(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars"), {"doc_id": "row key"})
 
@@ -579,8 +580,8 @@ def strand_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     with e as (select o_custkey k, list(distinct o_orderkey % 40) a from orders where o_orderkey % 9 <> 0 group by 1), g as (select o_custkey k, list(distinct o_orderkey % 40) b from orders where o_orderkey % 50 <> 0 group by 1)
-    select k o_custkey, case when a is null or b is null then 'not compared' when len(list_filter(a, x -> not list_contains(b, x))) = 0 and len(list_filter(b, x -> not list_contains(a, x))) = 0 then 'agree' else 'DISAGREE' end verdict,
-           array_to_string(list_sort(list_filter(a, x -> not list_contains(b, x)))[1:5], ',') missing, array_to_string(list_sort(list_filter(b, x -> not list_contains(a, x)))[1:5], ',') extra from e full join g using (k)""")
+    select k o_custkey, case when a is null or b is null then 'not compared' when len(list_filter(a, lambda x: not list_contains(b, x))) = 0 and len(list_filter(b, lambda x: not list_contains(a, x))) = 0 then 'agree' else 'DISAGREE' end verdict,
+           array_to_string(list_sort(list_filter(a, lambda x: not list_contains(b, x)))[1:5], ',') missing, array_to_string(list_sort(list_filter(b, lambda x: not list_contains(a, x)))[1:5], ',') extra from e full join g using (k)""")
 def peptide_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     expected = derive(spark, sf_dir, "orders", "o_custkey", "o_orderkey % 40 as p", where="o_orderkey % 9 <> 0")
     generated = derive(spark, sf_dir, "orders", "o_custkey", "o_orderkey % 40 as p", where="o_orderkey % 50 <> 0")
