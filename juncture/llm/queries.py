@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import sql
 from .common import read_documents, small_batches
 from .exact_dedup import exact_duplicates
 from .language_id import identify_documents
@@ -70,4 +71,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can express the result; the others (images, sampling, models, MinHash, byte windows) are held
+    against brute-force versions in tests/llm."""
+    return {
+        "op2_ngram_jaccard": sql.ngram_jaccard(),
+        "op4_secret_scan": sql.secrets(),
+        "op7_exact_dedup": sql.exact_dedup(),
+        "op10_sharding": sql.sharding(),
+    }
