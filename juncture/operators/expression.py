@@ -35,8 +35,8 @@ def nearest_splice(events: DataFrame, calls: DataFrame, key: str, criteria: Crit
     """Per event the nearest end of a novel splice junction over both breakends, its fragments and type."""
     ends = calls.select(F.col("Chromosome").alias("chrom"), F.explode(F.array("SjStart", "SjEnd")).alias("pos"), F.col("FragCount").alias("fragments"), F.col("Type").alias("type"))
     near = nearest(breakpoints(events, [key]), ends, ["chrom"], "pos", ["fragments", "type"], width)
-    best = near.groupBy(key).agg(F.min_by(F.struct("near_distance", "near_fragments", "near_type"), F.struct("near_distance", "side")).alias("b"))
-    return best.select(key, F.col("b.near_distance").alias("alt_sj_distance"), F.col("b.near_fragments").alias("alt_sj_fragments"), F.col("b.near_type").alias("alt_sj_type"),
+    best = near.filter("near_distance is not null").groupBy(key).agg(F.min_by(F.struct("near_distance", "near_fragments", "near_type"), F.struct("near_distance", "side")).alias("b"))
+    return events.select(key).join(best, key, "left").select(key, F.col("b.near_distance").alias("alt_sj_distance"), F.col("b.near_fragments").alias("alt_sj_fragments"), F.col("b.near_type").alias("alt_sj_type"),
                        F.coalesce(F.col("b.near_distance") <= criteria.splice_window, F.lit(False)).alias("alt_sj_within_window"))
 
 

@@ -106,9 +106,11 @@ def gap_profile(pairs: DataFrame, top: int = 6) -> DataFrame:
 
 def depth_ratio(intervals: DataFrame, alignments: DataFrame, key: str, flank: int = 1000, width: int = 10_000) -> DataFrame:
     """Mean depth inside each interval and in its flanks, and their ratio, from aligned blocks."""
-    parts = intervals.select(key, "sample", "chrom", F.inline(F.array(
-        F.struct(F.lit("inside").alias("part"), F.col("start").alias("p0"), F.col("end").alias("p1")),
-        F.struct(F.lit("flank"), F.col("start") - flank, F.col("start") - 1), F.struct(F.lit("flank"), F.col("end") + 1, F.col("end") + flank))))
+    def part(name: str, a: Column, b: Column) -> Column:
+        return F.struct(F.lit(name).alias("part"), a.alias("p0"), b.alias("p1"))
+
+    start, end = F.col("start"), F.col("end")
+    parts = intervals.select(key, "sample", "chrom", F.inline(F.array(part("inside", start, end), part("flank", start - flank, start - 1), part("flank", end + 1, end + flank))))
     blocks = alignments.select("sample", "chrom", F.inline(aligned_blocks(F.col("start0"), F.col("cigar")))).withColumn("last", F.col("start") + F.col("length") - 1)
     hit = overlapping(parts, blocks, ["sample", "chrom"], ("p0", "p1"), ("start", "last"), width)
     bases = hit.groupBy(key, "part").agg(F.sum(F.least("p1", "last") - F.greatest("p0", "start") + 1).alias("bases"))
