@@ -16,7 +16,7 @@ from .exact_dedup import without_ids
 from .shingles import shingle_sets
 
 #: Shingles that a map task sends at once, documents a chunk may hold, and bits of a token below its bucket.
-CHUNK_TOKENS, CHUNK_DOCS, LOW_BITS = 3 << 20, 60_000, 40
+CHUNK_TOKENS, CHUNK_DOCS, LOW_BITS = 1 << 21, 60_000, 40
 #: Bits of the bucket number; a bucket has about its share of all shingles. More for larger inputs (see bucket_bits).
 LEAST_BUCKET_BITS, BUCKET_TOKENS = 9, 2_000_000
 #: Bits of the parity map of a set in the suffix filter, as longs.
@@ -230,8 +230,9 @@ def _entries(sets: DataFrame) -> DataFrame:
     return map_arrow(sets.select("class", "n", "lone", "prefix", "mark"), one, "token long, class long, n int, lone int, at int, " + ", ".join(f"{m} long" for m in _MARKS))
 
 
-def _passes(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Length, positional and suffix filters over columns (n, lone, at, mark) of two sides that share a token.
+def _passes(a: np.ndarray, b: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(kept, least difference) by the length, positional and suffix filters over columns (n, lone, at, mark) of two
+    sides that share a token.
 
     Positional: before the token at most the smaller rank, from it on at most the smaller rest is shared. Suffix: the
     lone tokens and the differing bits of the marks bound the symmetric difference of the rest.
@@ -240,66 +241,142 @@ def _passes(a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
     need = least_overlap(na, nb, num, den)
     most = np.minimum(a[2], b[2]) + np.minimum(na - a[1] - a[2], nb - b[1] - b[2])
     apart = a[1] + b[1] + np.bitwise_count((a[3:] ^ b[3:]).view(np.uint64)).sum(axis=0, dtype=np.int64)
-    return (den * np.minimum(na, nb) >= num * np.maximum(na, nb)) & (most >= need) & (na + nb - apart >= 2 * need)
+    return (den * np.minimum(na, nb) >= num * np.maximum(na, nb)) & (most >= need) & (na + nb - apart >= 2 * need), apart
 
 
-def _pairs_of_runs(num: int, den: int, across: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Candidate pairs from rows sorted by token; a run of one token may go on over batches.
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Runs of two or more classes with one token from rows sorted by token, as columns (class, label, n, lone, at,
+    mark); a run may go on over batches, and a class that repeats in it counts once."""
 
-    First round (across false): each class with the one before it and with the run's first, in order of size: a run of
-    m classes gives 2m pairs. Second round: only pairs of different label, the first round having joined the rest.
+    def whole(held: list[np.ndarray]) -> np.ndarray:
+        run = np.concatenate(held, axis=1)
+        return run[:, np.concatenate([[True], run[0, 1:] != run[0, :-1]])]
+
+    held: list[np.ndarray] = []
+    token = None
+    for b in batches:
+        cols = [np.asarray(b.column(c)).astype(np.int64) for c in ("token", "class", "label", "n", "lone", "at", *_MARKS)]
+        cut = np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1]]))
+        end = np.append(cut[1:], len(cols[0]))
+        some = end - cut > 1
+        some[[0, -1]] = True
+        block = np.stack(cols[1:])
+        for lo, hi in zip(cut[some].tolist(), end[some].tolist(), strict=True):
+            if cols[0][lo] != token:
+                if held and (r := whole(held)).shape[1] > 1:
+                    yield r
+                held, token = [], cols[0][lo]
+            held.append(block[:, lo:hi])
+    if held and (r := whole(held)).shape[1] > 1:
+        yield r
+
+
+def _pairs_of_runs(num: int, den: int, mode: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Candidate pairs of the runs.
+
+    near: each class with the one before it and with the run's first, in order of size, 2m pairs for m classes.
+    best: of the classes of another label the one whose marks differ least, m pairs. all: every pair of different
+    labels that the filters let through.
     """
 
     def pairs(run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         key, label, meta = run[0], run[1], run[2:]
         m = len(key)
-        if not across:
+        if mode == "near":
             i = np.concatenate([np.zeros(m - 1, np.int64), np.arange(1, m - 1)])
             j = np.concatenate([np.arange(1, m), np.arange(2, m)])
-            ok = _passes(meta[:, i], meta[:, j], num, den)
+            ok, _ = _passes(meta[:, i], meta[:, j], num, den)
             return key[i[ok]], key[j[ok]]
-        left, right = [], []
+        left, right = [key[:0]], [key[:0]]
+        if (label == label[0]).all():
+            return key[:0], key[:0]
         for i in range(m - 1):
             hi = np.searchsorted(meta[0], den * meta[0, i] // num, side="right")
             j = np.arange(i + 1, hi)
             j = j[label[j] != label[i]]
-            if len(j):
-                j = j[_passes(np.repeat(meta[:, i : i + 1], len(j), 1), meta[:, j], num, den)]
-                left.append(np.repeat(key[i], len(j)))
-                right.append(key[j])
-        return (np.concatenate(left), np.concatenate(right)) if left else (key[:0], key[:0])
-
-    def done(run: np.ndarray) -> pa.RecordBatch | None:
-        run = run[:, np.concatenate([[True], run[0, 1:] != run[0, :-1]])]
-        if run.shape[1] < 2 or across and (run[1] == run[1, 0]).all():
-            return None
-        a, b = pairs(run)
-        if not len(a):
-            return None
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+            if not len(j):
+                continue
+            ok, apart = _passes(np.repeat(meta[:, i : i + 1], len(j), 1), meta[:, j], num, den)
+            j, apart = j[ok], apart[ok]
+            if mode == "best" and len(j):
+                j = j[[apart.argmin()]]
+            left.append(np.repeat(key[i], len(j)))
+            right.append(key[j])
+        return np.concatenate(left), np.concatenate(right)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, token, out = [], None, []
-        for b in batches:
-            cols = [np.asarray(b.column(c)).astype(np.int64) for c in ("token", "class", "label", "n", "lone", "at", *_MARKS)]
-            cut = np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1]]))
-            block = np.stack(cols[1:])
-            for lo, hi in zip(cut, np.append(cut[1:], len(cols[0])), strict=True):
-                if cols[0][lo] != token:
-                    if held and (r := done(np.concatenate(held, axis=1))):
-                        out.append(r)
-                    held, token = [], cols[0][lo]
-                held.append(block[:, lo:hi])
-            if out:
-                yield from pa.Table.from_batches(out).combine_chunks().to_batches()
-                out = []
-        if held and (r := done(np.concatenate(held, axis=1))):
-            yield r
+        out, size = [], 0
+
+        def flush() -> pa.RecordBatch:
+            both = np.unique(np.concatenate(out, axis=1), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in both], names=["a", "b"])
+
+        for r in _runs(batches):
+            a, b = pairs(r)
+            if len(a):
+                out.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+                size += len(a)
+                if size > 1 << 16:
+                    yield flush()
+                    out, size = [], 0
+        if out:
+            yield flush()
+
+    return run
+
+
+_ENTRY = "token long, class long, label long, n int, lone int, at int, " + ", ".join(f"{m} long" for m in _MARKS)
+
+
+def _open_runs(num: int, den: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of the runs that still hold two labels or more; each run gets a token of its own again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, k, names = TaskContext.get().partitionId(), 0, ["token", "class", "label", "n", "lone", "at", *_MARKS]
+        for r in _runs(batches):
+            if (r[1] != r[1, 0]).any():
+                cols = [np.full(r.shape[1], (part << 40) + k), *r[:2], *(c.astype(np.int32) for c in r[2:5]), *r[5:]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in cols], names=names)
+                k += 1
 
     return run
 
 
+def settle_links(entries: DataFrame, verify: Callable[[DataFrame], DataFrame], num: int, den: int, rounds: int = 3) -> DataFrame:
+    """Verified links (a, b) that connect exactly what all links among classes sharing a token connect.
+
+    entries: token, class, n, lone, at, marks. First every class is paired with its neighbours in its runs; the
+    components of what holds are labels. Then only runs with several labels are left: for a few rounds each class
+    there is paired with the most similar one of another label, and at last all pairs of different label that the
+    filters let through are verified. A group of thousands of near copies so costs few pairs, and no link between
+    components is lost.
+    """
+    ordered = lambda df: df.repartition("token").sortWithinPartitions("token", "n", "class")
+
+    def candidates(labelled: DataFrame, mode: str, tested: DataFrame | None) -> DataFrame:
+        found = ordered(labelled).mapInArrow(_pairs_of_runs(num, den, mode), "a long, b long").distinct()
+        return materialise(found if tested is None else found.join(tested, ["a", "b"], "left_anti"), "pairs")
+
+    def relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+        labels = connected_components(links).toDF("class", "_label")
+        named = rows.drop("label").join(labels, "class", "left").withColumn("label", F.coalesce("_label", "class")).drop("_label")
+        return materialise(ordered(named.select(*(f.split()[0] for f in _ENTRY.split(", ")))).mapInArrow(_open_runs(num, den), _ENTRY), "open")
+
+    tested = candidates(entries.withColumn("label", F.col("class")), "near", None)
+    links = materialise(verify(tested), "links")
+    still = relabelled(entries, links)
+    for _ in range(rounds):
+        pairs = candidates(still, "best", tested)
+        new = materialise(verify(pairs), "links")
+        tested = tested.unionByName(pairs)
+        if new.isEmpty():
+            break
+        links = links.unionByName(new)
+        still = relabelled(still, links)
+    last = candidates(still, "all", tested)
+    return links.unionByName(materialise(verify(last), "links"))
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose Jaccard similarity is num/den or more: the suffix filter, then one intersection."""
     of = sets.select("class", "n", "tokens")
@@ -330,19 +407,7 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int, num: int, den: int)
     counted = sent.groupBy("bucket").applyInArrow(_count, _PARCEL)
     found = counted.groupBy("chunk").applyInArrow(_assemble(num, den), "class long, n int, lone int, tokens binary, prefix binary, mark binary")
     sets = materialise(found.dropDuplicates(["class"]), "sets")
-    entries = _entries(sets)
-
-    def candidates(labelled: DataFrame, across: bool) -> DataFrame:
-        runs = labelled.repartition("token").sortWithinPartitions("token", "n", "class")
-        return runs.mapInArrow(_pairs_of_runs(num, den, across), "a long, b long").distinct()
-
-    first = materialise(candidates(entries.withColumn("label", F.col("class")), False), "pairs")
-    links = materialise(_verify(first, sets, num, den), "links")
-    labels = connected_components(links).toDF("class", "label")
-    named = entries.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    second = candidates(named.select(*entries.columns, "label"), True).join(first, ["a", "b"], "left_anti")
-    more = materialise(_verify(second, sets, num, den), "links")
-    return links.unionByName(more)
+    return settle_links(_entries(sets), lambda pairs: _verify(pairs, sets, num, den), num, den)
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:

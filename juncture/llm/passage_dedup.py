@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, materialise, mix64
 from .components import connected_components
-from .ngram_join import _MARKS, _pairs_of_runs, _verify, class_of, parity_marks
+from .ngram_join import _MARKS, _verify, class_of, parity_marks, settle_links
 from .shingles import buffers, ngram_hashes, word_hashes
 
 #: Words of a shingle; least words of a paragraph or passage that may be removed; similarity num/den.
@@ -22,6 +22,7 @@ BANDS, ROWS = 5, 2
 #: A piece starts at a word whose pair hash is the least of the REACH words on either side.
 REACH = 4
 CHUNK_PIECES, LEAST_BUCKET_BITS, BUCKET_PIECES = 1 << 20, 7, 1_000_000
+_BANDS = [f"band{k}" for k in range(BANDS)]
 _SALTS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -48,41 +49,33 @@ def _paragraphs(texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def paragraph_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, start, words, class of every paragraph of LEAST_WORDS words or more; start counts words from 0."""
+    """doc_id, start, words, class, n, bands, marks of every paragraph of LEAST_WORDS words or more.
 
-    def one(b: pa.RecordBatch) -> pa.RecordBatch | None:
-        keys = b.column("doc_id").to_numpy(zero_copy_only=False)
-        parts = [(keys[t], s, n, c) for t, s, n, c, *_ in _paragraphs(b.column("text").to_pylist())]
-        if not parts:
-            return None
-        doc, start, words, classes = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(doc.astype(np.int64)), pa.array(start.astype(np.int32)), pa.array(words.astype(np.int32)), pa.array(classes)], names=["doc_id", "start", "words", "class"])
-
-    return map_arrow(docs, one, "doc_id long, start int, words int, class long")
-
-
-def band_rows(docs: DataFrame) -> DataFrame:
-    """token (band key), class, n, lone, at, marks: one row per band of each class, classes once a batch."""
+    start counts words from 0; bands holds the band keys, marks the parity map of the shingles.
+    """
 
     def one(b: pa.RecordBatch) -> pa.RecordBatch | None:
+        keys = b.column("doc_id").to_numpy(zero_copy_only=False)
         parts = []
-        for _, _, _, classes, n, shingles, cut in _paragraphs(b.column("text").to_pylist()):
+        for text, start, words, classes, n, shingles, cut in _paragraphs(b.column("text").to_pylist()):
             least = [np.minimum.reduceat(mix64(shingles ^ salt), cut[:-1]) for salt in _SALTS]
-            marks = parity_marks(shingles, np.repeat(np.arange(len(n)), n), len(n))
+            bands = []
             for band in range(BANDS):
                 key = np.full(len(n), band + 1, dtype=np.uint64)
                 with np.errstate(over="ignore"):
                     for row in range(ROWS):
                         key = mix64(key * np.uint64(0xA0761D6478BD642F) + least[band * ROWS + row])
-                parts.append(np.concatenate([np.stack([key.view(np.int64), classes, n.astype(np.int64)], axis=1), marks], axis=1))
+                bands.append(key.view(np.int64))
+            marks = parity_marks(shingles, np.repeat(np.arange(len(n)), n), len(n))
+            parts.append(np.stack([keys[text].astype(np.int64), start, words, classes, n, *bands, *marks.T]))
         if not parts:
             return None
-        rows = np.unique(np.concatenate(parts), axis=0) if sum(map(len, parts)) < 1 << 16 else np.concatenate(parts)
-        zero = pa.array(np.zeros(len(rows), dtype=np.int32))
-        cols = [pa.array(np.ascontiguousarray(c)) for c in rows.T]
-        return pa.RecordBatch.from_arrays([cols[0], cols[1], cols[2].cast(pa.int32()), zero, zero, *cols[3:]], names=["token", "class", "n", "lone", "at", *_MARKS])
+        rows = np.concatenate(parts, axis=1)
+        names = ["doc_id", "start", "words", "class", "n", *_BANDS, *_MARKS]
+        kinds = [np.int64, np.int32, np.int32, np.int64, np.int32] + [np.int64] * (BANDS + len(_MARKS))
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c.astype(k))) for c, k in zip(rows, kinds, strict=True)], names=names)
 
-    return map_arrow(docs.select("text"), one, "token long, class long, n int, lone int, at int, " + ", ".join(f"{m} long" for m in _MARKS))
+    return map_arrow(docs, one, "doc_id long, start int, words int, class long, n int, " + ", ".join(f"{c} long" for c in (*_BANDS, *_MARKS)))
 
 
 def class_sets(docs: DataFrame, owners: DataFrame) -> DataFrame:
@@ -104,29 +97,18 @@ def class_sets(docs: DataFrame, owners: DataFrame) -> DataFrame:
 
 
 def paragraph_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Links (a, b) of classes that collide in a band and have Jaccard similarity >= NUM/DEN.
-
-    Each band key's classes are paired with their neighbour and their first by size; components of what holds are
-    labels, and all pairs of different label follow. So a group of thousands of near copies costs few pairs, and no
-    link between components is lost.
-    """
-    bands = materialise(band_rows(docs), "bands")
+    """Links (a, b) of classes that collide in a band and have Jaccard similarity >= NUM/DEN."""
+    zero = F.lit(0).cast("int")
+    entries = rows.select(F.explode(F.array(*_BANDS)).alias("token"), "class", "n", zero.alias("lone"), zero.alias("at"), *_MARKS)
     owner = rows.groupBy("class").agg(F.min("doc_id").alias("doc_id"))
 
-    def candidates(labelled: DataFrame, across: bool) -> DataFrame:
-        runs = labelled.repartition("token").sortWithinPartitions("token", "n", "class")
-        return runs.mapInArrow(_pairs_of_runs(NUM, DEN, across), "a long, b long").distinct()
-
-    def verified(pairs: DataFrame) -> DataFrame:
+    def verify(pairs: DataFrame) -> DataFrame:
+        if pairs.isEmpty():
+            return pairs
         some = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-        return materialise(_verify(pairs, materialise(class_sets(docs, owner.join(some, "class")), "sets"), NUM, DEN), "links")
-
-    first = materialise(candidates(bands.withColumn("label", F.col("class")), False), "pairs")
-    links = verified(first)
-    labels = connected_components(links).toDF("class", "label")
-    named = bands.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    second = materialise(candidates(named.select(*bands.columns, "label"), True).join(first, ["a", "b"], "left_anti"), "pairs")
-    return links if second.isEmpty() else links.unionByName(verified(second))
+        return _verify(pairs, materialise(class_sets(docs, owner.join(some, "class")), "sets"), NUM, DEN)
+
+    return settle_links(entries, verify, NUM, DEN)
 
 
 def pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
