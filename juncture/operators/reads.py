@@ -50,7 +50,9 @@ def reads_at_breakends(junctions: DataFrame, alignments: DataFrame, width: int =
         "w0": F.col("pos") - criteria.coverage_window, "w1": F.col("pos") + criteria.coverage_window, "first_pos": F.least("pos1", "pos2"),
         "test": select_test(F.col("svtype"), F.col("chrom1"), F.col("chrom2"), F.col("event_size"), F.col("insert_len"), criteria)[0],
     })
-    reads = alignments.withColumn("end0", reference_end(F.col("start0"), F.col("cigar")))
+    # CIGAR walks happen once per read, before a read meets many breakends.
+    start, cigar = F.col("start0"), F.col("cigar")
+    reads = alignments.withColumns({"end0": reference_end(start, cigar), "gaps": gaps(start, cigar), "softclip": longest_softclip(cigar)})
     return overlapping(ends.drop("chrom1", "chrom2", "pos1", "pos2"), reads, ["sample", "chrom"], ("w0", "w1"), ("start0", "end0"), width)
 
 
@@ -58,7 +60,7 @@ def fragment_evidence(pairs: DataFrame, criteria: Criteria = DEFAULT) -> DataFra
     """Per event and side: coverage, alignments, low mapping quality, soft clips, distinct fragments by mechanism."""
     good = F.col("mapq") >= criteria.min_mapq
     gap = F.exists(
-        gaps(F.col("start0"), F.col("cigar")),
+        F.col("gaps"),
         lambda g: (F.abs(g["length"] - F.col("event_size")) <= criteria.gap_size_tolerance) & (F.abs(g["start"] - F.col("first_pos")) <= criteria.gap_position_tolerance),
     )
     hits = {
@@ -71,7 +73,7 @@ def fragment_evidence(pairs: DataFrame, criteria: Criteria = DEFAULT) -> DataFra
         any_hit = any_hit | F.coalesce(h, F.lit(False))
     return pairs.groupBy("sample", "sample_sv_id", "side", "test").agg(
         F.count_distinct(F.when(good, F.col("qname"))).alias("coverage"), F.count("*").alias("alignments"), F.count_if(~good).alias("low_mapq"),
-        F.count_if(good & (longest_softclip(F.col("cigar")) >= criteria.min_softclip)).alias("softclips"),
+        F.count_if(good & (F.col("softclip") >= criteria.min_softclip)).alias("softclips"),
         *[F.count_distinct(F.when(h, F.col("qname"))).alias(f"{n}_fragments") for n, h in hits.items()], F.count_distinct(F.when(any_hit, F.col("qname"))).alias("junction_fragments"),
     )
 
@@ -91,7 +93,7 @@ def junction_usage(pairs: DataFrame, criteria: Criteria = DEFAULT) -> DataFrame:
     """Per event: fragments with the junction's gap, fragments with any gap there, their ratio; null unless sizegap."""
     own = lambda g: (F.abs(g["length"] - F.col("event_size")) <= criteria.gap_size_tolerance) & (F.abs(g["start"] - F.col("first_pos")) <= criteria.gap_position_tolerance)
     over = lambda g: (g["start"] <= F.col("first_pos") + F.col("event_size")) & (g["start"] + g["length"] >= F.col("first_pos"))
-    g = gaps(F.col("start0"), F.col("cigar"))
+    g = F.col("gaps")
     per = pairs.groupBy("sample", "sample_sv_id", "test", "qname").agg(F.bool_or(F.exists(g, own)).alias("match"), F.bool_or(F.exists(g, over)).alias("any"))
     n = per.groupBy("sample", "sample_sv_id", "test").agg(F.count_if(F.col("match")).alias("junction"), F.count_if(F.col("match") | F.col("any")).alias("gapped"))
     ok = F.col("test") == "sizegap"
@@ -100,7 +102,7 @@ def junction_usage(pairs: DataFrame, criteria: Criteria = DEFAULT) -> DataFrame:
 
 def gap_profile(pairs: DataFrame, top: int = 6) -> DataFrame:
     """The most frequent gap sizes at the events."""
-    rows = pairs.select(F.explode(gaps(F.col("start0"), F.col("cigar"))).alias("g"))
+    rows = pairs.select(F.explode("gaps").alias("g"))
     return rows.groupBy(F.col("g.length").alias("gap")).count().orderBy(F.desc("count"), "gap").limit(top)
 
 

@@ -612,3 +612,45 @@ def ancestry_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = {c: F.col(c) for c in "abc"}
     marked = rows.withColumns({"popmax": variants.ancestry_maximum(groups)["af"], "spread": variants.fold_spread(list(groups.values()))})
     return marked.agg(F.count("*").alias("n"), F.round(F.sum("popmax"), 6).alias("popmax_sum"), F.count_if(F.col("popmax") >= 0.05).alias("common"), F.round(F.sum("spread"), 4).alias("spread_sum"))
+
+
+# Regions and wide tables
+
+
+@query(f"""
+    with j as (select o_orderkey k, o_custkey % 12 c1, o_orderkey % 12 c2, {SQL_DAY.format("o_orderdate")} p1, {SQL_DAY.format("o_orderdate")} + o_orderkey % 90 p2 from orders),
+    r as (select l_suppkey % 12 c, {SQL_DAY.format("l_shipdate")} a, {SQL_DAY.format("l_shipdate")} + 4 b, 'r' || l_partkey n, l_orderkey * 10 + l_linenumber f, l_partkey from lineitem where l_quantity > 49),
+    d as (select distinct c1 c, p1 p from j union select distinct c2, p2 from j),
+    h as (select d.c, d.p, n, row_number() over (partition by d.c, d.p order by f, l_partkey, a) o from d join r on d.c = r.c and p >= a and p < b), g as (select c, p, n from h where o = 1),
+    x as (select a.n n1, b.n n2 from j left join g a on a.c = c1 and a.p = p1 left join g b on b.c = c2 and b.p = p2)
+    select case when n1 is not null and n2 is not null then 'both' when n1 is not null then 'bp1' when n2 is not null then 'bp2' else 'none' end region_status, count(*) n, count(distinct n1) regions1, count(distinct n2) regions2 from x group by 1""")
+def region_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .operators.regions import with_regions
+
+    day, ship = DAY.format("o_orderdate"), DAY.format("l_shipdate")
+    junctions = derive(spark, sf_dir, "orders", "o_orderkey as k", "o_custkey % 12 as chrom1", "o_orderkey % 12 as chrom2", f"{day} as pos1", f"{day} + o_orderkey % 90 as pos2")
+    regions = derive(spark, sf_dir, "lineitem", "l_suppkey % 12 as chrom", f"{ship} as start", f"{ship} + 4 as end", "concat('r', l_partkey) as name", "struct(l_orderkey * 10 + l_linenumber as f, l_partkey as p) as file_row", where="l_quantity > 49")
+    out = with_regions(junctions, regions, "k", 30)
+    return out.groupBy("region_status").agg(F.count("*").alias("n"), F.count_distinct("region1").alias("regions1"), F.count_distinct("region2").alias("regions2"))
+
+
+@query("""
+    select l_suppkey line, l_orderkey sv, count(distinct l_partkey) n_peptides, array_to_string(list_sort(list(distinct l_partkey)), ',') peptides, bool_or(l_discount > 0.05) any_binds, bool_or(l_returnflag = 'N') any_clean,
+           count(distinct l_partkey) filter (l_discount > 0.05) n_binds, count(distinct l_partkey) filter (l_returnflag = 'N') n_clean, min(l_tax) best_rank from lineitem group by 1, 2""")
+def line_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .operators.master import peptide_rows_to_events
+
+    rows = derive(spark, sf_dir, "lineitem", "l_suppkey as line", "l_orderkey as sv", "l_partkey as peptide", "l_discount > 0.05 as binds", "l_returnflag = 'N' as clean", "l_tax as rank")
+    return joined(peptide_rows_to_events(rows, ["line", "sv"], ["binds", "clean"], ["rank"], []), "peptides")
+
+
+@query("""
+    with e as (select event_id, user_id % 10 s, event_type = 'view' r, value from events)
+    select s::varchar sample, count(*) n, count(case when s % 3 <> 0 then r end) rna_measured, count(*) filter (s % 3 <> 0 and r) rna_supported, count(case when s < 8 and s % 2 = 0 then value end) expression_measured from e group by s""")
+def modality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .operators.master import gate, with_modalities
+
+    events = derive(spark, sf_dir, "events", "cast(user_id % 10 as string) as sample", "event_type = 'view' as r", "value")
+    samples = events.select("sample").distinct().filter("cast(sample as int) < 8 or cast(sample as int) % 3 <> 0").selectExpr("sample as name", "cast(sample as int) % 3 <> 0 as has_rna", "cast(sample as int) % 2 = 0 and cast(sample as int) < 8 as has_expression")
+    gated = with_modalities(events, samples).withColumns({"r": gate(F.col("r"), F.col("has_rna")), "value": gate(F.col("value"), F.col("has_expression"))})
+    return gated.groupBy("sample").agg(F.count("*").alias("n"), F.count("r").alias("rna_measured"), F.count_if("r").alias("rna_supported"), F.count("value").alias("expression_measured"))
