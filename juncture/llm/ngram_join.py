@@ -342,39 +342,48 @@ def _open_runs(num: int, den: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return run
 
 
-def settle_links(entries: DataFrame, verify: Callable[[DataFrame], DataFrame], num: int, den: int, rounds: int = 3) -> DataFrame:
+def settle_links(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int, rounds: int = 2) -> DataFrame:
     """Verified links (a, b) that connect exactly what all links among classes sharing a token connect.
 
-    entries: token, class, n, lone, at, marks. First every class is paired with its neighbours in its runs; the
-    components of what holds are labels. Then only runs with several labels are left: for a few rounds each class
-    there is paired with the most similar one of another label, and at last all pairs of different label that the
-    filters let through are verified. A group of thousands of near copies so costs few pairs, and no link between
-    components is lost.
+    entries: token, class, n, lone, at, marks; sets_of gives (class, n, tokens) for a table of classes, those that
+    share a token with another one. First every class is paired with its neighbours in its runs; the components of
+    what holds are labels. Then only runs with several labels are left: for a few rounds each class there is paired
+    with the most similar one of another label, and at last all pairs of different label that the filters let through
+    are verified. A group of thousands of near copies so costs few pairs, and no link between components is lost.
     """
-    ordered = lambda df: df.repartition("token").sortWithinPartitions("token", "n", "class")
 
-    def candidates(labelled: DataFrame, mode: str, tested: DataFrame | None) -> DataFrame:
-        found = ordered(labelled).mapInArrow(_pairs_of_runs(num, den, mode), "a long, b long").distinct()
+    def ordered(df: DataFrame) -> DataFrame:
+        return df.repartition("token").sortWithinPartitions("token", "n", "class")
+
+    def opened(labelled: DataFrame) -> DataFrame:
+        return materialise(ordered(labelled.select(*(f.split()[0] for f in _ENTRY.split(", ")))).mapInArrow(_open_runs(num, den), _ENTRY), "open")
+
+    def candidates(mode: str, tested: DataFrame | None) -> DataFrame:
+        found = ordered(still).mapInArrow(_pairs_of_runs(num, den, mode), "a long, b long").distinct()
         return materialise(found if tested is None else found.join(tested, ["a", "b"], "left_anti"), "pairs")
 
-    def relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    def relabelled() -> DataFrame:
         labels = connected_components(links).toDF("class", "_label")
-        named = rows.drop("label").join(labels, "class", "left").withColumn("label", F.coalesce("_label", "class")).drop("_label")
-        return materialise(ordered(named.select(*(f.split()[0] for f in _ENTRY.split(", ")))).mapInArrow(_open_runs(num, den), _ENTRY), "open")
+        named = still.drop("label").join(labels, "class", "left")
+        return opened(named.withColumn("label", F.coalesce("_label", "class")))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return materialise(_verify(pairs, sets, num, den), "links")
 
-    tested = candidates(entries.withColumn("label", F.col("class")), "near", None)
-    links = materialise(verify(tested), "links")
-    still = relabelled(entries, links)
+    still = opened(entries.withColumn("label", F.col("class")))
+    sets = materialise(sets_of(still.select("class").distinct()), "sets")
+    tested = candidates("near", None)
+    links = verified(tested)
+    still = relabelled()
     for _ in range(rounds):
-        pairs = candidates(still, "best", tested)
-        new = materialise(verify(pairs), "links")
+        pairs = candidates("best", tested)
         tested = tested.unionByName(pairs)
+        new = verified(pairs)
         if new.isEmpty():
             break
         links = links.unionByName(new)
-        still = relabelled(still, links)
-    last = candidates(still, "all", tested)
-    return links.unionByName(materialise(verify(last), "links"))
+        still = relabelled()
+    return links.unionByName(verified(candidates("all", tested)))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -407,7 +416,7 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, n: int, num: int, den: int)
     counted = sent.groupBy("bucket").applyInArrow(_count, _PARCEL)
     found = counted.groupBy("chunk").applyInArrow(_assemble(num, den), "class long, n int, lone int, tokens binary, prefix binary, mark binary")
     sets = materialise(found.dropDuplicates(["class"]), "sets")
-    return settle_links(_entries(sets), lambda pairs: _verify(pairs, sets, num, den), num, den)
+    return settle_links(_entries(sets), lambda classes: sets.select("class", "n", "tokens").join(classes, "class", "left_semi"), num, den)
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:

@@ -102,13 +102,7 @@ def paragraph_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     entries = rows.select(F.explode(F.array(*_BANDS)).alias("token"), "class", "n", zero.alias("lone"), zero.alias("at"), *_MARKS)
     owner = rows.groupBy("class").agg(F.min("doc_id").alias("doc_id"))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        if pairs.isEmpty():
-            return pairs
-        some = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-        return _verify(pairs, materialise(class_sets(docs, owner.join(some, "class")), "sets"), NUM, DEN)
-
-    return settle_links(entries, verify, NUM, DEN)
+    return settle_links(entries, lambda classes: class_sets(docs, owner.join(classes, "class")), NUM, DEN)
 
 
 def pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
