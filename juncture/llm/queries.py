@@ -71,11 +71,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL where it can express the result; the others (images, sampling, models, MinHash, byte windows) are held
+    """SQL where it can express the result; the others (images, sampling, models, MinHash) are held
     against brute-force versions in tests/llm."""
     return {
         "op2_ngram_jaccard": sql.ngram_jaccard(),
         "op4_secret_scan": sql.secrets(),
         "op7_exact_dedup": sql.exact_dedup(),
+        "op9_suffix_array_dedup": sql.repeated_bytes(),
         "op10_sharding": sql.sharding(),
     }

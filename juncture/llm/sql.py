@@ -61,3 +61,16 @@ def secrets() -> str:
     select d.doc_id, count(p.a) filter (o = 1) n_assign, count(p.a) filter (o = 2) n_access, count(p.a) filter (o = 3) n_hex, count(p.a) filter (o = 4) n_entropy,
            sha256(coalesce(string_agg(k || ':' || p.a || ':' || b, ',' order by p.a, o, b) filter (o < 4), '')) base_sha256, coalesce(string_agg(k || ':' || p.a || ':' || b, ',' order by p.a, o, b), '') spans
     from d left join p on d.doc_id = p.doc_id group by d.doc_id"""
+
+
+def repeated_bytes(window: int = 100) -> str:
+    return f"""
+    with h as (select doc_id, hex(encode(coalesce(text, ''))) h from documents),
+    w as (select doc_id, i, md5(h[2 * i + 1 : 2 * i + {2 * window}]) g from h, unnest(range(greatest(len(h) // 2 - {window - 1}, 0))) t(i)),
+    f as (select doc_id, i a, i + {window} b from (select doc_id, i, row_number() over (partition by g order by doc_id, i) n from w) where n > 1),
+    m as (select *, max(b) over (partition by doc_id order by a rows between unbounded preceding and 1 preceding) p from f),
+    k as (select *, sum(case when a <= p then 0 else 1 end) over (partition by doc_id order by a rows unbounded preceding) z from m),
+    s as (select doc_id, z, min(a) a, max(b) b from k group by doc_id, z),
+    q as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) p from s),
+    e as (select doc_id, string_agg(h[2 * p + 1 : 2 * a], '' order by a) front, max(b) last, sum(b - a)::bigint n_removed, count(*) n_spans from q join h using (doc_id) group by doc_id)
+    select doc_id, len(h) // 2 n_bytes, coalesce(n_removed, 0) n_removed, coalesce(n_spans, 0) n_spans, sha256(unhex(coalesce(front, '') || h[2 * coalesce(last, 0) + 1 :])) kept_sha256 from h left join e using (doc_id)"""
