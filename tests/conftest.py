@@ -3,7 +3,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
+os.environ["PYTHONPATH"] = os.pathsep.join(sys.path[:2])
 
 
 @pytest.fixture(scope="session")
