@@ -410,23 +410,27 @@ def event_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Read evidence
 
 
+#: Places are spread by blocks of orders, so that a place has as many reads at any scale.
+_BLOCK = "cast(floor({} / 1500) as bigint) * 100000"
+
+
 def _junctions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = DAY.format("o_orderdate")
+    day, block = DAY.format("o_orderdate"), _BLOCK.format("o_orderkey")
     return derive(
-        spark, sf_dir, "orders", "cast(o_custkey % 5 as string) as sample", "cast(o_orderkey as string) as sample_sv_id", "cast(o_orderkey % 3 as string) as chrom1", f"{day} * 10 as pos1", "cast(o_orderkey % 3 as string) as chrom2",
-        f"{day} * 10 + 101 + o_orderkey % 10 as pos2", "'DEL' as svtype", "100 + o_orderkey % 10 as event_size", "0 as insert_len", "cast(null as string) as insert_seq", where="o_orderkey % 5 = 0",
+        spark, sf_dir, "orders", "cast(o_custkey % 5 as string) as sample", "cast(o_orderkey as string) as sample_sv_id", "cast(o_orderkey % 3 as string) as chrom1", f"{day} * 10 + {block} as pos1", "cast(o_orderkey % 3 as string) as chrom2",
+        f"{day} * 10 + {block} + 101 + o_orderkey % 10 as pos2", "'DEL' as svtype", "100 + o_orderkey % 10 as event_size", "0 as insert_len", "cast(null as string) as insert_seq", where="o_orderkey % 5 = 0",
     )
 
 
 def _alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(
-        spark, sf_dir, "lineitem", "cast(l_suppkey % 5 as string) as sample", "cast(l_partkey % 3 as string) as chrom", "cast(l_orderkey as string) as qname", f"{DAY.format('l_shipdate')} * 10 - 50 as start0", "cast(l_quantity as int) as mapq", "0 as flag",
+        spark, sf_dir, "lineitem", "cast(l_suppkey % 5 as string) as sample", "cast(l_partkey % 3 as string) as chrom", "cast(l_orderkey as string) as qname", f"{DAY.format('l_shipdate')} * 10 + {_BLOCK.format('l_orderkey')} - 50 as start0", "cast(l_quantity as int) as mapq", "0 as flag",
         "concat(48 + l_linenumber, 'M', 95 + l_partkey % 20, 'N50M') as cigar", "'ACGT' as seq", "cast(null as string) as sa_tag",
     )
 
 
-READS_SQL = f"""with j as (select o_custkey % 5 s, o_orderkey id, o_orderkey % 3 c, {SQL_DAY.format("o_orderdate")} * 10 p1, {SQL_DAY.format("o_orderdate")} * 10 + 101 + o_orderkey % 10 p2, 100 + o_orderkey % 10 z from orders where o_orderkey % 5 = 0),
-    r as (select l_suppkey % 5 s, l_partkey % 3 c, l_orderkey q, {SQL_DAY.format("l_shipdate")} * 10 - 50 a, l_quantity::int m, 48 + l_linenumber u, 95 + l_partkey % 20 g from lineitem),
+READS_SQL = f"""with j as (select o_custkey % 5 s, o_orderkey id, o_orderkey % 3 c, {SQL_DAY.format("o_orderdate")} * 10 + o_orderkey // 1500 * 100000 p1, {SQL_DAY.format("o_orderdate")} * 10 + o_orderkey // 1500 * 100000 + 101 + o_orderkey % 10 p2, 100 + o_orderkey % 10 z from orders where o_orderkey % 5 = 0),
+    r as (select l_suppkey % 5 s, l_partkey % 3 c, l_orderkey q, {SQL_DAY.format("l_shipdate")} * 10 + l_orderkey // 1500 * 100000 - 50 a, l_quantity::int m, 48 + l_linenumber u, 95 + l_partkey % 20 g from lineitem),
     e as (select j.*, 1 side, p1 p from j union all select j.*, 2, p2 from j),
     x as (select e.id, e.s, e.side, e.z, r.q, r.m, abs(r.g - e.z) <= 10 and abs(r.a + r.u - e.p1) <= 15 match, r.a + r.u <= e.p1 + e.z and r.a + r.u + r.g >= e.p1 anygap from e join r on e.s = r.s and e.c = r.c and r.a <= e.p + 200 and r.a + r.u + r.g + 50 >= e.p - 200)"""
 
