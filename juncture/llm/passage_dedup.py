@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,15 +13,15 @@ from pyspark.sql import functions as F
 from .common import map_arrow, materialise, mix64
 from .components import connected_components
 from .ngram_join import _MARKS, _verify, class_of, parity_marks, settle_links
-from .shingles import buffers, ngram_hashes, word_hashes
+from .shingles import _BASE, _INVERSE, _power, buffers, ngram_hashes, word_hashes
 
 #: Words of a shingle; least words of a paragraph or passage that may be removed; similarity num/den.
 SHINGLE, LEAST_WORDS, NUM, DEN = 5, 20, 8, 10
 #: Bands and rows of the MinHash: at similarity 0.8 a pair collides with probability 1 - (1 - 0.8**2)**5 = 0.994.
 BANDS, ROWS = 5, 2
-#: A piece starts at a word whose pair hash is the least of the REACH words on either side.
-REACH = 4
-CHUNK_PIECES, LEAST_BUCKET_BITS, BUCKET_PIECES = 1 << 20, 7, 1_000_000
+#: Words of an anchor; entries of a task's chunk; bits of the bucket number at least; entries of a bucket.
+ANCHOR = 8
+CHUNK_ROWS, LEAST_BUCKET_BITS, BUCKET_ROWS = 1 << 20, 7, 1_000_000
 _BANDS = [f"band{k}" for k in range(BANDS)]
 _SALTS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -105,108 +105,176 @@ def paragraph_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return settle_links(entries, lambda classes: class_sets(docs, owner.join(classes, "class")), NUM, DEN)
 
 
-def pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Per buffer: (text, first word, words, hash) of the pieces that content-defined cuts leave of whole texts."""
-    for first, run in buffers(texts):
-        words, doc, _ = word_hashes(run)
-        if not len(words):
-            continue
-        same = np.append(doc[1:] == doc[:-1], False)
-        with np.errstate(over="ignore"):
-            pair = mix64(words + np.where(same, np.append(words[1:], words[:1]), np.uint64(1)) * np.uint64(0x9FB21C651E98DF25))
-        at = np.arange(len(words)) + REACH * (doc + 1)
-        field = np.full(len(words) + REACH * (len(run) + 1), np.iinfo(np.uint64).max, dtype=np.uint64)
-        field[at] = pair
-        least = pair.copy()
-        for k in range(1, REACH + 1):
-            np.minimum(least, np.minimum(field[at - k], field[np.minimum(at + k, len(field) - 1)]), out=least)
-        start = pair == least
-        home = np.searchsorted(doc, np.arange(len(run) + 1))
-        start[home[:-1][home[:-1] < len(words)]] = True
-        begin = np.flatnonzero(start)
-        size = np.diff(np.append(begin, len(words)))
-        with np.errstate(over="ignore"):
-            total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(words) * _odd_powers(len(words)), dtype=np.uint64)])
-            content = mix64((total[begin + size] - total[begin]) * _odd_inverse(len(words))[begin] + size.astype(np.uint64))
-        yield doc[begin] + first, begin - home[doc[begin]], size, content
-
-
-def _odd_powers(n: int) -> np.ndarray:
-    from .shingles import _BASE, _power
+def _prefixes(words: np.ndarray) -> np.ndarray:
+    """Sums of the mixed word hashes times powers of the base, for _stretch."""
+    with np.errstate(over="ignore"):
+        return np.concatenate([[np.uint64(0)], np.cumsum(mix64(words) * _power(_BASE, len(words))[: len(words)], dtype=np.uint64)])
 
-    return _power(_BASE, n)[:n]
 
+def _stretch(prefix: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the words [begin, end) of each pair."""
+    with np.errstate(over="ignore"):
+        return mix64((prefix[end] - prefix[begin]) * _power(_INVERSE, len(prefix))[begin] + (end - begin).astype(np.uint64))
 
-def _odd_inverse(n: int) -> np.ndarray:
-    from .shingles import _INVERSE, _power
 
-    return _power(_INVERSE, n)[:n]
+def anchored_runs(texts: list[str | None]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Per buffer: (text, first word, windows, anchor, content) of the runs of windows that share an anchor.
 
-
-_SENT = "bucket int, hashes binary, docs binary, starts binary, sizes binary"
+    A window is LEAST_WORDS consecutive words of a text; its anchor is the least hash of ANCHOR words in it, the first
+    of equal ones. So equal windows have equal anchors at equal places. content is the hash of all words of the run.
+    """
+    need = LEAST_WORDS - ANCHOR + 1
+    for first, run in buffers(texts):
+        words, doc, _ = word_hashes(run)
+        n = len(words) - LEAST_WORDS + 1
+        if n < 1:
+            continue
+        prefix = _prefixes(words)
+        at = np.arange(len(words) - ANCHOR + 1)
+        grams = _stretch(prefix, at, at + ANCHOR)
+        bits = np.uint64(max(24, len(words).bit_length()))
+        least = (grams >> bits << bits) | at.astype(np.uint64)
+        width = 1
+        while 2 * width <= need:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        if width < need:
+            least = np.minimum(least[: -(need - width)], least[need - width :])
+        place = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        inside = doc[:n] == doc[LEAST_WORDS - 1 :]
+        change = np.ones(n, dtype=bool)
+        change[1:] = (place[1:] != place[:-1]) | (inside[1:] != inside[:-1]) | (doc[1:n] != doc[: n - 1])
+        begin = np.flatnonzero(change)
+        count = np.diff(np.append(begin, n))
+        begin, count = begin[inside[begin]], count[inside[begin]]
+        home = np.searchsorted(doc, np.arange(len(run) + 1))
+        yield doc[begin] + first, begin - home[doc[begin]], count, mix64(grams[place[begin]]), _stretch(prefix, begin, begin + count + LEAST_WORDS - 1)
 
 
-def repeated_pieces(docs: DataFrame, bits: int) -> DataFrame:
-    """doc_id, start, words, kept_doc_id of every piece whose words another place has before it."""
+def _send(df: DataFrame, entries: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, ...]]], kinds: dict[str, type], bits: int) -> DataFrame:
+    """Map side: entries (columns of `kinds`, the first one a hash) packed by bucket, the hash's highest bits."""
 
     def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        doc, start, size, content = (np.concatenate(c) for c in zip(*held, strict=True))
-        bucket = (content >> np.uint64(64 - bits)).astype(np.int64)
-        by = np.lexsort((start, doc, bucket))
+        cols = [np.concatenate(c).astype(k) for c, k in zip(zip(*held, strict=True), kinds.values(), strict=True)]
+        bucket = (cols[0] >> np.uint64(64 - bits)).astype(np.int64)
+        by = np.argsort(bucket, kind="stable")
         cut = np.searchsorted(bucket[by], np.arange((1 << bits) + 1))
-        rows = []
-        for k in range(1 << bits):
-            e = by[cut[k] : cut[k + 1]]
-            if len(e):
-                rows.append((k, content[e].tobytes(), doc[e].tobytes(), start[e].astype(np.int32).tobytes(), size[e].astype(np.int32).tobytes()))
-        for k in range(0, len(rows), 64):
-            part = rows[k : k + 64]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], names=["bucket", "hashes", "docs", "starts", "sizes"])
+        cols = [c[by] for c in cols]
+        full = [k for k in range(1 << bits) if cut[k + 1] > cut[k]]
+        for lo in range(0, len(full), 64):
+            part = full[lo : lo + 64]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *(pa.array([c[cut[k] : cut[k + 1]].tobytes() for k in part], pa.binary()) for c in cols)], names=["bucket", *kinds])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         total = 0
         for b in batches:
-            keys = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            for text, start, size, content in pieces(b.column("text").to_pylist()):
-                held.append((keys[text], start, size, content))
-                total += len(text)
-            if total >= CHUNK_PIECES:
-                yield from flush(held)
-                held, total = [], 0
+            for cols in entries(b):
+                held.append(cols)
+                total += len(cols[0])
+                if total >= CHUNK_ROWS:
+                    yield from flush(held)
+                    held, total = [], 0
         if total:
             yield from flush(held)
 
-    def decide(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols: dict[str, list[np.ndarray]] = {c: [] for c in ("hashes", "docs", "starts", "sizes")}
-        kinds = {"hashes": np.uint64, "docs": np.int64, "starts": np.int32, "sizes": np.int32}
-        for b in batches:
-            for c, out in cols.items():
-                out += [np.frombuffer(raw, dtype=kinds[c]) for raw in b.column(c).to_pylist()]
-        content, doc, start, size = (np.concatenate(c) for c in cols.values())
-        order = np.argsort(content, kind="stable")
-        new = np.concatenate([[True], content[order][1:] != content[order][:-1]])
-        order = order[~(new & np.append(new[1:], True))]
-        if not len(order):
-            return
-        order = order[np.lexsort((start[order], doc[order], content[order]))]
-        new = np.concatenate([[True], content[order][1:] != content[order][:-1]])
-        head = order[np.flatnonzero(new)][np.cumsum(new) - 1]
-        again = order[~new]
-        for lo in range(0, len(again), 100_000):
-            e, h = again[lo : lo + 100_000], head[~new][lo : lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(doc[e]), pa.array(start[e]), pa.array(size[e]), pa.array(doc[h])], names=["doc_id", "start", "words", "kept_doc_id"])
-
-    return docs.mapInArrow(send, _SENT).groupBy("bucket").applyInArrow(decide, "doc_id long, start int, words int, kept_doc_id long")
+    return df.mapInArrow(send, "bucket int, " + ", ".join(f"{c} binary" for c in kinds))
+
+
+def _read(batches: Iterator[pa.RecordBatch], kinds: dict[str, type]) -> list[np.ndarray]:
+    """The columns of a bucket, without the entries whose hash occurs once."""
+    parts: dict[str, list[np.ndarray]] = {c: [] for c in kinds}
+    for b in batches:
+        for c, out in parts.items():
+            out += [np.frombuffer(raw, dtype=kinds[c]) for raw in b.column(c).to_pylist()]
+    cols = [np.concatenate(c) for c in parts.values()]
+    order = np.argsort(cols[0], kind="stable")
+    new = _changes(cols[0][order])
+    order = order[~(new & np.append(new[1:], True))]
+    return [c[order] for c in cols]
+
+
+def _changes(*cols: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before it in any of the columns."""
+    out = np.ones(len(cols[0]), dtype=bool)
+    if len(out):
+        out[1:] = np.any([c[1:] != c[:-1] for c in cols], axis=0)
+    return out
+
+
+_RUNS = {"anchors": np.uint64, "contents": np.uint64, "docs": np.int64, "starts": np.int32, "counts": np.uint8}
+_WINDOWS = {"hashes": np.uint64, "docs": np.int64, "starts": np.int32}
+_FOUND = "doc_id long, start int, count int, kept_doc_id long, kept_start int"
+
+
+def _rows(names: list[str], *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for lo in range(0, len(cols[0]), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 100_000]) for c in cols], names=names)
+
+
+def repeated_windows(texts: DataFrame, bits: int) -> DataFrame:
+    """doc_id, start, count, kept_doc_id, kept_start: windows of LEAST_WORDS words that begin at the words start to
+    start + count - 1 and first stand at kept_start onward in kept_doc_id, an earlier place by (doc_id, start).
+
+    Equal windows meet at their anchor. Runs at an anchor all of whose runs are equal are settled as a whole; those of
+    the other anchors are read again and decided window by window.
+    """
+
+    def runs(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+        keys = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        for text, start, count, anchor, content in anchored_runs(b.column("text").to_pylist()):
+            yield anchor, content, keys[text], start, count
+
+    def decide_runs(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchor, content, doc, start, count = _read(batches, _RUNS)
+        order = np.lexsort((start, doc, content, anchor))
+        anchor, content, doc, start, count = (c[order] for c in (anchor, content, doc, start, count))
+        new = _changes(anchor)
+        group = np.cumsum(new) - 1
+        head = np.flatnonzero(new)[group]
+        alike = np.bincount(group, _changes(anchor, content))[group] == 1 if len(group) else new
+        keep = np.flatnonzero(~alike | ~new)
+        yield from _rows([*_FOUND.replace(",", "").split()[::2], "open"], doc[keep], start[keep], count[keep].astype(np.int32), doc[head[keep]], start[head[keep]], ~alike[keep])
+
+    def windows(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+        keys = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        starts, counts = b.column("starts").to_pylist(), b.column("counts").to_pylist()
+        for first, run in buffers(b.column("text").to_pylist()):
+            words, doc, _ = word_hashes(run)
+            home = np.searchsorted(doc, np.arange(len(run)))
+            sizes = [len(starts[first + k]) for k in range(len(run))]
+            text = np.repeat(np.arange(len(run)), sizes)
+            begin = np.concatenate([np.array(starts[first + k], dtype=np.int64) for k in range(len(run))])
+            count = np.concatenate([np.array(counts[first + k], dtype=np.int64) for k in range(len(run))])
+            start = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
+            text = np.repeat(text, count)
+            at = start + home[text]
+            yield _stretch(_prefixes(words), at, at + LEAST_WORDS), keys[first + text], start
+
+    def decide_windows(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        content, doc, start = _read(batches, _WINDOWS)
+        order = np.lexsort((start, doc, content))
+        content, doc, start = content[order], doc[order], start[order]
+        new = _changes(content)
+        head = np.flatnonzero(new)[np.cumsum(new) - 1][~new]
+        yield from _rows(_FOUND.replace(",", "").split()[::2], doc[~new], start[~new], np.ones(len(head), np.int32), doc[head], start[head])
+
+    met = materialise(_send(texts, runs, _RUNS, bits).groupBy("bucket").applyInArrow(decide_runs, _FOUND + ", open boolean"), "runs")
+    places = met.filter("open").groupBy("doc_id").agg(F.collect_list(F.struct("start", "count")).alias("at"))
+    again = texts.join(places, "doc_id").select("doc_id", "text", F.col("at.start").alias("starts"), F.col("at.count").alias("counts"))
+    single = _send(again, windows, _WINDOWS, bits).groupBy("bucket").applyInArrow(decide_windows, _FOUND)
+    return met.filter("not open").drop("open").unionByName(single)
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, kind, start, words, cluster, kept_doc_id, removed) of what repeats across or within documents.
 
     kind paragraph: lines of LEAST_WORDS words or more whose sets of 5-word shingles are joined by similarity >= 0.8;
-    cluster is their component, its first line (by doc_id, start) stays and the others are removed. kind passage:
-    stretches of adjoining pieces, LEAST_WORDS words or more together, that stood before word for word, whatever
-    lines they are in; kept_doc_id is the document of the first one. start and words count words of the text. A null
+    cluster is their component, its first line (by doc_id, start) stays and the others are removed. kind passage: a
+    stretch of LEAST_WORDS words or more that stands word for word, as a whole, at an earlier place (by doc_id, start),
+    whatever lines it is in. Every word of a repeated stretch of that length is in one. The earlier place is where each
+    window of LEAST_WORDS words first stands; where that changes a new passage begins, so passages of a text may
+    overlap; kept_doc_id is the document of that place. start and words count words of the text. A null
     or empty text has no rows; documents without repeats have none. Needs unique, non-null doc_id.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -219,12 +287,16 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         "doc_id", F.lit("paragraph").alias("kind"), "start", "words", "cluster", F.col("head.doc_id").alias("kept_doc_id"), (F.struct("doc_id", "start") != F.col("head")).alias("removed")
     )
     size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    found = repeated_pieces(texts, max(LEAST_BUCKET_BITS, (size // (50 * BUCKET_PIECES)).bit_length()))
+    found = repeated_windows(texts, max(LEAST_BUCKET_BITS, (size // (40 * BUCKET_ROWS)).bit_length()))
     own = W.partitionBy("doc_id").orderBy("start")
-    joined = found.withColumn("new", (F.col("start") != F.coalesce(F.lag(F.col("start") + F.col("words")).over(own), F.lit(-1))).cast("int"))
-    joined = joined.withColumn("stretch", F.sum("new").over(own))
-    passages = joined.groupBy("doc_id", "stretch").agg(F.min("start").alias("start"), F.sum("words").cast("int").alias("words"), F.min_by("kept_doc_id", "start").alias("kept_doc_id"))
-    passages = passages.filter(F.col("words") >= LEAST_WORDS).select(
+    follows = (
+        (F.col("start") == F.lag(F.col("start") + F.col("count")).over(own))
+        & (F.col("kept_doc_id") == F.lag("kept_doc_id").over(own))
+        & (F.col("start") - F.col("kept_start") == F.lag(F.col("start") - F.col("kept_start")).over(own))
+    )
+    joined = found.withColumn("new", (~F.coalesce(follows, F.lit(False))).cast("int")).withColumn("stretch", F.sum("new").over(own))
+    passages = joined.groupBy("doc_id", "stretch").agg(F.min("start").alias("start"), (F.sum("count") + LEAST_WORDS - 1).cast("int").alias("words"), F.first("kept_doc_id").alias("kept_doc_id"))
+    passages = passages.select(
         "doc_id", F.lit("passage").alias("kind"), "start", "words", F.xxhash64("kept_doc_id", F.lit("passage")).alias("cluster"), "kept_doc_id", F.lit(True).alias("removed")
     )
     return paragraphs.unionByName(passages)

@@ -343,6 +343,14 @@ def test_passages(docs, empty):
     assert passage_dedup.repeated_passages(empty).count() == 0
 
 
+def test_passages_stood_before_as_a_whole(spark):
+    """A chain of phrases, each two of which stood side by side before, 18 words together, holds no passage of 20."""
+    chain = [[f"w{k}x{i}" for i in range(9)] for k in range(100)]
+    texts = [[f"a{k}", *chain[k], *chain[k + 1], f"z{k}"] for k in range(99)] + [[w for phrase in chain for w in phrase]]
+    rows = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    assert passage_dedup.repeated_passages(rows).filter("kind = 'passage'").count() == 0
+
+
 def test_similar_paragraphs_join(spark):
     rng = random.Random(6)
     base = [f"{w}{k}" for k, w in enumerate(words(rng, 120))]
