@@ -351,6 +351,38 @@ def test_passages_stood_before_as_a_whole(spark):
     assert passage_dedup.repeated_passages(rows).filter("kind = 'passage'").count() == 0
 
 
+def windows_seen(texts):
+    """By document, the words in any 20-word window that stood before, by brute force."""
+    seen, out = set(), {}
+    for key, text in texts:
+        w = [x.lower() for x in RAW.findall(text.encode())]
+        out[key] = set()
+        for i in range(len(w) - 19):
+            if tuple(w[i : i + 20]) in seen:
+                out[key] |= set(range(i, i + 20))
+            seen.add(tuple(w[i : i + 20]))
+    return out
+
+
+def test_passages_have_exact_edges(spark, docs):
+    """Passages of 20 to 50 words, lines wrapped at will, and the fixture, against brute force."""
+    rng = random.Random(12)
+    texts = [(k, " ".join(words(rng, 300))) for k in range(20)]
+    for n in range(20, 51):
+        w = texts[rng.randrange(20)][1].split()
+        at = rng.randrange(300 - n)
+        inside = " ".join(w[at : at + n]).replace(" ", "\n", rng.randrange(4))
+        texts.append((100 + n, " ".join([*words(rng, rng.randrange(30)), inside, *words(rng, rng.randrange(30))])))
+    for rows, df in ((texts, spark.createDataFrame(texts, "doc_id long, text string").repartition(5)), (text_rows(docs), docs)):
+        flat = {k: [x.lower() for x in RAW.findall(t.encode())] for k, t in rows}
+        joined = {k: b" " + b" ".join(w) + b" " for k, w in flat.items()}
+        got = collections.defaultdict(set)
+        for r in passage_dedup.repeated_passages(df).filter("kind = 'passage'").collect():
+            got[r.doc_id] |= set(range(r.start, r.start + r.words))
+            assert r.words >= 20 and b" " + b" ".join(flat[r.doc_id][r.start : r.start + r.words]) + b" " in joined[r.kept_doc_id]
+        assert {k: v for k, v in got.items() if v} == {k: v for k, v in windows_seen(rows).items() if v}
+
+
 def test_similar_paragraphs_join(spark):
     rng = random.Random(6)
     base = [f"{w}{k}" for k, w in enumerate(words(rng, 120))]
