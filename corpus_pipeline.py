@@ -9,7 +9,7 @@ from juncture.llm.common import materialise, read_documents, small_batches
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected go: texts without a letter, and those less predictable than any calibration text by a margin."""
+    """Rejected go: texts without a letter, and those less predictable than their language's calibration texts by a margin."""
     small_batches(spark)
     return language_id.keep_accepted(docs)
 

@@ -16,9 +16,10 @@ from .common import mix64
 
 #: Order of the models; rows a language gives to training and to calibration at most (bounded samples by key hash).
 ORDER, TRAIN_ROWS, CALIBRATION_ROWS = 4, 600, 150
-#: Characters scored at once, slots of the lookup cache, sharpness of the score, and slack of the rejection limit in
-#: nats above the calibration rows' highest cross-entropy.
+#: Characters scored at once, slots of the lookup cache, sharpness of the score, and slack of a language's rejection
+#: limit in nats above the QUANTILE of its calibration rows' cross-entropies; SHORT / sqrt(characters) comes on top.
 PIECE, SLOTS, SHARPNESS, SLACK = 1 << 20, 1 << 19, 5.0, 0.5
+QUANTILE, SHORT = 0.9, 5.0
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = re.compile(r"[\W\d_]+")
 
@@ -96,11 +97,11 @@ def fit(counts: dict[int, np.ndarray], vocabulary: int) -> CharacterModel:
 
 @dataclass
 class LanguageModels:
-    """The models by language, and the calibrated limit of the cross-entropy."""
+    """The models by language, and the calibrated limits of the cross-entropy of long texts, by language."""
 
     names: list[str]
     models: list[CharacterModel]
-    limit: float = float("inf")
+    limits: dict[str, float] = field(default_factory=dict)
     _keys: np.ndarray | None = field(default=None, repr=False)
     _logs: np.ndarray | None = field(default=None, repr=False)
 
@@ -141,7 +142,7 @@ class LanguageModels:
             return "und", 0.0, None, False
         ce = self.cross_entropies(body)
         best = int(np.argmin(ce))
-        return self.names[best], float(1 / np.exp(-SHARPNESS * (ce - ce[best])).sum()), float(ce[best]), bool(ce[best] <= self.limit)
+        return self.names[best], float(1 / np.exp(-SHARPNESS * (ce - ce[best])).sum()), float(ce[best]), bool(ce[best] <= self.limits.get(self.names[best], float("inf")) + SHORT / len(body) ** 0.5)
 
 
 def _sample(labelled: DataFrame, rows: int, salt: str) -> DataFrame:
@@ -177,11 +178,28 @@ def _count_grams(texts: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "n", "gram", "context", "suffix").agg(F.sum("c").alias("c"))
 
 
+def _limits(held: DataFrame, models: LanguageModels) -> dict[str, float]:
+    """QUANTILE of the cross-entropies plus SLACK, by language, over the rows predicted as labelled."""
+    shared = held.sparkSession.sparkContext.broadcast(models)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for b in batches:
+            got = [own.predict(t) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array([g[0] for g in got], pa.string()), pa.array([g[2] for g in got], pa.float64())], names=["lang", "lang_pred", "ce"])
+
+    rows = held.select("lang", F.col("text").cast("string").alias("text")).mapInArrow(run, "lang string, lang_pred string, ce double").filter("lang = lang_pred")
+    found = {k: float(np.quantile(ce, QUANTILE, method="lower")) + SLACK for k, ce in rows.toPandas().groupby("lang")["ce"]}
+    return {name: found.get(name, max(found.values())) for name in models.names} if found else {}
+
+
 def train(labelled: DataFrame, calibration: Column, train_rows: int = TRAIN_ROWS, calibration_rows: int = CALIBRATION_ROWS) -> LanguageModels:
     """Fit models on a bounded sample of labelled rows (doc_id, text, lang); `calibration` marks rows for the limit.
 
-    At most train_rows rows of each language are counted and calibration_rows rows set the limit of the cross-entropy
-    above which a text is rejected: their highest value plus SLACK. Rows with a null text or language teach nothing.
+    At most train_rows rows of each language are counted and calibration_rows rows set its limit of the cross-entropy:
+    the QUANTILE of those that are predicted as labelled, rounded down to a row, plus SLACK, so that odd rows do not
+    lift it. A text is rejected above its language's limit plus SHORT / sqrt(characters). A language without such rows
+    has the highest limit of the others. Rows with a null text or language teach nothing.
     """
     usable = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     grams = _count_grams(_sample(usable.filter(~calibration), train_rows, "train")).toPandas()
@@ -200,9 +218,7 @@ def train(labelled: DataFrame, calibration: Column, train_rows: int = TRAIN_ROWS
             tables[n] = np.sort(rows, order="gram")
         models.append(fit(tables, seen))
     out = LanguageModels(names, models)
-    held = identify(_sample(usable.filter(calibration), calibration_rows, "calibrate"), out)
-    worst = held.agg(F.max("cross_entropy")).first()[0]
-    out.limit = float("inf") if worst is None else worst + SLACK
+    out.limits = _limits(_sample(usable.filter(calibration), calibration_rows, "calibrate"), out)
     return out
 
 

@@ -272,6 +272,16 @@ def test_language_id(spark, empty):
     assert nothing.lang_pred == "und"
 
 
+def test_odd_calibration_row_lifts_no_limit(spark):
+    rng = random.Random(4)
+    letters = {"xx": "abcdefgh ", "yy": "hijklmno "}
+    rows = [(k, "".join(rng.choice(letters[lang]) for _ in range(rng.choice([12, 40, 300]))), lang) for k in range(400) for lang in [rng.choice(list(letters))]]
+    junk = [k for k in range(1000, 1100) if zlib.crc32(str(k).encode()) % 5 == 1][:2]
+    rows += [(k, "qwrtzuip" * 40, "xx") for k in junk] + [(2000, "vwxyzqrst" * 40, None)]
+    kept = {r.doc_id for r in language_id.keep_accepted(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert kept == set(range(400))
+
+
 def test_kneser_ney_sums_to_one(spark):
     df = spark.createDataFrame([(k, "abab abba baab " * 5, "q") for k in range(20)], "doc_id long, text string, lang string")
     models = language_id.train(df, F.col("doc_id") == 3)
