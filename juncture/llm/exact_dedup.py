@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, text_or_empty
@@ -87,6 +87,10 @@ def maybe_repeated(hashes: DataFrame, key: str, twice: bytes, flag: str) -> Data
     return hashes.mapInArrow(run, f"{fields}, `{flag}` boolean")
 
 
+def _normal_sha256() -> Column:
+    return F.sha2(F.regexp_replace(text_or_empty(), r"[\x20\x09-\x0D]+", " ").cast("binary"), 256)
+
+
 def exact_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -95,8 +99,7 @@ def exact_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     rows flagged by the second Bloom pass are grouped; the others are known to be alone and pass straight through.
     A filter at its size limit flags more rows; the result is the same. Empty table: empty result.
     """
-    normal = F.regexp_replace(text_or_empty(), r"[\x20\x09-\x0D]+", " ")
-    hashes = materialise(docs.select("doc_id", F.unhex(F.sha2(normal.cast("binary"), 256)).alias("digest")), "hashes")
+    hashes = materialise(docs.select("doc_id", F.unhex(_normal_sha256()).alias("digest")), "hashes")
     twice = repeated_filter(hashes, "digest", filter_bits(hashes.count(), max_bits))
     flagged = maybe_repeated(hashes, "digest", twice, "again")
     sha = F.lower(F.hex("digest")).alias("text_sha256")
@@ -125,5 +128,19 @@ def without_ids(docs: DataFrame, gone: DataFrame, max_bits: int = MAX_BITS) -> D
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs that exact_duplicates keeps, with their columns; needs unique doc_id."""
-    return without_ids(docs, exact_duplicates(docs).filter(~F.col("kept")))
+    """The rows of docs that exact_duplicates keeps, with their columns.
+
+    Rows are known by doc_id and digest together: ids may repeat, with the same text (one row stays) or another one,
+    and may be null. Rows that a Bloom filter of the groups with copies rules out stay where they are.
+    """
+
+    def keyed(df: DataFrame, sha: Column) -> DataFrame:
+        return df.withColumn("_digest", F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), sha).cast("binary"))))
+
+    marks = keyed(exact_duplicates(docs).filter("group_size > 1"), F.col("text_sha256")).groupBy("_digest").agg(F.max("kept").alias("_kept"), F.min("kept").alias("_whole"))
+    marks = materialise(marks.filter("not _whole").select("_digest", "_kept"), "marks")
+    seen = repeated_filter(marks, "_digest", filter_bits(marks.count()), least=1)
+    flagged = maybe_repeated(keyed(docs, _normal_sha256()), "_digest", seen, "_maybe")
+    near = flagged.filter("_maybe").join(marks, "_digest", "left")
+    once = near.filter("_kept").dropDuplicates(["_digest"])
+    return flagged.filter("not _maybe").select(docs.columns).unionByName(near.filter("_kept is null").select(docs.columns)).unionByName(once.select(docs.columns))

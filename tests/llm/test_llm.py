@@ -322,6 +322,12 @@ def test_repeated_rows_keep_one(spark):
     assert got == [(False, 1, 1, 4, False), (False, 1, 1, 4, True), (False, 2, 1, 4, False)]
 
 
+def test_stage_keeps_a_row_of_repeated_and_null_ids(spark):
+    rows = [(1, "a b"), (1, "a  b"), (1, "other"), (2, "a b"), (3, "c"), (3, "c"), (4, "d"), (None, "e"), (None, "e"), (None, "a b"), (5, None), (6, "")]
+    got = exact_dedup.drop_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert collections.Counter((r.doc_id, " ".join((r.text or "").split())) for r in got) == collections.Counter([(1, "a b"), (1, "other"), (3, "c"), (4, "d"), (None, "e"), (5, "")])
+
+
 def test_saturated_filter_changes_nothing(spark):
     rows = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 2000).cast("string").alias("text"))
     hashes = rows.select(F.unhex(F.sha2("text", 256)).alias("digest"))
