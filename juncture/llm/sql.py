@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .secrets import ACCESS, ALLOWED, ASSIGN, ASSIGN_CHARS, CANDIDATE, GAIN, HEX, HEX_BITS, WIDE_BITS, WINDOW, gain_limit
+from .secrets import ACCESS, ALLOWED, ASSIGN, ASSIGN_CHARS, CANDIDATE, CLASSES, GAIN, HEX, WINDOW, WORDS, gain_limit
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -49,14 +49,15 @@ def _matches(name: str, source: str, pattern: str, keep: str = "true", group: in
 
 
 def secrets() -> str:
-    allowed = " or ".join(f"regexp_matches(s, {_quoted(p)})" for p in ALLOWED)
+    allowed = " or ".join(f"regexp_matches(s, {_quoted(p)})" for p in [*ALLOWED, f"^[/_=-]*({WORDS})([/_=-]+({WORDS}))*[/_=-]*$"])
+    limit = "case " + " ".join(f"when regexp_matches(s, {_quoted(p)}) then {gain_limit(bits)}" for _, p, bits in CLASSES) + " end"
     gains = "[" + ", ".join(map(str, GAIN)) + "]"
     return f"""
     with d as (select doc_id, coalesce(text, '') t from documents),
     {_matches("ma", "d", ASSIGN, f"length(v[i + 1]) >= {ASSIGN_CHARS}", 2)}, {_matches("mb", "d", ACCESS)}, {_matches("mc", "d", HEX)}, {_matches("me", "d", CANDIDATE)},
     w as (select doc_id, s, a, i, list_filter(string_split(s[i + 1 : i + {WINDOW}], ''), lambda x: x <> '') l from me, unnest(range(length(s) - {WINDOW - 1})) u(i) where not ({allowed})),
     e as (select doc_id, a, s, i, list_sum(list_transform(list_distinct(l), lambda c: {gains}[len(list_filter(l, lambda x: x = c)) + 1])) q from w),
-    h as (select doc_id, a + min(i) a, a + max(i) + {WINDOW} b from e where q <= case when regexp_matches(s, '^[0-9a-fA-F]+$') then {gain_limit(HEX_BITS)} else {gain_limit(WIDE_BITS)} end group by doc_id, a, s),
+    h as (select doc_id, a + min(i) a, a + max(i) + {WINDOW} b from e where q <= {limit} group by doc_id, a, s),
     p as (select doc_id, a, 1 o, 'assign' k, a + length(s) b from ma union all select doc_id, a, 2, 'access', a + length(s) from mb union all select doc_id, a, 3, 'hex', a + length(s) from mc union all select doc_id, a, 4, 'entropy', b from h)
     select d.doc_id, count(p.a) filter (o = 1) n_assign, count(p.a) filter (o = 2) n_access, count(p.a) filter (o = 3) n_hex, count(p.a) filter (o = 4) n_entropy,
            sha256(coalesce(string_agg(k || ':' || p.a || ':' || b, ',' order by p.a, o, b) filter (o < 4), '')) base_sha256, coalesce(string_agg(k || ':' || p.a || ':' || b, ',' order by p.a, o, b), '') spans

@@ -168,6 +168,7 @@ KEY = 'AKIA' + "ABCDEFGH12345678"
 SECRETS = [
     None, "", "nothing here", f"x {KEY} y {KEY[:19]} z", "Password = 'abc123' token:abc secret:token:abcdefgh", "api_key=\"A1b2C3d4\" APIKEY : zzzzzz passwd==abcdef", "deadbeef" * 3 + " " + "deadbeef" * 2,
     "\U0001f600é token=abcdef1 " * 3, "q9Xv2LmN8pRt4WzK7yBc3JdF " + "abcdefghijklmnopqrstuvwxyz" + " 8f14e45f-ceea-467f-9575-5f1e3c2a1b0d", "token=" + "a" * 5000, "A1b2" * 40, "3f9a" * 12 + "1c7e2b9d04f6a8c5",
+    "src/main/module_12/Readme/2024/part-7a/x", "QX7ZK2M9R4TP0VWA5JHN", "q7zk2m9r4tp0vwa5jhnb", "user_profile_settings_page_2_of_12/and-more", "=" * 50 + "1a+", " ".join(f"token=v{k:06d}" for k in range(300)),
 ]
 
 
@@ -180,9 +181,10 @@ def brute_secrets(text):
     spans += [(m.start(), 3, "hex", m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
     base = list(spans)
     for m in re.finditer(secrets.CANDIDATE, text):
-        if any(re.search(p, m[0]) for p in secrets.ALLOWED):
+        plain = f"[/_=-]*({secrets.WORDS})([/_=-]+({secrets.WORDS}))*[/_=-]*"
+        if any(re.search(p, m[0]) for p in secrets.ALLOWED) or re.fullmatch(plain, m[0]):
             continue
-        limit = secrets.gain_limit(secrets.HEX_BITS if re.fullmatch("[0-9a-fA-F]+", m[0]) else secrets.WIDE_BITS)
+        limit = secrets.gain_limit(next(bits for _, p, bits in secrets.CLASSES if re.search(p, m[0])))
         hits = [i for i in range(len(m[0]) - secrets.WINDOW + 1) if sum(secrets.GAIN[c] for c in collections.Counter(m[0][i : i + secrets.WINDOW]).values()) <= limit]
         if hits:
             spans.append((m.start() + hits[0], 4, "entropy", m.start() + hits[-1] + secrets.WINDOW))
@@ -200,6 +202,14 @@ def test_secrets(spark, docs, empty):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_secrets_of_long_texts(spark):
+    """A candidate of 200,000 characters, 20,000 matches and runs that tempt a regular expression to go back."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("QX7ZK2M9R4TP0VWA5JHNabcdefghij/") for _ in range(200_000)), " ".join(f"token=v{k:06d}" for k in range(20_000)), "/".join(["ab", "CD", "Efg", "123"] * 20_000), "-" * 100_000 + "1a+", "token" + " " * 100_000 + "x"]
+    for r in secrets.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        assert ((r.n_assign, r.n_access, r.n_hex, r.n_entropy), r.base_sha256, r.spans) == brute_secrets(texts[r.doc_id])
+
+
 def test_mixing(spark, docs, empty):
     rng = random.Random(8)
     rows = [(k, " ".join(["w"] * rng.choice([0, 1, 5, 40, 300])), rng.choice(["a", "b", "c", "d", None])) for k in range(3000)] + [(9000, None, "e"), (9001, "w w w", "f")]
