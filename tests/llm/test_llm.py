@@ -428,13 +428,11 @@ def test_suffix_array():
         assert suffix_dedup.suffix_array(s).tolist() == sorted(range(len(s)), key=lambda i: s[i:].tolist())
 
 
-@pytest.mark.parametrize("hot", [4000, 0])
-def test_repeated_bytes(docs, empty, hot):
-    """Also with every anchor treated as a hot one."""
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(docs, hot).collect()}
-    seen = set()
-    for key, text in text_rows(docs):
-        raw = text.encode()
+def brute_removed(rows):
+    """Of (doc_id, text) rows in order, what their repeated strings of 100 bytes leave."""
+    out, seen = [], set()
+    for _, text in rows:
+        raw = (text or "").encode()
         mark = bytearray(len(raw))
         for i in range(len(raw) - 99):
             if raw[i : i + 100] in seen:
@@ -442,10 +440,35 @@ def test_repeated_bytes(docs, empty, hot):
             seen.add(raw[i : i + 100])
         kept = bytes(c for c, m in zip(raw, mark, strict=True) if not m)
         spans = sum(m and (i == 0 or not mark[i - 1]) for i, m in enumerate(mark))
-        assert got[key] == (len(raw), sum(mark), spans, hashlib.sha256(kept).hexdigest())
+        out.append((len(raw), sum(mark), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def removed_rows(df, *args):
+    rows = suffix_dedup.remove_repeats(df, *args).collect()
+    return sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows)
+
+
+@pytest.mark.parametrize(("hot", "many"), [(4000, 16), (0, 16), (4000, 1)])
+def test_repeated_bytes(docs, empty, hot, many, monkeypatch):
+    """Also with every anchor treated as a hot one, and with anchors of two runs in a chunk compared unasked."""
+    monkeypatch.setattr(suffix_dedup, "MANY_RUNS", many)
+    rows = text_rows(docs)
+    assert removed_rows(docs, hot) == [(False, k, *r) for (k, _), r in zip(rows, brute_removed(rows), strict=True)]
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_repeated_bytes_of_repeated_and_null_ids(spark):
+    """Rows of one id in the order of their texts, those without id last; one 32-byte string in every document."""
+    rng = random.Random(9)
+    common_part = "".join(rng.choice("abcdefgh") for _ in range(32))
+    rows = [(k, " ".join(words(rng, 40)) + common_part + " ".join(words(rng, 40))) for k in range(60)]
+    rows += [rows[3], rows[3], (7, rows[8][1] + " tail"), (None, rows[5][1]), (None, rows[5][1]), (None, None), (61, common_part * 9)]
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    want = sorted((k is None, k or 0, *r) for (k, _), r in zip(order, brute_removed(order), strict=True))
+    assert removed_rows(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == want
+
+
 def test_sharding(spark, docs, empty):
     got = sharding.shard_documents(docs).collect()
     for r in got:
