@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +17,9 @@ from .exact_dedup import without_ids
 from .shingles import shingle_sets
 
 #: Shingles that a map task sends at once, documents a chunk may hold, and bits of a token below its bucket.
-CHUNK_TOKENS, CHUNK_DOCS, LOW_BITS = 1 << 21, 60_000, 40
+CHUNK_TOKENS, CHUNK_DOCS, LOW_BITS = 1 << 20, 60_000, 40
 #: Bits of the bucket number; a bucket has about its share of all shingles. More for larger inputs (see bucket_bits).
-LEAST_BUCKET_BITS, BUCKET_TOKENS = 9, 2_000_000
+LEAST_BUCKET_BITS, BUCKET_TOKENS = 9, 1_000_000
 #: Bits of the parity map of a set in the suffix filter, as longs.
 MARK_LONGS = 4
 _MANY = np.uint16(0xFFFF)
@@ -84,25 +85,32 @@ def _send(docs: DataFrame, n: int, bits: int) -> DataFrame:
     def flush(chunk: int, classes: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(s) for s in sets], dtype=np.int32)
         tokens = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets), dtype=np.uint16), sizes)
+        sets.clear()
         order = np.argsort(tokens, kind="stable")
-        tokens, owner = tokens[order], owner[order]
+        tokens = tokens[order]
+        owner = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)[order]
+        del order
         first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-        count = np.diff(np.append(first, len(tokens)))
+        count = np.diff(np.append(first, len(tokens))).astype(np.int32)
         uniq, single = tokens[first], count == 1
         of = np.where(single, owner[first], _MANY)
         shared = np.repeat(~single, count)
-        yield _parcels([(int(mix64(np.array([chunk], np.uint64))[0] & np.uint64((1 << bits) - 1)), chunk, 1, np.array(classes, dtype=np.int64).tobytes(), sizes.tobytes(), uniq[~single].tobytes(), count[~single].astype(np.int32).tobytes(), owner[shared].tobytes())])
-        bucket = (uniq >> np.uint64(LOW_BITS)).astype(np.int64)
-        by = np.lexsort((of, bucket))
-        uniq, of, count, bucket = uniq[by], of[by], count[by], bucket[by]
-        cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        yield _parcels([(int(mix64(np.array([chunk], np.uint64))[0] & np.uint64((1 << bits) - 1)), chunk, 1, np.array(classes, dtype=np.int64).tobytes(), sizes.tobytes(), uniq[~single].tobytes(), count[~single].tobytes(), owner[shared].tobytes())])
+        del tokens, owner, shared, first
+        # Tokens are in order, so those of a bucket lie together.
+        cut = np.searchsorted(uniq, np.arange(1 << bits, dtype=np.uint64) << np.uint64(LOW_BITS)).tolist() + [len(uniq)]
         rows = []
-        for lo, hi in zip(cut, np.append(cut[1:], len(uniq)), strict=True):
-            many = count[lo:hi][of[lo:hi] == _MANY]
-            rows.append((int(bucket[lo]), chunk, 0, _five(uniq[lo:hi]), of[lo:hi].tobytes(), many.astype(np.uint32).tobytes(), b"", b""))
-        for k in range(0, len(rows), 256):
-            yield _parcels(rows[k : k + 256])
+        for b, (lo, hi) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
+            if hi > lo:
+                # By document, so that their numbers compress.
+                by = lo + np.argsort(of[lo:hi], kind="stable")
+                many = count[by][of[by] == _MANY]
+                rows.append((b, chunk, 0, _five(uniq[by]), of[by].tobytes(), many.astype(np.uint32).tobytes(), b"", b""))
+            if len(rows) == 256:
+                yield _parcels(rows)
+                rows = []
+        if rows:
+            yield _parcels(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, turn, total = TaskContext.get().partitionId(), 0, 0
@@ -132,11 +140,12 @@ def _count(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     high = np.uint64(key[0].as_py()) << np.uint64(LOW_BITS)
     sent = []
     for b in batches:
-        for row in b.to_pylist():
-            if row["kind"] == 1:
-                yield _parcels([tuple(row.values())])
-            else:
-                sent.append((row["chunk"], _from_five(row["a"]), np.frombuffer(row["b"], dtype=np.uint16), np.frombuffer(row["c"], dtype=np.uint32)))
+        own = pc.equal(b.column("kind"), 1)
+        if pc.any(own).as_py():
+            yield b.filter(own)
+        chunks, a, of, many = (b.column(c) for c in ("chunk", "a", "b", "c"))
+        for k in np.flatnonzero(~np.asarray(own)).tolist():
+            sent.append((chunks[k].as_py(), _from_five(a[k].as_buffer()), np.frombuffer(of[k].as_buffer(), dtype=np.uint16), np.frombuffer(many[k].as_buffer(), dtype=np.uint32)))
     if not sent:
         return
     weights = []
@@ -173,24 +182,22 @@ def _assemble(num: int, den: int) -> Callable[[tuple, pa.Table], pa.Table]:
     """A chunk's classes: repeated tokens and the prefix part that others may share, for classes that have one."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        head = next(r for r in rows if r["kind"] == 1)
-        classes, sizes = np.frombuffer(head["a"], dtype=np.int64), np.frombuffer(head["b"], dtype=np.int32)
+        kind = np.asarray(table.column("kind"))
+        at = {c: table.column(c) for c in "abcde"}
+        head = int(np.flatnonzero(kind == 1)[0])
+        classes, sizes, inner, width, inside = (np.frombuffer(at[c][head].as_buffer(), dtype=d) for c, d in zip("abcde", (np.int64, np.int32, np.uint64, np.int32, np.uint16), strict=True))
         tokens, owners, ranks = [], [], []
-        inner, width, inside = np.frombuffer(head["c"], dtype=np.uint64), np.frombuffer(head["d"], dtype=np.int32), np.frombuffer(head["e"], dtype=np.uint16)
         begin = np.cumsum(width) - width
-        for r in rows:
-            if r["kind"] == 1:
-                continue
-            t, of, rank = (np.frombuffer(r[c], dtype=d) for c, d in (("a", np.uint64), ("b", np.uint16), ("c", np.uint8)))
+        for r in np.flatnonzero(kind == 0).tolist():
+            t, of, rank = (np.frombuffer(at[c][r].as_buffer(), dtype=d) for c, d in (("a", np.uint64), ("b", np.uint16), ("c", np.uint8)))
             one = of != _MANY
             tokens.append(t[one])
             owners.append(of[one])
             ranks.append(rank[one])
-            at = np.searchsorted(inner, t[~one])
-            if len(at):
-                w = width[at]
-                where = np.repeat(begin[at] - (np.cumsum(w) - w), w) + np.arange(w.sum())
+            place = np.searchsorted(inner, t[~one])
+            if len(place):
+                w = width[place]
+                where = np.repeat(begin[place] - (np.cumsum(w) - w), w) + np.arange(w.sum())
                 tokens.append(np.repeat(t[~one], w))
                 owners.append(inside[where])
                 ranks.append(np.repeat(rank[~one], w))

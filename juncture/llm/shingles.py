@@ -9,7 +9,7 @@ import numpy as np
 from .common import mix64
 
 #: Bytes hashed at once; one longer text is a buffer of its own.
-BUFFER = 1 << 21
+BUFFER = 1 << 19
 _BASE = 0x5851F42D4C957F2D
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
