@@ -52,14 +52,19 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def unique_ids(df: DataFrame, by: str = "doc_id") -> bool:
+    """Whether each row has an id of its own."""
+    ids = df.select(F.col(by).cast("long").alias("id"))
+    return ids.groupBy("id").count().filter("id is null or count > 1").isEmpty()
+
+
 def keyed(df: DataFrame, name: str, by: str = "doc_id") -> DataFrame:
     """df with a long column that differs between all rows and orders them by `by`, null ids last.
 
     Where ids are there and unique, as they should be, it is the id. Else the rows are sorted (rows of one id by their
     other columns) and numbered by partition and place, and the numbers are kept in a table.
     """
-    ids = df.select(F.col(by).cast("long").alias("id"))
-    if ids.groupBy("id").count().filter("id is null or count > 1").isEmpty():
+    if unique_ids(df, by):
         return df.withColumn(name, F.col(by).cast("long"))
     row = F.xxhash64(*[F.col(f"`{c}`").cast("string") if str(t).startswith("map") else F.col(f"`{c}`") for c, t in df.dtypes])
     order = [F.col(by).cast("long").asc_nulls_last(), *([F.col("text")] if "text" in df.columns else []), row]

@@ -409,6 +409,61 @@ def test_passages_have_exact_edges(spark, docs):
         assert {k: v for k, v in got.items() if v} == {k: v for k, v in windows_seen(rows).items() if v}
 
 
+def test_recall_of_banding_alone(spark):
+    """Of all pairs of paragraphs at similarity 0.8 or more, by brute force, the share that collides in a band."""
+    assert passage_dedup.tune_bands(0.8, 0.99, 16) == (5, 2)
+    rng, texts = random.Random(21), []
+    for _ in range(90):
+        base = [f"{w}{rng.randrange(50)}" for w in words(rng, rng.randrange(40, 120))]
+        for _ in range(6):
+            t = list(base)
+            for _ in range(rng.randrange(len(t) // 20 + 1)):
+                t[rng.randrange(len(t))] = "edited"
+            texts.append(" ".join(t))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bands = {r.doc_id: [r[b] for b in passage_dedup._BANDS] for r in passage_dedup.paragraph_rows(rows).collect()}
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+    met = sum(any(x == y for x, y in zip(bands[a], bands[b], strict=True)) for a, b in pairs)
+    assert len(pairs) > 200 and met / len(pairs) > 0.97
+
+
+def test_wrapped_paragraphs_join(spark):
+    """Edited paragraphs wrapped at 9 and at 12 words a line; a blank line ends a paragraph."""
+    rng = random.Random(31)
+    base = [f"{w}{k}" for k, w in enumerate(words(rng, 120))]
+
+    def wrapped(w, n):
+        return "\n".join(" ".join(w[i : i + n]) for i in range(0, len(w), n))
+
+    edited = [*base[:60], "edited", *base[61:]]
+    other = [f"o{k}" for k in range(40)]
+    rows = [(0, wrapped(base, 9)), (1, wrapped(other, 10) + "\n\n" + wrapped(edited, 12)), (2, wrapped(words(rng, 120), 11))]
+    got = passage_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).filter("kind = 'paragraph'").collect()
+    assert sorted((r.doc_id, r.start, r.words, r.removed, r.kept_doc_id) for r in got) == [(0, 0, 120, False, 0), (1, 40, 120, True, 0)]
+
+
+def test_passages_of_repeated_and_null_ids(spark):
+    rng = random.Random(33)
+    a, b = (" ".join(words(rng, 50)) for _ in range(2))
+    rows = spark.createDataFrame([(4, a), (4, a), (None, b), (None, b), (2, None), (5, "x " + b)], "doc_id long, text string")
+    found = passage_dedup.repeated_passages(rows).collect()
+    assert sorted((str(r.doc_id), r.removed, str(r.kept_doc_id)) for r in found if r.kind == "paragraph") == [
+        ("4", False, "4"), ("4", True, "4"), ("5", False, "5"), ("None", True, "5"), ("None", True, "5"),
+    ]
+    assert {str(r.doc_id) for r in found if r.kind == "passage"} == {"4", "None"}
+
+
+@pytest.mark.parametrize("many", [16, 1])
+def test_passages_with_busy_anchors(spark, docs, many, monkeypatch):
+    """The same words are found when anchors of more than one run in a chunk are read again unasked."""
+    monkeypatch.setattr(passage_dedup, "MANY_RUNS", many)
+    got = collections.defaultdict(set)
+    for r in passage_dedup.repeated_passages(docs).filter("kind = 'passage'").collect():
+        got[r.doc_id] |= set(range(r.start, r.start + r.words))
+    assert dict(got) == {k: v for k, v in windows_seen(text_rows(docs)).items() if v}
+
+
 def test_similar_paragraphs_join(spark):
     rng = random.Random(6)
     base = [f"{w}{k}" for k, w in enumerate(words(rng, 120))]
