@@ -19,8 +19,8 @@ from .shingles import _BASE, _INVERSE, _power
 #: Where the public tokenizers' files are; a parameter of every function that needs one.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Segmentations a text gets, characters in a lattice slice, the longest stretch without a boundary, longest piece.
-SAMPLES, SLICE, STRETCH, LONGEST = 2, 1 << 19, 60, 16
+#: Segmentations a text gets, characters in a lattice slice, characters of a stretch between rescalings of its sums.
+SAMPLES, SLICE, RESCALE = 2, 1 << 19, 32
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -33,6 +33,7 @@ class Vocabulary:
     bytes_at: int
     _table: tuple | None = field(default=None, repr=False)
     _spelled: list[str] | None = field(default=None, repr=False)
+    _flat: tuple | None = field(default=None, repr=False)
 
     @classmethod
     def load(cls, path: str = MODEL, temperature: float = 1.0) -> Vocabulary:
@@ -47,7 +48,7 @@ class Vocabulary:
         return cls(pieces, weights, first - 256)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_table": None, "_spelled": None}
+        return self.__dict__ | {"_table": None, "_spelled": None, "_flat": None}
 
     def spelled(self) -> list[str]:
         """Text of each piece: spaces for marks, and ASCII bytes as their character."""
@@ -56,33 +57,45 @@ class Vocabulary:
             self._spelled[self.bytes_at : self.bytes_at + 128] = map(chr, range(128))
         return self._spelled
 
-    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(keys, ids, known): open-addressed hashes of prefixes with the id of the piece or -1; characters known."""
+    def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(codes, start, length): the spelled pieces one after another."""
+        if self._flat is None:
+            spelled = self.spelled()
+            length = np.array([len(p) for p in spelled], dtype=np.int64)
+            self._flat = _codes("".join(spelled)), np.cumsum(length) - length, length
+        return self._flat
+
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+        """(keys, ids, single, heads, longest): open-addressed hashes of prefixes of two or more characters with the
+        id of the piece or -1; by character its piece or -1 and whether longer pieces begin with it; the longest piece.
+        """
         if self._table is None:
             ids: dict[str, int] = {}
+            single, heads = np.full(0x110000, -1, np.int32), np.zeros(0x110000, dtype=bool)
             for i in range(self.bytes_at + 256, len(self.pieces)):
                 p = self.pieces[i]
-                for k in range(1, len(p)):
+                if len(p) == 1:
+                    single[ord(p)] = i
+                    continue
+                heads[ord(p[0])] = True
+                for k in range(2, len(p)):
                     ids.setdefault(p[:k], -1)
                 ids[p] = i
-            known = np.zeros(0x110000, dtype=bool)
-            known[[ord(p) for p in ids if len(p) == 1 and ids[p] >= 0]] = True
-            size = 1 << (4 * len(ids)).bit_length()
+            size = 1 << (4 * len(ids) + 4).bit_length()
             keys, values = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
-            text = "".join(ids)
-            codes, width = _codes(text), np.array([len(p) for p in ids])
+            codes, width = _codes("".join(ids)), np.array([len(p) for p in ids], dtype=np.int64)
             begin = np.cumsum(width) - width
             for key, value in zip(_stretch_hash(codes, begin, width).tolist(), ids.values(), strict=True):
                 at = key & (size - 1)
                 while keys[at]:
                     at = (at + 1) & (size - 1)
                 keys[at], values[at] = key, value
-            self._table = keys, values, known
+            self._table = keys, values, single, heads, max([1, *map(len, ids)])
         return self._table
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(is a prefix of a piece, id of the piece or -1) of each hash."""
-        keys, values, _ = self.table()
+        keys, values, *_ = self.table()
         at = (hashes & np.uint64(len(keys) - 1)).astype(np.int64)
         found, out = np.zeros(len(at), bool), np.full(len(at), -1, np.int32)
         todo = np.arange(len(at))
@@ -135,17 +148,38 @@ def decode(vocabulary: Vocabulary, ids: np.ndarray | list[int]) -> str:
     return text[1:] if text[:1] == " " else text
 
 
+def round_trips(vocabulary: Vocabulary, texts: list[str | None], owner: list[int], ids: np.ndarray, ends: np.ndarray) -> list[bool]:
+    """Whether decoding ids[ends[k]:ends[k + 1]] gives the text owner[k] again; all are spelled out at once, but for
+    those with bytes beyond ASCII."""
+    flat, start, length = vocabulary.flat()
+    size = length[ids]
+    begin = np.append(0, np.cumsum(size))
+    spelled = flat[np.repeat(start[ids] - begin[:-1], size) + np.arange(begin[-1])]
+    raw = np.append(0, np.cumsum((ids >= vocabulary.bytes_at + 128) & (ids < vocabulary.bytes_at + 256)))
+    want = [_codes(" " + t) if t else np.zeros(0, "<u4") for t in texts]
+    out = []
+    for k, d in enumerate(owner):
+        lo, hi = int(ends[k]), int(ends[k + 1])
+        if raw[hi] > raw[lo]:
+            out.append(decode(vocabulary, ids[lo:hi]) == (texts[d] or ""))
+        else:
+            out.append(bool(np.array_equal(spelled[begin[lo] : begin[hi]], want[d])))
+    return out
+
+
 class Lattice:
     """The segmentations of several normalised texts; equal stretches between boundaries share one lattice.
 
-    A boundary is before a run of space marks, around a character that no piece has (its bytes are its only
-    segmentation), and after STRETCH characters without one. A state is a place in a distinct stretch; its options
-    are the pieces that start there, each with the probability that a segmentation drawn by weight goes on with it.
+    A boundary is before a run of space marks and around a character that no piece has (its bytes are its only
+    segmentation). A state is a distinct stretch with a number of characters left; its options are the pieces that
+    start there, each with the probability that a segmentation drawn by weight goes on with it. Stretches are ranked
+    by length, longest first, and states numbered by characters left and then by rank, so the sums from the ends run
+    over slices.
     """
 
     def __init__(self, vocabulary: Vocabulary, texts: list[str]) -> None:
         self.vocabulary = vocabulary
-        _, _, known = vocabulary.table()
+        *_, single, _, _ = vocabulary.table()
         codes = self.codes = _codes("".join(texts))
         size = np.array([len(t) for t in texts], dtype=np.int64)
         start = np.cumsum(size) - size
@@ -153,108 +187,128 @@ class Lattice:
         mark[start] = True
         mark[len(codes)] = True
         if len(codes):
-            space, strange = codes == ord(SPACE), ~known[codes]
+            space, strange = codes == ord(SPACE), single[codes] < 0
             mark[1:-1] |= (space[1:] & ~space[:-1]) | strange[1:] | strange[:-1]
         begin = np.flatnonzero(mark[:-1])
         width = np.diff(np.append(begin, len(codes)))
-        if (width > STRETCH).any():
-            for b, w in zip(begin[width > STRETCH], width[width > STRETCH], strict=True):
-                mark[b : b + w : STRETCH] = True
-            begin = np.flatnonzero(mark[:-1])
-            width = np.diff(np.append(begin, len(codes)))
         self.doc_of = np.searchsorted(start, begin, side="right") - 1 if len(begin) else begin
         # Texts of no characters share their start with the next text, so the last one starting there owns it.
         self.first_token = np.searchsorted(begin, start)
-        _, first, self.kind = np.unique(_stretch_hash(codes, begin, width), return_index=True, return_inverse=True)
-        self.width = width[first]
-        self.offset = np.cumsum(self.width) - self.width
-        self._options(begin[first])
+        _, first, kind = np.unique(_stretch_hash(codes, begin, width), return_index=True, return_inverse=True)
+        order = np.argsort(-width[first], kind="stable")
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        self.kind, self.width = rank[kind], width[first][order]
+        self._options(begin[first][order])
 
     def _options(self, begin: np.ndarray) -> None:
         """Edges of the states in order of state and length: piece id, length, probability, and sums for drawing."""
-        total = int(self.width.sum())
-        where = np.repeat(begin - self.offset, self.width) + np.arange(total)
-        chars, left = self.codes[where], np.repeat(self.offset + self.width, self.width) - np.arange(total)
-        prefix, at = _prefix(chars), np.arange(total)
-        number = np.zeros(total, dtype=np.int64)
-        parts = []
-        for n in range(1, LONGEST + 1):
+        keys, values, single, heads, longest = self.vocabulary.table()
+        most = int(self.width.max(initial=0))
+        # Stretches with k or more characters are the first alive[k - 1]; states with k left start at level[k - 1].
+        alive = len(self.width) - np.searchsorted(self.width[::-1], np.arange(1, most + 1))
+        self.level = level = np.append(0, np.cumsum(alive))
+        total = int(level[-1])
+        left = np.repeat(np.arange(1, most + 1, dtype=np.int32), alive)
+        rank = np.arange(total) - level[left - 1]
+        where = (begin + self.width)[rank] - left
+        chars, prefix = self.codes[where], _prefix(self.codes)
+        number = np.ones(total, dtype=np.int64)
+        piece = single[chars]
+        weight = np.where(piece < 0, 1.0, self.vocabulary.weights[np.maximum(piece, 0)])
+        # A character without a piece stands for its bytes, id -2 - code.
+        piece = np.where(piece < 0, -2 - chars.astype(np.int32), piece)
+        parts = [(np.arange(total), np.ones(total, np.int32), np.zeros(total, np.int64), piece, weight)]
+        at = np.flatnonzero(heads[chars])
+        for n in range(2, longest + 1):
             at = at[left[at] >= n]
             if not len(at):
                 break
-            found, ids = self.vocabulary.find(_stretch_hash(chars, at, n, prefix))
-            # A character without a piece stands for its bytes, id -2 - code.
-            hit = ids >= 0 if n > 1 else np.ones(len(at), bool)
-            state, piece = at[hit], ids[hit]
-            weight = self.vocabulary.weights[piece]
-            if n == 1:
-                strange = piece < 0
-                piece[strange], weight[strange] = -2 - chars[state[strange]].astype(np.int32), 1.0
-            parts.append((state, np.full(len(state), n), number[state], piece, weight))
+            found, ids = self.vocabulary.find(_stretch_hash(self.codes, where[at], n, prefix))
+            hit = ids >= 0
+            state, own = at[hit], ids[hit]
+            parts.append((state, np.full(len(state), n, np.int32), number[state], own, self.vocabulary.weights[own]))
             number[state] += 1
             at = at[found]
-        self.begin = np.cumsum(number) - number
-        state, size, rank, piece, weight = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 5
-        order = np.empty(len(state), dtype=np.int64)
-        order[self.begin[state] + rank] = np.arange(len(state))
-        self.state, self.size, rank, self.ids, weight = (x[order] for x in (state, size, rank, piece, weight))
-        back = left[self.state].astype(np.int16)
-        by = np.argsort(back, kind="stable")
-        cut = np.searchsorted(back[by], np.arange(1, int(back.max(initial=0)) + 2))
+        self.begin = np.append(0, np.cumsum(number))
+        state, size, turn, piece, weight = (np.concatenate(c) for c in zip(*parts, strict=True))
+        place = self.begin[state] + turn
+        self.state, self.size, self.ids, self.chance = (np.empty(len(place), c.dtype) for c in (state, size, piece, weight))
+        self.state[place], self.size[place], self.ids[place], self.chance[place] = state, size, piece, weight
+        self._sums(left, rank, longest, number)
+
+    def _sums(self, left: np.ndarray, rank: np.ndarray, longest: int, number: np.ndarray) -> None:
+        """Turn weights into probabilities, from the ends of the stretches to their starts.
+
+        The sum of a state is that of weight times the sum of the state behind, over its options. Only ratios within
+        the reach of a piece matter, so every RESCALE characters the last sums of a stretch are divided by the newest.
+        """
+        level, total, chance = self.level, len(left), self.chance
+        after = left[self.state] - self.size
+        behind = np.where(after > 0, level[np.maximum(after, 1) - 1] + rank[self.state], total)
         beyond = np.ones(total + 1)
-        chance = np.empty(len(by))
-        for k in range(len(cut) - 1):
-            e = by[cut[k] : cut[k + 1]]
-            of, n = self.state[e], self.size[e]
-            value = weight[e] * np.where(n == k + 1, 1.0, beyond[np.minimum(of + n, total)])
-            head = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-            mass = np.add.reduceat(value, head)
-            beyond[of[head]] = mass
-            chance[e] = value / np.repeat(mass, np.diff(np.append(head, len(e))))
-        self.chance, self.logs = chance, np.log(np.maximum(chance, 1e-300))
-        self.rest = _log_rest(self.logs)
+        for k in range(len(level) - 1):
+            lo, hi = level[k], level[k + 1]
+            if k and k % max(RESCALE, longest) == 0:
+                scale = 1.0 / beyond[level[k - 1] : level[k - 1] + hi - lo]
+                for j in range(k - longest, k):
+                    beyond[level[j] : level[j] + hi - lo] *= scale
+            e = slice(self.begin[lo], self.begin[hi])
+            value = chance[e] * beyond[behind[e]]
+            mass = np.add.reduceat(value, self.begin[lo:hi] - self.begin[lo])
+            beyond[lo:hi] = mass
+            chance[e] = value / np.repeat(mass, number[lo:hi])
+        # Probability of an option or a longer one; an option is drawn from the longest down.
         running = np.cumsum(chance)
-        lead = (running - chance)[self.begin]
-        self.upto = np.full((total, int(number.max(initial=1))), 2.0, dtype=np.float32)
-        self.upto[self.state, rank] = running - lead[self.state]
-        last = self.begin + number - 1
-        self.upto[self.state[last], rank[last]] = 2.0
+        last = running[self.begin[1:] - 1]
+        self.down = np.repeat(last, number) - running + chance
+        self.down[self.begin[:-1]] = 2.0
 
     def walk(self, tokens: np.ndarray, at: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Draw on from place `at` of each token to its end: (token, edge), in text order."""
-        found = []
-        index, pos, kind = np.arange(len(tokens)), at.copy(), self.kind[tokens]
-        keep = pos < self.width[kind]
-        index, pos, kind = index[keep], pos[keep], kind[keep]
-        step = 0
+        found, sizes = [], []
+        index, kind = np.arange(len(tokens)), self.kind[tokens]
+        left = self.width[kind] - at
+        keep = left > 0
+        if not keep.all():
+            index, left, kind = index[keep], left[keep], kind[keep]
+        count = np.zeros(len(tokens), dtype=np.int64)
         while len(index):
-            state = self.offset[kind] + pos
+            edge = self.begin[self.level[left - 1] + kind + 1] - 1
             with np.errstate(over="ignore"):
-                u = uniform(mix64(seeds[index] + pos.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))).astype(np.float32)
-            edge = self.begin[state] + (self.upto[state] > u[:, None]).argmax(axis=1)
-            found.append((index, edge, np.full(len(index), step)))
-            pos = pos + self.size[edge]
-            keep = pos < self.width[kind]
-            index, pos, kind, step = index[keep], pos[keep], kind[keep], step + 1
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        index, edge, step = (np.concatenate(c) for c in zip(*found, strict=True))
-        count = np.bincount(index, minlength=len(tokens))
-        place = (np.cumsum(count) - count)[index] + step
-        out = np.empty_like(edge)
-        out[place] = edge
+                u = uniform(mix64(seeds[index] + left.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)))
+            todo = np.flatnonzero(self.down[edge] <= u)
+            while len(todo):
+                edge[todo] -= 1
+                todo = todo[self.down[edge[todo]] <= u[todo]]
+            found.append(edge)
+            sizes.append(index)
+            count[index] += 1
+            left = left - self.size[edge]
+            keep = np.flatnonzero(left)
+            index, left, kind = index[keep], left[keep], kind[keep]
+        out = np.empty(int(count.sum()), dtype=np.int64)
+        begin = np.cumsum(count) - count
+        for step, (index, edge) in enumerate(zip(sizes, found, strict=True)):
+            out[begin[index] + step] = edge
         return np.repeat(tokens, count), out
 
     def other(self, edge: int, taken: set[int], u: float) -> tuple[int, float]:
         """(edge, log probability) of a draw at the state of an edge without the edges taken."""
-        first, state = int(self.begin[self.state[edge]]), self.state[edge]
-        last = first + int(np.searchsorted(self.state[first : first + LONGEST], state, side="right"))
+        state = int(self.state[edge])
+        first, last = int(self.begin[state]), int(self.begin[state + 1])
         p = self.chance[first:last].copy()
         p[[t - first for t in taken]] = 0.0
         left = np.cumsum(p)
         k = int((left <= u * left[-1]).sum())
         return first + k, float(np.log(p[k]))
 
+    def done(self, edge: int, token: int) -> int:
+        """Characters of the token that stand up to the end of the edge."""
+        state, kind = int(self.state[edge]), int(self.kind[token])
+        left = int(np.searchsorted(self.level, state, side="right"))
+        return int(self.width[kind]) - left + int(self.size[edge])
+
     def piece_ids(self, edges: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces with bytes spelled out, and where the given cuts of the edges then are."""
         ids = self.ids[edges].astype(np.int32)
@@ -279,11 +333,10 @@ def _gumbel_below(place: np.ndarray, bound: np.ndarray | float, u: np.ndarray) -
         return np.where(np.isneginf(place), -np.inf, place - np.logaddexp(place - bound, np.log(-np.log(u))))
 
 
-def _log_rest(logs: np.ndarray) -> np.ndarray:
-    """log(1 - exp(logs)); minus infinity for a choice that is (up to rounding) certain."""
+def _log_rest(chance: np.ndarray) -> np.ndarray:
+    """log(1 - chance); minus infinity for a choice that is (up to rounding) certain."""
     with np.errstate(divide="ignore"):
-        rest = -np.expm1(logs)
-        return np.where(rest > 1e-12, np.log(np.maximum(rest, 1e-300)), -np.inf)
+        return np.where(chance < 1 - 1e-12, np.log1p(-np.minimum(chance, 1 - 1e-13)), -np.inf)
 
 
 @dataclass
@@ -355,7 +408,7 @@ def sample_texts(vocabulary: Vocabulary, texts: list[str | None], keys: list[int
             used.add(choice)
             t = int(path.tokens[i])
             forced.append((choice, log))
-            walks.append((t, int(first[d + 1]), int(lattice.state[choice] - lattice.offset[lattice.kind[t]] + lattice.size[choice])))
+            walks.append((t, int(first[d + 1]), lattice.done(choice, t)))
         width = np.array([end - t for t, end, _ in walks])
         heads = np.cumsum(width) - width
         tokens = np.repeat(np.array([t for t, _, _ in walks]) - heads, width) + np.arange(width.sum())
@@ -398,7 +451,8 @@ def _branches(lattice: Lattice, edges: np.ndarray, cut: np.ndarray, begin: np.nd
     Paths lie one after another, path k at cut[k]:cut[k + 1]. Steps whose subtree has e**-45 of the mass of the
     path's best one are left out: they lie below the precision of the sums.
     """
-    logs = lattice.logs[edges]
+    chance = lattice.chance[edges]
+    logs = np.log(np.maximum(chance, 1e-300))
     bounds = np.full(len(edges), -np.inf)
     width = np.diff(cut)
     if not len(edges):
@@ -409,7 +463,7 @@ def _branches(lattice: Lattice, edges: np.ndarray, cut: np.ndarray, begin: np.nd
     full = width > 0
     base = np.zeros(len(width))
     base[full] = before[cut[:-1][full]]
-    place = before - base[path] + lattice.rest[edges]
+    place = before - base[path] + _log_rest(chance)
     place[step < begin[path]] = -np.inf
     best = np.full(len(width), -np.inf)
     best[full] = np.maximum.reduceat(place, cut[:-1][full])
@@ -432,12 +486,14 @@ def sample_segmentations(docs: DataFrame, k: int = SAMPLES, path: str = MODEL, t
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.bool_(), pa.list_(pa.int32())]
 
     def emit(v: Vocabulary, keys: list[int], texts: list[str | None]) -> pa.RecordBatch:
-        rows = []
         scores, ids, ends = sample_texts(v, texts, keys, k)
-        for key, text, got in zip(keys, texts, scores, strict=True):
+        owner = [d for d, got in enumerate(scores) for _ in got]
+        good = round_trips(v, texts, owner, ids, ends)
+        rows = []
+        for key, got in zip(keys, scores, strict=True):
             for n, (log, score, inclusion) in enumerate(got):
                 lo, hi = ends[len(rows)], ends[len(rows) + 1]
-                rows.append((key, n, hi - lo, log, score, inclusion, decode(v, ids[lo:hi]) == (text or "")))
+                rows.append((key, n, hi - lo, log, score, inclusion, good[len(rows)]))
         lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
         return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=False)), lists], names=names)
 

@@ -164,6 +164,43 @@ def test_segmentation_frequencies():
         assert abs(first[path] / n - p) < 4 * (p * (1 - p) / n) ** 0.5 + 1e-3
 
 
+def test_long_stretch_without_boundary():
+    """220 characters without a space: probabilities and boundary frequencies against sums over all segmentations."""
+    vocabulary, n = sentencepiece.Vocabulary.load(), 1500
+    rng = random.Random(17)
+    text = "".join(rng.choice(["the", "ing", "QZ", "re", "x", "tion", "7"]) for _ in range(300))[:220]
+    body = sentencepiece.SPACE + text
+    weight = {p: w for p, w in zip(vocabulary.pieces, vocabulary.weights.tolist(), strict=True) if w}
+    spans = [(i, j, weight[body[i:j]]) for i in range(len(body)) for j in range(i + 1, min(i + 17, len(body) + 1)) if body[i:j] in weight]
+    # A factor of 1,000 a character keeps the sums within range; it cancels, as all paths have the same length.
+    ahead, behind = [1.0] + [0.0] * len(body), [0.0] * len(body) + [1.0]
+    for i, j, w in spans:
+        ahead[j] += w * 1e3 ** (j - i) * ahead[i]
+    for i, j, w in reversed(spans):
+        behind[i] += w * 1e3 ** (j - i) * behind[j]
+    share = [a * b / ahead[-1] for a, b in zip(ahead, behind, strict=True)]
+    scores, ids, ends = sentencepiece.sample_texts(vocabulary, [text] * n, list(range(n)), 1)
+    seen = np.zeros(len(body) + 1)
+    for k, rows in enumerate(scores):
+        pieces = [vocabulary.pieces[i] for i in ids[ends[k] : ends[k + 1]]]
+        assert "".join(pieces) == body
+        log = sum(np.log(weight[p] * 1e3 ** len(p)) for p in pieces) - np.log(ahead[-1])
+        assert abs(rows[0][0] - log) < 1e-6
+        seen[np.cumsum([0, *map(len, pieces)])] += 1
+    for got, p in zip(seen / n, share, strict=True):
+        assert abs(got - p) < 4.5 * (p * max(0, 1 - p) / n) ** 0.5 + 1e-3
+
+
+def test_very_long_stretch():
+    """100,000 characters without a boundary keep their sums within range and decode again."""
+    vocabulary, rng = sentencepiece.Vocabulary.load(), random.Random(3)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzQZ0") for _ in range(100_000))
+    scores, ids, ends = sentencepiece.sample_texts(vocabulary, [text, None, "é\u4e00 x"], [1, 2, 3], 2)
+    assert len(scores[0]) == 2 and np.isfinite([x[0] for x in scores[0]]).all()
+    assert all(sentencepiece.round_trips(vocabulary, [text, None, "é\u4e00 x"], [d for d, got in enumerate(scores) for _ in got], ids, ends))
+    assert all(sentencepiece.decode(vocabulary, ids[ends[k] : ends[k + 1]]) == text for k in range(2))
+
+
 KEY = 'AKIA' + "ABCDEFGH12345678"
 SECRETS = [
     None, "", "nothing here", f"x {KEY} y {KEY[:19]} z", "Password = 'abc123' token:abc secret:token:abcdefgh", "api_key=\"A1b2C3d4\" APIKEY : zzzzzz passwd==abcdef", "deadbeef" * 3 + " " + "deadbeef" * 2,
