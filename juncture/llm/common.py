@@ -19,19 +19,23 @@ BATCH_ROWS = 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set (tests, one machine)."""
+    """The cluster's shared folder; where none is set, a temporary one if the executors are on this machine."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="juncture-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet under the shared folder and read it back: short lineage, survives lost executors."""
+def materialise(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write df as Parquet under the shared folder, by the values of a column if one is given, and read it back: short
+    lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/juncture/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
 
+#: Rounds after which something must be wrong: a component of n nodes takes about log n.
+MOST_ROUNDS = 60
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """edges (a long, b long) to (node, root): root is a node of the component, the same for all of it.
@@ -20,9 +25,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     both = pairs.union(pairs.select("b", "a")).toDF("a", "b").distinct()
     both = materialise(both, "edges")
     members = None
-    for _ in range(60):
+    for turn in itertools.count():
         if both.isEmpty():
             break
+        if turn == MOST_ROUNDS:
+            raise RuntimeError(f"edges are left after {turn} rounds")
         point = both.groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("p"))
         point = materialise(point, "point")
         twice = point.alias("x").join(point.alias("y"), F.col("x.p") == F.col("y.a")).select(F.col("x.a").alias("a"), F.col("y.p").alias("p"))

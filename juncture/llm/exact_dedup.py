@@ -10,9 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, text_or_empty
+from .common import fresh, materialise, text_or_empty
 
-#: Bits a row gets in the filter, probes a key makes, bits in a segment, and the most bits of the whole filter (16 MB).
+#: Bits a row gets in a filter, probes a key makes, bits in a segment, and the most bits of one filter (16 MB, what a
+#: task, an executor and the driver hold). Rows that need more are cut into hash ranges with a filter each.
 BITS_PER_ROW, PROBES, SEGMENT_BITS, MAX_BITS = 16, 4, 1 << 17, 1 << 27
 
 
@@ -24,6 +25,19 @@ def _positions(keys: pa.Array, bits: int) -> np.ndarray:
     return (at & np.uint64(bits - 1)).astype(np.int64)
 
 
+def _get(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the bits are set."""
+    return ((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
+
+
+def _set(table: np.ndarray, at: np.ndarray) -> None:
+    """Set the bits at sorted places."""
+    if len(at):
+        byte = at >> 3
+        head = np.flatnonzero(np.concatenate([[True], byte[1:] != byte[:-1]]))
+        table[byte[head]] |= np.bitwise_or.reduceat(np.uint8(128) >> (at & 7).astype(np.uint8), head)
+
+
 def filter_bits(rows: int, max_bits: int = MAX_BITS) -> int:
     """A power of two, BITS_PER_ROW a row, within [SEGMENT_BITS, max_bits]."""
     return min(max_bits, max(SEGMENT_BITS, 1 << max(rows * BITS_PER_ROW - 1, 1).bit_length()))
@@ -37,22 +51,24 @@ def repeated_filter(hashes: DataFrame, key: str, bits: int, least: int = 2) -> b
     """
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(bits, dtype=bool), np.zeros(bits, dtype=bool)
+        once, twice = np.zeros(bits // 8, dtype=np.uint8), np.zeros(bits // 8, dtype=np.uint8)
         for b in batches:
-            at = np.sort(np.sort(_positions(b.column(0), bits), axis=1), axis=None)
+            if not b.num_rows:
+                continue
+            at = np.sort(_positions(b.column(0), bits), axis=None)
             first = np.ones(len(at), dtype=bool)
             first[1:] = at[1:] != at[:-1]
-            twice[at[~first]] = True
             uniq = at[first]
-            twice[uniq[once[uniq]]] = True
-            once[uniq] = True
-        for s in range(0, bits, SEGMENT_BITS):
-            part = once[s : s + SEGMENT_BITS]
+            _set(twice, at[~first])
+            _set(twice, uniq[_get(once, uniq)])
+            _set(once, uniq)
+        step = SEGMENT_BITS // 8
+        for s in range(0, bits // 8, step):
+            part = once[s : s + step]
             if part.any():
-                pair = (part, twice[s : s + SEGMENT_BITS])
+                pair = (part, twice[s : s + step])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([s // SEGMENT_BITS], pa.int64()), *(pa.array([zlib.compress(np.packbits(x).tobytes(), 1)], pa.binary()) for x in pair)],
-                    names=["segment", "once", "twice"],
+                    [pa.array([s // step], pa.int64()), *(pa.array([zlib.compress(x.tobytes(), 1)], pa.binary()) for x in pair)], names=["segment", "once", "twice"]
                 )
 
     def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +96,7 @@ def maybe_repeated(hashes: DataFrame, key: str, twice: bytes, flag: str) -> Data
         table = np.frombuffer(shared.value, dtype=np.uint8)
         for b in batches:
             at = _positions(b.column(b.schema.get_field_index(key)), bits)
-            hit = ((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
+            hit = _get(table, at).all(axis=1)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hit)], names=[*b.schema.names, flag])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in hashes.schema)
@@ -91,17 +107,36 @@ def _normal_sha256() -> Column:
     return F.sha2(F.regexp_replace(text_or_empty(), r"[\x20\x09-\x0D]+", " ").cast("binary"), 256)
 
 
+def flag_repeated(hashes: DataFrame, rows: int, max_bits: int = MAX_BITS) -> DataFrame:
+    """hashes (with digest) and `again`: true for every row whose digest repeats and for few others.
+
+    One filter holds max_bits at most, so bits grow with the rows by cutting them into ranges of the digest: the table
+    is written by range, and each range has both passes over its own part.
+    """
+    ranges = -(-rows * BITS_PER_ROW // max_bits) if rows else 1
+    if ranges == 1:
+        hashes = materialise(hashes, "hashes")
+        return maybe_repeated(hashes, "digest", repeated_filter(hashes, "digest", filter_bits(rows, max_bits)), "again")
+    # The last bytes of a digest are not used by the filters.
+    part = F.pmod(F.conv(F.hex(F.substring("digest", 25, 7)), 16, 10).cast("long"), F.lit(ranges)).cast("int")
+    whole = materialise(hashes.withColumn("_range", part), "hashes", "_range")
+    out = None
+    for k in range(ranges):
+        own = whole.filter(F.col("_range") == k).drop("_range")
+        one = materialise(maybe_repeated(own, "digest", repeated_filter(own, "digest", max_bits), "again"), f"range{k}")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def exact_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when they are the same after each run of ASCII white space becomes one space; a null text is an
     empty one. The smallest doc_id of a group stays (null ids last); of repeated rows with that id one stays. Only
     rows flagged by the second Bloom pass are grouped; the others are known to be alone and pass straight through.
-    A filter at its size limit flags more rows; the result is the same. Empty table: empty result.
+    Empty table: empty result.
     """
-    hashes = materialise(docs.select("doc_id", F.unhex(_normal_sha256()).alias("digest")), "hashes")
-    twice = repeated_filter(hashes, "digest", filter_bits(hashes.count(), max_bits))
-    flagged = maybe_repeated(hashes, "digest", twice, "again")
+    flagged = flag_repeated(docs.select("doc_id", F.unhex(_normal_sha256()).alias("digest")), docs.count(), max_bits)
     sha = F.lower(F.hex("digest")).alias("text_sha256")
     alone = flagged.filter(~F.col("again")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), sha
@@ -114,17 +149,19 @@ def exact_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def without_ids(docs: DataFrame, gone: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of docs whose doc_id is not in gone (doc_id). Rows that a Bloom filter of the ids rules out stay where
-    they are; only the others, with their texts, are shuffled to an exact anti join."""
+    """The rows of docs whose doc_id is not in gone (doc_id); rows without doc_id stay. Rows that a Bloom filter of
+    the ids rules out stay where they are; only the others, with their texts, are shuffled to an exact anti join. A
+    filter of max_bits that holds too many ids rules out fewer rows; the result is the same."""
+    digest, maybe, own = (fresh(docs, c) for c in ("_digest", "_maybe", "_gone_id"))
 
     def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumn("_digest", F.unhex(F.md5(F.col("doc_id").cast("string").cast("binary"))))
+        return df.withColumn(digest, F.unhex(F.md5(F.col("doc_id").cast("string").cast("binary"))))
 
-    ids = materialise(keyed(gone.select("doc_id").filter("doc_id is not null")), "gone")
-    seen = repeated_filter(ids, "_digest", filter_bits(ids.count(), max_bits), least=1)
-    flagged = maybe_repeated(keyed(docs.filter("doc_id is not null")), "_digest", seen, "_maybe")
-    near = flagged.filter("_maybe").join(ids.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
-    return flagged.filter("not _maybe").select(docs.columns).unionByName(near).unionByName(docs.filter("doc_id is null"))
+    ids = materialise(keyed(gone.select("doc_id").filter("doc_id is not null").distinct()), "gone")
+    seen = repeated_filter(ids, digest, filter_bits(ids.count(), max_bits), least=1)
+    flagged = maybe_repeated(keyed(docs.filter("doc_id is not null")), digest, seen, maybe)
+    near = flagged.filter(F.col(maybe)).join(ids.select(F.col("doc_id").alias(own)), F.col("doc_id") == F.col(own), "left_anti").select(docs.columns)
+    return flagged.filter(~F.col(maybe)).select(docs.columns).unionByName(near).unionByName(docs.filter("doc_id is null"))
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
@@ -134,13 +171,15 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
     and may be null. Rows that a Bloom filter of the groups with copies rules out stay where they are.
     """
 
+    digest, maybe, kept, whole = (fresh(docs, c) for c in ("_digest", "_maybe", "_kept", "_whole"))
+
     def keyed(df: DataFrame, sha: Column) -> DataFrame:
-        return df.withColumn("_digest", F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), sha).cast("binary"))))
-
-    marks = keyed(exact_duplicates(docs).filter("group_size > 1"), F.col("text_sha256")).groupBy("_digest").agg(F.max("kept").alias("_kept"), F.min("kept").alias("_whole"))
-    marks = materialise(marks.filter("not _whole").select("_digest", "_kept"), "marks")
-    seen = repeated_filter(marks, "_digest", filter_bits(marks.count()), least=1)
-    flagged = maybe_repeated(keyed(docs, _normal_sha256()), "_digest", seen, "_maybe")
-    near = flagged.filter("_maybe").join(marks, "_digest", "left")
-    once = near.filter("_kept").dropDuplicates(["_digest"])
-    return flagged.filter("not _maybe").select(docs.columns).unionByName(near.filter("_kept is null").select(docs.columns)).unionByName(once.select(docs.columns))
+        return df.withColumn(digest, F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), sha).cast("binary"))))
+
+    marks = keyed(exact_duplicates(docs).filter("group_size > 1"), F.col("text_sha256")).groupBy(digest).agg(F.max("kept").alias(kept), F.min("kept").alias(whole))
+    marks = materialise(marks.filter(~F.col(whole)).select(digest, kept), "marks")
+    seen = repeated_filter(marks, digest, filter_bits(marks.count()), least=1)
+    flagged = maybe_repeated(keyed(docs, _normal_sha256()), digest, seen, maybe)
+    near = flagged.filter(F.col(maybe)).join(marks, digest, "left")
+    once = near.filter(F.col(kept)).dropDuplicates([digest])
+    return flagged.filter(~F.col(maybe)).select(docs.columns).unionByName(near.filter(F.col(kept).isNull()).select(docs.columns)).unionByName(once.select(docs.columns))

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import mix64
+from .common import materialise, mix64
 
-#: Order of the models; rows a language gives to training and to calibration at most (bounded samples by key hash).
-ORDER, TRAIN_ROWS, CALIBRATION_ROWS = 4, 600, 150
+#: Order of the models; rows and characters a language gives to training and to calibration at most (bounded samples
+#: by key hash); rows of a table that may be broadcast.
+ORDER, TRAIN_ROWS, CALIBRATION_ROWS, CHARACTERS, BROADCAST_ROWS = 4, 600, 150, 20_000_000, 1_000_000
 #: Characters scored at once, slots of the lookup cache, sharpness of the score, and slack of a language's rejection
 #: limit in nats above the QUANTILE of its calibration rows' cross-entropies; SHORT / sqrt(characters) comes on top.
 PIECE, SLOTS, SHARPNESS, SLACK = 1 << 20, 1 << 19, 5.0, 0.5
@@ -145,14 +146,22 @@ class LanguageModels:
         return self.names[best], float(1 / np.exp(-SHARPNESS * (ce - ce[best])).sum()), float(ce[best]), bool(ce[best] <= self.limits.get(self.names[best], float("inf")) + SHORT / len(body) ** 0.5)
 
 
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """df with a broadcast hint if it is known to have few rows."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def _sample(labelled: DataFrame, rows: int, salt: str) -> DataFrame:
-    """At most `rows` rows of each language, those of the least key hash."""
+    """At most `rows` rows and CHARACTERS characters of each language, those of the least key hash."""
     share = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(salt), F.col("doc_id").cast("string")).cast("binary")), 1, 12), 16, 10).cast("double") / float(1 << 48)
-    keyed = labelled.select("doc_id", "lang", share.alias("_share"))
-    counts = keyed.groupBy("lang").agg(F.count("*").alias("_n"))
-    near = keyed.join(counts, "lang").filter(F.col("_share") * F.col("_n") <= 2.0 * rows + 50)
-    chosen = near.withColumn("_rank", F.row_number().over(W.partitionBy("lang").orderBy("_share", "doc_id"))).filter(F.col("_rank") <= rows)
-    return labelled.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
+    keyed = labelled.select("doc_id", "lang", F.length("text").cast("long").alias("_size"), share.alias("_share"))
+    counts = materialise(keyed.groupBy("lang").agg(F.count("*").alias("_n")), "languages")
+    languages = counts.count()
+    near = keyed.join(_small(counts, languages), "lang").filter(F.col("_share") * F.col("_n") <= 2.0 * rows + 50)
+    order = W.partitionBy("lang").orderBy("_share", "doc_id", "_size")
+    chosen = near.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= rows)
+    chosen = chosen.withColumn("_upto", F.sum("_size").over(order.rowsBetween(W.unboundedPreceding, 0))).filter(F.col("_upto") <= CHARACTERS)
+    return labelled.join(_small(chosen.select("doc_id"), languages * rows), "doc_id", "left_semi")
 
 
 def _count_grams(texts: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import zlib
 from collections.abc import Callable, Sequence
@@ -12,10 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialise, mix64, words_count
+from .common import fresh, keyed, materialise, mix64, words_count
 
-#: Units that one flight handles; a source with more is cut into blocks by a hash of the key.
-BLOCK_ROWS = 20_000
+#: Units that one flight handles, about: a source is cut into blocks by a hash of the key. Rounds at most; each leaves
+#: two units a block open.
+BLOCK_ROWS, MOST_ROUNDS = 4096, 20
 EPS = 1e-9
 
 
@@ -119,7 +121,9 @@ def cube_sample(units: DataFrame, stratum: str, seed: int = 0, block_rows: int =
     """
     schema = f"key long, `{stratum}` string, size long, pi double"
     done: list[DataFrame] = []
-    for turn in range(20):
+    for turn in itertools.count():
+        if turn == MOST_ROUNDS:
+            raise RuntimeError(f"units are open after {turn} rounds")
         counts = units.groupBy(F.col(stratum).alias("_stratum")).agg(F.count("*").alias("_n"))
         placed = (
             units.join(counts, F.col(stratum).eqNullSafe(F.col("_stratum")))
@@ -164,7 +168,12 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: flo
 
 
 def mixed_rows(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float = 3, seed: int = 0) -> DataFrame:
-    """The rows of docs that the mix takes, each as often as it takes them; needs unique, non-null doc_id."""
-    copies = mix_sources(docs, weights, most, seed).filter("copies > 0").select(F.col("doc_id").alias("_id"), "copies")
-    taken = docs.join(copies, F.col("doc_id") == F.col("_id"))
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(docs.columns)
+    """The rows of docs that the mix takes, each as often as it takes them, with their columns.
+
+    Rows of one doc_id and rows without one are rows of their own.
+    """
+    key, own, copies, turn = (fresh(docs, c) for c in ("_key", "_own", "_copies", "_turn"))
+    named = keyed(docs, key)
+    taken = mix_sources(named.select(F.col(key).alias("doc_id"), "source", "text"), weights, most, seed).filter("copies > 0")
+    rows = named.join(taken.select(F.col("doc_id").alias(own), F.col("copies").alias(copies)), F.col(key) == F.col(own))
+    return rows.withColumn(turn, F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(docs.columns)

@@ -63,7 +63,8 @@ def number_slots(df: DataFrame, key: str, rows: int, shards: int, slot_rows: int
     buckets = max(1, math.ceil(rows / (max(shards, 1) * slot_rows)))
     name = F.coalesce(F.col(key).cast("string"), F.lit(""))
     part = df.withColumn("_bucket", F.pmod(F.crc32(name.cast("binary")), F.lit(buckets)).cast("int"))
-    own = F.row_number().over(W.partitionBy("shard", "_bucket").orderBy(key))
+    others = [F.col(f"`{c}`") for c, kind in df.dtypes if c != key and "map<" not in kind and "variant" not in kind]
+    own = F.row_number().over(W.partitionBy("shard", "_bucket").orderBy(key, *others))
     if buckets == 1:
         return part.withColumn("slot", (own - 1).cast("long")).drop("_bucket")
     before = W.partitionBy("shard").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)

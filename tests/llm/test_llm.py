@@ -279,6 +279,30 @@ def test_mixing(spark, docs, empty):
     assert all(repeated[r.doc_id] == r.copies for r in got)
 
 
+CLASHING = ["copies", "_id", "_copy", "_key", "_own", "_turn", "_copies", "_digest", "_maybe", "_kept", "_whole", "_gone_id", "again", "Key", "base"]
+
+
+def clashing(spark, rows):
+    """Rows of (doc_id, text, source) with a column for every name that the operators might use themselves."""
+    return spark.createDataFrame([(*r, *[7] * len(CLASHING)) for r in rows], "doc_id long, text string, source string, " + ", ".join(f"`{c}` int" for c in CLASHING))
+
+
+def test_stages_with_clashing_columns_repeated_and_null_ids(spark):
+    df = clashing(spark, [(1, "w " * 50, "a"), (1, "w " * 50, "a"), (2, "v " * 50, "b"), (None, "u " * 50, "b"), (None, None, None), (3, "w  " * 50, "a")])
+    mixed = mixing.mixed_rows(df)
+    assert mixed.columns == df.columns and mixed.filter("copies <> 7").count() == 0
+    most = collections.Counter((r.doc_id, r.text) for r in mixed.collect())
+    assert most[(1, "w " * 50)] <= 6 and all(n <= 3 for k, n in most.items() if k[0] != 1) and most[(None, "u " * 50)] > 0
+    alone = exact_dedup.drop_duplicates(df)
+    assert alone.columns == df.columns and sorted(str(r.doc_id) for r in alone.collect()) == ["1", "2", "None", "None"]
+    rest = exact_dedup.without_ids(df, df.filter("doc_id = 1"))
+    assert rest.columns == df.columns and sorted(str(r.doc_id) for r in rest.collect()) == ["2", "3", "None", "None"]
+    kept = ngram_join.keep_one_of_each(df)
+    assert kept.columns == df.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "1", "2", "None", "None"]
+    assert suffix_dedup.remove_repeats(df).count() == sharding.shard_documents(df).count() == secrets.scan_secrets(df).count() == 6
+    assert mixing.mix_sources(df).count() == exact_dedup.exact_duplicates(df).count() == 6
+
+
 def test_cube_flight_keeps_totals():
     rng = random.Random(1)
     size = np.array([rng.randrange(1, 500) for _ in range(400)])
@@ -375,6 +399,15 @@ def test_stage_keeps_a_row_of_repeated_and_null_ids(spark):
     assert collections.Counter((r.doc_id, " ".join((r.text or "").split())) for r in got) == collections.Counter([(1, "a b"), (1, "other"), (3, "c"), (4, "d"), (None, "e"), (5, "")])
 
 
+def test_filters_by_range(spark):
+    """Rows that need more bits than one filter may have: the same groups, and still few rows flagged."""
+    rows = spark.range(30_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 100 == 0, "same").otherwise(F.col("id").cast("string")).alias("text"))
+    got = exact_dedup.exact_duplicates(rows, exact_dedup.SEGMENT_BITS)
+    assert got.count() == 30_000 and got.filter("not kept").count() == 299 and got.filter("kept").agg(F.max("group_size")).first()[0] == 300
+    hashes = rows.select(F.unhex(F.sha2("text", 256)).alias("digest"))
+    assert 300 <= exact_dedup.flag_repeated(hashes, 30_000, exact_dedup.SEGMENT_BITS).filter("again").count() < 2000
+
+
 def test_saturated_filter_changes_nothing(spark):
     rows = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 2000).cast("string").alias("text"))
     hashes = rows.select(F.unhex(F.sha2("text", 256)).alias("digest"))
@@ -581,6 +614,10 @@ def test_sharding(spark, docs, empty):
     counts = {r.shard: r["count"] for r in weighted.groupBy("shard").count().collect()}
     assert abs(counts[0] / 4000 - 0.125) < 0.03 and abs(counts[2] / 4000 - 0.625) < 0.03
     assert weighted.filter("grown_shard <> shard and grown_shard <> 3").count() == 0
+    twice = spark.createDataFrame([(None, 3), (1, 2), (1, 1), (1, 2), (None, 1)], "k long, v int").withColumn("shard", F.lit(0))
+    for parts in (1, 3):
+        numbered = sharding.number_slots(twice.repartition(parts), "k", 5, 1).collect()
+        assert sorted((r.slot, r.k, r.v) for r in numbered) == [(0, None, 1), (1, None, 3), (2, 1, 1), (3, 1, 2), (4, 1, 2)]
     cut = sharding.number_slots(weighted, "k", 4000, 3, slot_rows=100)
     per = cut.groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("m"), F.count_distinct("slot").alias("d")).collect()
     assert all(r.n == r.m + 1 == r.d for r in per)
