@@ -22,14 +22,14 @@ def normal_chrom(chrom: Column) -> Column:
 
 
 def inserted_bases(ref: Column, alt: Column) -> Column:
-    """Bases between the bracket part of a breakend ALT and its REF anchor, which may stand at either end."""
+    """Bases between the bracket part of a breakend ALT and its REF anchor, in either case and at either end."""
     bases = F.regexp_replace(alt, r"[\[\]][^\[\]]*[\[\]]", "")
-    n = F.length(ref)
+    n, upper, anchor = F.length(ref), F.upper(bases), F.upper(ref)
     after = F.startswith(alt, F.lit("[")) | F.startswith(alt, F.lit("]"))
-    rest = F.when(~after & F.startswith(bases, ref), F.substring(bases, n + 1, F.length(bases))).when(
-        after & F.endswith(bases, ref), F.substring(bases, F.lit(1), F.length(bases) - n)
+    rest = F.when(~after & F.startswith(upper, anchor), F.substring(bases, n + 1, F.length(bases))).when(
+        after & F.endswith(upper, anchor), F.substring(bases, F.lit(1), F.length(bases) - n)
     )
-    return F.coalesce(rest, F.when(F.startswith(bases, ref), F.substring(bases, n + 1, F.length(bases))), bases)
+    return F.coalesce(rest, F.when(F.startswith(upper, anchor), F.substring(bases, n + 1, F.length(bases))), bases)
 
 
 def mate_chrom(alt: Column) -> Column:
@@ -47,11 +47,11 @@ def keeps_left(alt: Column) -> Column:
 
 def event_size(svtype: Column, pos1: Column, pos2: Column, insert_len: Column) -> Column:
     """Type-aware size: none for translocations, the insert of an insertion, the bases between a deletion's ends."""
-    span = F.abs(pos2 - pos1)
+    span, kind = F.abs(pos2 - pos1), F.upper(svtype)
     return (
-        F.when(svtype.isin("BND", "TRA", "SGL"), F.lit(None))
-        .when(svtype == "INS", F.nullif(insert_len, F.lit(0)))
-        .when(svtype == "DEL", F.greatest(span - 1, F.lit(0)))
+        F.when(kind.isin("BND", "TRA", "SGL"), F.lit(None))
+        .when(kind == "INS", F.nullif(insert_len, F.lit(0)))
+        .when(kind == "DEL", F.greatest(span - 1, F.lit(0)))
         .otherwise(span)
     )
 
@@ -117,12 +117,15 @@ def region(pos: Column, start: Column, end: Column, exons: Column, coding: Colum
 
 
 def junction_model(gene1: Column, gene2: Column, region1: Column, region2: Column) -> Column:
-    """How the two ends meet: between genes, inside coding sequence, between introns, or unclear."""
+    """How the two ends meet: between genes, inside coding sequence, between introns, or with a splice outcome that no
+    rule decides; the last names the two regions."""
+    both = F.array_sort(F.array(region1, region2))
     return (
-        F.when(gene1 != gene2, "inter_gene")
+        F.when(~gene1.eqNullSafe(gene2), "inter_gene")
         .when((region1 == "CDS") & (region2 == "CDS"), "coding_join")
         .when((region1 == "intron") & (region2 == "intron"), "whole_exon")
-        .otherwise("uncertain")
+        .when(both == F.array(F.lit("CDS"), F.lit("intron")), "exon_intron_uncertain")
+        .otherwise(F.concat(F.coalesce(region1, F.lit("")), F.lit("-"), F.coalesce(region2, F.lit("")), F.lit("_uncertain")))
     )
 
 

@@ -48,23 +48,29 @@ def panel_admitted(breakends: DataFrame) -> DataFrame:
 def pair_junctions(admitted: DataFrame) -> DataFrame:
     """One row per junction: each breakend with its mate by id, else with the coordinate in its ALT.
 
-    The first record in file order of a sorted id pair gives side 1; a mate that was not admitted leaves side 2's
-    evidence null. The panel count is the largest of the ends, the inserted bases the longer of the ends.
+    A junction is known by the sorted pair of its record's id and its mate's id, or the mate's coordinate where there
+    is no mate record; the first record in file order gives side 1, and records with neither go. Where the mate was
+    not admitted, side 2 has the record's own evidence. The panel count is the largest of the ends, the inserted bases
+    the longer of the ends; ends on two chromosomes have no size.
     """
     a = admitted.withColumn("insert_seq", inserted_bases(F.col("ref"), F.col("alt"))).alias("a")
     b = admitted.withColumn("insert_seq", inserted_bases(F.col("ref"), F.col("alt"))).alias("b")
     both = a.join(b, (F.col("a.sample") == F.col("b.sample")) & (F.col("a.mateid") == F.col("b.id")), "left")
-    key = F.array_sort(F.array(F.col("a.id"), F.coalesce("b.id", "a.mateid", F.lit(""))))
+    there = F.concat(mate_chrom(F.col("a.alt")), F.lit(":"), mate_pos(F.col("a.alt")).cast("string"))
+    key = F.array_sort(F.array(F.col("a.id"), F.coalesce("b.id", there)))
     one, two = F.coalesce(F.length("a.insert_seq"), F.lit(0)), F.coalesce(F.length("b.insert_seq"), F.lit(0))
-    rows = both.select(
+    side2 = lambda c: F.when(F.col("b.id").isNull(), F.col(f"a.{c}")).otherwise(F.col(f"b.{c}"))
+    evidence = ("qual", "vf", "sf", "df", "ref_reads", "segmapq")
+    rows = both.filter(F.col("b.id").isNotNull() | mate_pos(F.col("a.alt")).isNotNull()).select(
         F.col("a.sample").alias("sample"), key.alias("pair"), F.col("a.id").alias("sample_sv_id"), F.col("b.id").alias("mate_id"), F.col("a.file_row").alias("file_row"),
         F.col("a.chrom").alias("chrom1"), F.col("a.pos").alias("pos1"), F.coalesce(F.col("b.chrom"), mate_chrom(F.col("a.alt"))).alias("chrom2"),
         F.coalesce(F.col("b.pos"), mate_pos(F.col("a.alt"))).alias("pos2"), F.col("a.svtype").alias("svtype"),
         F.greatest("a.pon_count", "b.pon_count").alias("pon_count"), F.greatest(one, two).alias("insert_len"), F.when(one >= two, F.col("a.insert_seq")).otherwise(F.col("b.insert_seq")).alias("insert_seq"),
-        *[F.col(f"{s}.{c}").alias(f"{c}{n}") for c in ("qual", "vf", "sf", "df", "ref_reads", "segmapq") for s, n in (("a", 1), ("b", 2))],
+        *[x for c in evidence for x in (F.col(f"a.{c}").alias(f"{c}1"), side2(c).alias(f"{c}2"))],
     )
     first = rows.withColumn("_n", F.row_number().over(W.partitionBy("sample", "pair").orderBy("file_row"))).filter("_n = 1").drop("_n", "pair")
-    return first.withColumn("event_size", event_size(F.col("svtype"), F.col("pos1"), F.col("pos2"), F.col("insert_len")))
+    size = event_size(F.col("svtype"), F.col("pos1"), F.col("pos2"), F.col("insert_len"))
+    return first.withColumn("event_size", F.when(F.col("chrom1") == F.col("chrom2"), size))
 
 
 def panel_size(breakends: DataFrame) -> DataFrame:

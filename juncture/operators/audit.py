@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
-from math import comb
+from math import exp, fsum, lgamma, log, log1p
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -67,9 +68,11 @@ def strand_composition(genes: DataFrame, group: str) -> DataFrame:
 
 
 def binomial_two_sided(k: int, n: int, p: float) -> float:
-    """Exact two-sided p-value: outcomes no likelier than the observed one."""
-    chance = [comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(n + 1)]
-    return min(1.0, sum(c for c in chance if c <= chance[k] * (1 + 1e-7)))
+    """Exact two-sided p-value: outcomes no likelier than the observed one. Chances are kept as logs, for any n."""
+    if not 0 < p < 1:
+        return 1.0 if k == round(p * n) else 0.0
+    logs = [lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * log(p) + (n - i) * log1p(-p) for i in range(n + 1)]
+    return min(1.0, round(fsum(exp(x) for x in logs if x <= logs[k] + 1e-7), 12))
 
 
 def strand_p_values(composition: DataFrame, background: float) -> DataFrame:
@@ -127,15 +130,35 @@ def same_rows(a: DataFrame, b: DataFrame) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def check_run(samples: DataFrame, branches: DataFrame, wanted: Sequence[str] = ()) -> tuple[list[str], list[str]]:
-    """(errors, warnings) of a run definition, all at once; the tables are a handful of rows."""
-    rows = samples.select("name", "vcf_kind", "parent").collect()
-    names = [r["name"] for r in rows]
-    errors = [f"sample {n} is named {names.count(n)} times" for n in sorted(set(names)) if names.count(n) > 1]
+#: Rows that a run definition may have; more is a mistake.
+MOST_DEFINITIONS = 100_000
+
+
+def missing_paths(paths: DataFrame) -> list[str]:
+    """owner.key: path of every configured path (owner, key, path) that is not there; null paths are not configured."""
+    spark = paths.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    out = []
+    for r in paths.filter("path is not null").limit(MOST_DEFINITIONS).collect():
+        where = jvm.org.apache.hadoop.fs.Path(r["path"])
+        if not where.getFileSystem(conf).exists(where):
+            out.append(f"{r['owner']}.{r['key']}: {r['path']} does not exist")
+    return sorted(out)
+
+
+def check_run(samples: DataFrame, branches: DataFrame, wanted: Sequence[str] = (), paths: DataFrame | None = None) -> tuple[list[str], list[str]]:
+    """(errors, warnings) of a run definition, all at once, missing paths among them."""
+    rows = samples.select("name", "vcf_kind", "parent").limit(MOST_DEFINITIONS + 1).collect()
+    others = branches.select("name").limit(MOST_DEFINITIONS + 1).collect()
+    if max(len(rows), len(others)) > MOST_DEFINITIONS:
+        raise ValueError(f"more than {MOST_DEFINITIONS} samples or branches")
+    counts = Counter(r["name"] for r in rows)
+    errors = [f"sample {n} is named {k} times" for n, k in sorted(counts.items(), key=str) if k > 1]
     errors += [f"sample {r['name']}: unknown kind {r['vcf_kind']}" for r in rows if r["vcf_kind"] not in ("germline", "somatic")]
-    known = {*names, *(r["name"] for r in branches.select("name").collect())}
+    known = {*counts, *(r["name"] for r in others)}
     errors += [f"unknown name {w}" for w in wanted if w not in known]
-    warnings = [f"sample {r['name']}: parent {r['parent']} is not a sample, so it is a root" for r in rows if r["parent"] and r["parent"] not in names]
+    errors += [] if paths is None else missing_paths(paths)
+    warnings = [f"sample {r['name']}: parent {r['parent']} is not a sample, so it is a root" for r in rows if r["parent"] and r["parent"] not in counts]
     if sum(r["vcf_kind"] == "germline" for r in rows) > 1:
         warnings.append("several germline samples")
     return errors, warnings

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..criteria import DEFAULT, Criteria
+from ..functions.variants import normal_chrom
 from .cross import breakpoints
 from .ranges import nearest, within_distance
 
@@ -33,7 +34,7 @@ def event_expression(annotation: DataFrame, genes: DataFrame, isoforms: DataFram
 
 def nearest_splice(events: DataFrame, calls: DataFrame, key: str, criteria: Criteria = DEFAULT, width: int = 1_000_000) -> DataFrame:
     """Per event the nearest end of a novel splice junction over both breakends, its fragments and type."""
-    ends = calls.select(F.col("Chromosome").alias("chrom"), F.explode(F.array("SjStart", "SjEnd")).alias("pos"), F.col("FragCount").alias("fragments"), F.col("Type").alias("type"))
+    ends = calls.select(normal_chrom(F.col("Chromosome")).alias("chrom"), F.explode(F.array("SjStart", "SjEnd")).alias("pos"), F.col("FragCount").alias("fragments"), F.col("Type").alias("type"))
     near = nearest(breakpoints(events, [key]), ends, ["chrom"], "pos", ["fragments", "type"], width)
     best = near.filter("near_distance is not null").groupBy(key).agg(F.min_by(F.struct("near_distance", "near_fragments", "near_type"), F.struct("near_distance", "side")).alias("b"))
     return events.select(key).join(best, key, "left").select(key, F.col("b.near_distance").alias("alt_sj_distance"), F.col("b.near_fragments").alias("alt_sj_fragments"), F.col("b.near_type").alias("alt_sj_type"),
@@ -41,12 +42,18 @@ def nearest_splice(events: DataFrame, calls: DataFrame, key: str, criteria: Crit
 
 
 def fusion_at(events: DataFrame, calls: DataFrame, key: str, tolerance: int = 1000) -> DataFrame:
-    """First fusion call on an event's two chromosomes, in either order, whose upstream end is near either breakend."""
-    pair = lambda a, b: F.array_sort(F.array(a, b))
+    """First fusion call on an event's two chromosomes, in either order, whose upstream end is near either breakend.
+
+    First is by call_row, the calls' order in their file, where there is one, then by id. Support is the first of
+    TotalFragments, SplitFrags and CoverageUp that the calls have.
+    """
+    pair = lambda a, b: F.array_sort(F.array(normal_chrom(F.col(a)), normal_chrom(F.col(b))))
+    support = next((c for c in ("TotalFragments", "SplitFrags", "CoverageUp") if c in calls.columns), None)
+    order = ["call_row", "FusionId"] if "call_row" in calls.columns else ["FusionId"]
     ends = breakpoints(events.withColumn("chroms", pair("chrom1", "chrom2")), [key, "chroms"]).drop("chrom")
-    ups = calls.select(pair("ChrUp", "ChrDown").alias("chroms"), F.col("PosUp").alias("up"), "FusionId", "TotalFragments")
+    ups = calls.select(pair("ChrUp", "ChrDown").alias("chroms"), F.col("PosUp").alias("up"), F.struct(*order).alias("_order"), "FusionId", (F.col(support) if support else F.lit(None).cast("long")).alias("_support"))
     hits = within_distance(ends, ups, ["chroms"], "pos", "up", tolerance)
-    return hits.groupBy(key).agg(F.min_by(F.struct("FusionId", "TotalFragments"), "FusionId").alias("f")).select(key, F.col("f.FusionId").alias("fusion_id"), F.col("f.TotalFragments").alias("fusion_fragments"))
+    return hits.groupBy(key).agg(F.min_by(F.struct("FusionId", "_support"), "_order").alias("f")).select(key, F.col("f.FusionId").alias("fusion_id"), F.col("f._support").alias("fusion_fragments"))
 
 
 def retained_introns(events: DataFrame, calls: DataFrame, key: str) -> DataFrame:

@@ -107,6 +107,55 @@ def locus_versus_peptide(df: DataFrame, close: int = 10_000) -> DataFrame:
     )
 
 
+#: Evidence levels that place an event at a patient locus without an identical peptide.
+LOCUS_LEVELS = ("same_gene_and_svtype", "same_gene", "within_1kb", "within_10kb", "within_100kb")
+
+
+def derivation_steps(df: DataFrame, close: int = 1_000) -> DataFrame:
+    """(place, step, n): the steps from all junctions to those that share a peptide, each counted on its own set.
+
+    Needs n_generated, n_matched, distance (of the nearest patient breakpoint), insert_len, evidence, svtype and
+    patient_svtype. A missing count is 0, a missing distance is not near.
+    """
+    made, hit = (F.coalesce(F.col(c), F.lit(0)) > 0 for c in ("n_generated", "n_matched"))
+    near, exact = (F.coalesce(x, F.lit(False)) for x in (F.col("distance") <= close, F.col("distance") == 0))
+    same_type = F.coalesce(F.col("svtype") == F.col("patient_svtype"), F.lit(False))
+    steps = {
+        "junctions": F.lit(True), "distance known": F.col("distance").isNotNull(), "evidence level": F.col("evidence").isNotNull(), "locus only": F.coalesce(F.col("evidence").isin(*LOCUS_LEVELS), F.lit(False)),
+        "identical peptide": F.coalesce(F.col("evidence") == "identical_peptide", F.lit(False)), "near": near, "near, no peptide": near & ~made, "near, no match": near & made & ~hit, "near, match": near & made & hit,
+        "same coordinate": exact, "same coordinate and class": exact & same_type, "same coordinate, inserted": exact & (F.coalesce("insert_len", F.lit(0)) > 0), "same coordinate, peptides": exact & made, "same coordinate, match": exact & made & hit,
+    }
+    one = df.agg(*[F.count_if(c).alias(n) for n, c in steps.items()])
+    rows = F.array(*[F.struct(F.lit(k).alias("place"), F.lit(n).alias("step"), F.col(f"`{n}`").alias("n")) for k, n in enumerate(steps)])
+    return one.select(F.inline(rows))
+
+
+def derivation_medians(df: DataFrame) -> DataFrame:
+    """One row: locus junctions for each one with an identical peptide, median inserted lengths at a patient's very
+    coordinate without and with a match, and the median and least share of its peptides that a matching junction has."""
+    made, hit = F.coalesce(F.col("n_generated"), F.lit(0)), F.coalesce(F.col("n_matched"), F.lit(0))
+    there = F.coalesce(F.col("distance") == 0, F.lit(False)) & (made > 0)
+    inserted = F.coalesce(F.col("insert_len"), F.lit(0))
+    share = F.when(hit > 0, hit / F.nullif(made, F.lit(0)))
+    locus = F.count_if(F.coalesce(F.col("evidence").isin(*LOCUS_LEVELS), F.lit(False)))
+    return df.agg(
+        F.round(locus / F.nullif(F.count_if(F.coalesce(F.col("evidence") == "identical_peptide", F.lit(False))), F.lit(0)), 6).alias("locus_per_identical"),
+        F.median(F.when(F.coalesce(F.col("distance") == 0, F.lit(False)) & (inserted > 0), inserted)).alias("insert_median"), F.median(F.when(there & (hit == 0), inserted)).alias("insert_median_unmatched"),
+        F.median(F.when(there & (hit > 0), inserted)).alias("insert_median_matched"), F.round(F.median(share), 6).alias("match_share_median"), F.round(F.min(share), 6).alias("match_share_least"),
+    )
+
+
+def by_tier(events: DataFrame, *ties: str) -> DataFrame:
+    """Events, the strongest read evidence first, then private ones, then by gene and the given columns."""
+    rank = F.when(F.col("rna_tier") == "STRONG", 0).when(F.col("rna_tier") == "SUGGESTIVE", 1).when(F.col("rna_tier") == "WEAK", 2).otherwise(3)
+    return events.orderBy(rank, ~F.coalesce(F.col("private"), F.lit(False)), "gene", *ties)
+
+
+def admission_table(counts: DataFrame, line: str, steps: Sequence[str]) -> DataFrame:
+    """Attrition (line, step, n) as one row per line with a column per step."""
+    return counts.groupBy(line).pivot("step", list(steps)).agg(F.first("n"))
+
+
 def run_verdict(df: DataFrame, criteria: dict[str, Column]) -> DataFrame:
     """One row: events, survivors, failures per criterion (overlapping) and a verdict in words."""
     every = F.lit(True)

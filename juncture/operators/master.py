@@ -53,3 +53,15 @@ def own_catalogue(somatic: DataFrame, parental: DataFrame, proteome: DataFrame |
     both = somatic.select("neopeptide", F.lit("somatic").alias("origin")).unionByName(parental.select("neopeptide", F.lit("parental").alias("origin")))
     marked = self_peptides(origin(both, "neopeptide", "origin"), proteome, "neopeptide", criteria.peptide_lengths).withColumn("low_complexity", is_low_complexity(F.col("neopeptide"), criteria))
     return marked.withColumn("usable", ~F.col("low_complexity") & ~F.coalesce("is_self", F.lit(False)))
+
+
+def stack(parts: dict[str, DataFrame], name: str) -> DataFrame:
+    """Tables of samples, runs or lines under one another, the key of each in column `name`; a column that a table
+    lacks is null there."""
+    if not parts:
+        raise ValueError("no tables")
+    out = None
+    for key, df in parts.items():
+        one = df.withColumn(name, F.lit(key))
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out

@@ -66,6 +66,38 @@ def fused_coding(head_cds: Column, head_nt: Column, inserted: Column, tail_cds:
     return F.concat(F.substring(head_cds, F.lit(1), head_nt), F.coalesce(inserted, F.lit("")), F.substring(tail_cds, tail_nt + 1, F.length(tail_cds)))
 
 
+def kept_part(strand: Column, left: Column) -> Column:
+    """Which part of its transcript a breakend keeps, 5 or 3, from the side of the genome that it keeps."""
+    return F.when((strand == "+") == left, "5").otherwise("3")
+
+
+def fusion_coding(events: DataFrame) -> DataFrame:
+    """events of two genes with fused, junction_nt and model.
+
+    Needs for each side k: strand, cds_blocks, cds, pos, left (the breakend keeps what is left of it) and region. Two
+    intronic ends of which one keeps a 5' and the other a 3' part are joined at whole exons (fusion_intronic); two
+    parts of one kind make no product (fusion_no_product, null); other regions are not modelled.
+    """
+    side = lambda k: {c: F.col(f"{c}{k}") for c in ("strand", "cds_blocks", "cds", "pos", "left", "region")}
+    one, two = side(1), side(2)
+    part1, part2 = (kept_part(s["strand"], s["left"]) for s in (one, two))
+    model = F.when((one["region"] == "intron") & (two["region"] == "intron"), F.when(part1 == part2, "fusion_no_product").otherwise("fusion_intronic")).otherwise("not_modelled")
+    upto1, upto2 = (head_length(s["cds_blocks"], s["strand"], s["pos"]).cast("int") for s in (one, two))
+    first = part1 == "5"
+    fused = F.when(first, fused_coding(one["cds"], upto1, F.lit(""), two["cds"], upto2)).otherwise(fused_coding(two["cds"], upto2, F.lit(""), one["cds"], upto1))
+    out = events.withColumn("model", F.coalesce(model, F.lit("not_modelled")))
+    there = F.col("model") == "fusion_intronic"
+    return out.withColumns({"fused": F.when(there, fused), "junction_nt": F.when(there, F.when(first, upto1).otherwise(upto2))})
+
+
+def fusion_peptides(events: DataFrame, keys: list[str], criteria: Criteria = DEFAULT) -> DataFrame:
+    """keys, neopeptide, pep_length, spans_junction: windows of the fusion protein that neither gene's protein has."""
+    rows = events.filter("fused is not null").select(*keys, "junction_nt", *[translate(F.col(f"cds{k}")).alias(f"_native{k}") for k in (1, 2)], F.explode(windows(translate(F.col("fused")), criteria.peptide_lengths)).alias("w"))
+    new = rows.filter(~F.contains("_native1", F.col("w.peptide")) & ~F.contains("_native2", F.col("w.peptide")))
+    span = spans_junction(F.col("w.start"), F.col("w.length"), F.col("junction_nt"))
+    return new.groupBy(*keys, F.col("w.peptide").alias("neopeptide")).agg(F.max(span).alias("spans_junction"), F.max("w.length").alias("pep_length"))
+
+
 def frame_effect(head_nt: Column, native: Column, fused: Column) -> Column:
     """Label of the effect: Start-loss under three residues of head; In-frame if the length changes by codons and the
     native stop is met; Stop-loss without any stop; else Stop-gain. All but Start-loss are this package's own rule."""
@@ -94,7 +126,18 @@ def variant_ids(rows: DataFrame, junctions: DataFrame) -> DataFrame:
 
 #: Back ends of stage 2 by name.
 def generator(name: str):
-    known = {"spliced_cds": lambda events, keys: candidate_peptides(rearranged_coding(events), keys), "precomputed": lambda events, keys: events.select(*keys, "neopeptide", "spans_junction", "pep_length")}
+    def spliced(events: DataFrame, keys: list[str]) -> DataFrame:
+        """Events of one transcript have cds, those of two genes cds1 and cds2; a table may have either or both."""
+        parts = []
+        if "cds" in events.columns:
+            parts.append(candidate_peptides(rearranged_coding(events.filter("cds is not null")), keys))
+        if {"cds1", "cds2"} <= set(events.columns):
+            parts.append(fusion_peptides(fusion_coding(events.filter("cds1 is not null and cds2 is not null")), keys))
+        if not parts:
+            raise ValueError("events have neither cds nor cds1 and cds2")
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    known = {"spliced_cds": spliced, "precomputed": lambda events, keys: events.select(*keys, "neopeptide", "spans_junction", "pep_length")}
     if name not in known:
         raise ValueError(f"unknown generator {name}; known: {', '.join(known)}")
     return known[name]

@@ -15,7 +15,7 @@ from .ranges import overlapping
 def select_test(svtype: Column, chrom1: Column, chrom2: Column, size: Column, insert_len: Column, criteria: Criteria = DEFAULT) -> tuple[Column, Column]:
     """(test, reason): insertion, else chimeric, else none for small or unsized events, else sizegap."""
     long_insert = F.coalesce(insert_len, F.lit(0)) >= criteria.min_insert
-    apart = (chrom1 != chrom2) | svtype.isin("BND", "TRA")
+    apart = (chrom1 != chrom2) | F.coalesce(F.upper(svtype).isin("BND", "TRA"), F.lit(False))
     small = size.isNull() | (size < criteria.min_gap)
     test = F.when(long_insert, "insertion").when(apart, "chimeric").when(small, "none").otherwise("sizegap")
     reason = (
@@ -68,13 +68,17 @@ def fragment_evidence(pairs: DataFrame, criteria: Criteria = DEFAULT) -> DataFra
         "chimeric": good & (F.col("test") == "chimeric") & partner_hit(F.col("sa_tag"), F.col("partner_chrom"), F.col("partner_pos"), criteria.partner_tolerance),
         "insertion": good & (F.col("test") == "insertion") & (F.contains("seq", F.col("insert_seq")) | F.contains("seq", reverse_complement(F.col("insert_seq")))),
     }
-    any_hit = F.lit(False)
-    for h in hits.values():
-        any_hit = any_hit | F.coalesce(h, F.lit(False))
-    return pairs.groupBy("sample", "sample_sv_id", "side", "test").agg(
-        F.count_distinct(F.when(good, F.col("qname"))).alias("coverage"), F.count("*").alias("alignments"), F.count_if(~good).alias("low_mapq"),
-        F.count_if(good & (F.col("softclip") >= criteria.min_softclip)).alias("softclips"),
-        *[F.count_distinct(F.when(h, F.col("qname"))).alias(f"{n}_fragments") for n, h in hits.items()], F.count_distinct(F.when(any_hit, F.col("qname"))).alias("junction_fragments"),
+    # Alignments of a fragment are brought together first, so that fragments are counted, not distinct names.
+    keys = ["sample", "sample_sv_id", "side", "test"]
+    seen = pairs.groupBy(*keys, "qname").agg(
+        F.count("*").alias("alignments"), F.count_if(~good).alias("low_mapq"), F.count_if(good & (F.col("softclip") >= criteria.min_softclip)).alias("softclips"), F.max(good).alias("_good"),
+        *[F.coalesce(F.bool_or(h), F.lit(False)).alias(f"_{n}") for n, h in hits.items()],
+    )
+    named = F.col("qname").isNotNull()
+    any_hit = F.greatest(*[F.col(f"_{n}") for n in hits])
+    return seen.groupBy(*keys).agg(
+        F.count_if(named & F.col("_good")).alias("coverage"), *[F.sum(c).alias(c) for c in ("alignments", "low_mapq", "softclips")],
+        *[F.count_if(named & F.col(f"_{n}")).alias(f"{n}_fragments") for n in hits], F.count_if(named & any_hit).alias("junction_fragments"),
     )
 
 
@@ -100,10 +104,15 @@ def junction_usage(pairs: DataFrame, criteria: Criteria = DEFAULT) -> DataFrame:
     return n.select("sample", "sample_sv_id", "test", *[F.when(ok, F.col(c)).alias(c) for c in ("junction", "gapped")], F.when(ok, F.round(F.col("junction") / F.nullif("gapped", F.lit(0)), 4)).alias("usage"))
 
 
-def gap_profile(pairs: DataFrame, top: int = 6) -> DataFrame:
-    """The most frequent gap sizes at the events."""
+def gap_profile(pairs: DataFrame, top_sizes: int = 6, top_starts: int = 5) -> DataFrame:
+    """(kind, value, n): the most frequent sizes and starts of the gaps at the events; ties go to the smaller value."""
     rows = pairs.select(F.explode("gaps").alias("g"))
-    return rows.groupBy(F.col("g.length").alias("gap")).count().orderBy(F.desc("count"), "gap").limit(top)
+
+    def top(kind: str, field: str, n: int) -> DataFrame:
+        counts = rows.groupBy(F.col(f"g.{field}").cast("long").alias("value")).agg(F.count("*").alias("n"))
+        return counts.orderBy(F.desc("n"), "value").limit(n).select(F.lit(kind).alias("kind"), "value", "n")
+
+    return top("size", "length", top_sizes).unionByName(top("start", "start", top_starts))
 
 
 def depth_ratio(intervals: DataFrame, alignments: DataFrame, key: str, flank: int = 1000, width: int = 10_000) -> DataFrame:
@@ -129,6 +138,36 @@ def depth_verdict(svtype: Column, ratio: Column) -> Column:
     return F.when(ratio.isNull(), "undetermined").when(svtype == "DUP", gain).otherwise(loss)
 
 
+def background_loci(length: int, n: int, seed: int, chrom: str, width: int = 400) -> Column:
+    """n windows of a chromosome to compare a locus with, as an array (chrom, start, end), drawn by hash from a seed."""
+    place = lambda i: F.pmod(F.xxhash64(F.lit(chrom), F.lit(seed), i), F.lit(max(1, length - width)))
+    return F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct(F.lit(chrom).alias("chrom"), place(i).alias("start"), (place(i) + width).alias("end")))
+
+
+def background_rate(reads: DataFrame, loci: DataFrame, inserted: str, width: int = 1000) -> DataFrame:
+    """One row: reads at the loci (chrom, start, end) and how many of 1,000 hold the inserted bases in either direction."""
+    hit = F.contains("seq", F.lit(inserted)) | F.contains("seq", reverse_complement(F.lit(inserted)))
+    ends = reads.withColumn("end0", reference_end(F.col("start0"), F.col("cigar")))
+    met = overlapping(loci, ends, ["chrom"], ("start", "end"), ("start0", "end0"), width)
+    return met.agg(F.count("*").alias("background_reads"), F.count_if(hit).alias("background_hits"), F.round(1000.0 * F.count_if(hit) / F.nullif(F.count("*"), F.lit(0)), 3).alias("background_per_1000"))
+
+
+def breakpoint_or_gap(probes: DataFrame, reads: DataFrame, keys: list[str]) -> DataFrame:
+    """Per event (keys): hits of the junction sequence that the breakpoints predict, those of the best sequence that an
+    observed gap implies, and which one reads support.
+
+    probes: keys, probe (`breakpoint` or the gap), sequence. Equal hits go to the breakpoint; without any hit neither
+    is supported.
+    """
+    n = probe_support(reads, probes, keys)
+    best = F.struct(F.col("hits"), F.col("probe"))
+    own, other = F.col("probe") == "breakpoint", F.col("probe") != "breakpoint"
+    out = n.groupBy(*keys).agg(F.max(F.when(own, F.col("hits"))).alias("breakpoint_hits"), F.max(F.when(other, best)).alias("_gap"))
+    out = out.select(*keys, F.coalesce("breakpoint_hits", F.lit(0)).alias("breakpoint_hits"), F.coalesce("_gap.hits", F.lit(0)).alias("gap_hits"), F.col("_gap.probe").alias("gap"))
+    top = F.greatest("breakpoint_hits", "gap_hits")
+    return out.withColumn("supported", F.when(top == 0, "neither").when(F.col("breakpoint_hits") == top, "breakpoint").otherwise("gap"))
+
+
 def insertion_support(reads: DataFrame, inserted: str) -> DataFrame:
     """Reads that hold the inserted bases in either direction: reads, distinct starts, low quality, rate per 1,000."""
     hit = F.contains("seq", F.lit(inserted)) | F.contains("seq", reverse_complement(F.lit(inserted)))

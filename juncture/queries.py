@@ -65,20 +65,21 @@ def admission_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    with b as (select o_custkey // 2 % 5 sample, o_orderkey id, case when o_orderkey % 2 = 0 then o_orderkey + 1 else o_orderkey - 1 end mate,
-                      {SQL_DAY.format("o_orderdate")} pos, o_orderkey % 30 pon, o_totalprice q from orders),
-    c as (select b.id, b.mate, b.pos, b.q, b.pon, case when b.id % 7 <> 0 then 1 end ok, m.pos mpos, m.id mid, m.q mq, m.pon mpon from b left join b m on b.mate = m.id and m.id % 7 <> 0 where b.id % 7 <> 0),
-    d as (select id, mid, pos pos1, coalesce(mpos, pos + 100) pos2, greatest(pon, mpon) pon, q q1, mq q2 from c where mid is null or id < mid)
-    select id::varchar sample_sv_id, mid::varchar mate_id, pos1, pos2, pon pon_count, q1 qual1, q2 qual2, greatest(abs(pos2 - pos1) - 1, 0) event_size from d""")
+    with b as (select o_orderkey k, case when o_orderkey % 11 = 0 then '.' else o_orderkey::varchar end id, case when o_orderkey % 7 <> 0 then (case when o_orderkey % 2 = 0 then o_orderkey + 1 else o_orderkey - 1 end)::varchar end mate,
+                      (o_orderkey % 3)::varchar c, {SQL_DAY.format("o_orderdate")} p, (o_orderkey % 2)::varchar ac, {SQL_DAY.format("o_orderdate")} + 100 ap, o_orderkey % 30 pon, o_totalprice q from orders),
+    j as (select b.*, m.id mid, coalesce(m.c, b.ac) c2, coalesce(m.p, b.ap) p2, case when m.id is null then b.q else m.q end q2, greatest(b.pon, m.pon) pon2, list_sort([b.id, coalesce(m.id, b.ac || ':' || b.ap)]) pair from b left join b m on b.mate = m.id),
+    n as (select *, row_number() over (partition by pair order by k) n from j)
+    select id sample_sv_id, mid mate_id, c chrom1, p pos1, c2 chrom2, p2 pos2, pon2 pon_count, q qual1, q2 qual2, case when c = c2 then greatest(abs(p2 - p) - 1, 0) end event_size from n where n = 1""")
 def junction_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some records have no mate id, some no id of their own, and ends lie on several chromosomes."""
     mate = "case when o_orderkey % 2 = 0 then o_orderkey + 1 else o_orderkey - 1 end"
     day = DAY.format("o_orderdate")
     rows = derive(
-        spark, sf_dir, "orders", "'s' as sample", "cast(o_orderkey as string) as id", f"cast({mate} as string) as mateid", "'1' as chrom", f"{day} as pos", "'N' as ref",
-        f"concat('N[chr1:', {day} + 100, '[') as alt", "o_totalprice as qual", "'DEL' as svtype", "cast(o_orderkey % 30 as int) as pon_count", "o_orderkey as file_row",
-        *[f"cast(null as int) as {c}" for c in ("vf", "sf", "df", "ref_reads", "segmapq")], where="o_orderkey % 7 <> 0",
+        spark, sf_dir, "orders", "'s' as sample", "if(o_orderkey % 11 = 0, '.', cast(o_orderkey as string)) as id", f"if(o_orderkey % 7 <> 0, cast({mate} as string), null) as mateid", "cast(o_orderkey % 3 as string) as chrom", f"{day} as pos", "'N' as ref",
+        f"concat('N[chr', o_orderkey % 2, ':', {day} + 100, '[') as alt", "o_totalprice as qual", "'del' as svtype", "cast(o_orderkey % 30 as int) as pon_count", "o_orderkey as file_row",
+        *[f"cast(null as int) as {c}" for c in ("vf", "sf", "df", "ref_reads", "segmapq")],
     )
-    return admission.pair_junctions(rows).select("sample_sv_id", "mate_id", "pos1", "pos2", "pon_count", "qual1", "qual2", "event_size")
+    return admission.pair_junctions(rows).select("sample_sv_id", "mate_id", "chrom1", "pos1", "chrom2", "pos2", "pon_count", "qual1", "qual2", "event_size")
 
 
 # Matches and events
@@ -278,7 +279,7 @@ def lineage_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{CLOSURE_SQL}, p as (select (user_id % 25)::varchar sample, event_type chrom, epoch(date_trunc('second', ts))::bigint // 200 pos, event_id from events),
-    e as (select event_id, sample, pos from p where event_id % 10 = 0),
+    e as (select event_id, sample, pos from p),
     h as (select e.event_id, e.sample, c.ancestor, c.depth, exists (select 1 from p where p.sample = c.ancestor and p.chrom = 'view' and abs(p.pos - e.pos) <= 20) and
                  exists (select 1 from p where p.sample = c.ancestor and p.chrom = 'click' and abs(p.pos - e.pos - 5) <= 20) hit from e join c using (sample)),
     m as (select event_id, max(depth) filter (hit) dep from h group by event_id)
@@ -287,7 +288,7 @@ def lineage_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     from e left join h using (event_id) left join m using (event_id) group by e.event_id, e.sample""")
 def attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = derive(spark, sf_dir, "events", "event_id", "cast(user_id % 25 as string) as sample", "event_type as chrom", "cast(floor(unix_seconds(cast(ts as timestamp)) / 200) as bigint) as pos")
-    events = points.filter("event_id % 10 = 0").selectExpr("event_id", "sample", "'view' as chrom1", "pos as pos1", "'click' as chrom2", "pos + 5 as pos2")
+    events = points.selectExpr("event_id", "sample", "'view' as chrom1", "pos as pos1", "'click' as chrom2", "pos + 5 as pos2")
     return lineage.attribute(events, points, lineage.closure(derive(spark, sf_dir, "nation", *_TREE)), "event_id")
 
 
@@ -295,12 +296,12 @@ def attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    with p as (select distinct left(p_name, 4) s from part union select distinct reverse(left(p_name, 4)) s from part), k as (select unnest(range(1, 21)) perm),
+    with p as (select distinct p_name s from part union select distinct reverse(left(p_name, 4)) s from part), k as (select unnest(range(1, 1001)) perm),
     x as (select distinct perm, array_to_string(list_transform(list_sort(list_transform(range(1, len(s) + 1), lambda i: {'k': md5('0|' || perm || '|' || s || '|' || i), 'c': s[i]})), lambda z: z.c), '') t from p, k),
     h as (select perm, count(*) n from x where t in (select s from p) group by perm) select k.perm, coalesce(n, 0) hits from k left join h using (perm)""")
 def permutation_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = derive(spark, sf_dir, "part", "left(p_name, 4) as peptide").union(derive(spark, sf_dir, "part", "reverse(left(p_name, 4))")).distinct()
-    return null_model.permutation_counts(names, names, "peptide", 20)
+    names = derive(spark, sf_dir, "part", "p_name as peptide").union(derive(spark, sf_dir, "part", "reverse(left(p_name, 4))")).distinct()
+    return null_model.permutation_counts(names, names, "peptide", 1000)
 
 
 _EVIDENCE = ["user_id % 10 as sample", "value < 60 as private", "event_id % 3 <> 0 as high_confidence", "event_type in ('view', 'click') as rna_supported", "user_id % 10 % 4 <> 0 as has_rna"]
@@ -418,7 +419,7 @@ def _junctions(spark: SparkSession, sf_dir: str) -> DataFrame:
     day, block = DAY.format("o_orderdate"), _BLOCK.format("o_orderkey")
     return derive(
         spark, sf_dir, "orders", "cast(o_custkey % 5 as string) as sample", "cast(o_orderkey as string) as sample_sv_id", "cast(o_orderkey % 3 as string) as chrom1", f"{day} * 10 + {block} as pos1", "cast(o_orderkey % 3 as string) as chrom2",
-        f"{day} * 10 + {block} + 101 + o_orderkey % 10 as pos2", "'DEL' as svtype", "100 + o_orderkey % 10 as event_size", "0 as insert_len", "cast(null as string) as insert_seq", where="o_orderkey % 5 = 0",
+        f"{day} * 10 + {block} + 101 + o_orderkey % 10 as pos2", "'DEL' as svtype", "100 + o_orderkey % 10 as event_size", "0 as insert_len", "cast(null as string) as insert_seq",
     )
 
 
@@ -429,7 +430,7 @@ def _alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-READS_SQL = f"""with j as (select o_custkey % 5 s, o_orderkey id, o_orderkey % 3 c, {SQL_DAY.format("o_orderdate")} * 10 + o_orderkey // 1500 * 100000 p1, {SQL_DAY.format("o_orderdate")} * 10 + o_orderkey // 1500 * 100000 + 101 + o_orderkey % 10 p2, 100 + o_orderkey % 10 z from orders where o_orderkey % 5 = 0),
+READS_SQL = f"""with j as (select o_custkey % 5 s, o_orderkey id, o_orderkey % 3 c, {SQL_DAY.format("o_orderdate")} * 10 + o_orderkey // 1500 * 100000 p1, {SQL_DAY.format("o_orderdate")} * 10 + o_orderkey // 1500 * 100000 + 101 + o_orderkey % 10 p2, 100 + o_orderkey % 10 z from orders),
     r as (select l_suppkey % 5 s, l_partkey % 3 c, l_orderkey q, {SQL_DAY.format("l_shipdate")} * 10 + l_orderkey // 1500 * 100000 - 50 a, l_quantity::int m, 48 + l_linenumber u, 95 + l_partkey % 20 g from lineitem),
     e as (select j.*, 1 side, p1 p from j union all select j.*, 2, p2 from j),
     x as (select e.id, e.s, e.side, e.z, r.q, r.m, abs(r.g - e.z) <= 10 and abs(r.a + r.u - e.p1) <= 15 match, r.a + r.u <= e.p1 + e.z and r.a + r.u + r.g >= e.p1 anygap from e join r on e.s = r.s and e.c = r.c and r.a <= e.p + 200 and r.a + r.u + r.g + 50 >= e.p - 200)"""
@@ -483,17 +484,17 @@ def event_binding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binding.event_binding(events, binding.peptide_summary(derive(spark, sf_dir, "lineitem", *_SCORES), _CUTS), "l_orderkey")
 
 
-@query(f"""with {SCORES_SQL}, bd as (select distinct peptide, allele from s where ok), pt as (select distinct o_custkey patient, l_partkey::varchar peptide from lineitem join orders on l_orderkey = o_orderkey where o_custkey % 5 = 0),
-    g as (select c_custkey patient, unnest([(c_custkey % 100)::varchar, (c_custkey % 37)::varchar, 'X' || (c_custkey % 3)]) allele from customer where c_custkey % 10 <> 0), pn as (select distinct l_suppkey::varchar allele from lineitem),
+@query(f"""with {SCORES_SQL}, bd as (select distinct peptide, allele from s where ok), pt as (select distinct o_custkey patient, l_partkey::varchar peptide from lineitem join orders on l_orderkey = o_orderkey),
+    g as (select c_custkey patient, unnest([(c_custkey % 100)::varchar, (c_custkey % 37)::varchar, 'X' || (c_custkey % 3)]) allele from customer where c_mktsegment <> 'BUILDING'), pn as (select distinct l_suppkey::varchar allele from lineitem),
     o as (select pt.peptide, pt.patient, g.allele, pn.allele pa, bd.allele ba from pt left join (select distinct * from g) g using (patient) left join pn on g.allele = pn.allele left join bd on bd.peptide = pt.peptide and bd.allele = g.allele),
     v as (select peptide, count(distinct patient) patients, count(distinct patient) filter (allele is not null) patients_typed, count(distinct patient) filter (ba is not null) patients_presenting,
                  count(distinct allele) filter (allele is not null and pa is null) alleles_outside, coalesce(array_to_string(list_sort(list(distinct ba) filter (ba is not null)), ','), '') presenting_alleles from o group by peptide)
     select *, case when patients_presenting > 0 then 'binder' when patients_typed = 0 then 'unevaluable_no_typed_patient' when alleles_outside > 0 then 'unevaluable_allele_outside_panel' else 'non_binder' end verdict from v""")
 def autologous_presentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = derive(spark, sf_dir, "lineitem", *_SCORES)
-    orders = table(spark, sf_dir, "orders").filter("o_custkey % 5 = 0")
+    orders = table(spark, sf_dir, "orders")
     carried = table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("patient"), F.col("l_partkey").cast("string").alias("neoantigen"))
-    own = derive(spark, sf_dir, "customer", "c_custkey as patient", "explode(array(cast(c_custkey % 100 as string), cast(c_custkey % 37 as string), concat('X', c_custkey % 3))) as allele", where="c_custkey % 10 <> 0")
+    own = derive(spark, sf_dir, "customer", "c_custkey as patient", "explode(array(cast(c_custkey % 100 as string), cast(c_custkey % 37 as string), concat('X', c_custkey % 3))) as allele", where="c_mktsegment <> 'BUILDING'")
     return joined(binding.autologous(carried, own, scores.filter(binding.passes(_CUTS)), scores.select("allele")), "presenting_alleles")
 
 
@@ -509,14 +510,14 @@ def version_concordance(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Universe
 
 
-UNIVERSE_SQL = f"""{CLOSURE_SQL}, r as (select l_partkey peptide, (l_suppkey % 25)::varchar line, l_orderkey ord, l_quantity q, l_returnflag f from lineitem where l_suppkey % 10 = 0),
+UNIVERSE_SQL = f"""{CLOSURE_SQL}, r as (select l_partkey peptide, (l_suppkey % 25)::varchar line, l_orderkey ord, l_quantity q, l_returnflag f from lineitem),
     u as (select peptide, list_sort(list(distinct line)) acquired_in, arg_min({{'q': q, 'f': f}}, {{'o': ord, 'l': line, 'q': q, 'f': f}}) a from r group by peptide),
     d as (select u.peptide, list(distinct c.sample) more from u, unnest(acquired_in) t(x) join c on c.ancestor = x group by u.peptide),
     w as (select u.peptide, acquired_in, a.q q, a.f f, list_sort(list_distinct(list_concat(acquired_in, coalesce(more, [])))) present_in from u left join d using (peptide))"""
 
 
 def _universe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = derive(spark, sf_dir, "lineitem", "l_partkey as peptide", "cast(l_suppkey % 25 as string) as line", "l_orderkey as ord", "l_quantity as q", "l_returnflag as f", where="l_suppkey % 10 = 0")
+    rows = derive(spark, sf_dir, "lineitem", "l_partkey as peptide", "cast(l_suppkey % 25 as string) as line", "l_orderkey as ord", "l_quantity as q", "l_returnflag as f")
     return universe.with_presence(universe.collapse_lines(rows, "peptide", "line", "ord"), lineage.closure(derive(spark, sf_dir, "nation", *_TREE)), "peptide")
 
 
@@ -545,9 +546,9 @@ def universe_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     select l_suppkey sample, l_partkey % 6 gene, l_linenumber id, l_orderkey ord, round(l_quantity / nullif(sum(l_quantity) over w, 0), 9) dna_share, l_quantity / nullif(sum(l_quantity) over w, 0) < 0.10 lost,
-           round(l_extendedprice, 2) >= 50000 expressed from lineitem where l_suppkey % 20 = 0 window w as (partition by l_suppkey, l_partkey % 6)""")
+           round(l_extendedprice, 2) >= 50000 expressed from lineitem window w as (partition by l_suppkey, l_partkey % 6)""")
 def allele_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = derive(spark, sf_dir, "lineitem", "l_suppkey as sample", "l_partkey % 6 as gene", "l_linenumber as id", "l_orderkey as ord", "l_quantity as TumorTotal", "l_extendedprice / 5000 as RnaTotal", where="l_suppkey % 20 = 0")
+    rows = derive(spark, sf_dir, "lineitem", "l_suppkey as sample", "l_partkey % 6 as gene", "l_linenumber as id", "l_orderkey as ord", "l_quantity as TumorTotal", "l_extendedprice / 5000 as RnaTotal")
     return hla.allele_evidence(rows).select("sample", "gene", "id", "ord", F.round("dna_share", 9).alias("dna_share"), "lost", "expressed")
 
 

@@ -101,13 +101,14 @@ def read_expression(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 
 def read_calls(spark: SparkSession, path: str | None, kind: str) -> DataFrame:
-    """A table of calls under its schema; an absent file is an empty table."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return separated(spark, path, SCHEMAS[kind]) if path else spark.createDataFrame([], SCHEMAS[kind])
-    except AnalysisException:
-        return spark.createDataFrame([], SCHEMAS[kind])
+    """A table of calls under its schema, chromosomes in one spelling, rows numbered in file order (call_row).
+
+    No path means that the caller was not run: an empty table. A path that is not there raises, since "no calls" would
+    be made up.
+    """
+    calls = separated(spark, path, SCHEMAS[kind]) if path else spark.createDataFrame([], SCHEMAS[kind])
+    spelled = {c: normal_chrom(F.col(c)) for c in ("Chromosome", "ChrUp", "ChrDown") if c in calls.columns}
+    return calls.withColumns(spelled).withColumn("call_row", F.monotonically_increasing_id())
 
 
 def parse_bed(lines: DataFrame) -> DataFrame:

@@ -5,15 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Column that takes the text of a line that does not fit the schema.
+BROKEN = "_broken_line"
+
 
 def pending(patients: DataFrame, processed: DataFrame) -> DataFrame:
     """Patients that are not in the processed table."""
     return patients.join(processed.select("patient"), "patient", "left_anti")
 
 
-def ingest_available(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str) -> None:
-    """Append every new file of the source folder once, as Parquet by patient; the checkpoint remembers what is done."""
-    rows = spark.readStream.schema(schema).option("header", True).option("sep", "\t").csv(source)
+def isolate_failures(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of patients all of whose lines fit, failed patients with the number of lines that do not and the first).
+
+    rows has patient and BROKEN, null where a line fits; a patient fails as a whole, the others are untouched.
+    """
+    failed = rows.filter(F.col(BROKEN).isNotNull()).groupBy("patient").agg(F.count("*").alias("broken_lines"), F.min(BROKEN).alias("example"))
+    return rows.join(failed.select("patient"), "patient", "left_anti").drop(BROKEN), failed
+
+
+def ingest_available(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, failures: str | None = None, processed: str | None = None) -> None:
+    """Append every new file of the source folder once, as Parquet by patient; the checkpoint remembers what is done.
+
+    A patient with a line that does not fit the schema is written to `failures` (patient, broken_lines, example,
+    batch) instead, and stops no other; `processed` takes the patients that were appended. A batch that is run again
+    after a crash replaces what it wrote before.
+    """
+    rows = spark.readStream.schema(f"{schema}, {BROKEN} string").option("header", True).option("sep", "\t").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BROKEN).csv(source)
     rows = rows.withColumn("patient", F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]+)", 1))
-    query = rows.writeStream.format("parquet").partitionBy("patient").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+
+    def append(batch: DataFrame, number: int) -> None:
+        good, failed = isolate_failures(batch.withColumn("batch", F.lit(number)))
+        good.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "patient").parquet(target)
+        for path, table in ((failures, failed.withColumn("batch", F.lit(number))), (processed, good.select("patient", "batch").distinct())):
+            if path:
+                table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+    rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -3,10 +3,11 @@
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from juncture.functions import alignments, sequence, variants
-from juncture.operators import audit, binding, cross, expression, funnel, hla, lineage, peptides, ranges, reads, universe
+from juncture.operators import admission, audit, binding, cross, expression, funnel, hla, lineage, master, peptides, ranges, reads, universe
 from juncture.plans import null_model
 from juncture.sources import readers
 
@@ -230,7 +231,9 @@ def test_sources(spark, tmp_path):
     assert readers.read_catalogue(spark, str(tmp_path / "cat.tsv"), {"neo": "ref_peptide", "gene1": "ref_gene"}).first().ref_peptide == "MATCHPEPT"
     with pytest.raises(ValueError, match="catalogue lacks"):
         readers.read_catalogue(spark, str(tmp_path / "cat.tsv"), {"missing": "ref_peptide"})
-    assert readers.read_calls(spark, None, "fusion_call").count() == 0 and readers.read_calls(spark, str(tmp_path / "no.tsv"), "fusion_call").count() == 0
+    assert readers.read_calls(spark, None, "fusion_call").count() == 0
+    with pytest.raises(AnalysisException):  # a wrong path is not "no calls"
+        readers.read_calls(spark, str(tmp_path / "no.tsv"), "fusion_call").count()
     wide = spark.createDataFrame([("p", "A01:01", "")], "sampleId string, `HLA-A_1` string, `HLA-A_2` string")
     assert [tuple(r) for r in readers.long_genotypes(wide, "sampleId").collect()] == [("p", "HLA-A_1", "A01:01")]
 
@@ -246,3 +249,102 @@ def test_incremental_ingest(spark, tmp_path):
         assert spark.read.parquet(str(out)).count() == n
         (src / "p2.tsv").write_text("neoantigen\tgene1\nBBB\tG\n")
     assert {r.patient for r in spark.read.parquet(str(out)).collect()} == {"p1", "p2"}
+
+
+def test_ingest_isolates_failures(spark, tmp_path):
+    from juncture.streaming.ingest import ingest_available
+
+    src, out, mark, bad, done = (tmp_path / n for n in ("in", "out", "mark", "bad", "done"))
+    src.mkdir()
+    (src / "p1.tsv").write_text("neoantigen\tn\nAAA\t1\n")
+    (src / "p2.tsv").write_text("neoantigen\tn\nBBB\t2\nCCC\tnot a number\n")
+    (src / "p3.tsv").write_text("neoantigen\tn\nDDD\t3\n")
+    ingest_available(spark, str(src), "neoantigen string, n int", str(out), str(mark), str(bad), str(done))
+    assert {(r.patient, r.neoantigen, r.n) for r in spark.read.parquet(str(out)).collect()} == {("p1", "AAA", 1), ("p3", "DDD", 3)}
+    assert [(r.patient, r.broken_lines, r.example) for r in spark.read.parquet(str(bad)).collect()] == [("p2", 1, "CCC\tnot a number")]
+    assert {r.patient for r in spark.read.parquet(str(done)).collect()} == {"p1", "p3"}
+
+
+def breakends(spark, rows):
+    """(id, chrom, pos, alt, mateid, svtype, vf) in file order."""
+    names = "id string, chrom string, pos long, alt string, mateid string, svtype string, vf int"
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], f"{names}, file_row long")
+    return df.withColumns({"sample": F.lit("s"), "ref": F.lit("a"), "qual": F.lit(1.0), "pon_count": F.lit(None).cast("int"), **{c: F.lit(None).cast("int") for c in ("sf", "df", "ref_reads", "segmapq")}})
+
+
+def test_pairing_without_mates_and_ids(spark):
+    five = [(".", "1", 100 * k, f"A[chr1:{100 * k + 50}[", None, "DEL", k) for k in range(1, 6)]
+    got = admission.pair_junctions(breakends(spark, five)).collect()
+    assert sorted((r.pos1, r.pos2, r.event_size, r.vf1, r.vf2) for r in got) == [(100 * k, 100 * k + 50, 49, k, k) for k in range(1, 6)]
+    rows = [("x1", "1", 10, "A[chr2:900[", "x2", "dup", 3), ("x2", "2", 900, "]chr1:10]A", "x1", "dup", 4), ("y1", "1", 10, "ATT[chr1:80[", "gone", "BND", 5), ("z", "1", 5, "A.", None, "SGL", 1)]
+    got = {r.sample_sv_id: r for r in admission.pair_junctions(breakends(spark, rows)).collect()}
+    assert set(got) == {"x1", "y1"}
+    assert (got["x1"].chrom2, got["x1"].pos2, got["x1"].vf2, got["x1"].event_size) == ("2", 900, 4, None)
+    assert (got["y1"].pos2, got["y1"].vf2, got["y1"].insert_len, got["y1"].insert_seq, got["y1"].event_size) == (80, 5, 2, "TT", None)
+
+
+def test_classes_in_either_case(spark):
+    assert one(spark, variants.event_size(F.lit("del"), F.lit(10), F.lit(20), F.lit(0)), variants.event_size(F.lit("bnd"), F.lit(10), F.lit(20), F.lit(0))) == (9, None)
+    assert one(spark, variants.inserted_bases(F.lit("a"), F.lit("AGT[1:5[")), variants.inserted_bases(F.lit("A"), F.lit("]1:5]GTa"))) == ("GT", "GT")
+    assert one(spark, reads.select_test(F.lit("bnd"), F.lit("1"), F.lit("1"), F.lit(None).cast("int"), F.lit(0))[0])[0] == "chimeric"
+    model = lambda a, b, g="G": variants.junction_model(F.lit("G"), F.lit(g), F.lit(a), F.lit(b))
+    assert one(spark, model("CDS", "CDS"), model("intron", "CDS"), model("UTR", "CDS"), model("CDS", "CDS", "H")) == ("coding_join", "exon_intron_uncertain", "UTR-CDS_uncertain", "inter_gene")
+
+
+def test_calls_in_file_order_with_prefixes(spark):
+    events = spark.createDataFrame([("e", "chr1", 100, "2", 5000)], "k string, chrom1 string, pos1 long, chrom2 string, pos2 long").withColumn("chrom1", variants.normal_chrom(F.col("chrom1")))
+    fusions = spark.createDataFrame([("z", "chr2", 4100, "chr1", 7, 1), ("a", "chr2", 4100, "chr1", 9, 2)], "FusionId string, ChrUp string, PosUp long, ChrDown string, SplitFrags int, call_row long")
+    assert tuple(expression.fusion_at(events, fusions, "k").first()) == ("e", "z", 7)
+    splice = spark.createDataFrame([("chr1", 150, 900, 4, "novel")], "Chromosome string, SjStart long, SjEnd long, FragCount int, Type string")
+    assert expression.nearest_splice(events, splice, "k").first().alt_sj_distance == 50
+
+
+def test_derivation_order_and_stacks(spark):
+    names = "n_generated int, n_matched int, distance long, insert_len int, evidence string, svtype string, patient_svtype string"
+    rows = [(5, 1, 0, 3, "identical_peptide", "DEL", "DEL"), (4, 0, 0, 9, "within_1kb", "DEL", "DUP"), (0, 0, 700, 0, "within_1kb", "DEL", None), (2, 0, 90_000, None, "within_100kb", "INV", None), (None, None, None, None, "not_seen", "INV", None)]
+    df = spark.createDataFrame(rows, names)
+    got = [(r.step, r.n) for r in funnel.derivation_steps(df).orderBy("place").collect()]
+    assert [n for _, n in got] == [5, 4, 5, 3, 1, 3, 1, 1, 1, 2, 1, 2, 2, 1]
+    assert tuple(funnel.derivation_medians(df).first()) == (3.0, 6.0, 9.0, 3.0, 0.2, 0.2)
+    events = spark.createDataFrame([("a", "G2", "WEAK", True), ("b", "G1", "STRONG", False), ("c", "G3", "STRONG", True), ("d", "G0", None, None)], "id string, gene string, rna_tier string, private boolean")
+    assert [r.id for r in funnel.by_tier(events, "id").collect()] == ["c", "b", "a", "d"]
+    both = master.stack({"x": events.select("id"), "y": events.select("id", "gene")}, "line")
+    assert both.count() == 8 and both.filter("line = 'x' and gene is not null").count() == 0
+    counts = spark.createDataFrame([("l1", "records", 9), ("l1", "paired", 4), ("l2", "records", 3)], "line string, step string, n long")
+    assert sorted(tuple(r) for r in funnel.admission_table(counts, "line", ["records", "paired"]).collect()) == [("l1", 9, 4), ("l2", 3, None)]
+
+
+def test_large_gene_sets_and_missing_paths(spark, tmp_path):
+    assert abs(audit.binomial_two_sided(550, 1100, 0.5) - 1) < 1e-9 and audit.binomial_two_sided(100, 5000, 0.5) == 0
+    assert round(audit.binomial_two_sided(2, 10, 0.5), 6) == 0.109375
+    samples = spark.createDataFrame([("a", "germline", None)], "name string, vcf_kind string, parent string")
+    paths = spark.createDataFrame([("a", "vcf", str(tmp_path)), ("a", "rna_bam", str(tmp_path / "no")), ("a", "dna_bam", None), ("b", "vcf", "/nowhere")], "owner string, key string, path string")
+    errors, _ = audit.check_run(samples, samples.select("name"), paths=paths)
+    assert len(errors) == 2 and all("does not exist" in e for e in errors)
+
+
+def test_fusions_of_two_genes(spark):
+    head, tail = "ATG" + "GCC" * 30, "ATG" + "TGG" * 30 + "TAA"
+    block = lambda a, b: f"named_struct('start', {a}L, 'end', {b}L)"
+    rows = [("five_plus", "+", "+", True, False, "intron", "intron"), ("both_five", "+", "+", True, True, "intron", "intron"), ("exonic", "+", "+", True, False, "CDS", "intron"), ("five_minus", "-", "+", False, False, "intron", "intron")]
+    df = spark.createDataFrame(rows, "k string, strand1 string, strand2 string, left1 boolean, left2 boolean, region1 string, region2 string")
+    df = df.withColumns({"cds1": F.lit(head), "cds2": F.lit(tail), "pos1": F.lit(200), "pos2": F.lit(5200), "cds_blocks1": F.expr(f"array({block(101, 160)}, {block(301, 333)})"), "cds_blocks2": F.expr(f"array({block(5001, 5048)}, {block(5301, 5348)})")})
+    got = {r.k: (r.model, r.fused, r.junction_nt) for r in peptides.fusion_coding(df).collect()}
+    assert got["five_plus"] == ("fusion_intronic", head[:60] + tail[48:], 60)
+    assert got["five_minus"] == ("fusion_intronic", head[:33] + tail[48:], 33)
+    assert got["both_five"][:2] == ("fusion_no_product", None) and got["exonic"][:2] == ("not_modelled", None)
+    made = peptides.generator("spliced_cds")(df, ["k"]).filter("k = 'five_plus'").collect()
+    assert made and all(r.spans_junction for r in made) and {r.pep_length for r in made} == {8, 9, 10, 11}
+
+
+def test_breakpoint_or_gap(spark):
+    probes = spark.createDataFrame([("e", "breakpoint", "ACGTACGT"), ("e", "120", "TTTTGGGG"), ("e", "121", "CCCCCCAA"), ("f", "breakpoint", "GGGGGGGG")], "k string, probe string, sequence string")
+    held = spark.createDataFrame([("e", "xxTTTTGGGGxx"), ("e", "CCCCAAAA"), ("e", "ACGTACGT"), ("f", "AAAA")], "k string, seq string")
+    got = {r.k: (r.breakpoint_hits, r.gap_hits, r.gap, r.supported) for r in reads.breakpoint_or_gap(probes, held, ["k"]).collect()}
+    assert got == {"e": (1, 2, "120", "gap"), "f": (0, 0, None, "neither")}
+    pairs = spark.createDataFrame([([(5, 90), (7, 90)],), ([(5, 80)],)], "gaps array<struct<start:int,length:int>>")
+    assert sorted(tuple(r) for r in reads.gap_profile(pairs).collect()) == [("size", 80, 1), ("size", 90, 2), ("start", 5, 2), ("start", 7, 1)]
+    loci = spark.range(1).select(F.inline(reads.background_loci(10_000, 20, 3, "1")))
+    held = spark.range(0, 10_000, 50).select(F.lit("1").alias("chrom"), F.col("id").alias("start0"), F.lit("50M").alias("cigar"), F.when(F.col("id") % 100 == 0, "AACCGGTA").otherwise("T").alias("seq"))
+    rate = reads.background_rate(held, loci, "ACCGG").first()
+    assert loci.count() == 20 and rate.background_reads > 100 and 400 < rate.background_per_1000 < 600
