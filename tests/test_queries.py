@@ -6,6 +6,7 @@ import pytest
 
 import oracle
 from juncture import queries
+from juncture import queries_evidence  # noqa: F401 - registers its queries
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(oracle.SF_DIR), reason="no driver tables")
 
