@@ -40,23 +40,25 @@ def overlapping(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[
 def reciprocal_overlaps(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[str, str], b_range: tuple[str, str], least: float) -> DataFrame:
     """Pairs whose overlap is at least `least` of either length; lengths are end - start, 1 at least.
 
-    Such lengths differ by a factor of 1/least at most and starts by (1 - least) of the longer one, so b goes to a
-    bin of its size class and a probes a few bins in the neighbouring classes, however long the intervals are.
+    Such lengths differ by a factor of 1/least at most. b goes to a cell, a quarter of its size class wide, by its
+    start; a probes the cells of the neighbouring classes that a partner's start can lie in: at most
+    (1 - least) * size_a after its own start, and as far before it as the longest partner of that class allows. So an
+    interval takes a few rows, however long it is.
     """
     (a0, a1), (b0, b1) = a_range, b_range
     reach = math.ceil(math.log2(1 / least))
     size_a, size_b = F.greatest(F.col(a1) - F.col(a0), F.lit(1)), F.greatest(F.col(b1) - F.col(b0), F.lit(1))
-    power = lambda c: F.pow(F.lit(2.0), c)
-    right = b.withColumn("_class", F.floor(F.log2(size_b)).cast("int"))
-    right = right.withColumn("_bin", F.floor(F.col(b0) / power(F.col("_class") + 1))).alias("b")
-    left = a.withColumn("_own", F.floor(F.log2(size_a)).cast("int")).withColumn("_class", F.explode(F.sequence(F.col("_own") - reach, F.col("_own") + reach)))
-    away = (1 - least) * power(F.greatest(F.col("_class"), F.col("_own")) + 1)
-    cell = power(F.col("_class") + 1)
-    left = left.withColumn("_bin", F.explode(F.sequence(F.floor((F.col(a0) - away) / cell), F.floor((F.col(a0) + away) / cell)))).alias("a")
+    cell = F.greatest(F.pow(F.lit(2.0), F.col("_class") - 1), F.lit(1.0))
+    right = b.withColumn("_class", F.floor(F.log2(size_b)).cast("int")).withColumn("_bin", F.floor(F.col(b0) / cell)).alias("b")
+    own = F.floor(F.log2(size_a)).cast("int")
+    left = a.withColumn("_class", F.explode(F.sequence(F.greatest(own - reach, F.lit(0)), own + reach)))
+    longest_b = F.least(F.pow(F.lit(2.0), F.col("_class") + 1), size_a / least)
+    before, after = longest_b - least * F.greatest(longest_b, size_a), (1 - least) * size_a
+    left = left.filter(before >= 0).withColumn("_bin", F.explode(F.sequence(F.floor((F.col(a0) - before) / cell), F.floor((F.col(a0) + after) / cell)))).alias("a")
     on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "_class", "_bin"]]
     shared = F.least(F.col(f"a.{a1}"), F.col(f"b.{b1}")) - F.greatest(F.col(f"a.{a0}"), F.col(f"b.{b0}"))
     longest = F.greatest(F.col(f"a.{a1}") - F.col(f"a.{a0}"), F.col(f"b.{b1}") - F.col(f"b.{b0}"), F.lit(1))
-    return left.join(right, on).filter(shared >= least * longest).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys]).drop("_own", "_class", "_bin")
+    return left.join(right, on).filter(shared >= least * longest).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys]).drop("_class", "_bin")
 
 
 def within_distance(a: DataFrame, b: DataFrame, keys: Sequence[str], pos: str, other: str, tolerance: int) -> DataFrame:

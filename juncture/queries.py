@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import sequence, variants
@@ -102,13 +102,21 @@ def event_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     b as (select distinct item_id, array_to_string(a[i + 1 : i + 8], ' ') g from bw, unnest(range(greatest(len(a) - 7, 0))) t(i))
     select item_id, count(distinct doc_id) n_docs, count(distinct g) n_windows from c join b using (g) group by item_id""")
 def exact_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def grams(name: str, key: str) -> DataFrame:
-        words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
-        rows = table(spark, sf_dir, name).select(key, words.alias("a")).filter(F.size("a") >= 8)
-        spans = F.transform(F.sequence(F.lit(1), F.size("a") - 7), lambda i: F.array_join(F.slice("a", i, F.lit(8)), " "))
-        return rows.select(key, F.explode(F.array_distinct(spans)).alias("g"))
+    """Windows meet as hashes first; only texts that have one of the benchmark's are compared word for word."""
+    def words(df: DataFrame, key: str) -> DataFrame:
+        return df.select(key, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "").alias("a")).filter(F.size("a") >= 8)
 
-    found = grams("documents", "doc_id").join(grams("benchmark", "item_id"), "g")
+    def windows(df: DataFrame, key: str, of: Callable[[Column], Column], name: str) -> DataFrame:
+        spans = F.transform(F.sequence(F.lit(1), F.size("a") - 7), lambda i: of(F.slice("a", i, F.lit(8))))
+        return words(df, key).select(key, F.explode(F.array_distinct(spans)).alias(name))
+
+    def text(span: Column) -> Column:
+        return F.array_join(span, " ")
+
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    hashes = windows(items, "item_id", F.xxhash64, "h").select("h").distinct()
+    near = windows(docs, "doc_id", F.xxhash64, "h").join(hashes, "h", "left_semi").select("doc_id").distinct()
+    found = windows(docs.join(near, "doc_id", "left_semi"), "doc_id", text, "g").join(windows(items, "item_id", text, "g"), "g")
     return found.groupBy("item_id").agg(F.count_distinct("doc_id").alias("n_docs"), F.count_distinct("g").alias("n_windows"))
 
 
