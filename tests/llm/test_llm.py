@@ -374,6 +374,54 @@ def model_rest(model, context):
     return float(p[0])
 
 
+def brute_cross_entropy(train, text, vocabulary):
+    """Nats a character of an interpolated Kneser-Ney model of order 4, from dictionaries of strings; vocabulary: how
+    many characters any language has."""
+    order, pad = language_id.ORDER, " " * (language_id.ORDER - 1)
+    seen = {n: collections.Counter() for n in range(1, order + 1)}
+    for t in train:
+        t = pad + t
+        for i in range(len(pad), len(t)):
+            for n in seen:
+                seen[n][t[i - n + 1 : i + 1]] += 1
+    used = {order: dict(seen[order])}
+    for n in range(1, order):
+        before = collections.Counter(g[1:] for g in seen[n + 1])
+        used[n] = {g: before.get(g, 1) for g in seen[n]}
+    tables = []
+    for n in range(1, order + 1):
+        n1, n2 = (sum(c == k for c in used[n].values()) for k in (1, 2))
+        d = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+        total, kinds = collections.Counter(), collections.Counter()
+        for g, c in used[n].items():
+            total[g[:-1]] += c
+            kinds[g[:-1]] += 1
+        tables.append((used[n], total, kinds, d, min(d, min(used[n].values()))))
+    log, t = 0.0, pad + text
+    for i in range(len(pad), len(t)):
+        p = 1.0 / (vocabulary + 1)
+        for n, (c, total, kinds, d, back) in enumerate(tables, 1):
+            g = t[i - n + 1 : i + 1]
+            if total[g[:-1]]:
+                p = max(c.get(g, 0) - d, 0) / total[g[:-1]] + back * kinds[g[:-1]] / total[g[:-1]] * p
+        log += np.log(p)
+    return -log / len(text)
+
+
+def test_kneser_ney_against_brute_force(spark):
+    rng = random.Random(14)
+    letters = {"xx": "abcde fg", "yy": "efg hijk"}
+    texts = {lang: [" ".join("".join(rng.choice(chars) for _ in range(20)).split()) for _ in range(12)] for lang, chars in letters.items()}
+    rows = [(k, t, lang) for lang, own in texts.items() for k, t in enumerate(own, 100 if lang == "yy" else 0)]
+    models = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(False))
+    assert models.names == ["xx", "yy"]
+    vocabulary = len({c for own in texts.values() for t in own for c in language_id.normalise(t)})
+    for probe in ("abc fed", "hijk gfe e", "zzz", "a"):
+        body = language_id.normalise(probe)
+        want = [brute_cross_entropy([language_id.normalise(t) for t in texts[lang]], body, vocabulary) for lang in models.names]
+        assert np.allclose(models.cross_entropies(body), want, atol=1e-5)
+
+
 def test_exact_dedup(docs, empty):
     groups = collections.defaultdict(list)
     for key, text in text_rows(docs):
