@@ -39,6 +39,16 @@ def materialise(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that `materialise` wrote (not by a column) and that no plan will read again."""
+    for t in tables:
+        files = t.inputFiles()
+        if files:
+            spark = t.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the rows of an Arrow batch; texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

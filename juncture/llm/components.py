@@ -7,7 +7,7 @@ import itertools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
 #: Rounds after which something must be wrong: a component of n nodes takes about log n.
 MOST_ROUNDS = 60
@@ -34,6 +34,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         point = materialise(point, "point")
         twice = point.alias("x").join(point.alias("y"), F.col("x.p") == F.col("y.a")).select(F.col("x.a").alias("a"), F.col("y.p").alias("p"))
         jump = materialise(twice, "jump")
+        old = members
         if members is None:
             members = jump.select(F.col("a").alias("node"), F.col("p").alias("root"))
         else:
@@ -41,7 +42,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         members = materialise(members, "members")
         half = both.join(jump, "a").select(F.col("p").alias("a"), "b")
         moved = half.join(jump.select(F.col("a").alias("b"), F.col("p").alias("q")), "b").select("a", F.col("q").alias("b"))
-        both = materialise(moved.filter("a <> b").distinct(), "edges")
+        edges, both = both, materialise(moved.filter("a <> b").distinct(), "edges")
+        # What this round has read is in the tables of the next one.
+        discard(edges, point, jump, *([] if old is None else [old]))
     if members is None:
         return both.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return members
