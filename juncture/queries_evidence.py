@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .functions import variants
-from .operators import admission, audit, binding, confidence, cross, expression, funnel, hla, lineage, master, peptides, ranges, reads, universe
+from .operators import admission, audit, binding, confidence, cross, expression, funnel, hla, lineage, master, peptides, reads, universe
 from .plans import null_model
 from .plans import pipeline as plan
 from .queries import _TREE, CLOSURE_SQL, DAY, SQL_DAY, TREE_SQL, derive, joined, query, table
@@ -381,3 +381,125 @@ def null_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = null_model.permutation_counts(candidates, catalogue, "peptide", 200)
     out = null_model.null_summary(counts, null_model.observed_matches(candidates, catalogue, "peptide"))
     return out.withColumns({c: F.round(c, 9) for c in ("null_mean", "null_sd")})
+
+
+# Sequences, reads, comparisons
+
+
+@query("""
+    with n as (select p_partkey k, upper(translate(md5(p_name), '0123456789abcdef', 'ACGTACGTACGTACGT')) s, p_size z from part), l as (select *, list_filter(string_split(s, ''), lambda x: x <> '') a from n)
+    select k, length(s) n_bases, round(len(list_filter(a, lambda x: x in ('G', 'C'))) / length(s), 6) gc, z + 2 junction_nt, ((z + 2) / 3)::int - case when (z + 2) % 3 = 2 then 1 else 0 end junction_aa,
+           3 * 2 < z + 2 and z + 2 < 3 * 10 spans, case when z % 4 <> 0 then 'chr' || z || ':' || k end is not null parsed, case when z % 4 <> 0 then k + 5 end pos2 from l""")
+def sequence_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .functions import sequence
+
+    rows = derive(spark, sf_dir, "part", "p_partkey as k", "translate(md5(p_name), '0123456789abcdef', 'ACGTACGTACGTACGT') as s", "p_size as z", "if(p_size % 4 <> 0, concat('chr', p_size, ':', p_partkey, '-', p_size, ':', p_partkey + 5), null) as t")
+    nt, aa = sequence.junction_offset(F.repeat(F.lit("A"), F.col("z")), F.lit("GT"))
+    text = F.when(F.col("t").isNotNull(), variants.junction_text(F.col("t")))
+    c = sequence.composition(F.col("s"))
+    return rows.select("k", c["length"].alias("n_bases"), F.round(c["gc"], 6).alias("gc"), nt.alias("junction_nt"), aa.alias("junction_aa"), sequence.spans_junction(F.lit(2), F.lit(8), nt).alias("spans"), text["chrom1"].isNotNull().alias("parsed"), text["pos2"].alias("pos2"))
+
+
+@query("""
+    select l_orderkey * 10 + l_linenumber id, case when l_partkey between 10 and 40 or l_partkey between 100 and 140 then 'CDS' when l_partkey between 5 and 50 then 'UTR' when l_partkey between 5 and 160 then 'intron' else 'outside' end region,
+           greatest(0, least(40, l_partkey) - 9) + greatest(0, least(140, l_partkey) - 99) head_plus, greatest(0, 41 - greatest(10, l_partkey)) + greatest(0, 141 - greatest(100, l_partkey)) head_minus,
+           l_suppkey % 3 = 1 and abs(l_partkey * 20 - 900) <= 1000 partner from lineitem""")
+def cut_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = lambda *x: F.expr("array(" + ", ".join(f"named_struct('start', {a}L, 'end', {b}L)" for a, b in x) + ")")
+    coding, exons, pos = blocks((10, 40), (100, 140)), blocks((5, 50), (100, 140)), F.col("l_partkey")
+    from .functions.alignments import partner_hit
+
+    tag = F.concat(F.lit("x;chr"), F.col("l_suppkey") % 3, F.lit(","), pos * 20, F.lit(",+,50M,60,0;"))
+    return table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), variants.region(pos, F.lit(5), F.lit(160), exons, coding).alias("region"), peptides.head_length(coding, F.lit("+"), pos).alias("head_plus"),
+        peptides.head_length(coding, F.lit("-"), pos).alias("head_minus"), partner_hit(tag, F.lit("1"), F.lit(900)).alias("partner"),
+    )
+
+
+@query("""
+    with a as (select l_suppkey % 50 s, l_returnflag f, count(*) n from lineitem where l_quantity < 30 group by all), b as (select l_suppkey % 50 s, l_returnflag f, count(*) n from lineitem where l_quantity > 20 and l_returnflag <> 'R' group by all)
+    select coalesce(a.s, b.s) line, coalesce(a.f, b.f) f, coalesce(a.n, 0) n_before, coalesce(b.n, 0) n_after, coalesce(b.n, 0) - coalesce(a.n, 0) difference from a full join b on a.s = b.s and a.f = b.f""")
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = derive(spark, sf_dir, "lineitem", "l_suppkey % 50 as line", "l_returnflag as f", "l_quantity as q")
+    return audit.compare_counts(rows.filter("q < 30"), rows.filter("q > 20 and f <> 'R'"), ["line", "f"])
+
+
+@query("""
+    with u as (select l_orderkey * 10 + l_linenumber id, l_linenumber % 3 m, l_partkey r from lineitem where l_returnflag = 'A') select id, m matched, r reads from u where m > 0 and id not in (select l_orderkey * 10 + l_linenumber from lineitem where l_quantity > 10)""")
+def filter_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    full = derive(spark, sf_dir, "lineitem", "l_orderkey * 10 + l_linenumber as id", "l_linenumber % 3 as matched", "l_partkey as reads", where="l_returnflag = 'A'")
+    return audit.filter_cost(full, derive(spark, sf_dir, "lineitem", "l_orderkey * 10 + l_linenumber as id", where="l_quantity > 10"), "id", "matched", "reads")
+
+
+@query("""
+    with s as (select o_custkey % 40 line, count(*) c, count(*) filter (o_orderstatus = 'F') m, max(o_orderkey % 500)::int big from orders group by 1)
+    select line, round(1000.0 * m / nullif(c, 0), 3) per_1000, array_to_string(list_filter([case when m = 0 then 'no match' end, case when m > 20 then 'many matches' end, case when big > 400 then 'large panel' end], lambda x: x is not null), ';') notes from s""")
+def line_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = derive(spark, sf_dir, "orders", "o_custkey % 40 as line", "o_orderstatus as s", "o_orderkey % 500 as big")
+    per = rows.groupBy("line").agg(F.count("*").alias("candidates"), F.count_if(F.col("s") == "F").alias("matches"), F.max("big").alias("big"))
+    said = funnel.notes({"no match": F.col("matches") == 0, "many matches": F.col("matches") > 20, "large panel": F.col("big") > 400})
+    return null_model.rate_table(per).select("line", "per_1000", F.array_join(said, ";").alias("notes"))
+
+
+@query("""
+    with e as (select o_custkey % 30 line, o_orderkey k, o_orderkey % 7 n, o_orderstatus = 'P' common from orders where o_orderstatus <> 'O'), j as (select l_orderkey k, case when max(l_quantity) > 45 then 'reject' else 'keep' end j, bool_or(l_discount > 0.05) dna from lineitem where l_returnflag = 'R' group by 1),
+    x as (select e.*, coalesce(j, 'keep') <> 'reject' kept, coalesce(dna, false) dna from e left join j using (k))
+    select line, sum(n)::bigint peptides, count(*) events, count(*) filter (kept) after_judgement, count(*) filter (kept and dna) dna_confirmed, count(*) filter (kept and dna and not common) not_common from x group by line""")
+def line_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = derive(spark, sf_dir, "orders", "o_custkey % 30 as line", "o_orderkey as k", "o_orderkey % 7 as n_peptides", "o_orderstatus = 'P' as common_in_population", where="o_orderstatus <> 'O'")
+    judged = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("k")).agg(
+        F.when(F.max("l_quantity") > 45, "reject").otherwise("keep").alias("judgement"), F.bool_or(F.col("l_discount") > 0.05).alias("dna_confirmed")
+    )
+    return funnel.line_verdict(events, judged, ["k"])
+
+
+@query("""
+    with r as (select l_orderkey k, l_partkey p, l_suppkey s, l_linenumber i from lineitem), n as (select k, count(distinct p) n from r group by k), f as (select *, row_number() over (partition by s order by k, i, p) z from r)
+    select f.s sample, f.k first_event, n.n n_peptides from f join n using (k) where z = 1""")
+def first_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = derive(spark, sf_dir, "lineitem", "l_orderkey as k", "l_partkey as p", "l_suppkey as s", "l_linenumber as i")
+    first = cross.first_of(master.with_distinct_count(rows, ["k"], "p", "n_peptides"), ["s"], ["k", "i", "p"])
+    return first.select(F.col("s").alias("sample"), F.col("k").alias("first_event"), "n_peptides")
+
+
+@query("""
+    with e as (select l_orderkey k, l_linenumber i, upper(translate(md5(l_partkey::varchar), '0123456789abcdef', 'ACGTACGTACGTACGT')) seq from lineitem),
+    p as (select distinct k, 'breakpoint' probe, seq[4:7] q from e where i = 1 union select distinct k, i::varchar, seq[9:12] from e where i > 1),
+    n as (select p.k, p.probe, count(*) filter (contains(e.seq, p.q) or contains(e.seq, reverse(translate(p.q, 'ACGT', 'TGCA')))) h from p join e using (k) group by p.k, p.probe, p.q),
+    s as (select k, probe, sum(h)::bigint h from n group by all), b as (select k, coalesce(max(h) filter (probe = 'breakpoint'), 0) own, max({'h': h, 'p': probe}) filter (probe <> 'breakpoint') g from s group by k)
+    select k, own breakpoint_hits, coalesce(g.h, 0) gap_hits, g.p gap, case when greatest(own, coalesce(g.h, 0)) = 0 then 'neither' when own >= coalesce(g.h, 0) then 'breakpoint' else 'gap' end supported from b""")
+def breakpoint_or_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = derive(spark, sf_dir, "lineitem", "l_orderkey as k", "l_linenumber as i", "translate(md5(cast(l_partkey as string)), '0123456789abcdef', 'ACGTACGTACGTACGT') as seq")
+    own = rows.filter("i = 1").selectExpr("k", "'breakpoint' as probe", "substring(seq, 4, 4) as sequence")
+    other = rows.filter("i > 1").selectExpr("k", "cast(i as string) as probe", "substring(seq, 9, 4) as sequence")
+    return reads.breakpoint_or_gap(own.union(other).distinct(), rows.select("k", "seq"), ["k"])
+
+
+@query(f"""
+    with recursive {TREE_SQL}, c as (select name, name root, parent from t where parent is null union all select t.name, c.root, t.parent from t join c on t.parent = c.name),
+    m as (select l_suppkey % 25 line, count(*) n, count(distinct l_partkey) p from lineitem group by 1) select c.name sample, c.root, m.n, m.p n_peptides from c left join m on m.line::varchar = c.name""")
+def line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines under their root with the columns of two other tables; a line without rows has nulls."""
+    tree = derive(spark, sf_dir, "nation", *_TREE)
+    steps = lineage.closure(tree)
+    top = steps.groupBy("sample").agg(F.max_by("ancestor", "depth").alias("root"))
+    lines = tree.select(F.col("name").alias("sample")).join(top, "sample", "left").withColumn("root", F.coalesce("root", "sample"))
+    rows = derive(spark, sf_dir, "lineitem", "cast(l_suppkey % 25 as string) as sample", "l_partkey as p")
+    counts = [rows.groupBy("sample").agg(F.count("*").alias("n")), rows.groupBy("sample").agg(F.count_distinct("p").alias("n_peptides"), F.lit(0).alias("n"))]
+    return master.left_joined(lines, counts, ["sample"]).select("sample", "root", "n", "n_peptides")
+
+
+@query(f"""
+    with b as (select (o_custkey % 5)::varchar sample, o_custkey % 3 c1, {SQL_DAY.format("o_orderdate")} * 10 p1, o_orderkey % 3 c2, {SQL_DAY.format("o_orderdate")} * 10 + o_orderkey % 400 p2, o_orderkey % 14 pon, o_orderkey % 9 vf from orders)
+    select sample, count(*) junctions, count(*) filter (vf >= 5 and (c1 <> c2 or abs(p2 - p1) >= 100)) confident, count(*) filter (pon < 10) private, count(*) filter (c1 <> c2) between_chromosomes from b where pon < 12 group by sample""")
+def whole_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evidence plan from breakends on: admission, pairing by coordinate, confidence and privacy of every junction."""
+    day = DAY.format("o_orderdate")
+    rows = derive(
+        spark, sf_dir, "orders", "cast(o_custkey % 5 as string) as sample", "cast(o_orderkey as string) as id", "cast(null as string) as mateid", "cast(o_custkey % 3 as string) as chrom", f"{day} * 10 as pos", "'N' as ref", "'PASS' as filter",
+        f"concat('N[chr', o_orderkey % 3, ':', {day} * 10 + o_orderkey % 400, '[') as alt", "30.0D as qual", "'INV' as svtype", "cast(o_orderkey % 14 as int) as pon_count", "o_orderkey as file_row", "cast(o_orderkey % 9 as int) as vf", "60 as segmapq",
+        *[f"cast(null as int) as {c}" for c in ("sf", "df", "ref_reads")],
+    )
+    made, annotation, catalogue = _level_inputs(spark, sf_dir)
+    every = plan.evidence(plan.Inputs(rows, made, annotation, catalogue), "somatic", 12).every
+    return every.groupBy("sample").agg(F.count("*").alias("junctions"), F.count_if("high_confidence").alias("confident"), F.count_if("private").alias("private"), F.count_if(F.col("chrom1") != F.col("chrom2")).alias("between_chromosomes"))
