@@ -20,6 +20,8 @@ from .shingles import shingle_sets
 CHUNK_TOKENS, CHUNK_DOCS, LOW_BITS = 1 << 20, 60_000, 40
 #: Bits of the bucket number; a bucket has about its share of all shingles. More for larger inputs (see bucket_bits).
 LEAST_BUCKET_BITS, BUCKET_TOKENS = 9, 1_000_000
+#: Classes with one token that one task compares with each other.
+TILE = 8192
 #: Bits of the parity map of a set in the suffix filter, as longs.
 MARK_LONGS = 4
 _MANY = np.uint16(0xFFFF)
@@ -335,12 +337,27 @@ def _pairs_of_runs(num: int, den: int, mode: str) -> Callable[[Iterator[pa.Recor
 _ENTRY = "token long, class long, label long, n int, lone int, at int, " + ", ".join(f"{m} long" for m in _MARKS)
 
 
-def _open_runs(num: int, den: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows of the runs that still hold two labels or more; each run gets a token of its own again."""
+def _open_runs(num: int, den: int, tile: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of the runs that still hold two labels or more; each run gets a token of its own again.
+
+    A run of more than `tile` classes (0: never) becomes one run for each two blocks of tile classes whose sizes allow
+    a link, so that its pairs are spread over tasks.
+    """
+
+    def tiles(r: np.ndarray) -> Iterator[np.ndarray]:
+        if not tile or r.shape[1] <= tile:
+            yield r
+            return
+        blocks = [r[:, lo : lo + tile] for lo in range(0, r.shape[1], tile)]
+        for i, a in enumerate(blocks):
+            yield a
+            for b in blocks[i + 1 :]:
+                if den * a[2, -1] >= num * b[2, 0]:
+                    yield np.concatenate([a, b], axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, k, names = TaskContext.get().partitionId(), 0, ["token", "class", "label", "n", "lone", "at", *_MARKS]
-        for r in _runs(batches):
+        for r in (t for whole in _runs(batches) for t in tiles(whole)):
             if (r[1] != r[1, 0]).any():
                 cols = [np.full(r.shape[1], (part << 40) + k), *r[:2], *(c.astype(np.int32) for c in r[2:5]), *r[5:]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in cols], names=names)
@@ -349,7 +366,7 @@ def _open_runs(num: int, den: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return run
 
 
-def settle_links(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int, rounds: int = 2) -> DataFrame:
+def settle_links(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int, rounds: int = 2, tile: int = TILE) -> DataFrame:
     """Verified links (a, b) that connect exactly what all links among classes sharing a token connect.
 
     entries: token, class, n, lone, at, marks; sets_of gives (class, n, tokens) for a table of classes, those that
@@ -362,8 +379,8 @@ def settle_links(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     def ordered(df: DataFrame) -> DataFrame:
         return df.repartition("token").sortWithinPartitions("token", "n", "class")
 
-    def opened(labelled: DataFrame) -> DataFrame:
-        return materialise(ordered(labelled.select(*(f.split()[0] for f in _ENTRY.split(", ")))).mapInArrow(_open_runs(num, den), _ENTRY), "open")
+    def opened(labelled: DataFrame, tile: int) -> DataFrame:
+        return materialise(ordered(labelled.select(*(f.split()[0] for f in _ENTRY.split(", ")))).mapInArrow(_open_runs(num, den, tile), _ENTRY), "open")
 
     def candidates(mode: str, tested: DataFrame | None) -> DataFrame:
         found = ordered(still).mapInArrow(_pairs_of_runs(num, den, mode), "a long, b long").distinct()
@@ -372,12 +389,12 @@ def settle_links(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     def relabelled() -> DataFrame:
         labels = connected_components(links).toDF("class", "_label")
         named = still.drop("label").join(labels, "class", "left")
-        return opened(named.withColumn("label", F.coalesce("_label", "class")))
+        return opened(named.withColumn("label", F.coalesce("_label", "class")), tile)
 
     def verified(pairs: DataFrame) -> DataFrame:
         return materialise(_verify(pairs, sets, num, den), "links")
 
-    still = opened(entries.withColumn("label", F.col("class")))
+    still = opened(entries.withColumn("label", F.col("class")), 0)
     sets = materialise(sets_of(still.select("class").distinct()), "sets")
     tested = candidates("near", None)
     links = verified(tested)
@@ -416,17 +433,17 @@ def bucket_bits(tokens: int) -> int:
     return max(LEAST_BUCKET_BITS, (max(tokens, 1) // BUCKET_TOKENS).bit_length())
 
 
-def jaccard_links(docs: DataFrame, rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def jaccard_links(docs: DataFrame, rows: DataFrame, n: int, num: int, den: int, tile: int = TILE) -> DataFrame:
     """Links (a, b) between classes that connect exactly what all links of similarity >= num/den connect."""
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     sent = _send(docs, n, bucket_bits(total))
     counted = sent.groupBy("bucket").applyInArrow(_count, _PARCEL)
     found = counted.groupBy("chunk").applyInArrow(_assemble(num, den), "class long, n int, lone int, tokens binary, prefix binary, mark binary")
     sets = materialise(found.dropDuplicates(["class"]), "sets")
-    return settle_links(_entries(sets), lambda classes: sets.select("class", "n", "tokens").join(classes, "class", "left_semi"), num, den)
+    return settle_links(_entries(sets), lambda classes: sets.select("class", "n", "tokens").join(classes, "class", "left_semi"), num, den, tile=tile)
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, tile: int = TILE) -> DataFrame:
     """doc_id, n_shingles, class, component_id of each row: documents joined by links of Jaccard >= num/den.
 
     Words are runs other than ASCII white space, A-Z lower-cased; a set holds the distinct n-word shingles, or the
@@ -436,7 +453,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10)
     so a document whose prefix is all such tokens is dropped at once.
     """
     rows = materialise(members(docs, n), "classes")
-    roots = connected_components(jaccard_links(docs, rows, n, num, den))
+    roots = connected_components(jaccard_links(docs, rows, n, num, den, tile))
     full = rows.filter("class is not null").join(roots.toDF("class", "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     full = materialise(full, "rooted")
     least = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))

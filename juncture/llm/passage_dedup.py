@@ -268,8 +268,8 @@ def _rows(names: list[str], *cols: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 100_000]) for c in cols], names=names)
 
 
-def _reduce_runs(cols: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Of equal runs of a chunk the first one is sent for all. Of an anchor with more than MANY_RUNS different runs all
+def _reduce_runs(cols: list[np.ndarray], many_runs: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Of equal runs of a chunk the first one is sent for all. Of an anchor with more than many_runs different runs all
     are to be read again, and one run of no windows tells the anchor so; no anchor gets more rows than that."""
     anchor, content, doc, start, count = cols
     order = np.argsort(anchor, kind="stable")
@@ -279,7 +279,7 @@ def _reduce_runs(cols: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndar
     order = order[np.lexsort((start[order], doc[order], content[order], anchor[order]))]
     first = _changes(anchor[order], content[order])
     group = np.cumsum(_changes(anchor[order])) - 1
-    many = (np.bincount(group, first)[group] if len(group) else first) > MANY_RUNS
+    many = (np.bincount(group, first)[group] if len(group) else first) > many_runs
     head = order[np.flatnonzero(first)[np.cumsum(first) - 1]] if len(order) else order
     settled, again = order[~first], order[first & many]
     told = again[_changes(anchor[again])]
@@ -302,7 +302,7 @@ def _reduce_windows(cols: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.n
     return [c[order[new]] for c in cols], [doc[rest], start[rest], np.ones(len(rest)), doc[head], start[head]]
 
 
-def repeated_windows(texts: DataFrame, bits: int) -> DataFrame:
+def repeated_windows(texts: DataFrame, bits: int, many_runs: int = MANY_RUNS) -> DataFrame:
     """doc_id, start, count, kept_doc_id, kept_start: windows of LEAST_WORDS words that begin at the words start to
     start + count - 1 and also stand at kept_start onward in kept_doc_id, an earlier place by (doc_id, start).
 
@@ -369,14 +369,14 @@ def repeated_windows(texts: DataFrame, bits: int) -> DataFrame:
             head = np.flatnonzero(new)[np.cumsum(new) - 1][~new] if len(new) else order
             yield from _rows(_NAMES, doc[~new], start[~new], np.ones(len(head), np.int32), doc[head], start[head])
 
-    met = materialise(_send(texts, runs, _reduce_runs, _RUNS, bits).groupBy("bucket").applyInArrow(decide_runs, _FOUND + ", open boolean"), "runs")
+    met = materialise(_send(texts, runs, lambda cols: _reduce_runs(cols, many_runs), _RUNS, bits).groupBy("bucket").applyInArrow(decide_runs, _FOUND + ", open boolean"), "runs")
     places = met.filter("open").groupBy("doc_id").agg(F.collect_list(F.struct("start", "count")).alias("at"))
     again = texts.join(places, "doc_id").select("doc_id", "text", F.col("at.start").alias("starts"), F.col("at.count").alias("counts"))
     single = _send(again, windows, _reduce_windows, _WINDOWS, bits).groupBy("bucket").applyInArrow(decide_windows, _FOUND)
     return met.filter("not open").drop("open").unionByName(single)
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
+def repeated_passages(docs: DataFrame, many_runs: int = MANY_RUNS) -> DataFrame:
     """Rows (doc_id, kind, start, words, cluster, kept_doc_id, removed) of what repeats across or within documents.
 
     kind paragraph: paragraphs of LEAST_WORDS words or more whose sets of 5-word shingles are joined by similarity
@@ -391,16 +391,16 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     """
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if unique_ids(named):
-        return _repeated_passages(named)
+        return _repeated_passages(named, many_runs)
     rows = keyed(named, "key")
     ids = rows.select("key", F.col("doc_id").alias("own"))
-    found = _repeated_passages(rows.select(F.col("key").alias("doc_id"), "text"))
+    found = _repeated_passages(rows.select(F.col("key").alias("doc_id"), "text"), many_runs)
     found = found.join(ids, F.col("doc_id") == F.col("key")).drop("doc_id", "key").withColumnRenamed("own", "doc_id")
     found = found.join(ids, F.col("kept_doc_id") == F.col("key")).drop("kept_doc_id", "key").withColumnRenamed("own", "kept_doc_id")
     return found.select("doc_id", "kind", "start", "words", "cluster", "kept_doc_id", "removed")
 
 
-def _repeated_passages(texts: DataFrame) -> DataFrame:
+def _repeated_passages(texts: DataFrame, many_runs: int) -> DataFrame:
     rows = materialise(paragraph_rows(texts), "paragraphs")
     roots = connected_components(paragraph_links(texts, rows)).toDF("class", "root")
     full = rows.select("doc_id", "start", "words", "class").join(roots, "class", "left").withColumn("cluster", F.coalesce("root", "class"))
@@ -410,7 +410,7 @@ def _repeated_passages(texts: DataFrame) -> DataFrame:
         "doc_id", F.lit("paragraph").alias("kind"), "start", "words", "cluster", F.col("head.doc_id").alias("kept_doc_id"), (F.struct("doc_id", "start") != F.col("head")).alias("removed")
     )
     size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
-    found = repeated_windows(texts, max(LEAST_BUCKET_BITS, (size // (40 * BUCKET_ROWS)).bit_length()))
+    found = repeated_windows(texts, max(LEAST_BUCKET_BITS, (size // (40 * BUCKET_ROWS)).bit_length()), many_runs)
     own = W.partitionBy("doc_id").orderBy("start")
     follows = (
         (F.col("start") == F.lag(F.col("start") + F.col("count")).over(own))

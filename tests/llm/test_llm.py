@@ -110,6 +110,12 @@ def test_ngram_join(docs, empty, n, num, den):
     assert ngram_join.jaccard_components(empty, n, num, den).count() == 0
 
 
+def test_ngram_join_in_tiles(docs):
+    """Runs of more than two classes are cut into tiles; the links are the same."""
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs, 2, 5, 10, tile=2).collect()}
+    assert got == brute_components(text_rows(docs), 2, 5, 10)
+
+
 def test_near_copies_keep_one(docs):
     kept = ngram_join.keep_one_of_each(docs)
     want = {k for k, (_, c) in brute_components(text_rows(docs), 5, 8, 10).items() if k == c}
@@ -573,11 +579,10 @@ def test_passages_of_repeated_and_null_ids(spark):
 
 
 @pytest.mark.parametrize("many", [16, 1])
-def test_passages_with_busy_anchors(spark, docs, many, monkeypatch):
+def test_passages_with_busy_anchors(spark, docs, many):
     """The same words are found when anchors of more than one run in a chunk are read again unasked."""
-    monkeypatch.setattr(passage_dedup, "MANY_RUNS", many)
     got = collections.defaultdict(set)
-    for r in passage_dedup.repeated_passages(docs).filter("kind = 'passage'").collect():
+    for r in passage_dedup.repeated_passages(docs, many).filter("kind = 'passage'").collect():
         got[r.doc_id] |= set(range(r.start, r.start + r.words))
     assert dict(got) == {k: v for k, v in windows_seen(text_rows(docs)).items() if v}
 
@@ -623,11 +628,10 @@ def removed_rows(df, *args):
 
 
 @pytest.mark.parametrize(("hot", "many"), [(4000, 16), (0, 16), (4000, 1)])
-def test_repeated_bytes(docs, empty, hot, many, monkeypatch):
+def test_repeated_bytes(docs, empty, hot, many):
     """Also with every anchor treated as a hot one, and with anchors of two runs in a chunk compared unasked."""
-    monkeypatch.setattr(suffix_dedup, "MANY_RUNS", many)
     rows = text_rows(docs)
-    assert removed_rows(docs, hot) == [(False, k, *r) for (k, _), r in zip(rows, brute_removed(rows), strict=True)]
+    assert removed_rows(docs, hot, many) == [(False, k, *r) for (k, _), r in zip(rows, brute_removed(rows), strict=True)]
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
