@@ -18,6 +18,7 @@ from .passage_dedup import repeated_passages
 from .sentencepiece import sample_segmentations
 from .sharding import shard_documents
 from .suffix_dedup import remove_repeats
+from .token_files import encode_and_read
 
 
 def op1_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,8 +67,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_documents(spark, sf_dir))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return encode_and_read(read_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_media_columns, op2_ngram_jaccard, op3_sentencepiece, op4_secret_scan, op5_mix_sources, op6_language_id, op7_exact_dedup, op8_substring_dedup, op9_suffix_array_dedup, op10_sharding)}
+    return {f.__name__: f for f in (op1_media_columns, op2_ngram_jaccard, op3_sentencepiece, op4_secret_scan, op5_mix_sources, op6_language_id, op7_exact_dedup, op8_substring_dedup, op9_suffix_array_dedup, op10_sharding, op11_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
