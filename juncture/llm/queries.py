@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +11,13 @@ from . import sql
 from .common import read_documents, small_batches
 from .exact_dedup import exact_duplicates
 from .language_id import identify_documents
+from .lexical_search import search
 from .media import documents_as_media
 from .mixing import mix_sources
 from .ngram_join import jaccard_components
 from .secrets import scan_secrets
 from .passage_dedup import repeated_passages
+from .periodic_runs import periodic_runs, summarise_runs
 from .sentencepiece import sample_segmentations
 from .sharding import shard_documents
 from .suffix_dedup import remove_repeats
@@ -72,8 +75,29 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read(read_documents(spark, sf_dir))
 
 
+def _planted_words(doc_id: int | None, text: bytes) -> list[bytes]:
+    """The words of op12: in every tenth document, by a checksum of its id, the words from a place on repeat."""
+    words, mark = text.split(), zlib.crc32(str(doc_id).encode())
+    if mark % 10 or not words:
+        return words
+    n, mark = len(words), mark // 10
+    a = mark % n
+    p = 1 + (n - a) // (3 + mark % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return summarise_runs(periodic_runs(read_documents(spark, sf_dir), _planted_words))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return search(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_media_columns, op2_ngram_jaccard, op3_sentencepiece, op4_secret_scan, op5_mix_sources, op6_language_id, op7_exact_dedup, op8_substring_dedup, op9_suffix_array_dedup, op10_sharding, op11_token_files)}
+    return {f.__name__: f for f in (op1_media_columns, op2_ngram_jaccard, op3_sentencepiece, op4_secret_scan, op5_mix_sources, op6_language_id, op7_exact_dedup, op8_substring_dedup, op9_suffix_array_dedup, op10_sharding, op11_token_files, op12_periodic_runs, op13_lexical_search)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -85,4 +109,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_exact_dedup": sql.exact_dedup(),
         "op9_suffix_array_dedup": sql.repeated_bytes(),
         "op10_sharding": sql.sharding(),
+        "op13_lexical_search": sql.lexical_search(),
     }

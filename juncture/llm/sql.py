@@ -75,3 +75,15 @@ def repeated_bytes(window: int = 100) -> str:
     q as (select doc_id, a, b, coalesce(lag(b) over (partition by doc_id order by a), 0) p from s),
     e as (select doc_id, string_agg(h[2 * p + 1 : 2 * a], '' order by a) front, max(b) last, sum(b - a)::bigint n_removed, count(*) n_spans from q join h using (doc_id) group by doc_id)
     select doc_id, len(h) // 2 n_bytes, coalesce(n_removed, 0) n_removed, coalesce(n_spans, 0) n_spans, sha256(unhex(coalesce(front, '') || h[2 * coalesce(last, 0) + 1 :])) kept_sha256 from h left join e using (doc_id)"""
+
+
+def lexical_search(k: int = 50) -> str:
+    words = lambda text: rf"regexp_extract_all(translate(coalesce({text}, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+    with q as (select distinct item_id, unnest({words("text")}) t from benchmark),
+    d as (select doc_id, {words("text")} a from documents), s as (select count(*)::bigint n, sum(len(a))::bigint l from d where len(a) > 0),
+    p as (select doc_id, len(a)::bigint n, unnest(a) t from d), f as (select doc_id, n, t, count(*)::bigint tf from p where t in (select t from q) group by doc_id, n, t),
+    w as (select t, floor(1000 * ln((2 * max(s.n) + 2)::double / (2 * count(*) + 1)::double))::bigint w from f, s group by t),
+    z as (select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * f.n * s.n) // s.l))))::bigint score from q join f using (t) join w using (t), s group by item_id, doc_id),
+    r as (select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id) r from z where score > 0)
+    select item_id, r::int rank, doc_id, score from r where r <= {k}"""

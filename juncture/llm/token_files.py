@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, shared_dir
+from .common import discard, joined_batches, materialise, shared_dir
 
 #: Bits of the table's total, states of a block, ids of a block, steps between checkpoints.
 SCALE, LANES, BLOCK, CHECK = 20, 4, 8192, 512
@@ -181,7 +181,7 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(vocabulary)
-        for batch in _joined(batches):
+        for batch in joined_batches(batches):
             for doc_ids, texts in _slices(batch, "text"):
                 ids, sizes = encoder.encode(texts)
                 ends = np.cumsum(sizes)
@@ -192,18 +192,6 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids binary")
 
 
-def _joined(batches: Iterator[pa.RecordBatch], most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches put together up to about `most` bytes."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(b.nbytes for b in held) >= most:
-            yield pa.concat_batches(held)
-            held = []
-    if held:
-        yield pa.concat_batches(held)
-
-
 def _slices(batch: pa.RecordBatch, column: str, most: int = 16 << 20) -> Iterator[tuple[pa.Array, pa.Array]]:
     """doc_id and a column in slices of about `most` bytes, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
