@@ -30,7 +30,7 @@ _AT_SYMBOL, _AT_FREQ, _FIELD = np.uint64(42), np.uint64(21), np.uint64((1 << 21)
 #: Ids that are coded at once, and bytes of a frame of a file.
 GROUP, FRAME = 1 << 21, 8 << 20
 #: Pieces and ids that a worker keeps beside their spelling.
-PIECES, PIECE_IDS = 1_000_000, 8_000_000
+PIECES, PIECE_IDS = 800_000, 8_000_000
 _HEAD = np.dtype([("crc", "<u4"), ("words", "<u4")])
 _POINT = np.dtype([("states", "<u8", LANES), ("at", "<u4")])
 #: A cut before a space that stands before something else than space never divides a piece of a byte-level vocabulary.
@@ -181,7 +181,7 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(vocabulary)
-        for batch in joined_batches(batches):
+        for batch in joined_batches(batches, 8 << 20):
             for doc_ids, texts in _slices(batch, "text"):
                 ids, sizes = encoder.encode(texts)
                 ends = np.cumsum(sizes)
@@ -192,7 +192,7 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids binary")
 
 
-def _slices(batch: pa.RecordBatch, column: str, most: int = 16 << 20) -> Iterator[tuple[pa.Array, pa.Array]]:
+def _slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[tuple[pa.Array, pa.Array]]:
     """doc_id and a column in slices of about `most` bytes, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
     begin = total = 0
@@ -404,25 +404,42 @@ def decode_documents(coded: list[bytes | memoryview], table: Frequencies, begin:
     return ids, cuts
 
 
-def _coded(tokens: DataFrame, table: Frequencies) -> DataFrame:
+#: Stands for a null doc_id in the order of the files, behind all others.
+_LAST = (1 << 63) - 1
+
+
+def _bounds(tokens: DataFrame, parts: int) -> np.ndarray:
+    """doc_ids that cut the documents into about even parts; an id that many rows share can be there several times."""
+    shares = [k / parts for k in range(1, parts)]
+    found = tokens.select(F.coalesce("doc_id", F.lit(_LAST)).alias("k")).agg(F.percentile_approx("k", shares, max(10_000, 20 * parts))).first() if shares else None
+    return np.array(found[0] or [], np.int64) if found else np.empty(0, np.int64)
+
+
+def _coded(tokens: DataFrame, table: Frequencies, bounds: np.ndarray) -> DataFrame:
+    """(part, doc_id, n, coded): parts follow doc_id; rows of an id that cuts lie on are dealt to the parts around it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc_ids, column in _slices(batch, "ids", 4 * GROUP):
                 ids, cuts = _ids(column)
                 coded = encode_documents(ids, cuts, table)
-                yield pa.RecordBatch.from_arrays([doc_ids, pa.array(np.diff(cuts)), pa.array(coded, pa.binary())], names=["doc_id", "n", "coded"])
+                key = doc_ids.fill_null(_LAST).to_numpy()
+                low, high = np.searchsorted(bounds, key, "left"), np.searchsorted(bounds, key, "right")
+                mark = np.array([zlib.crc32(c) for c in coded], np.int64)
+                part = np.where(high > low + 1, low + 1 + mark % np.maximum(high - low - 1, 1), low)
+                yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), doc_ids, pa.array(np.diff(cuts)), pa.array(coded, pa.binary())], names=["part", "doc_id", "n", "coded"])
 
-    return tokens.mapInArrow(run, "doc_id long, n long, coded binary")
+    return tokens.mapInArrow(run, "part int, doc_id long, n long, coded binary")
 
 
 FRAMES = "part int, at long, n long, doc_ids array<long>, sizes array<long>, bytes array<long>, payload binary"
 
 
 def _framed(coded: DataFrame) -> DataFrame:
-    """Documents of a sorted partition in frames of about FRAME bytes, with the number of ids before each frame."""
+    """Documents of sorted parts in frames of about FRAME bytes, with the number of the part's ids before each frame."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = at = held = 0
+        part, at, held = -1, 0, 0
         rows: list[tuple] = []
 
         def frame() -> pa.RecordBatch:
@@ -433,8 +450,11 @@ def _framed(coded: DataFrame) -> DataFrame:
         whole = pa.list_(pa.int64())
         schema = pa.schema([("part", pa.int32()), ("at", pa.int64()), ("n", pa.int64()), ("doc_ids", whole), ("sizes", whole), ("bytes", whole), ("payload", pa.binary())])
         for batch in batches:
-            for k in range(batch.num_rows):
-                part = batch["part"][k].as_py()
+            for k, own in enumerate(batch["part"].to_pylist()):
+                if own != part:
+                    if rows:
+                        yield frame()
+                    part, at, held, rows = own, 0, 0, []
                 rows.append((batch["doc_id"][k].as_py(), batch["n"][k].as_py(), batch["coded"][k].as_py()))
                 held += len(rows[-1][2])
                 if held >= FRAME:
@@ -443,7 +463,7 @@ def _framed(coded: DataFrame) -> DataFrame:
         if rows:
             yield frame()
 
-    return coded.withColumn("part", F.spark_partition_id()).mapInArrow(run, FRAMES)
+    return coded.mapInArrow(run, FRAMES)
 
 
 def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 0, partitions: int | None = None) -> None:
@@ -462,15 +482,15 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None,
         spark.createDataFrame([], FRAMES).write.parquet(frames)
         return
     n = partitions or max(1, tokens.rdd.getNumPartitions())
-    order = [F.col("doc_id").asc_nulls_last(), F.col("n"), F.xxhash64("coded")]
-    ranged = _coded(tokens, read_table(spark, path)).repartitionByRange(n, *order)
-    _framed(ranged.sortWithinPartitions(*order, "coded")).write.option("compression", "none").parquet(frames)
+    coded = _coded(tokens, read_table(spark, path), _bounds(tokens, n)).repartition(n, "part")
+    order = ["part", F.col("doc_id").asc_nulls_last(), "n", "coded"]
+    _framed(coded.sortWithinPartitions(*order)).write.option("compression", "none").parquet(frames)
     discard(tokens)
 
 
 def read_table(spark: SparkSession, path: str) -> Frequencies:
     """The shared frequencies; as many rows as the vocabulary has ids at most."""
-    return Frequencies({r["id"]: r["count"] for r in spark.read.parquet(f"{path}/table").collect()})
+    return Frequencies({r["id"]: r["count"] for r in spark.read.parquet(f"{path}/table").collect()} or {0: 1})
 
 
 def _placed(spark: SparkSession, path: str) -> DataFrame:
