@@ -148,20 +148,20 @@ def exact_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return alone.unionByName(rows.select("doc_id", "keep_id", "group_size", kept.alias("kept"), sha))
 
 
-def without_ids(docs: DataFrame, gone: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of docs whose doc_id is not in gone (doc_id); rows without doc_id stay. Rows that a Bloom filter of
+def without_ids(docs: DataFrame, gone: DataFrame, max_bits: int = MAX_BITS, by: str = "doc_id") -> DataFrame:
+    """The rows of docs whose id (`by`) is not in gone (`by`); rows without an id stay. Rows that a Bloom filter of
     the ids rules out stay where they are; only the others, with their texts, are shuffled to an exact anti join. A
     filter of max_bits that holds too many ids rules out fewer rows; the result is the same."""
     digest, maybe, own = (fresh(docs, c) for c in ("_digest", "_maybe", "_gone_id"))
 
     def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumn(digest, F.unhex(F.md5(F.col("doc_id").cast("string").cast("binary"))))
+        return df.withColumn(digest, F.unhex(F.md5(F.col(by).cast("string").cast("binary"))))
 
-    ids = materialise(keyed(gone.select("doc_id").filter("doc_id is not null").distinct()), "gone")
+    ids = materialise(keyed(gone.select(by).filter(F.col(by).isNotNull()).distinct()), "gone")
     seen = repeated_filter(ids, digest, filter_bits(ids.count(), max_bits), least=1)
-    flagged = maybe_repeated(keyed(docs.filter("doc_id is not null")), digest, seen, maybe)
-    near = flagged.filter(F.col(maybe)).join(ids.select(F.col("doc_id").alias(own)), F.col("doc_id") == F.col(own), "left_anti").select(docs.columns)
-    return flagged.filter(~F.col(maybe)).select(docs.columns).unionByName(near).unionByName(docs.filter("doc_id is null"))
+    flagged = maybe_repeated(keyed(docs.filter(F.col(by).isNotNull())), digest, seen, maybe)
+    near = flagged.filter(F.col(maybe)).join(ids.select(F.col(by).alias(own)), F.col(by) == F.col(own), "left_anti").select(docs.columns)
+    return flagged.filter(~F.col(maybe)).select(docs.columns).unionByName(near).unionByName(docs.filter(F.col(by).isNull()))
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:

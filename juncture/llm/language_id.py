@@ -151,17 +151,20 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _sample(labelled: DataFrame, rows: int, salt: str) -> DataFrame:
-    """At most `rows` rows and CHARACTERS characters of each language, those of the least key hash."""
+def _sample(labelled: DataFrame, rows: int, salt: str, characters: int = CHARACTERS) -> DataFrame:
+    """(lang, text) of at most `rows` rows and `characters` characters of each language, those of the least key hash.
+
+    The text that passes the limit of characters is cut, so that a long one shortens the sample and no language is left
+    without any. Rows that share an id count one by one.
+    """
     share = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(salt), F.col("doc_id").cast("string")).cast("binary")), 1, 12), 16, 10).cast("double") / float(1 << 48)
-    keyed = labelled.select("doc_id", "lang", F.length("text").cast("long").alias("_size"), share.alias("_share"))
-    counts = materialise(keyed.groupBy("lang").agg(F.count("*").alias("_n")), "languages")
-    languages = counts.count()
-    near = keyed.join(_small(counts, languages), "lang").filter(F.col("_share") * F.col("_n") <= 2.0 * rows + 50)
-    order = W.partitionBy("lang").orderBy("_share", "doc_id", "_size")
-    chosen = near.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= rows)
-    chosen = chosen.withColumn("_upto", F.sum("_size").over(order.rowsBetween(W.unboundedPreceding, 0))).filter(F.col("_upto") <= CHARACTERS)
-    return labelled.join(_small(chosen.select("doc_id"), languages * rows), "doc_id", "left_semi")
+    keyed = labelled.select("doc_id", "lang", F.substring("text", 1, characters).alias("text"), share.alias("_share"))
+    counts = materialise(labelled.groupBy("lang").agg(F.count("*").alias("_n")), "languages")
+    near = keyed.join(_small(counts, counts.count()), "lang").filter(F.col("_share") * F.col("_n") <= 2.0 * rows + 50)
+    order = W.partitionBy("lang").orderBy("_share", "doc_id", F.length("text"), "text")
+    chosen = near.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= rows).select("lang", "text", "_rank")
+    before = F.coalesce(F.sum(F.length("text").cast("long")).over(W.partitionBy("lang").orderBy("_rank").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return chosen.withColumn("_left", F.lit(characters) - before).filter("_left > 0").select("lang", F.substring(F.col("text"), F.lit(1), F.col("_left").cast("int")).alias("text"))
 
 
 def _count_grams(texts: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import html
 import struct
 import zlib
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from urllib.parse import unquote_to_bytes
 
 import numpy as np
 import pyarrow as pa
@@ -19,22 +21,55 @@ from .common import map_arrow, materialise
 #: Payloads are padded to a multiple of this, the width of the stored greyscale images.
 WIDTH = 64
 _PNG = b"\x89PNG\r\n\x1a\n"
-#: Tags whose text is no content, tags that end a text block, tags that refer to media, void tags.
-_SKIPPED = {"script", "style", "template", "noscript", "title", "head"}
-_BLOCKS = {"p", "div", "article", "section", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "table", "tr", "td", "th", "br", "hr", "nav", "footer", "header", "main", "blockquote", "pre", "figure", "figcaption", "body", "html"}
-_MEDIA = {"img": "image", "video": "video", "audio": "audio", "source": "source", "embed": "embed"}
+#: Tags whose text is no content, tags that a head may hold, tags that end a text block, tags that refer to
+#: media, attributes that name the reference, in order.
+_SKIPPED = {"script", "style", "template", "noscript", "title"}
+_HEAD = {"html", "head", "title", "meta", "link", "base", "script", "style", "template", "noscript"}
+_BLOCKS = {"p", "div", "article", "section", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "table", "tr", "td", "th", "br", "hr", "nav", "footer", "header", "main", "aside", "blockquote", "pre", "figure", "figcaption", "body", "html"}
+_MEDIA = {"img": "image", "video": "video", "audio": "audio", "source": "source", "embed": "embed", "iframe": "iframe", "object": "object"}
+_SOURCES = ("src", "data-src", "srcset", "data-srcset", "data")
 SEGMENT = "position int, kind string, text string, ref string, digest string, caption string"
 
 
+def reference(values: dict[str, str | None]) -> str | None:
+    """What a media tag refers to: src, else a lazy one, else the first candidate of a source set."""
+    for name in _SOURCES:
+        value = (values.get(name) or "").strip()
+        if value:
+            return value.split(",")[0].split()[0] if name.endswith("srcset") and not value.startswith("data:") else value.split()[0] if name.endswith("srcset") else value
+    return None
+
+
+def digest_of(ref: str) -> str | None:
+    """The payload's SHA-256: named by a reference `sha256:<hex>`, or of the bytes that a `data:` reference holds."""
+    if ref.startswith("sha256:"):
+        return ref[7:].lower()
+    if ref.startswith("data:") and "," in ref:
+        kind, _, body = ref[5:].partition(",")
+        raw = unquote_to_bytes(body)
+        if kind.lower().endswith(";base64"):
+            try:
+                raw = base64.b64decode(b"".join(raw.split()) + b"===")
+            except ValueError:
+                return None
+        return hashlib.sha256(raw).hexdigest()
+    return None
+
+
 class _Segments(HTMLParser):
-    """Ordered text and media segments; a figure's caption belongs to the media inside that figure."""
+    """Ordered text and media segments; a figure's caption belongs to the media of that very figure.
+
+    End tags that HTML lets a page leave out may be missing: the first content ends a head, and a caption ends with its
+    figure, with the next caption or figure, or with the page.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.out: list[dict] = []
         self.words: list[str] = []
-        self.skip = 0
-        self.figure: list[int] = []
+        self.skip: list[str] = []
+        self.head = False
+        self.figures: list[list[dict]] = []
         self.caption: list[str] | None = None
 
     def flush(self) -> None:
@@ -46,36 +81,61 @@ class _Segments(HTMLParser):
     def add(self, kind: str, **values: str | None) -> None:
         self.out.append({"position": len(self.out), "kind": kind, "text": None, "ref": None, "digest": None, "caption": None} | values)
 
+    def end_caption(self) -> None:
+        if self.caption is not None:
+            text, self.caption = " ".join("".join(self.caption).split()), None
+            for s in self.figures[-1] if self.figures and text else ():
+                s["caption"] = text
+
+    def end_page(self) -> None:
+        self.end_caption()
+        self.flush()
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "head":
+            self.head = True
+        elif tag not in _HEAD:
+            self.head = False
         if tag in _SKIPPED:
-            self.skip += 1
+            self.skip.append(tag)
+        if tag in ("figure", "figcaption"):
+            self.end_caption()
         if tag in _BLOCKS:
             self.flush()
         if tag == "figure":
-            self.figure.append(len(self.out))
+            self.figures.append([])
         if tag == "figcaption":
             self.caption = []
         if tag in _MEDIA and not self.skip:
             values = dict(attrs)
-            if src := values.get("src"):
+            if ref := reference(values):
                 self.flush()
-                self.add(_MEDIA[tag], ref=src, digest=src[7:].lower() if src.startswith("sha256:") else None, caption=values.get("alt") or None)
+                self.add(_MEDIA[tag], ref=ref, digest=digest_of(ref), caption=values.get("alt") or None)
+                if self.figures:
+                    self.figures[-1].append(self.out[-1])
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.handle_starttag(tag, attrs)
+        if tag in _SKIPPED or tag in ("figure", "figcaption"):
+            self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in _SKIPPED and self.skip:
-            self.skip -= 1
-        if tag == "figcaption" and self.caption is not None:
-            text, self.caption = "".join(self.caption).strip(), None
-            for s in self.out[self.figure[-1] if self.figure else len(self.out) :]:
-                if s["kind"] != "text" and text:
-                    s["caption"] = text
+        if tag == "head":
+            self.head = False
+        if tag in self.skip:
+            while self.skip.pop() != tag:
+                pass
+        if tag in ("figcaption", "figure"):
+            self.end_caption()
         if tag in _BLOCKS:
             self.flush()
-        if tag == "figure" and self.figure:
-            self.figure.pop()
+        if tag == "figure" and self.figures:
+            self.figures.pop()
 
     def handle_data(self, data: str) -> None:
-        if not self.skip:
+        if self.head and data.strip():
+            self.head = bool(self.skip)
+        if not self.skip and not self.head:
             (self.words if self.caption is None else self.caption).append(data)
 
 
@@ -84,15 +144,15 @@ def parse_segments(page: str | None) -> list[dict]:
     parser = _Segments()
     parser.feed(page or "")
     parser.close()
-    parser.flush()
+    parser.end_page()
     return parser.out
 
 
 def interleave(pages: DataFrame, key: str, markup: str) -> DataFrame:
     """key, segments: array of (position, kind, text, ref, digest, caption) for every row of pages.
 
-    Positions count from 0 without gaps. A `src` of the form sha256:<hex> is a digest of the media table, any other
-    one a plain reference with a null digest. Captions come from the figure, else from alt. Other columns are dropped.
+    Positions count from 0 without gaps. A reference sha256:<hex> is a digest of the media table, one with data: has the
+    digest of its bytes, any other one is plain, with a null digest. Captions come from the figure, else from alt. Other columns are dropped.
     """
     kind = pages.schema[key].dataType.simpleString()
     fields = pa.list_(pa.struct([("position", pa.int32()), *((n, pa.string()) for n in ("kind", "text", "ref", "digest", "caption"))]))
@@ -199,11 +259,12 @@ def document_sequences(docs: DataFrame) -> DataFrame:
             n, payload = payload_of(t)
             page = f'<article><p>{html.escape(t or "", quote=False)}</p><figure><img src="sha256:{hashlib.sha256(payload).hexdigest()}" alt=""><figcaption>{n} bytes</figcaption></figure></article>'
             segments = parse_segments(page)
-            rows += [(key, n, len(segments), s["position"], s["digest"], s["caption"]) for s in segments if s["digest"]]
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "n_bytes", "n_segments", "position", "digest", "caption"])
+            texts = hashlib.sha256("\n".join(s["text"] for s in segments if s["kind"] == "text").encode("utf-8", "surrogatepass")).hexdigest()
+            rows += [(key, n, len(segments), texts, s["position"], s["digest"], s["caption"]) for s in segments if s["digest"]]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["doc_id", "n_bytes", "n_segments", "texts_sha256", "position", "digest", "caption"])
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), one, "doc_id long, n_bytes long, n_segments int, position int, digest string, caption string")
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), one, "doc_id long, n_bytes long, n_segments int, texts_sha256 string, position int, digest string, caption string")
 
 
 def documents_as_media(docs: DataFrame) -> DataFrame:
@@ -214,5 +275,5 @@ def documents_as_media(docs: DataFrame) -> DataFrame:
     """
     facts = media_features(store_payloads(docs))
     return resolve_rows(document_sequences(docs), facts).select(
-        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption"
+        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption", "n_segments", "texts_sha256"
     )

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, materialise, mix64
+from .common import fresh, keyed, map_arrow, materialise, mix64
 from .components import connected_components
 from .exact_dedup import without_ids
 from .shingles import shingle_sets
@@ -462,5 +462,13 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10,
 
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
-    """The rows of docs without those whose component has a smaller doc_id; needs unique doc_id."""
-    return without_ids(docs, jaccard_components(docs, n, num, den).filter("doc_id <> component_id"))
+    """The rows of docs without those whose component has an earlier row, with their columns.
+
+    Rows are known by a key of their own: where ids are there and unique it is the id, else rows go by doc_id (nulls
+    last), then text; rows that share an id are compared by their texts like any others. A text without words stays.
+    """
+    key = fresh(docs, "_key")
+    named = keyed(docs, key)
+    found = jaccard_components(named.select(F.col(key).alias("doc_id"), "text"), n, num, den)
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(key))
+    return without_ids(named, gone, by=key).select(docs.columns)

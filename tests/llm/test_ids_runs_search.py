@@ -252,3 +252,63 @@ def test_search_without_documents_or_items(spark, docs, empty):
     items = spark.createDataFrame([(1, "one")], "item_id long, text string")
     assert lexical_search.search(empty, items).collect() == []
     assert lexical_search.search(docs, items.filter("item_id = 0")).collect() == []
+
+
+# Faults of earlier operators that were mended
+
+
+def test_near_copies_with_shared_and_missing_ids(spark):
+    """Unlike rows that share an id both stay; near copies without ids leave one."""
+    from juncture.llm import ngram_join
+
+    text = lambda tag: " ".join(f"{tag}{k}" for k in range(60))
+    rows = [(1, text("a")), (2, text("a") + " more"), (2, text("b")), (3, text("c")), (None, text("d")), (None, text("d") + " x"), (None, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = collections.Counter(tuple(r) for r in ngram_join.keep_one_of_each(df).collect())
+    lone = collections.Counter([(1, text("a")), (2, text("b")), (3, text("c")), (None, None), (4, "")])
+    assert kept - lone in (collections.Counter([(None, text("d"))]), collections.Counter([(None, text("d") + " x")])) and not lone - kept
+
+
+def test_a_long_text_leaves_no_language_without_a_model(spark, monkeypatch):
+    from juncture.llm import language_id
+
+    rows = [(k, "aa ab ac " * 400, "aa") for k in range(8)] + [(100 + k, "zy zx zw " * 10, "zz") for k in range(8)] + [(5, "aa ab", "aa")] * 30
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = language_id._sample(df, 600, "train", 1000).collect()
+    size = collections.Counter()
+    for r in sample:
+        size[r.lang] += len(r.text)
+    assert size["aa"] == 1000 and size["zz"] == 8 * 90
+    assert max(collections.Counter(r.lang for r in language_id._sample(df, 5, "train").collect()).values()) <= 5
+    assert language_id.train(df, F.lit(False)).names == ["aa", "zz"]
+
+
+PAGES = [
+    ("<html><head><title>t</title><p>one</p><img src=a.png>", [("text", "one", None, None), ("image", None, "a.png", None)]),
+    ("<head><meta x>plain text", [("text", "plain text", None, None)]),
+    ("<figure><img src=a><figcaption>cap</figure><p>rest</p>", [("image", None, "a", "cap"), ("text", "rest", None, None)]),
+    ("<figure><img src=a><figcaption>cap", [("image", None, "a", "cap")]),
+    ("<figure><figure><img src=in><figcaption>inner</figcaption></figure><img src=out><figcaption>outer</figcaption></figure>", [("image", None, "in", "inner"), ("image", None, "out", "outer")]),
+    ("<img data-src=lazy alt=x><img srcset='s1 1x, s2 2x'><iframe src=f></iframe>", [("image", None, "lazy", "x"), ("image", None, "s1", None), ("iframe", None, "f", None)]),
+    ("<script>no<b></script>yes<style>no", [("text", "yes", None, None)]),
+    ("<p>a<p>b<ul><li>c<li>d</ul>", [("text", t, None, None) for t in "abcd"]),
+    ("", []),
+    (None, []),
+    ("<noscript><img src=n></noscript><title>x</title>after", [("text", "after", None, None)]),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), PAGES)
+def test_pages_with_missing_end_tags(page, want):
+    from juncture.llm import media
+
+    got = media.parse_segments(page)
+    assert [(s["kind"], s["text"], s["ref"], s["caption"]) for s in got] == want
+    assert [s["position"] for s in got] == list(range(len(got)))
+
+
+def test_payloads_inside_a_page():
+    from juncture.llm import media
+
+    got = media.parse_segments("<img src='data:image/gif;base64,aGVsbG8='><img src='data:,a%20b'><img src='sha256:AB'>")
+    assert [s["digest"] for s in got] == [hashlib.sha256(b"hello").hexdigest(), hashlib.sha256(b"a b").hexdigest(), "ab"]
