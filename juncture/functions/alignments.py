@@ -43,6 +43,22 @@ def longest_softclip(cigar: Column) -> Column:
     return F.coalesce(F.array_max(F.transform(F.filter(_steps(cigar), lambda s: s["op"] == "S"), lambda s: s["n"])), F.lit(0))
 
 
+def walk(start: Column, cigar: Column) -> Column:
+    """struct(end0, gaps, softclip) of an alignment, all from one walk over its CIGAR; null where that is null."""
+    kind = "array<struct<start:bigint,length:int>>"
+    zero = F.struct(start.cast("long").alias("end0"), F.array().cast(kind).alias("gaps"), F.lit(0).alias("softclip"))
+
+    def step(acc: Column, s: Column) -> Column:
+        n, op = F.substring(s, F.lit(1), F.length(s) - 1).cast("int"), F.right(s, F.lit(1))
+        return (
+            F.when(op.isin("M", "D", "=", "X"), F.struct((acc["end0"] + n).alias("end0"), acc["gaps"].alias("gaps"), acc["softclip"].alias("softclip")))
+            .when(op == "N", F.struct((acc["end0"] + n).alias("end0"), F.concat(acc["gaps"], F.array(F.struct(acc["end0"].alias("start"), n.alias("length")))).alias("gaps"), acc["softclip"].alias("softclip")))
+            .when(op == "S", F.struct(acc["end0"].alias("end0"), acc["gaps"].alias("gaps"), F.greatest(acc["softclip"], n).alias("softclip"))).otherwise(acc)
+        )
+
+    return F.aggregate(F.regexp_extract_all(cigar, F.lit("[0-9]+[MIDNSHP=X]"), F.lit(0)), zero, step)
+
+
 def partner_hit(sa_tag: Column, chrom: Column, pos: Column, tolerance: int = DEFAULT.partner_tolerance) -> Column:
     """A supplementary alignment lies on the partner's chromosome within the tolerance; short records are passed over."""
     hit = F.exists(

@@ -41,12 +41,14 @@ def autologous_verdict(binds: Column, n_typed: Column, n_outside: Column) -> Col
 
 def peptide_summary(predictions: DataFrame, cuts: dict[str, float], peptide: str = "peptide", allele: str = "allele") -> DataFrame:
     """Per peptide: best value of each column, alleles tested and binding, share of the panel, best margin and allele."""
+    # One row a peptide and allele first: then alleles are counted, not distinct names.
     m = margin(cuts)
-    rows = predictions.withColumns({"_pass": passes(cuts), "_m": m})
-    order = F.struct(F.col("_m.margin"), F.col(allele))
-    return rows.groupBy(peptide).agg(
-        *[F.min(c).alias(f"best_{c}") for c in cuts], F.count_distinct(allele).alias("alleles"), F.count_distinct(F.when(F.col("_pass"), F.col(allele))).alias("alleles_binding"),
-        F.max_by(F.when(F.col("_pass"), F.col(allele)), F.when(F.col("_pass"), order)).alias("best_allele"), F.max(F.when(F.col("_pass"), F.col("_m.margin"))).alias("best_margin"),
+    passing = passes(cuts)
+    own = predictions.groupBy(peptide, allele).agg(*[F.min(c).alias(c) for c in cuts], F.bool_or(passing).alias("_pass"), F.max(F.when(passing, m["margin"])).alias("_m"))
+    there = F.col(allele).isNotNull()
+    return own.groupBy(peptide).agg(
+        *[F.min(c).alias(f"best_{c}") for c in cuts], F.count(allele).alias("alleles"), F.count_if(F.col("_pass") & there).alias("alleles_binding"),
+        F.max_by(F.when(F.col("_pass"), F.col(allele)), F.when(F.col("_pass"), F.struct("_m", allele))).alias("best_allele"), F.max("_m").alias("best_margin"),
     ).withColumn("panel_share", F.round(F.col("alleles_binding") / F.col("alleles"), 6)).withColumn("margin_bin", margin_bin(F.col("best_margin")))
 
 
@@ -72,11 +74,12 @@ def autologous(patient_peptides: DataFrame, genotypes: DataFrame, binding: DataF
     carried = patient_peptides.select("patient", F.col("neoantigen").alias("peptide")).distinct()
     own = genotypes.select("patient", "allele").distinct().join(panel.select("allele").distinct().withColumn("_in", F.lit(True)), "allele", "left")
     rows = carried.join(own, "patient", "left").join(binding.select("peptide", "allele").distinct().withColumn("_binds", F.lit(True)), ["peptide", "allele"], "left")
-    typed, presents = F.when(F.col("allele").isNotNull(), F.col("patient")), F.when(F.col("_binds"), F.col("patient"))
-    out = rows.groupBy("peptide").agg(
-        F.count_distinct("patient").alias("patients"), F.count_distinct(typed).alias("patients_typed"), F.count_distinct(presents).alias("patients_presenting"),
-        F.count_distinct(F.when(F.col("allele").isNotNull() & F.col("_in").isNull(), F.col("allele"))).alias("alleles_outside"), F.sort_array(F.collect_set(F.when(F.col("_binds"), F.col("allele")))).alias("presenting_alleles"),
-    )
+    # Patients and alleles of a peptide are each brought together first, so that both are plain counts.
+    of_patient = rows.groupBy("peptide", "patient").agg(F.bool_or(F.col("allele").isNotNull()).alias("typed"), F.coalesce(F.bool_or("_binds"), F.lit(False)).alias("presents"))
+    patients = of_patient.groupBy("peptide").agg(F.count("patient").alias("patients"), F.count_if(F.col("typed") & F.col("patient").isNotNull()).alias("patients_typed"), F.count_if(F.col("presents") & F.col("patient").isNotNull()).alias("patients_presenting"))
+    of_allele = rows.filter("allele is not null").groupBy("peptide", "allele").agg(F.bool_or(F.col("_in").isNull()).alias("outside"), F.coalesce(F.bool_or("_binds"), F.lit(False)).alias("binds"))
+    alleles = of_allele.groupBy("peptide").agg(F.count_if("outside").alias("alleles_outside"), F.sort_array(F.collect_list(F.when(F.col("binds"), F.col("allele")))).alias("presenting_alleles"))
+    out = patients.join(alleles, "peptide", "left").withColumns({"alleles_outside": F.coalesce("alleles_outside", F.lit(0)), "presenting_alleles": F.coalesce("presenting_alleles", F.array().cast("array<string>"))})
     return out.withColumn("verdict", autologous_verdict(F.col("patients_presenting") > 0, F.col("patients_typed"), F.col("alleles_outside")))
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..criteria import DEFAULT, Criteria
 from ..functions.variants import ancestry_maximum
 from .admission import passes_panel
-from .ranges import points_in_intervals, reciprocal_overlaps
+from .ranges import reciprocal_overlaps
 
 
 def high_confidence(criteria: Criteria = DEFAULT) -> Column:
@@ -50,12 +52,26 @@ def with_privacy(events: DataFrame, frequency: DataFrame | None, key: str, field
     ).drop("_af")
 
 
-def panel_lookup(queries: DataFrame, panel: DataFrame, key: str, slop: int = 0, width: int = 100_000) -> DataFrame:
-    """Per query the largest panel count of a record that holds both ends, in either orientation; 0 if none does."""
+def panel_lookup(queries: DataFrame, panel: DataFrame, key: str, slop: int = 0, widths: Sequence[int] = (1_000, 30_000, 1_000_000)) -> DataFrame:
+    """Per query the largest panel count of a record that holds both ends, in either orientation; 0 if none does.
+
+    Records and queries meet in cells over both ends: a record goes to the grid of the first width that its longer
+    interval fits, so to four cells at most (beyond the last width, to every cell that it covers); a query asks one cell
+    of each grid. So records that share one end meet only queries near their other end too.
+    """
     side = lambda a, b: panel.select(*[F.col(f"{c}{x}").alias(f"{c}{n}") for x, n in ((a, 1), (b, 2)) for c in ("chrom", "start", "end")], "count")
-    both = side(1, 2).unionByName(side(2, 1)).withColumns({"lo1": F.col("start1") - slop, "hi1": F.col("end1") + slop})
-    ask = queries.select(key, "chrom1", "pos1", "chrom2", "pos2")
-    hits = points_in_intervals(ask, both, ["chrom1", "chrom2"], "pos1", "lo1", "hi1", width).filter(F.col("pos2").between(F.col("start2") - slop, F.col("end2") + slop))
+    both = side(1, 2).unionByName(side(2, 1))
+    both = both.withColumns({f"{n}{k}": F.col(f"{c}{k}") + d for k in (1, 2) for n, c, d in (("lo", "start", -slop), ("hi", "end", slop))})
+    longest = F.greatest(F.col("hi1") - F.col("lo1"), F.col("hi2") - F.col("lo2"))
+    grid = F.lit(len(widths) - 1)
+    for k in range(len(widths) - 2, -1, -1):
+        grid = F.when(longest <= widths[k], F.lit(k)).otherwise(grid)
+    cells = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / F.col("_width")), F.floor(F.col(hi) / F.col("_width"))))
+    wide = F.array(*[F.lit(w) for w in widths])
+    both = both.withColumn("_grid", grid).withColumn("_width", F.get(wide, F.col("_grid"))).withColumn("_cell1", cells("lo1", "hi1")).withColumn("_cell2", cells("lo2", "hi2")).drop("_width")
+    ask = queries.select(key, "chrom1", "pos1", "chrom2", "pos2", F.posexplode(wide).alias("_grid", "_width"))
+    ask = ask.withColumns({f"_cell{k}": F.floor(F.col(f"pos{k}") / F.col("_width")) for k in (1, 2)}).drop("_width")
+    hits = ask.join(both, ["chrom1", "chrom2", "_grid", "_cell1", "_cell2"]).filter(F.col("pos1").between(F.col("lo1"), F.col("hi1")) & F.col("pos2").between(F.col("lo2"), F.col("hi2")))
     best = hits.groupBy(key).agg(F.max("count").alias("panel_count"))
     return queries.join(best, key, "left").withColumns({"panel_count": F.coalesce("panel_count", F.lit(0)), "in_panel": F.col("panel_count").isNotNull()})
 

@@ -98,8 +98,10 @@ def collapse_events(matches: DataFrame, keys: Sequence[str], peptide: str, gene:
 def counts_per_variant(variants: DataFrame, peptides: DataFrame, matches: DataFrame) -> DataFrame:
     """Generated, matched and credible peptides and catalogue genes of every variant, zero where none."""
     keys = ["sample", "sample_sv_id"]
-    made = peptides.groupBy(*keys).agg(F.count_distinct("neopeptide").alias("n_generated"))
-    hit = matches.groupBy(*keys).agg(F.count_distinct("ref_peptide").alias("n_matched"), F.count_distinct(F.when(F.col("credible"), F.col("ref_peptide"))).alias("n_credible"), F.sort_array(F.collect_set("ref_gene")).alias("catalogue_genes"))
+    made = peptides.select(*keys, "neopeptide").distinct().groupBy(*keys).agg(F.count("neopeptide").alias("n_generated"))
+    own = matches.groupBy(*keys, "ref_peptide").agg(F.coalesce(F.bool_or("credible"), F.lit(False)).alias("_credible"), F.collect_set("ref_gene").alias("_genes"))
+    there = F.col("ref_peptide").isNotNull()
+    hit = own.groupBy(*keys).agg(F.count("ref_peptide").alias("n_matched"), F.count_if(F.col("_credible") & there).alias("n_credible"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("_genes")))).alias("catalogue_genes"))
     return variants.join(made, keys, "left").join(hit, keys, "left").fillna(0, ["n_generated", "n_matched", "n_credible"])
 
 

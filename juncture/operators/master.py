@@ -29,12 +29,17 @@ def with_distinct_count(df: DataFrame, keys: Sequence[str], column: str, name: s
 def peptide_rows_to_events(rows: DataFrame, keys: Sequence[str], flags: Sequence[str], best: Sequence[str], facts: Sequence[str]) -> DataFrame:
     """One row per event: peptides, any of the flags, least of the ranks, and the facts of its first peptide.
 
-    `first` is by peptide, so the result does not depend on row order.
+    Rows of one peptide are brought together first, so that distinct peptides are plain counts. `first` is by peptide, so
+    the result does not depend on row order.
     """
-    return rows.groupBy(*keys).agg(
-        F.count_distinct("peptide").alias("n_peptides"), F.sort_array(F.collect_set("peptide")).alias("peptides"), *[F.bool_or(F.coalesce(c, F.lit(False))).alias(f"any_{c}") for c in flags],
-        *[F.count_distinct(F.when(F.col(c), F.col("peptide"))).alias(f"n_{c}") for c in flags], *[F.min(c).alias(f"best_{c}") for c in best], *[F.min_by(c, "peptide").alias(c) for c in facts],
+    held = [F.bool_or(F.coalesce(c, F.lit(False))).alias(f"any_{c}") for c in flags]
+    own = rows.groupBy(*keys, "peptide").agg(*held, *[F.min(c).alias(c) for c in best], *([F.first(F.struct(*facts)).alias("_facts")] if facts else []))
+    there = F.col("peptide").isNotNull()
+    out = own.groupBy(*keys).agg(
+        F.count("peptide").alias("n_peptides"), F.sort_array(F.collect_list("peptide")).alias("peptides"), *[F.bool_or(f"any_{c}").alias(f"any_{c}") for c in flags],
+        *[F.count_if(F.col(f"any_{c}") & there).alias(f"n_{c}") for c in flags], *[F.min(c).alias(f"best_{c}") for c in best], *([F.min_by("_facts", "peptide").alias("_facts")] if facts else []),
     )
+    return out.select("*", "_facts.*").drop("_facts") if facts else out
 
 
 def gate(value: Column, measured: Column) -> Column:

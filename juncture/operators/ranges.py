@@ -1,4 +1,5 @@
-"""Range joins as equi-joins: bins for points and intervals, size classes for reciprocal overlap, two-level nearest."""
+"""Range joins as equi-joins: bins for points and intervals, nested bins for intervals of any length, size classes for
+reciprocal overlap, two-level nearest neighbours and islands."""
 
 from __future__ import annotations
 
@@ -26,15 +27,62 @@ def points_in_intervals(points: DataFrame, intervals: DataFrame, keys: Sequence[
     return left.join(right, on, how).select("p.*", *[F.col(f"i.{c}") for c in intervals.columns if c not in keys]).drop("_bin")
 
 
-def overlapping(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[str, str], b_range: tuple[str, str], width: int) -> DataFrame:
-    """Pairs of closed intervals with equal keys that overlap; a pair is kept in its first common bin only."""
+#: Nested bins: widths grow by this factor from level to level; the last level takes whatever is longer.
+LEVEL_FACTOR, LEVELS = 8, 5
+#: Cells that a bin with more than this many places is cut into, and places of a part.
+FINE, PART_ROWS = 1024, 100_000
+
+
+def level_widths(width: int) -> list[int]:
+    return [width * LEVEL_FACTOR**k for k in range(LEVELS)]
+
+
+def nested_place(start: Column, end: Column, width: int) -> Column:
+    """Array of (_level, _bin) where an interval is kept: one place, its start's bin on the first level whose bins are as
+    wide as it is long. Only what is longer than the widest bin is kept in every one of these that it touches."""
+    widths = level_widths(width)
+    place = lambda level, bin_: F.struct(F.lit(level).alias("_level"), bin_.cast("long").alias("_bin"))
+    top = widths[-1]
+    out = F.transform(F.sequence(F.floor(start / top), F.floor(end / top)), lambda b: place(LEVELS, b))
+    for level in range(LEVELS - 1, -1, -1):
+        out = F.when(end - start <= widths[level], F.array(place(level, F.floor(start / widths[level])))).otherwise(out)
+    return out
+
+
+def nested_asks(start: Column, end: Column, width: int) -> Column:
+    """Array of (_level, _bin) where intervals that overlap [start, end] can be kept."""
+    place = lambda level, low, high: F.transform(F.sequence(F.floor(low), F.floor(high)), lambda b: F.struct(F.lit(level).alias("_level"), b.cast("long").alias("_bin")))
+    widths = level_widths(width)
+    return F.concat(*[place(k, (start - w) / w, end / w) for k, w in enumerate(widths)], place(LEVELS, start / widths[-1], end / widths[-1]))
+
+
+def overlapping(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[str, str], b_range: tuple[str, str], width: int, few: int | None = None) -> DataFrame:
+    """Pairs of closed intervals with equal keys that overlap; each pair once. A missing end counts as the start.
+
+    b, the larger side, goes to nested bins: one row an interval, however long it is (beyond the widest bins, width *
+    8^4, one for each of them). a asks on every level for the bins in which a partner's start can lie; choose width near
+    the usual length of b, and a's intervals short beside it where they are many. a is spread first, as a small table
+    in one piece would take its rows on every level in one task. few: a, which is counted, goes to every task if it has
+    no more rows than this, and else both sides are shuffled; without it Spark chooses by its estimate, which does not
+    know of the rows on every level.
+    """
     (a0, a1), (b0, b1) = a_range, b_range
-    left = a.withColumn("_bin", _bins(F.col(a0), F.col(a1), width)).alias("a")
-    right = b.withColumn("_bin", _bins(F.col(b0), F.col(b1), width)).alias("b")
-    first = F.greatest(F.floor(F.col(f"a.{a0}") / width), F.floor(F.col(f"b.{b0}") / width))
-    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "_bin"]]
-    meet = (F.col(f"a.{a0}") <= F.col(f"b.{b1}")) & (F.col(f"b.{b0}") <= F.col(f"a.{a1}")) & (F.col("a._bin") == first)
-    return left.join(right, on).filter(meet).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys]).drop("_bin")
+    # Outer, though no array is empty: else Spark asks of every row whether it is, and walks again to know.
+    spots = lambda df, array: df.select("*", F.inline_outer(array))
+    left = spots(a.repartition(*keys, a0), nested_asks(F.col(a0), F.col(a1), width)).alias("a")
+    right = spots(b, nested_place(F.col(b0), F.col(b1), width)).alias("b")
+    if few is not None:
+        left, right = (F.broadcast(left), right) if a.limit(few + 1).count() <= few else (left, right.hint("merge"))
+    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "_level", "_bin"]]
+    return left.join(right, on).filter(_meets(a0, a1, b0, b1, width)).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys]).drop("_level", "_bin")
+
+
+def _meets(a0: str, a1: str, b0: str, b1: str, width: int) -> Column:
+    """Overlap of a pair that met in a nested bin; of the widest bins that an interval is kept in, the first counts."""
+    top = level_widths(width)[-1]
+    first = F.greatest(F.floor(F.col(f"a.{a0}") / top), F.floor(F.col(f"b.{b0}") / top))
+    # Without the coalesce Spark would ask first whether the end is there, and find it twice.
+    return (F.col(f"a.{a0}") <= F.coalesce(F.col(f"b.{b1}"), F.col(f"b.{b0}"))) & (F.col(f"b.{b0}") <= F.col(f"a.{a1}")) & ((F.col("a._level") < LEVELS) | (F.col("a._bin") == first))
 
 
 def reciprocal_overlaps(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[str, str], b_range: tuple[str, str], least: float) -> DataFrame:
@@ -70,49 +118,87 @@ def within_distance(a: DataFrame, b: DataFrame, keys: Sequence[str], pos: str, o
     return left.join(right, on).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys]).drop("_cell")
 
 
-def nearest(points: DataFrame, reference: DataFrame, keys: Sequence[str], pos: str, payload: Sequence[str], width: int) -> DataFrame:
+def _fine(pos: Column, width: int) -> Column:
+    """Which of the FINE cells of its bin a place lies in."""
+    return F.floor(F.pmod(pos, F.lit(width)) * FINE / width).cast("int")
+
+
+def _parts(places: DataFrame, keys: Sequence[str], pos: str, width: int, part_rows: int) -> DataFrame:
+    """(keys, _bin, _cell, _part) for bins with more than part_rows places: their fine cells dealt to parts of about
+    part_rows places, in order. Counts are exact, so every plan that uses them has the same parts."""
+    n = places.groupBy(*keys, F.floor(F.col(pos) / width).alias("_bin"), _fine(F.col(pos), width).alias("_cell")).agg(F.count("*").alias("_n"))
+    own = W.partitionBy(*keys, "_bin")
+    upto = F.sum("_n").over(own.orderBy("_cell").rowsBetween(W.unboundedPreceding, W.currentRow))
+    cut = n.withColumn("_all", F.sum("_n").over(own)).withColumn("_part", F.floor((upto - F.col("_n")) / part_rows)).filter(F.col("_all") > part_rows)
+    return cut.select(*keys, "_bin", "_cell", "_part")
+
+
+def _placed(df: DataFrame, parts: DataFrame, keys: Sequence[str], pos: str, width: int) -> DataFrame:
+    """df with _bin and _part."""
+    out = df.withColumns({"_bin": F.floor(F.col(pos) / width), "_cell": _fine(F.col(pos), width)}).join(parts, [*keys, "_bin", "_cell"], "left")
+    return out.withColumn("_part", F.coalesce("_part", F.lit(0))).drop("_cell")
+
+
+def nearest(points: DataFrame, reference: DataFrame, keys: Sequence[str], pos: str, payload: Sequence[str], width: int, part_rows: int = PART_ROWS) -> DataFrame:
     """points with distance and payload columns (prefix near_) of the nearest reference row with equal keys.
 
     reference has keys, pos and the payload. The candidates are the last reference before the point and the first at
     or after it; the earlier one wins an equal distance; of rows at one place the greatest payload before and the
-    least after. Points go to bins of `width`: a bin's first and last reference are carried over the bins beside it,
-    so a window holds one bin, not a key. Null without any reference or position.
+    least after. Null without any reference or position.
+
+    Rows of one place are brought together first, so a place counts once however many rows it has. Places go to bins of
+    `width`, and a bin with more than part_rows places is cut by a count of its fine cells; a part's first and last
+    reference are carried over the parts beside it, so a window holds one part, not a key.
     """
     item = F.struct(F.col(pos).alias("pos"), *payload)
-    cell = F.floor(F.col(pos) / width)
-    refs = reference.filter(F.col(pos).isNotNull()).select(*keys, cell.alias("_bin"), item.alias("_ref"))
-    ask = points.withColumn("_bin", cell)
-    ends = refs.groupBy(*keys, "_bin").agg(F.min("_ref").alias("_first"), F.max("_ref").alias("_last"))
-    table = ask.select(*keys, "_bin").distinct().join(ends, [*keys, "_bin"], "full")
-    line = W.partitionBy(*keys).orderBy("_bin")
+    refs = reference.filter(F.col(pos).isNotNull()).select(*keys, F.col(pos), item.alias("_ref")).groupBy(*keys, pos).agg(F.min("_ref").alias("_least"), F.max("_ref").alias("_most"))
+    asks = points.filter(F.col(pos).isNotNull()).select(*keys, pos).distinct()
+    none = F.lit(None).cast(refs.schema["_least"].dataType)
+    both = refs.withColumn("_asked", F.lit(False)).unionByName(asks.select(*keys, pos, none.alias("_least"), none.alias("_most"), F.lit(True).alias("_asked")))
+    both = _placed(both, _parts(both.select(*keys, pos), keys, pos, width, part_rows), keys, pos, width)
+    cell = [*keys, "_bin", "_part"]
+    # Empty parts that hold asks only are in the table too, so that the carry reaches them.
+    table = both.groupBy(*cell).agg(F.min("_least").alias("_first"), F.max("_most").alias("_last"))
+    line = W.partitionBy(*keys).orderBy("_bin", "_part")
     table = table.select(
-        *keys, "_bin", F.last("_last", ignorenulls=True).over(line.rowsBetween(W.unboundedPreceding, -1)).alias("_before"),
+        *cell, F.last("_last", ignorenulls=True).over(line.rowsBetween(W.unboundedPreceding, -1)).alias("_before"),
         F.first("_first", ignorenulls=True).over(line.rowsBetween(1, W.unboundedFollowing)).alias("_after"),
     )
-    cols = points.columns
-    both = ask.select(*keys, "_bin", F.col(pos).alias("_at"), F.lit(0).alias("_side"), F.lit(None).cast(refs.schema["_ref"].dataType).alias("_ref"), F.struct(*cols).alias("_row")).unionByName(
-        refs.select(*keys, "_bin", F.col("_ref.pos").alias("_at"), F.lit(1).alias("_side"), "_ref", F.lit(None).cast(points.select(F.struct(*cols).alias("x")).schema["x"].dataType).alias("_row"))
-    )
-    own = W.partitionBy(*keys, "_bin").orderBy("_at", "_side", "_ref")
+    # An ask stands before the references of its place, so those count as at or after it.
+    own = W.partitionBy(*cell).orderBy(pos, F.col("_asked").desc())
     here = both.select(
-        *keys, "_bin", "_side", "_row", F.last("_ref", ignorenulls=True).over(own.rowsBetween(W.unboundedPreceding, -1)).alias("_low"),
-        F.first("_ref", ignorenulls=True).over(own.rowsBetween(1, W.unboundedFollowing)).alias("_high"),
+        *cell, pos, "_asked", F.last("_most", ignorenulls=True).over(own.rowsBetween(W.unboundedPreceding, -1)).alias("_low"),
+        F.first("_least", ignorenulls=True).over(own.rowsBetween(1, W.unboundedFollowing)).alias("_high"),
     )
-    found = here.filter("_side = 0").join(table, [*keys, "_bin"], "left").select("_row", F.coalesce("_low", "_before").alias("_low"), F.coalesce("_high", "_after").alias("_high"))
-    at = F.col(f"_row.{pos}")
+    found = here.filter("_asked").join(table, cell, "left").select(*keys, pos, F.coalesce("_low", "_before").alias("_low"), F.coalesce("_high", "_after").alias("_high"))
+    at = F.col(pos)
     low, high = at - F.col("_low.pos"), F.col("_high.pos") - at
     best = F.when(F.col("_high").isNull() | (low <= high), F.col("_low")).otherwise(F.col("_high"))
-    return found.withColumn("_best", best).select(
-        "_row.*", F.abs(F.col("_best.pos") - at).alias("near_distance"), *[F.col(f"_best.{c}").alias(f"near_{c}") for c in ["pos", *payload]]
-    )
+    found = found.select(*keys, pos, best.alias("_best"))
+    out = points.join(found, [*keys, pos], "left")
+    return out.select(*[F.col(c) for c in points.columns], F.abs(F.col("_best.pos") - at).alias("near_distance"), *[F.col(f"_best.{c}").alias(f"near_{c}") for c in ["pos", *payload]])
 
 
-def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
-    """Union of intervals per key: overlapping or touching ones become one island."""
-    w = W.partitionBy(*keys).orderBy(start, end)
-    reach = F.max(end).over(w.rowsBetween(W.unboundedPreceding, -1))
-    marked = df.withColumn("_new", F.when(F.col(start) <= reach, 0).otherwise(1)).withColumn("_island", F.sum("_new").over(w))
-    return marked.groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
+def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, width: int = 1_000_000, part_rows: int = PART_ROWS) -> DataFrame:
+    """Union of intervals per key: overlapping or touching ones become one island (keys, start, end).
+
+    Intervals of one start count as the longest of them. They go to bins of `width` by their start (dense ones cut as in
+    `nearest`); how far the parts before reach, and where their last island begins, is carried over the table of parts.
+    So a window holds one part, and an island may span any number of them. Rows without a start or end are left out.
+    """
+    rows = df.filter(F.col(start).isNotNull() & F.col(end).isNotNull()).groupBy(*keys, start).agg(F.max(end).alias(end))
+    rows = _placed(rows, _parts(rows.select(*keys, start), keys, start, width, part_rows), keys, start, width)
+    cell = [*keys, "_bin", "_part"]
+    before = W.partitionBy(*keys).orderBy("_bin", "_part").rowsBetween(W.unboundedPreceding, -1)
+    reach = rows.groupBy(*cell).agg(F.max(end).alias("_reach")).select(*cell, F.max("_reach").over(before).alias("_carried"))
+    own = W.partitionBy(*cell).orderBy(start)
+    upto = F.greatest(F.max(end).over(own.rowsBetween(W.unboundedPreceding, -1)), F.col("_carried"))
+    # An island is known by its start; rows before a part's first one belong to the last island of the parts before.
+    marked = rows.join(reach, cell).withColumn("_new", F.when(upto.isNull() | (F.col(start) > upto), F.col(start)))
+    marked = marked.withColumn("_island", F.last("_new", ignorenulls=True).over(own.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    local = marked.groupBy(*cell, "_island").agg(F.max(end).alias(end))
+    last = local.groupBy(*cell).agg(F.max("_island").alias("_last")).select(*cell, F.last("_last", ignorenulls=True).over(before).alias("_open"))
+    return local.join(last, cell).groupBy(*keys, F.coalesce("_island", "_open").alias(start)).agg(F.max(end).alias(end))
 
 
 def interval_coverage(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:

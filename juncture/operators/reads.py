@@ -6,12 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..criteria import DEFAULT, Criteria
-from ..functions.alignments import aligned_blocks, gaps, longest_softclip, partner_hit, reference_end
+from ..functions.alignments import aligned_blocks, partner_hit, reference_end, walk
 from ..functions.sequence import reverse_complement
 from .cross import breakpoints
 from .ranges import overlapping
 
 
+#: Loci that go to every task that reads alignments; each takes a dozen rows of some 150 bytes.
+FEW_LOCI = 20_000
+
+
 def select_test(svtype: Column, chrom1: Column, chrom2: Column, size: Column, insert_len: Column, criteria: Criteria = DEFAULT) -> tuple[Column, Column]:
     """(test, reason): insertion, else chimeric, else none for small or unsized events, else sizegap."""
     long_insert = F.coalesce(insert_len, F.lit(0)) >= criteria.min_insert
@@ -40,8 +44,8 @@ def no_support_reason(test: Column, min_coverage: Column) -> Column:
     return F.when(test == "none", "test not applicable").when(F.coalesce(min_coverage, F.lit(0)) == 0, "locus not transcribed").otherwise("expressed but nothing crosses")
 
 
-def reads_at_breakends(junctions: DataFrame, alignments: DataFrame, width: int = 1000, criteria: Criteria = DEFAULT) -> DataFrame:
-    """Alignments that overlap a window around each breakend of their sample; one row per (event, side, alignment)."""
+def breakend_windows(junctions: DataFrame, criteria: Criteria = DEFAULT) -> DataFrame:
+    """A window (w0, w1) around each breakend with the event's facts, its test and the partner's place; one row per (event, side)."""
     keep = ["sample", "sample_sv_id", "svtype", "event_size", "insert_len", "insert_seq"]
     ends = breakpoints(junctions, [*keep, "chrom1", "pos1", "chrom2", "pos2"])
     other = F.col("side") == 1
@@ -50,10 +54,17 @@ def reads_at_breakends(junctions: DataFrame, alignments: DataFrame, width: int =
         "w0": F.col("pos") - criteria.coverage_window, "w1": F.col("pos") + criteria.coverage_window, "first_pos": F.least("pos1", "pos2"),
         "test": select_test(F.col("svtype"), F.col("chrom1"), F.col("chrom2"), F.col("event_size"), F.col("insert_len"), criteria)[0],
     })
-    # CIGAR walks happen once per read, before a read meets many breakends.
-    start, cigar = F.col("start0"), F.col("cigar")
-    reads = alignments.withColumns({"end0": reference_end(start, cigar), "gaps": gaps(start, cigar), "softclip": longest_softclip(cigar)})
-    return overlapping(ends.drop("chrom1", "chrom2", "pos1", "pos2"), reads, ["sample", "chrom"], ("w0", "w1"), ("start0", "end0"), width)
+    return ends.drop("chrom1", "chrom2", "pos1", "pos2")
+
+
+def with_walks(alignments: DataFrame) -> DataFrame:
+    """Alignments with end0, gaps and softclip: CIGAR walks happen once per read, before a read meets many breakends."""
+    return alignments.select("*", walk(F.col("start0"), F.col("cigar")).alias("_w")).select(*alignments.columns, "_w.end0", "_w.gaps", "_w.softclip")
+
+
+def reads_at_breakends(junctions: DataFrame, alignments: DataFrame, width: int = 1000, criteria: Criteria = DEFAULT) -> DataFrame:
+    """Alignments that overlap a window around each breakend of their sample; one row per (event, side, alignment)."""
+    return overlapping(breakend_windows(junctions, criteria), with_walks(alignments), ["sample", "chrom"], ("w0", "w1"), ("start0", "end0"), width, FEW_LOCI)
 
 
 def fragment_evidence(pairs: DataFrame, criteria: Criteria = DEFAULT) -> DataFrame:

@@ -1,31 +1,54 @@
-"""Permutation null of exact matches: shuffled residues against the catalogue."""
+"""Permutation null of exact matches: shuffled residues against the catalogue, which they meet by signature first."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..criteria import DEFAULT
 from ..functions.variants import per_thousand
 
 
-def shuffled(candidates: DataFrame, column: str, permutations: int, seed: int = 0) -> DataFrame:
-    """(perm, shuffled) distinct: the letters of each candidate in the order of md5(seed|perm|candidate|place)."""
-    rows = candidates.select(F.col(column).alias("_p")).distinct().withColumn("perm", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
+#: Catalogue texts of one signature that a candidate carries in a row; more of them take more rows.
+TARGETS = 1000
+
+
+def signature(text: Column) -> Column:
+    """Letters of a text in order: a text can be shuffled into another one if both have the same."""
+    return F.array_join(F.array_sort(F.split(text, "")), "")
+
+
+def shuffle(text: Column, perm: Column, seed: int = 0) -> Column:
+    """The letters of a text in the order of md5(seed|perm|text|place)."""
     order = F.transform(
-        F.sequence(F.lit(1), F.length("_p")),
-        lambda i: F.struct(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("perm").cast("string"), F.col("_p"), i.cast("string")).cast("binary")).alias("k"), F.substring(F.col("_p"), i, F.lit(1)).alias("c")),
+        F.sequence(F.lit(1), F.length(text)),
+        lambda i: F.struct(F.md5(F.concat_ws("|", F.lit(str(seed)), perm.cast("string"), text, i.cast("string")).cast("binary")).alias("k"), F.substring(text, i, F.lit(1)).alias("c")),
     )
-    text = F.array_join(F.transform(F.array_sort(order), lambda s: s["c"]), "")
-    return rows.filter(F.length("_p") > 0).select("perm", text.alias("shuffled")).distinct()
+    return F.array_join(F.transform(F.array_sort(order), lambda s: s["c"]), "")
+
+
+def shuffled_hits(candidates: DataFrame, catalogue: DataFrame, column: str, permutations: int, seed: int = 0) -> DataFrame:
+    """(perm, shuffled), distinct: the shuffled candidates that are in the catalogue.
+
+    Candidates meet the catalogue by signature first: one without a catalogue text of its letters can never hit and isn't
+    shuffled. The others carry the catalogue texts that they could become, so a shuffle is compared where it is made, and
+    only hits are sent on.
+    """
+    rows = candidates.select(F.col(column).alias("_p")).filter(F.length("_p") > 0).distinct().withColumn("_s", signature(F.col("_p")))
+    known = catalogue.select(F.col(column).alias("_t")).filter(F.length("_t") > 0).distinct().withColumn("_s", signature(F.col("_t")))
+    # The signatures that candidates have; then slices of the catalogue's texts by signature.
+    known = known.join(rows.select("_s").distinct(), "_s", "left_semi").withColumn("_slice", F.pmod(F.xxhash64("_t"), F.lit(1 << 20)))
+    n = known.groupBy("_s").agg(F.ceil(F.count("*") / TARGETS).alias("_slices"))
+    slices = known.join(n, "_s").groupBy("_s", (F.col("_slice") % F.col("_slices")).alias("_slice")).agg(F.collect_set("_t").alias("_targets"))
+    tried = rows.join(slices, "_s").select("_p", "_targets", F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("perm"))
+    hits = tried.withColumn("shuffled", shuffle(F.col("_p"), F.col("perm"), seed)).filter(F.array_contains("_targets", F.col("shuffled")))
+    return hits.select("perm", "shuffled").distinct()
 
 
 def permutation_counts(candidates: DataFrame, catalogue: DataFrame, column: str, permutations: int = DEFAULT.permutations, seed: int = 0) -> DataFrame:
     """(perm, hits) for every permutation, zero included."""
-    spark = candidates.sparkSession
-    known = catalogue.select(F.col(column).alias("shuffled")).distinct()
-    hits = shuffled(candidates, column, permutations, seed).join(known, "shuffled", "left_semi").groupBy("perm").agg(F.count("*").alias("hits"))
-    every = spark.range(1, permutations + 1).select(F.col("id").cast("int").alias("perm"))
+    hits = shuffled_hits(candidates, catalogue, column, permutations, seed).groupBy("perm").agg(F.count("*").alias("hits"))
+    every = candidates.sparkSession.range(1, permutations + 1).select(F.col("id").cast("int").alias("perm"))
     return every.join(hits, "perm", "left").select("perm", F.coalesce("hits", F.lit(0)).alias("hits"))
 
 

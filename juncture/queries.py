@@ -260,7 +260,7 @@ def panel_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "orders", "o_custkey % 25 as chrom1", "o_orderkey % 20 as chrom2", "o_orderkey as start1", "o_orderkey + 400 as end1", "floor(o_totalprice / 60) as start2",
         "floor(o_totalprice / 60) + 3000 as end2", "cast(o_orderkey % 50 as int) as count",
     )
-    return confidence.panel_lookup(asks.distinct(), panel, "id", 0, 500).groupBy("id").agg(F.max("panel_count").alias("panel_count"), F.bool_or("in_panel").alias("in_panel"))
+    return confidence.panel_lookup(asks.distinct(), panel, "id").groupBy("id").agg(F.max("panel_count").alias("panel_count"), F.bool_or("in_panel").alias("in_panel"))
 
 
 @query(f"""

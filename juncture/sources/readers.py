@@ -16,20 +16,40 @@ def parse_breakends(lines: DataFrame) -> DataFrame:
     """Lines (sample, file_row, value) of SV VCFs to breakends; headers and lines of fewer than eight fields go."""
     part = F.split("value", "\t")
     rows = lines.filter(~F.startswith("value", F.lit("#"))).withColumn("f", part).filter(F.size("f") >= 8)
-    text = F.col("f")[7]
+    text = F.get(F.col("f"), F.lit(7))
     return rows.select(
-        "sample", normal_chrom(F.col("f")[0]).alias("chrom"), F.col("f")[1].try_cast("long").alias("pos"), F.col("f")[2].alias("id"),
-        F.col("f")[3].alias("ref"), F.col("f")[4].alias("alt"), F.col("f")[5].try_cast("double").alias("qual"), F.col("f")[6].alias("filter"),
+        "sample", normal_chrom(F.get(F.col("f"), F.lit(0))).alias("chrom"), F.get(F.col("f"), F.lit(1)).try_cast("long").alias("pos"), F.get(F.col("f"), F.lit(2)).alias("id"),
+        F.get(F.col("f"), F.lit(3)).alias("ref"), F.get(F.col("f"), F.lit(4)).alias("alt"), F.get(F.col("f"), F.lit(5)).try_cast("double").alias("qual"), F.get(F.col("f"), F.lit(6)).alias("filter"),
         info(text, "SVTYPE").alias("svtype"), info(text, "MATEID").alias("mateid"),
         *[info(text, k, "int").alias(n) for k, n in (("PON_COUNT", "pon_count"), ("VF", "vf"), ("SF", "sf"), ("DF", "df"), ("REF", "ref_reads"), ("SEGMAPQ", "segmapq"))],
         info(text, "HOMSEQ").alias("homseq"), info_flag(text, "IMPRECISE").alias("imprecise"), "file_row", F.col("value").alias("line"),
     )
 
 
+def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(sample, file_row, value) of every line; the sample is the file name up to the first dot.
+
+    file_row orders the lines of a file also where Spark reads it in several splits: place of the split, then of the line.
+    """
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line"))
+    return lines.select(file_stem().alias("sample"), place.alias("file_row"), "value")
+
+
 def read_breakends(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Breakends of many VCFs as one table; the sample is the file name up to the first dot."""
-    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).withColumn("file_row", F.col("_metadata.file_block_start") * 0 + F.monotonically_increasing_id())
-    return parse_breakends(lines.withColumn("sample", file_stem()))
+    """Breakends of many VCFs as one table."""
+    return parse_breakends(numbered_lines(spark, paths))
+
+
+def record_facts(line: Column) -> dict[str, Column]:
+    """chrom, pos and id of a VCF line; null for a header line."""
+    f, record = F.split(line, "\t"), ~F.startswith(line, F.lit("#"))
+    return {"chrom": F.when(record, normal_chrom(F.get(f, F.lit(0)))), "pos": F.when(record, F.get(f, F.lit(1)).try_cast("long")), "id": F.when(record, F.get(f, F.lit(2)))}
+
+
+def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """All lines of VCFs (sample, file_row, line), header lines too, with chrom, pos and id of the others."""
+    return numbered_lines(spark, paths).select("sample", "file_row", F.col("value").alias("line"), *[c.alias(n) for n, c in record_facts(F.col("value")).items()])
 
 
 def file_stem() -> Column:
@@ -81,9 +101,9 @@ def parse_population_sites(lines: DataFrame) -> DataFrame:
     """gnomad_record rows from lines (value) of a sites VCF; rows without END or AF go."""
     f = F.split("value", "\t")
     rows = lines.filter(~F.startswith("value", F.lit("#"))).select(f.alias("f")).filter(F.size("f") >= 8)
-    text = F.col("f")[7]
+    text = F.get(F.col("f"), F.lit(7))
     out = rows.select(
-        normal_chrom(F.col("f")[0]).alias("chrom"), F.col("f")[1].try_cast("long").alias("start"), info(text, "END", "long").alias("end"), info(text, "AF", "double").alias("af"),
+        normal_chrom(F.get(F.col("f"), F.lit(0))).alias("chrom"), F.get(F.col("f"), F.lit(1)).try_cast("long").alias("start"), info(text, "END", "long").alias("end"), info(text, "AF", "double").alias("af"),
         *[info(text, f"AF_{p}", "double").alias(f"af_{p}") for p in DEFAULT.populations],
     )
     return out.filter("end is not null and af is not null")

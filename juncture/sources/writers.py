@@ -28,6 +28,19 @@ def admitted_lines(lines: DataFrame, admitted: DataFrame) -> DataFrame:
     return named.unionByName(placed).drop("by_id")
 
 
+def write_admitted(lines: DataFrame, admitted: DataFrame, path: str) -> None:
+    """One text file a sample below path/sample=<name>: the sample's header lines, then its admitted lines, in file order.
+
+    lines: sample, file_row and `line` of whole files (`read_lines`), header lines (#) included, with id, chrom and pos
+    of the others. A sample without an admitted line keeps its header. A task sorts and writes a sample's lines, which are
+    one file's; samples are spread over tasks. Rows are written as they were read, byte for byte.
+    """
+    header = F.startswith("line", F.lit("#"))
+    kept = lines.filter(header).unionByName(admitted_lines(lines.filter(~header), admitted))
+    ordered = kept.select("sample", "file_row", F.col("line").alias("value")).repartition("sample").sortWithinPartitions("sample", "file_row")
+    ordered.select("sample", "value").write.mode("overwrite").partitionBy("sample").text(path)
+
+
 def write_manifest(spark: SparkSession, values: dict, path: str) -> None:
     """One JSON object as text."""
     import json
