@@ -87,6 +87,6 @@ def prove_junctions(events: DataFrame, transcripts: DataFrame, alignments: DataF
     proteins = base.withColumns({"native": native, "mutant": mutant}).withColumn("first_changed", first_change(F.col("native"), F.col("mutant")))
     new, spanning = novel_windows(F.col("native"), F.col("mutant"), F.col("first_changed"), criteria.peptide_lengths)
     removed = F.col("after") - F.col("before")
-    facts = proteins.select(*keys, removed.alias("coding_removed"), (removed % 3 == 0).alias("in_frame"), "first_changed", F.when(F.col("cds").isNotNull(), F.size(new)).alias("novel"), spanning.alias("spanning"))
+    facts = proteins.select(*keys, removed.alias("coding_removed"), (removed % 3 == 0).alias("in_frame"), "first_changed", F.when(F.col("cds").isNotNull(), F.size(new)).alias("novel"), F.when(F.col("cds").isNotNull(), spanning).alias("spanning"))
     out = facts.join(near.groupBy(*keys).agg(F.count("*").alias("reads")), list(keys), "left").join(counted, list(keys), "left").join(verdict, list(keys), "left")
     return out.fillna(0, ["reads", "own_gaps", "other_gaps", "breakpoint_hits", "gap_hits"]).fillna("neither", ["supported"])
