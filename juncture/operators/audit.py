@@ -138,8 +138,10 @@ def missing_paths(paths: DataFrame) -> list[str]:
     """owner.key: path of every configured path (owner, key, path) that is not there; null paths are not configured."""
     spark = paths.sparkSession
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    out = []
-    for r in paths.filter("path is not null").limit(MOST_DEFINITIONS).collect():
+    out, known = [], paths.filter("path is not null").limit(MOST_DEFINITIONS + 1).collect()
+    if len(known) > MOST_DEFINITIONS:
+        raise ValueError(f"more than {MOST_DEFINITIONS} paths")
+    for r in known:
         where = jvm.org.apache.hadoop.fs.Path(r["path"])
         if not where.getFileSystem(conf).exists(where):
             out.append(f"{r['owner']}.{r['key']}: {r['path']} does not exist")

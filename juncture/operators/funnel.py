@@ -45,6 +45,21 @@ def ledger(df: DataFrame, rules: dict[str, Column], keys: Sequence[str] = ()) ->
     return one.select(*keys, F.inline(rows))
 
 
+def grain_ledger(df: DataFrame, rules: dict[str, Column], grain: str, keys: Sequence[str] = (), reported: Sequence[str] = ()) -> DataFrame:
+    """(keys, grain, place, filter, applied, entered, passed, removed): a ledger of what each row stands for (breakend,
+    junction, peptide row, event). Filters in `reported` say what they would remove, and pass everything on."""
+    left, columns = F.lit(True), []
+    for k, (name, rule) in enumerate(rules.items()):
+        own = left & F.coalesce(rule, F.lit(False))
+        columns += [F.count_if(left).alias(f"e{k}"), F.count_if(own).alias(f"p{k}")]
+        left = left if name in reported else own
+    one = df.groupBy(*keys).agg(*columns)
+    rows = F.array(*[
+        F.struct(F.lit(k + 1).alias("place"), F.lit(n).alias("filter"), F.lit(n not in reported).alias("applied"), F.col(f"e{k}").alias("entered"), F.col(f"p{k}").alias("passed"), (F.col(f"e{k}") - F.col(f"p{k}")).alias("removed"))
+        for k, n in enumerate(rules)])
+    return one.select(*keys, F.lit(grain).alias("grain"), F.inline(rows))
+
+
 def named_losses(df: DataFrame, rule: Column, order: Sequence[Column | str], limit: int = 40) -> DataFrame:
     """The first rows that a filter removes, in a total order: a report of examples."""
     return df.filter(~F.coalesce(rule, F.lit(False))).orderBy(*order).limit(limit)
@@ -165,6 +180,16 @@ def run_verdict(df: DataFrame, criteria: dict[str, Column]) -> DataFrame:
     return one.withColumn("verdict", F.when(F.col("events") == 0, "emptied before matching").when(F.col("survivors") == 0, "no event meets all criteria").otherwise(F.format_string("%d events survive", "survivors")))
 
 
+def emptied(counts: DataFrame, key: str, last: str) -> DataFrame:
+    """Per run (key): events (n of the step `last`), emptied_by, the first step (by place) that left nothing, and a verdict.
+
+    counts: key, place, step, n; a step that was not run has a null n and empties nothing.
+    """
+    out = counts.groupBy(key).agg(F.max(F.when(F.col("step") == last, F.col("n"))).alias("events"), F.min_by("step", F.when(F.col("n") == 0, F.col("place"))).alias("_first"), F.count_if(F.col("n") == 0).alias("_none"))
+    by = F.when(F.col("_none") > 0, F.col("_first"))
+    return out.withColumn("emptied_by", by).withColumn("verdict", F.when(F.col("emptied_by").isNotNull(), F.concat(F.lit("emptied before matching by "), "emptied_by")).otherwise(F.format_string("%d events survive", "events"))).drop("_first", "_none")
+
+
 def notes(counts: dict[str, Column]) -> Column:
     """Interpretation notes whose condition holds, as an array."""
     return F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in counts.items()]))

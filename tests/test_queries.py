@@ -6,7 +6,7 @@ import pytest
 
 import oracle
 from juncture import queries
-from juncture import queries_evidence, queries_stored  # noqa: F401 - register their queries
+from juncture import queries_evidence, queries_stored, queries_tables  # noqa: F401 - register their queries
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(oracle.SF_DIR), reason="no driver tables")
 
