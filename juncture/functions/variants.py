@@ -116,16 +116,24 @@ def region(pos: Column, start: Column, end: Column, exons: Column, coding: Colum
     return F.when(within(coding), "CDS").when(within(exons), "UTR").when((pos >= start) & (pos <= end), "intron").otherwise("outside")
 
 
+#: Fixed values of the column junction_model; the last stands behind the names of two other regions.
+INTER_GENE = "inter-gene fusion"
+CODING_JOIN = "coding join"
+WHOLE_EXON = "whole-exon change (or no change, same intron)"
+EXON_INTRON = "exon-intron: splice outcome uncertain"
+UNCERTAIN = ": splice outcome uncertain"
+
+
 def junction_model(gene1: Column, gene2: Column, region1: Column, region2: Column) -> Column:
     """How the two ends meet: between genes, inside coding sequence, between introns, or with a splice outcome that no
     rule decides; the last names the two regions."""
     both = F.array_sort(F.array(region1, region2))
     return (
-        F.when(~gene1.eqNullSafe(gene2), "inter_gene")
-        .when((region1 == "CDS") & (region2 == "CDS"), "coding_join")
-        .when((region1 == "intron") & (region2 == "intron"), "whole_exon")
-        .when(both == F.array(F.lit("CDS"), F.lit("intron")), "exon_intron_uncertain")
-        .otherwise(F.concat(F.coalesce(region1, F.lit("")), F.lit("-"), F.coalesce(region2, F.lit("")), F.lit("_uncertain")))
+        F.when(~gene1.eqNullSafe(gene2), INTER_GENE)
+        .when((region1 == "CDS") & (region2 == "CDS"), CODING_JOIN)
+        .when((region1 == "intron") & (region2 == "intron"), WHOLE_EXON)
+        .when(both == F.array(F.lit("CDS"), F.lit("intron")), EXON_INTRON)
+        .otherwise(F.concat(F.coalesce(region1, F.lit("")), F.lit("-"), F.coalesce(region2, F.lit("")), F.lit(UNCERTAIN)))
     )
 
 

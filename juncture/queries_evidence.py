@@ -37,7 +37,7 @@ def vcf_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     with l as (select l_orderkey * 10 + l_linenumber id, l_quantity::int v, l_suppkey r, l_discount d, 'HLA-A' || lpad((l_partkey % 90)::varchar, 2, '0') || ':' || lpad((l_suppkey % 99)::varchar, 2, '0') a, l_returnflag f from lineitem)
     select id, round(v / nullif(v + r, 0), 4) fraction, round(1000.0 * v / nullif(r, 0), 3) per_thousand, substr(a, 5) allele, f in ('A', 'N') flag, d is null or isnan(d) absent,
-           case when v > 25 then 'uncertain' else 'coding_join' end model from l""".replace("'uncertain'", "'exon_intron_uncertain'"))
+           case when v > 25 then 'exon-intron: splice outcome uncertain' else 'coding join' end model from l""")
 def variant_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     v, r = F.col("l_quantity").cast("int"), F.col("l_suppkey")
     allele = F.concat(F.lit("hla-a*"), F.lpad((F.col("l_partkey") % 90).cast("string"), 2, "0"), F.lpad((F.col("l_suppkey") % 99).cast("string"), 2, "0"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .criteria import DEFAULT
 from .operators import audit, binding, confidence, cross, funnel, master, peptides, reads, universe
+from .plans import pipeline as plan
 from .queries import CODON_SQL, derive, query, table
 from .queries_stored import scratch
 from .sources import readers, writers
@@ -312,3 +314,50 @@ def table_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     recorded = prints("orders", orders).unionByName(prints("lines", lines)).unionByName(prints("gone", orders))
     return audit.freshness(recorded, prints("orders", orders.sort("o_custkey")).unionByName(prints("lines", lines.filter("l_quantity < 49"))))
+
+
+# The whole run
+
+
+_RUN_PEPTIDE = "if(o_orderkey % 7 = 0, 'AAAAAAAAA', substring(translate(md5(cast(o_orderkey % 200 as string)), '0123456789abcdef', 'ACDEFGHIKLMNPQRS'), 1, 9))"
+_RUN_PART = "translate(md5(cast(p_partkey % 150 as string)), '0123456789abcdef', 'ACDEFGHIKLMNPQRS')"
+
+
+@query("""
+    with o as (select (o_orderkey % 5)::varchar sample, o_orderkey k, o_orderkey % 14 pon, o_orderkey % 9 vf, 120 + o_orderkey % 5 z, case when o_orderkey % 11 = 0 then 'GX' else 'G' || (o_orderkey % 200 % 50) end gene,
+            case when o_orderkey % 7 = 0 then 'AAAAAAAAA' else translate(md5((o_orderkey % 200)::varchar), '0123456789abcdef', 'ACDEFGHIKLMNPQRS')[1:9] end s from orders),
+    c as (select distinct case when p_partkey % 150 = 0 then 'AAAAAAAAA' else translate(md5((p_partkey % 150)::varchar), '0123456789abcdef', 'ACDEFGHIKLMNPQRS')[1:9] end s, 'G' || (p_partkey % 150 % 50) gene from part),
+    f as (select distinct translate(md5((p_partkey % 150)::varchar), '0123456789abcdef', 'ACDEFGHIKLMNPQRS')[i + 1 : i + 9] g from part, unnest(range(12)) r(i) where p_partkey % 150 in (5, 6, 7)),
+    l as (select s, list_filter(string_split(s, ''), lambda x: x <> '') l from (select distinct s from o)),
+    m as (select s, list_transform(list_distinct(l), lambda c: len(list_filter(l, lambda x: x = c)) / len(l)) q, list_max(list_transform(range(len(l) - 3), lambda i: (len(list_distinct(l[i + 1 : i + 4])) = 1)::int)) r from l),
+    w as (select s, len(q) <= 3 or list_max(q) >= 0.5 or r > 0 or round(list_sum(list_transform(q, lambda x: -x * log2(x))), 12) < 2.0 low from m),
+    e as (select o.*, count(distinct c.s) n from o join c on o.s = c.s and o.gene = c.gene join w on w.s = o.s where not low and o.s not in (select g from f) and pon < 12 group by all),
+    p as (select l_orderkey k, max(l_discount * 0.1) af from lineitem where l_quantity > 45 group by 1),
+    r as (select l_orderkey k, count(distinct l_linenumber) filter (l_quantity >= 20) cov, count(distinct l_linenumber) filter (l_quantity >= 20 and l_linenumber % 2 = 0) hit from lineitem group by 1),
+    g as (select 'G' || (p_partkey % 50) gene, max(p_retailprice - 900) tpm from part where p_size > 30 group by 1),
+    x as (select e.*, vf >= 5 hc, pon < 10 and coalesce(af < 0.003, true) private, case when sample <> '3' then coalesce(cov, 0) end cov, case when sample <> '3' then coalesce(hit, 0) end hit, tpm > 1 expressed from e left join p using (k) left join r using (k) left join g using (gene))
+    select sample, k::varchar sample_sv_id, n n_peptides, hc high_confidence, private, cov min_coverage, hit junction_fragments,
+           case when sample = '3' then 'NA' when hit >= 5 then 'STRONG' when hit >= 3 then 'SUGGESTIVE' when hit >= 1 then 'WEAK' else 'NONE' end rna_tier, coalesce(hit, 0) >= 1 rna_supported, expressed from x""")
+def evidence_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evidence plan with every stage on: admission, pairing, matching, quality with a proteome, events, confidence,
+    privacy by panel and population, reads, expression."""
+    place = "o_orderkey * 10000"
+    breakends = derive(
+        spark, sf_dir, "orders", "cast(o_orderkey % 5 as string) as sample", "cast(o_orderkey as string) as id", "cast(null as string) as mateid", "'1' as chrom", f"{place} as pos", "'N' as ref", "'PASS' as filter", f"concat('N[chr1:', {place} + 121 + o_orderkey % 5, '[') as alt", "30.0D as qual",
+        "'DEL' as svtype", "cast(o_orderkey % 14 as int) as pon_count", "o_orderkey as file_row", "cast(o_orderkey % 9 as int) as vf", "60 as segmapq", *[f"cast(null as int) as {c}" for c in ("sf", "df", "ref_reads")],
+    )
+    about = ["cast(o_orderkey % 5 as string) as sample", "cast(o_orderkey as string) as sample_sv_id"]
+    made = derive(spark, sf_dir, "orders", *about, f"{_RUN_PEPTIDE} as neopeptide", where="o_orderkey % 14 < 12")
+    annotation = derive(spark, sf_dir, "orders", *about, "if(o_orderkey % 11 = 0, 'GX', concat('G', o_orderkey % 200 % 50)) as gene1", *[f"cast(null as string) as {c}" for c in ("gene2", "transcript_id1", "transcript_id2")], "'DEL' as svtype")
+    catalogue = derive(spark, sf_dir, "part", f"if(p_partkey % 150 = 0, 'AAAAAAAAA', substring({_RUN_PART}, 1, 9)) as ref_peptide", "concat('G', p_partkey % 150 % 50) as ref_gene", "'DEL' as ref_svtype").distinct()
+    proteome = derive(spark, sf_dir, "part", f"substring({_RUN_PART}, 1, 20) as sequence", where="p_partkey % 150 in (5, 6, 7)")
+    population = derive(spark, sf_dir, "lineitem", "'1' as chrom", "l_orderkey * 10000 as start", "l_orderkey * 10000 + 121 + l_orderkey % 5 as end", "l_discount * 0.1 as af", where="l_quantity > 45")
+    alignments = derive(
+        spark, sf_dir, "lineitem", "cast(l_orderkey % 5 as string) as sample", "'1' as chrom", "concat_ws('.', l_orderkey, l_linenumber) as qname", "l_orderkey * 10000 - 50 as start0", "cast(l_quantity as int) as mapq", "0 as flag",
+        "concat('50M', 120 + l_orderkey % 5 + l_linenumber % 2 * 40, 'N50M') as cigar", "'ACGT' as seq", "cast(null as string) as sa_tag",
+    )
+    genes = derive(spark, sf_dir, "part", "concat('G', p_partkey % 50) as gene", "p_retailprice - 900 as tpm", where="p_size > 30")
+    isoforms = derive(spark, sf_dir, "part", "p_name as transcript", "p_retailprice as tpm", where="p_size < 3")
+    inputs = plan.Inputs(breakends, made, annotation, catalogue, proteome, population, alignments, genes, isoforms)
+    found = plan.evidence(inputs, "somatic", 12, F.col("sample") != "3", True, DEFAULT.override(gnomad_max_af=0.003)).events
+    return found.select("sample", "sample_sv_id", "n_peptides", "high_confidence", "private", "min_coverage", "junction_fragments", "rna_tier", "rna_supported", "expressed")

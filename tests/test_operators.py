@@ -288,7 +288,7 @@ def test_classes_in_either_case(spark):
     assert one(spark, variants.inserted_bases(F.lit("a"), F.lit("AGT[1:5[")), variants.inserted_bases(F.lit("A"), F.lit("]1:5]GTa"))) == ("GT", "GT")
     assert one(spark, reads.select_test(F.lit("bnd"), F.lit("1"), F.lit("1"), F.lit(None).cast("int"), F.lit(0))[0])[0] == "chimeric"
     model = lambda a, b, g="G": variants.junction_model(F.lit("G"), F.lit(g), F.lit(a), F.lit(b))
-    assert one(spark, model("CDS", "CDS"), model("intron", "CDS"), model("UTR", "CDS"), model("CDS", "CDS", "H")) == ("coding_join", "exon_intron_uncertain", "UTR-CDS_uncertain", "inter_gene")
+    assert one(spark, model("CDS", "CDS"), model("intron", "CDS"), model("UTR", "CDS"), model("CDS", "CDS", "H")) == ("coding join", "exon-intron: splice outcome uncertain", "UTR-CDS: splice outcome uncertain", "inter-gene fusion")
 
 
 def test_calls_in_file_order_with_prefixes(spark):
