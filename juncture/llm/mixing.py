@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import fresh, keyed, materialise, mix64, words_count
+from .common import fresh, keyed, materialise, mix64, unique_ids, words_count
 
 #: Units that one flight handles, about: a source is cut into blocks by a hash of the key. Rounds at most; each leaves
 #: two units a block open.
@@ -167,6 +167,17 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: flo
     )
 
 
+def mix_documents(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float = 3, seed: int = 0) -> DataFrame:
+    """`mix_sources` for rows whose doc_id may be missing or shared: each row is drawn by a key of its own, so rows of one
+    id, however many, are spread over blocks like any others. Returns a row for each row, with its doc_id."""
+    if unique_ids(docs):
+        return mix_sources(docs, weights, most, seed)
+    key = fresh(docs, "_key")
+    named = keyed(docs, key)
+    taken = mix_sources(named.select(F.col(key).alias("doc_id"), "source", "text"), weights, most, seed).withColumnRenamed("doc_id", key)
+    return named.select(key, "doc_id").join(taken, key).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def mixed_rows(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), most: float = 3, seed: int = 0) -> DataFrame:
     """The rows of docs that the mix takes, each as often as it takes them, with their columns.
 

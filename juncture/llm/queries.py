@@ -13,7 +13,7 @@ from .exact_dedup import exact_duplicates
 from .language_id import identify_documents
 from .lexical_search import search
 from .media import documents_as_media
-from .mixing import mix_sources
+from .mixing import mix_documents
 from .ngram_join import jaccard_components
 from .secrets import scan_secrets
 from .passage_dedup import repeated_passages
@@ -44,7 +44,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(read_documents(spark, sf_dir))
+    return mix_documents(read_documents(spark, sf_dir))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,11 +59,12 @@ def number_slots(df: DataFrame, key: str, rows: int, shards: int, slot_rows: int
 
     Shards are cut into hash buckets of about slot_rows rows; each bucket is numbered alone and moved by the sizes of
     the buckets before it, so no task holds a shard. Within a bucket rows go by key (null first), then by all values.
+    Rows of one key, or without one, are spread over the buckets by their other values.
     """
     buckets = max(1, math.ceil(rows / (max(shards, 1) * slot_rows)))
     name = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    part = df.withColumn("_bucket", F.pmod(F.crc32(name.cast("binary")), F.lit(buckets)).cast("int"))
     others = [F.col(f"`{c}`") for c, kind in df.dtypes if c != key and "map<" not in kind and "variant" not in kind]
+    part = df.withColumn("_bucket", F.pmod(F.xxhash64(name, *others), F.lit(buckets)).cast("int"))
     own = F.row_number().over(W.partitionBy("shard", "_bucket").orderBy(key, *others))
     if buckets == 1:
         return part.withColumn("slot", (own - 1).cast("long")).drop("_bucket")

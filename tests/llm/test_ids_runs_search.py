@@ -312,3 +312,17 @@ def test_payloads_inside_a_page():
 
     got = media.parse_segments("<img src='data:image/gif;base64,aGVsbG8='><img src='data:,a%20b'><img src='sha256:AB'>")
     assert [s["digest"] for s in got] == [hashlib.sha256(b"hello").hexdigest(), hashlib.sha256(b"a b").hexdigest(), "ab"]
+
+
+def test_rows_without_ids_are_spread(spark):
+    """A third of all rows has no id: they are drawn and numbered in many blocks, and each keeps its row."""
+    from juncture.llm import mixing, sharding
+
+    rows = [(None if k % 3 == 0 else k, " ".join(["w"] * (1 + k % 7)), "abc"[k % 3 + (k % 9 == 0)]) if k % 9 else (5, "x y", None) for k in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix_documents(df).collect()
+    assert collections.Counter((r.doc_id, r.size) for r in got) == collections.Counter((d, len(t.split())) for d, t, _ in rows)
+    assert all(r.taken <= 3 * r.size for r in got)
+    placed = df.select("doc_id", F.monotonically_increasing_id().alias("n"), F.lit(0).alias("shard"))
+    slots = sharding.number_slots(placed, "doc_id", 900, 1, slot_rows=100).collect()
+    assert sorted(r.slot for r in slots) == list(range(900))
