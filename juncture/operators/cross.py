@@ -47,7 +47,7 @@ def breakpoints(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     return df.select(*keep, F.inline(ends))
 
 
-def level3_proximity(pool: DataFrame, junctions: DataFrame, key: str, windows_kb: Sequence[int] = DEFAULT.windows_kb, width: int = 1_000_000) -> DataFrame:
+def level3_proximity(pool: DataFrame, junctions: DataFrame, key: str, windows_kb: Sequence[int] = DEFAULT.windows_kb, width: int = 100_000) -> DataFrame:
     """Per pool row the distance of each end to the nearest junction end, and whether any or both lie in each window."""
     near = nearest(breakpoints(pool, [key]), breakpoints(junctions, []).select("chrom", "pos"), ["chrom"], "pos", [], width)
     ends = near.groupBy(key).agg(*[F.max(F.when(F.col("side") == s, F.col("near_distance"))).alias(f"dist_bp{s}") for s in (1, 2)])
@@ -58,7 +58,7 @@ def level3_proximity(pool: DataFrame, junctions: DataFrame, key: str, windows_kb
     return ends.withColumns(flags)
 
 
-def junction_recurrence(junctions: DataFrame, pool: DataFrame, key: str = "sample_sv_id", width: int = 1_000_000) -> DataFrame:
+def junction_recurrence(junctions: DataFrame, pool: DataFrame, key: str = "sample_sv_id", width: int = 100_000) -> DataFrame:
     """Per junction the nearest pool breakpoint of each end, with its class and gene; the nearer end names them."""
     refs = breakpoints(pool, ["svtype", "gene1"]).select("chrom", "pos", "svtype", "gene1")
     near = nearest(breakpoints(junctions, [key]), refs, ["chrom"], "pos", ["svtype", "gene1"], width)

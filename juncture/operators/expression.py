@@ -32,7 +32,7 @@ def event_expression(annotation: DataFrame, genes: DataFrame, isoforms: DataFram
     return out.withColumns({"tpm_min": least, "n_sides_measured": F.col("tpm1").isNotNull().cast("int") + F.col("tpm2").isNotNull().cast("int"), "expressed": least > criteria.tpm_expressed})
 
 
-def nearest_splice(events: DataFrame, calls: DataFrame, key: str, criteria: Criteria = DEFAULT, width: int = 1_000_000) -> DataFrame:
+def nearest_splice(events: DataFrame, calls: DataFrame, key: str, criteria: Criteria = DEFAULT, width: int = 100_000) -> DataFrame:
     """Per event the nearest end of a novel splice junction over both breakends, its fragments and type."""
     ends = calls.select(normal_chrom(F.col("Chromosome")).alias("chrom"), F.explode(F.array("SjStart", "SjEnd")).alias("pos"), F.col("FragCount").alias("fragments"), F.col("Type").alias("type"))
     near = nearest(breakpoints(events, [key]), ends, ["chrom"], "pos", ["fragments", "type"], width)

@@ -30,7 +30,7 @@ def points_in_intervals(points: DataFrame, intervals: DataFrame, keys: Sequence[
 #: Nested bins: widths grow by this factor from level to level; the last level takes whatever is longer.
 LEVEL_FACTOR, LEVELS = 8, 5
 #: Cells that a bin with more than this many places is cut into, and places of a part.
-FINE, PART_ROWS = 1024, 100_000
+FINE, PART_ROWS = 1024, 250_000
 
 
 def level_widths(width: int) -> list[int]:
@@ -133,9 +133,14 @@ def _parts(places: DataFrame, keys: Sequence[str], pos: str, width: int, part_ro
     return cut.select(*keys, "_bin", "_cell", "_part")
 
 
-def _placed(df: DataFrame, parts: DataFrame, keys: Sequence[str], pos: str, width: int) -> DataFrame:
-    """df with _bin and _part."""
-    out = df.withColumns({"_bin": F.floor(F.col(pos) / width), "_cell": _fine(F.col(pos), width)}).join(parts, [*keys, "_bin", "_cell"], "left")
+def _placed(df: DataFrame, keys: Sequence[str], pos: str, width: int, part_rows: int, repeats: int = 1) -> DataFrame:
+    """df, with each place at most `repeats` times, with _bin and _part. A bin of fewer whole-number places than part_rows
+    can't be dense, so then nothing is counted."""
+    out = df.withColumn("_bin", F.floor(F.col(pos) / width))
+    if dict(df.dtypes)[pos] in ("bigint", "int", "smallint", "tinyint") and repeats * width <= part_rows:
+        return out.withColumn("_part", F.lit(0))
+    parts = _parts(df.select(*keys, pos), keys, pos, width, part_rows)
+    out = out.withColumn("_cell", _fine(F.col(pos), width)).join(parts, [*keys, "_bin", "_cell"], "left")
     return out.withColumn("_part", F.coalesce("_part", F.lit(0))).drop("_cell")
 
 
@@ -155,7 +160,7 @@ def nearest(points: DataFrame, reference: DataFrame, keys: Sequence[str], pos: s
     asks = points.filter(F.col(pos).isNotNull()).select(*keys, pos).distinct()
     none = F.lit(None).cast(refs.schema["_least"].dataType)
     both = refs.withColumn("_asked", F.lit(False)).unionByName(asks.select(*keys, pos, none.alias("_least"), none.alias("_most"), F.lit(True).alias("_asked")))
-    both = _placed(both, _parts(both.select(*keys, pos), keys, pos, width, part_rows), keys, pos, width)
+    both = _placed(both, keys, pos, width, part_rows, 2)
     cell = [*keys, "_bin", "_part"]
     # Empty parts that hold asks only are in the table too, so that the carry reaches them.
     table = both.groupBy(*cell).agg(F.min("_least").alias("_first"), F.max("_most").alias("_last"))
@@ -179,7 +184,7 @@ def nearest(points: DataFrame, reference: DataFrame, keys: Sequence[str], pos: s
     return out.select(*[F.col(c) for c in points.columns], F.abs(F.col("_best.pos") - at).alias("near_distance"), *[F.col(f"_best.{c}").alias(f"near_{c}") for c in ["pos", *payload]])
 
 
-def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, width: int = 1_000_000, part_rows: int = PART_ROWS) -> DataFrame:
+def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, width: int = PART_ROWS, part_rows: int = PART_ROWS) -> DataFrame:
     """Union of intervals per key: overlapping or touching ones become one island (keys, start, end).
 
     Intervals of one start count as the longest of them. They go to bins of `width` by their start (dense ones cut as in
@@ -187,7 +192,7 @@ def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, wi
     So a window holds one part, and an island may span any number of them. Rows without a start or end are left out.
     """
     rows = df.filter(F.col(start).isNotNull() & F.col(end).isNotNull()).groupBy(*keys, start).agg(F.max(end).alias(end))
-    rows = _placed(rows, _parts(rows.select(*keys, start), keys, start, width, part_rows), keys, start, width)
+    rows = _placed(rows, keys, start, width, part_rows)
     cell = [*keys, "_bin", "_part"]
     before = W.partitionBy(*keys).orderBy("_bin", "_part").rowsBetween(W.unboundedPreceding, -1)
     reach = rows.groupBy(*cell).agg(F.max(end).alias("_reach")).select(*cell, F.max("_reach").over(before).alias("_carried"))

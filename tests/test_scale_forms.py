@@ -59,7 +59,7 @@ def test_nearest_in_a_dense_place(spark):
         best = before if after is None or (before and p - before[0] <= after[0] - p) else after
         assert got[k] == (abs(best[0] - p), *best)
     rows = ref.select("c", "pos").distinct()
-    parts = ranges._placed(rows, ranges._parts(rows, ["c"], "pos", 1_000_000, 50), ["c"], "pos", 1_000_000)
+    parts = ranges._placed(rows, ["c"], "pos", 1_000_000, 50)
     sizes = [r["count"] for r in parts.groupBy("_bin", "_part").count().collect()]
     assert max(sizes) <= 100 < max(r["count"] for r in parts.groupBy("_bin").count().collect())
 
