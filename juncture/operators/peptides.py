@@ -90,12 +90,24 @@ def fusion_coding(events: DataFrame) -> DataFrame:
     return out.withColumns({"fused": F.when(there, fused), "junction_nt": F.when(there, F.when(first, upto1).otherwise(upto2))})
 
 
+def _new_windows(events: DataFrame, keys: list[str], native: list[Column], criteria: Criteria) -> DataFrame:
+    """keys, neopeptide, pep_length, spans_junction: windows of the protein of `fused` that no native protein has.
+
+    Proteins are translated once an event: in a step of their own, and with an outer explode, as Spark would translate
+    again for each window, or to know whether there is any.
+    """
+    names = [f"_native{k}" for k in range(len(native))]
+    rows = events.filter("fused is not null").select(*keys, "junction_nt", *[translate(c).alias(n) for n, c in zip(names, native, strict=True)], translate(F.col("fused")).alias("_protein"))
+    rows = rows.select("*", F.explode_outer(windows(F.col("_protein"), criteria.peptide_lengths)).alias("w")).filter(F.col("w").isNotNull())
+    for n in names:
+        rows = rows.filter(~F.contains(n, F.col("w.peptide")))
+    span = spans_junction(F.col("w.start"), F.col("w.length"), F.col("junction_nt"))
+    return rows.groupBy(*keys, F.col("w.peptide").alias("neopeptide")).agg(F.max(span).alias("spans_junction"), F.max("w.length").alias("pep_length"))
+
+
 def fusion_peptides(events: DataFrame, keys: list[str], criteria: Criteria = DEFAULT) -> DataFrame:
     """keys, neopeptide, pep_length, spans_junction: windows of the fusion protein that neither gene's protein has."""
-    rows = events.filter("fused is not null").select(*keys, "junction_nt", *[translate(F.col(f"cds{k}")).alias(f"_native{k}") for k in (1, 2)], F.explode(windows(translate(F.col("fused")), criteria.peptide_lengths)).alias("w"))
-    new = rows.filter(~F.contains("_native1", F.col("w.peptide")) & ~F.contains("_native2", F.col("w.peptide")))
-    span = spans_junction(F.col("w.start"), F.col("w.length"), F.col("junction_nt"))
-    return new.groupBy(*keys, F.col("w.peptide").alias("neopeptide")).agg(F.max(span).alias("spans_junction"), F.max("w.length").alias("pep_length"))
+    return _new_windows(events, keys, [F.col("cds1"), F.col("cds2")], criteria)
 
 
 def frame_effect(head_nt: Column, native: Column, fused: Column) -> Column:
@@ -111,10 +123,7 @@ def frame_effect(head_nt: Column, native: Column, fused: Column) -> Column:
 
 def candidate_peptides(events: DataFrame, keys: list[str], criteria: Criteria = DEFAULT) -> DataFrame:
     """keys, neopeptide, pep_length, spans_junction: windows of the fused protein that the native protein lacks."""
-    rows = events.filter("fused is not null").select(*keys, "junction_nt", translate(F.col("cds")).alias("_native"), F.explode(windows(translate(F.col("fused")), criteria.peptide_lengths)).alias("w"))
-    new = rows.filter(~F.contains("_native", F.col("w.peptide")))
-    span = spans_junction(F.col("w.start"), F.col("w.length"), F.col("junction_nt"))
-    return new.groupBy(*keys, F.col("w.peptide").alias("neopeptide")).agg(F.max(span).alias("spans_junction"), F.max("w.length").alias("pep_length"))
+    return _new_windows(events, keys, [F.col("cds")], criteria)
 
 
 def variant_ids(rows: DataFrame, junctions: DataFrame) -> DataFrame:

@@ -168,23 +168,53 @@ def frame_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("k", peptides.frame_effect(F.col("h"), F.col("n"), fused).alias("frame_effect"))
 
 
-@query("""
+#: Deletions, duplications and others in a transcript with coding blocks [1, 60] and [101, 140], as SQL up to `m`.
+REARRANGED_SQL = """
     with o as (select o_orderkey k, case when o_orderkey % 2 = 0 then '+' else '-' end st, [21, 31, 70, 55][o_orderkey % 4 + 1] p1, [51, 80, 90, 120][o_orderkey % 4 + 1] p2, ['DEL', 'DUP', 'INV'][o_custkey % 3 + 1] t, case when o_custkey % 2 = 0 then 'GATTACA' else '' end ins,
         substr(translate(md5(o_orderkey::varchar) || md5(o_custkey::varchar) || md5('x') || md5('y'), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 100) cds from orders),
     f as (select *, case when st = '+' then p1 else p2 end five, case when st = '+' then p2 else p1 end three from o),
     u as (select *, case when st = '+' then least(five, 60) + greatest(five - 100, 0) else 100 - least(five - 1, 60) - greatest(five - 101, 0) end u5, case when st = '+' then least(three, 60) + greatest(three - 100, 0) else 100 - least(three - 1, 60) - greatest(three - 101, 0) end u3,
                     (five <= 60 or five > 100)::int i5, (three <= 60 or three > 100)::int i3 from f),
-    m as (select *, case when i5 = 0 and i3 = 0 and u5 = u3 then 'same_intron' when t = 'DEL' then 'deletion' when t = 'DUP' then 'duplication' else 'not_modelled' end model from u)
-    select k, model, case model when 'deletion' then cds[1:u5] || ins || cds[u3 - i3 + 1 :] when 'duplication' then cds[1:u3] || ins || cds[u5 - i5 + 1 :] end fused,
-           (case model when 'deletion' then u5 + len(ins) when 'duplication' then u3 + len(ins) end)::int junction_nt from m""")
-def rearranged_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deletions, duplications, events inside one intron and classes without a model, on both strands."""
+    m as (select *, case when i5 = 0 and i3 = 0 and u5 = u3 then 'same_intron' when t = 'DEL' then 'deletion' when t = 'DUP' then 'duplication' else 'not_modelled' end model from u)"""
+
+
+def _rearranged(spark: SparkSession, sf_dir: str) -> DataFrame:
     cds = "translate(concat(md5(cast(o_orderkey as string)), md5(cast(o_custkey as string)), md5('x'), md5('y')), '0123456789abcdef', 'ACGTACGTACGTACGT')"
     events = derive(
         spark, sf_dir, "orders", "o_orderkey as k", "if(o_orderkey % 2 = 0, '+', '-') as strand", "cast(array(21, 31, 70, 55)[cast(o_orderkey % 4 as int)] as long) as pos1", "cast(array(51, 80, 90, 120)[cast(o_orderkey % 4 as int)] as long) as pos2",
         "array('DEL', 'DUP', 'INV')[cast(o_custkey % 3 as int)] as svtype", "if(o_custkey % 2 = 0, 'GATTACA', null) as insert_seq", f"substring({cds}, 1, 100) as cds", "array(named_struct('start', 1L, 'end', 60L), named_struct('start', 101L, 'end', 140L)) as cds_blocks",
     )
-    return peptides.rearranged_coding(events).select("k", "model", "fused", "junction_nt")
+    return peptides.rearranged_coding(events)
+
+
+@query(f"""{REARRANGED_SQL}
+    select k, model, case model when 'deletion' then cds[1:u5] || ins || cds[u3 - i3 + 1 :] when 'duplication' then cds[1:u3] || ins || cds[u5 - i5 + 1 :] end fused,
+           (case model when 'deletion' then u5 + len(ins) when 'duplication' then u3 + len(ins) end)::int junction_nt from m""")
+def rearranged_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletions, duplications, events inside one intron and classes without a model, on both strands."""
+    return _rearranged(spark, sf_dir).select("k", "model", "fused", "junction_nt")
+
+
+_PROTEIN_SQL = f"string_split(array_to_string(list_transform(range(len({{0}}) // 3), lambda i: {CODON_SQL}[{{0}}[i * 3 + 1 : i * 3 + 3]]), ''), '*')[1]"
+
+
+@query(f"""{REARRANGED_SQL},
+    x as (select k, cds, case model when 'deletion' then cds[1:u5] || ins || cds[u3 - i3 + 1 :] else cds[1:u3] || ins || cds[u5 - i5 + 1 :] end fu, case model when 'deletion' then u5 + len(ins) else u3 + len(ins) end j from m where model in ('deletion', 'duplication')),
+    p as (select k, j, {_PROTEIN_SQL.format("fu")} a, {_PROTEIN_SQL.format("cds")} n from x),
+    w as (select k, a[i + 1 : i + z] g, max((i * 3 < j and j < (i + z) * 3)::int) s from p, unnest([8, 9, 10, 11]) y(z), unnest(range(greatest(len(a) - z + 1, 0))) t(i) where not contains(n, a[i + 1 : i + z]) group by k, g)
+    select k, count(*) n_windows, sum(s)::bigint n_spanning, min(g) first_peptide from w group by k""")
+def candidate_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate peptides: windows of the rearranged protein that the native one lacks."""
+    made = peptides.candidate_peptides(_rearranged(spark, sf_dir), ["k"])
+    return made.groupBy("k").agg(F.count("*").alias("n_windows"), F.count_if("spans_junction").alias("n_spanning"), F.min("neopeptide").alias("first_peptide"))
+
+
+@query("select l_suppkey % 30 allele, count(distinct l_partkey) n_peptides from lineitem group by 1")
+def submitted_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions that are refused unless every peptide was predicted and an allele is spelled as in the panel."""
+    rows = derive(spark, sf_dir, "lineitem", "l_partkey as peptide", "l_suppkey % 30 as allele")
+    binding.check_submitted(rows.filter("peptide % 3 = 0"), rows, derive(spark, sf_dir, "customer", "c_custkey % 30 as allele"))
+    return rows.groupBy("allele").agg(F.count_distinct("peptide").alias("n_peptides"))
 
 
 @query("""
