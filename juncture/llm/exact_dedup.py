@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -10,11 +11,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise, text_or_empty
+from .common import discard, fresh, materialise, mix64, shared_dir, text_or_empty
 
 #: Bits a row gets in a filter, probes a key makes, bits in a segment, and the most bits of one filter (16 MB, what a
-#: task, an executor and the driver hold). Rows that need more are cut into hash ranges with a filter each.
+#: task, an executor and the driver hold). More rows have a filter that is cut into sections, which no one holds whole.
 BITS_PER_ROW, PROBES, SEGMENT_BITS, MAX_BITS = 16, 4, 1 << 17, 1 << 27
+#: Bits of a section, and rows of a chunk, which gets its own answers.
+SECTION_BITS, CHUNK_ROWS = 1 << 24, 1 << 19
 
 
 def _positions(keys: pa.Array, bits: int) -> np.ndarray:
@@ -107,25 +110,113 @@ def _normal_sha256() -> Column:
     return F.sha2(F.regexp_replace(text_or_empty(), r"[\x20\x09-\x0D]+", " ").cast("binary"), 256)
 
 
+def _addresses(keys: pa.Array, sections: int) -> tuple[np.ndarray, np.ndarray]:
+    """Section of each digest and the 32 bits its probes there are made from."""
+    raw = np.frombuffer(b"".join(k[:16] for k in keys.to_pylist()), dtype="<u8").reshape(-1, 2)
+    return (raw[:, 0] & np.uint64(sections - 1)).astype(np.int64), raw[:, 1].astype(np.uint32)
+
+
+def _probes(seeds: np.ndarray, bits: int) -> np.ndarray:
+    """Rows x PROBES different places in a section."""
+    h = mix64(seeds.astype(np.uint64))
+    step = (h >> np.uint64(32)) | np.uint64(1)
+    with np.errstate(over="ignore"):
+        return ((h[:, None] + np.arange(PROBES, dtype=np.uint64) * step[:, None]) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def _by_group(chunk: np.ndarray, section: np.ndarray, seeds: np.ndarray, most: int) -> pa.RecordBatch:
+    """A row for each chunk and section with its sorted seeds, each at most `most` times (1 or 2)."""
+    order = np.lexsort((seeds, section, chunk))
+    chunk, section, seeds = chunk[order], section[order], seeds[order]
+    new = np.ones(len(seeds), dtype=bool)
+    new[1:] = (chunk[1:] != chunk[:-1]) | (section[1:] != section[:-1])
+    keep = new.copy()
+    keep[1:] |= seeds[1:] != seeds[:-1]
+    if most > 1:
+        keep[1:] |= keep[:-1].copy()
+    chunk, section, seeds, new = chunk[keep], section[keep], seeds[keep], new[keep]
+    cut = np.flatnonzero(new)
+    ends = np.append(cut, len(seeds)).astype(np.int32) * 4
+    packed = pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(seeds.tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(chunk[cut]), pa.array(section[cut]), packed], names=["chunk", "section", "seeds"])
+
+
+def _unpacked(b: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The inverse of _by_group."""
+    blobs = b.column("seeds").to_pylist()
+    width = [len(x) // 4 for x in blobs]
+    return np.repeat(np.asarray(b.column("chunk")), width), np.repeat(np.asarray(b.column("section")), width), np.frombuffer(b"".join(blobs), dtype=np.uint32)
+
+
+def _flag_by_sections(hashes: DataFrame, rows: int, bits: int) -> DataFrame:
+    """Both passes with a filter cut into sections of `bits` bits, in a fixed number of jobs.
+
+    Rows are kept in chunks, bucketed by chunk, and never move. A chunk sends each section 4 bytes a row; the task of a
+    section sets the bits of all chunks (first pass), tests the same seeds against those set again (second pass) and
+    answers with the ones that pass. Answers meet their chunks in the chunks' buckets. A section has BITS_PER_ROW bits
+    a row, so its size does not depend on the table's; a key that fills the table costs two seeds a chunk.
+    """
+    spark, chunk = hashes.sparkSession, fresh(hashes, "_chunk")
+    sections = 1 << max(-(-rows * BITS_PER_ROW // bits) - 1, 0).bit_length()
+    name = f"juncture_{uuid.uuid4().hex}"
+    numbered = hashes.withColumn(chunk, F.shiftright(F.monotonically_increasing_id(), CHUNK_ROWS.bit_length() - 1))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    numbered.write.option("compression", "zstd").option("path", f"{shared_dir(spark)}/juncture/{name}").bucketBy(buckets, chunk).saveAsTable(name)
+    chunks = spark.table(name)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+        for b in batches:
+            if b.num_rows:
+                held.append((np.asarray(b.column(0)), *_addresses(b.column(1), sections)))
+                size += b.num_rows
+            if size >= CHUNK_ROWS:
+                yield _by_group(*(np.concatenate(c) for c in zip(*held, strict=True)), 2)
+                held, size = [], 0
+        if held:
+            yield _by_group(*(np.concatenate(c) for c in zip(*held, strict=True)), 2)
+
+    def answer(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once, twice = np.zeros(bits // 8, dtype=np.uint8), np.zeros(bits // 8, dtype=np.uint8)
+        held = []
+        for b in batches:
+            held.append(_unpacked(b))
+            at = np.sort(_probes(held[-1][2], bits), axis=None)
+            first = np.ones(len(at), dtype=bool)
+            first[1:] = at[1:] != at[:-1]
+            _set(twice, at[~first])
+            _set(twice, at[first][_get(once, at[first])])
+            _set(once, at[first])
+        for of, section, seeds in held:
+            hit = _get(twice, _probes(seeds, bits)).all(axis=1)
+            if hit.any():
+                yield _by_group(of[hit], section[hit], seeds[hit], 1)
+
+    def mark(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        section, seeds = _addresses(rows.column("digest"), sections)
+        own, (_, where, told) = (section << 32) | seeds, _unpacked(answers)
+        return rows.drop_columns([chunk]).append_column("again", pa.array(np.isin(own, (where << 32) | told)))
+
+    group = "chunk long, section long, seeds binary"
+    answers = chunks.select(chunk, "digest").mapInArrow(send, group).groupBy("section").applyInArrow(answer, group)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in hashes.schema)
+    marked = chunks.groupBy(chunk).cogroup(answers.groupBy("chunk")).applyInArrow(mark, f"{fields}, again boolean")
+    out = materialise(marked, "flagged")
+    discard(chunks)
+    spark.sql(f"drop table {name}")
+    return out
+
+
 def flag_repeated(hashes: DataFrame, rows: int, max_bits: int = MAX_BITS) -> DataFrame:
     """hashes (with digest) and `again`: true for every row whose digest repeats and for few others.
 
-    One filter holds max_bits at most, so bits grow with the rows by cutting them into ranges of the digest: the table
-    is written by range, and each range has both passes over its own part.
+    One filter of max_bits at most is sent to all tasks; where the rows need more bits, it is cut into sections.
     """
-    ranges = -(-rows * BITS_PER_ROW // max_bits) if rows else 1
-    if ranges == 1:
-        hashes = materialise(hashes, "hashes")
-        return maybe_repeated(hashes, "digest", repeated_filter(hashes, "digest", filter_bits(rows, max_bits)), "again")
-    # The last bytes of a digest are not used by the filters.
-    part = F.pmod(F.conv(F.hex(F.substring("digest", 25, 7)), 16, 10).cast("long"), F.lit(ranges)).cast("int")
-    whole = materialise(hashes.withColumn("_range", part), "hashes", "_range")
-    out = None
-    for k in range(ranges):
-        own = whole.filter(F.col("_range") == k).drop("_range")
-        one = materialise(maybe_repeated(own, "digest", repeated_filter(own, "digest", max_bits), "again"), f"range{k}")
-        out = one if out is None else out.unionByName(one)
-    return out
+    if rows * BITS_PER_ROW > max_bits:
+        return _flag_by_sections(hashes, rows, min(SECTION_BITS, max_bits))
+    hashes = materialise(hashes, "hashes")
+    return maybe_repeated(hashes, "digest", repeated_filter(hashes, "digest", filter_bits(rows, max_bits)), "again")
 
 
 def exact_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:

@@ -463,6 +463,23 @@ def test_filters_by_range(spark):
     assert 300 <= exact_dedup.flag_repeated(hashes, 30_000, exact_dedup.SEGMENT_BITS).filter("again").count() < 2000
 
 
+def test_sections_take_a_fixed_number_of_jobs(spark):
+    """As many jobs for 1,024 sections as for 4; every repeated digest is flagged, nearly no other one; rows of chunks
+    keep their other columns."""
+    hashes = spark.range(60_000).select(F.col("id").alias("_chunk"), F.unhex(F.sha2(F.when(F.col("id") % 3 == 0, "same").otherwise((F.col("id") % 50_000).cast("string")), 256)).alias("digest"))
+    times = collections.Counter(bytes(r.digest) for r in hashes.collect())
+    jobs = []
+    for bits in (1 << 18, 1 << 10):
+        spark.sparkContext.setJobGroup(f"sections{bits}", "")
+        got = exact_dedup._flag_by_sections(hashes, 60_000, bits).collect()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"sections{bits}")))
+        assert sorted(r._chunk for r in got) == list(range(60_000))
+        assert all(r.again for r in got if times[bytes(r.digest)] > 1)
+        assert sum(r.again for r in got if times[bytes(r.digest)] == 1) < 600
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs[0] == jobs[1] and not [t for t in spark.catalog.listTables() if t.name.startswith("juncture_")]
+
+
 def test_saturated_filter_changes_nothing(spark):
     rows = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 2000).cast("string").alias("text"))
     hashes = rows.select(F.unhex(F.sha2("text", 256)).alias("digest"))
