@@ -13,6 +13,17 @@ from .common import discard, materialise
 MOST_ROUNDS = 60
 
 
+def grow_components(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """members (node, root) of connected_components, with further edges (a, b): only links between different roots are
+    contracted, and nodes that members lacks are added. Nulls and self links are ignored."""
+    known = members.select(F.col("node").alias("a"), F.col("root").alias("p")), members.select(F.col("node").alias("b"), F.col("root").alias("q"))
+    named = edges.filter("a <> b").join(known[0], "a", "left").join(known[1], "b", "left")
+    named = materialise(named.select("a", "b", F.coalesce("p", "a").alias("p"), F.coalesce("q", "b").alias("q")), "named")
+    added = named.select(F.col("a").alias("node"), F.col("p").alias("root")).union(named.select("b", "q")).distinct().join(members, "node", "left_anti")
+    moved = connected_components(named.select(F.col("p").alias("a"), F.col("q").alias("b"))).toDF("root", "_root")
+    return materialise(members.union(added).join(moved, "root", "left").select("node", F.coalesce("_root", "root").alias("root")), "members")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """edges (a long, b long) to (node, root): root is a node of the component, the same for all of it.
 

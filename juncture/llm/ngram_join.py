@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, keyed, map_arrow, materialise, mix64
-from .components import connected_components
+from .components import connected_components, grow_components
 from .exact_dedup import without_ids
 from .shingles import shingle_sets
 
@@ -255,7 +255,7 @@ def _passes(a: np.ndarray, b: np.ndarray, num: int, den: int) -> tuple[np.ndarra
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     """Runs of two or more classes with one token from rows sorted by token, as columns (class, label, n, lone, at,
-    mark); a run may go on over batches, and a class that repeats in it counts once."""
+    mark, side); a run may go on over batches, and a class that repeats in it counts once."""
 
     def whole(held: list[np.ndarray]) -> np.ndarray:
         run = np.concatenate(held, axis=1)
@@ -264,7 +264,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     held: list[np.ndarray] = []
     token = None
     for b in batches:
-        cols = [np.asarray(b.column(c)).astype(np.int64) for c in ("token", "class", "label", "n", "lone", "at", *_MARKS)]
+        cols = [np.asarray(b.column(c)).astype(np.int64) for c in ("token", "class", "label", "n", "lone", "at", *_MARKS, "side")]
         cut = np.flatnonzero(np.concatenate([[True], cols[0][1:] != cols[0][:-1]]))
         end = np.append(cut[1:], len(cols[0]))
         some = end - cut > 1
@@ -285,11 +285,11 @@ def _pairs_of_runs(num: int, den: int, mode: str) -> Callable[[Iterator[pa.Recor
 
     near: each class with the one before it and with the run's first, in order of size, 2m pairs for m classes.
     best: of the classes of another label the one whose marks differ least, m pairs. all: every pair of different
-    labels that the filters let through.
+    labels that the filters let through. Of a run with sides only classes of different sides are paired.
     """
 
     def pairs(run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        key, label, meta = run[0], run[1], run[2:]
+        key, label, meta, side = run[0], run[1], run[2:-1], run[-1]
         m = len(key)
         if mode == "near":
             i = np.concatenate([np.zeros(m - 1, np.int64), np.arange(1, m - 1)])
@@ -302,7 +302,7 @@ def _pairs_of_runs(num: int, den: int, mode: str) -> Callable[[Iterator[pa.Recor
         for i in range(m - 1):
             hi = np.searchsorted(meta[0], den * meta[0, i] // num, side="right")
             j = np.arange(i + 1, hi)
-            j = j[label[j] != label[i]]
+            j = j[(label[j] != label[i]) & ((side[j] != side[i]) | (side[i] == 0))]
             if not len(j):
                 continue
             ok, apart = _passes(np.repeat(meta[:, i : i + 1], len(j), 1), meta[:, j], num, den)
@@ -334,18 +334,18 @@ def _pairs_of_runs(num: int, den: int, mode: str) -> Callable[[Iterator[pa.Recor
     return run
 
 
-_ENTRY = "token long, class long, label long, n int, lone int, at int, " + ", ".join(f"{m} long" for m in _MARKS)
+_ENTRY = "token long, class long, label long, n int, lone int, at int, " + ", ".join(f"{m} long" for m in _MARKS) + ", side int"
 
 
 def _open_runs(num: int, den: int, tile: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows of the runs that still hold two labels or more; each run gets a token of its own again.
 
-    A run of more than `tile` classes (0: never) becomes one run for each two blocks of tile classes whose sizes allow
-    a link, so that its pairs are spread over tasks.
+    A run of more than `tile` classes (0: never) becomes a run for each block of tile classes and one for each two
+    blocks whose sizes allow a link, with a side for each block, so that its pairs are spread over tasks.
     """
 
     def tiles(r: np.ndarray) -> Iterator[np.ndarray]:
-        if not tile or r.shape[1] <= tile:
+        if not tile or r.shape[1] <= tile or r[-1].any():
             yield r
             return
         blocks = [r[:, lo : lo + tile] for lo in range(0, r.shape[1], tile)]
@@ -353,27 +353,30 @@ def _open_runs(num: int, den: int, tile: int) -> Callable[[Iterator[pa.RecordBat
             yield a
             for b in blocks[i + 1 :]:
                 if den * a[2, -1] >= num * b[2, 0]:
-                    yield np.concatenate([a, b], axis=1)
+                    both = np.concatenate([a, b], axis=1)
+                    both[-1] = np.repeat([1, 2], [a.shape[1], b.shape[1]])
+                    yield both
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, k, names = TaskContext.get().partitionId(), 0, ["token", "class", "label", "n", "lone", "at", *_MARKS]
+        part, k, names = TaskContext.get().partitionId(), 0, ["token", "class", "label", "n", "lone", "at", *_MARKS, "side"]
         for r in (t for whole in _runs(batches) for t in tiles(whole)):
             if (r[1] != r[1, 0]).any():
-                cols = [np.full(r.shape[1], (part << 40) + k), *r[:2], *(c.astype(np.int32) for c in r[2:5]), *r[5:]]
+                cols = [np.full(r.shape[1], (part << 40) + k), *r[:2], *(c.astype(np.int32) for c in r[2:5]), *r[5:-1], r[-1].astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in cols], names=names)
                 k += 1
 
     return run
 
 
-def settle_links(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int, rounds: int = 2, tile: int = TILE) -> DataFrame:
-    """Verified links (a, b) that connect exactly what all links among classes sharing a token connect.
+def settle_components(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int, rounds: int = 2, tile: int = TILE) -> DataFrame:
+    """(node, root) of the components of all verified links among classes that share a token; classes without do not appear.
 
     entries: token, class, n, lone, at, marks; sets_of gives (class, n, tokens) for a table of classes, those that
     share a token with another one. First every class is paired with its neighbours in its runs; the components of
     what holds are labels. Then only runs with several labels are left: for a few rounds each class there is paired
     with the most similar one of another label, and at last all pairs of different label that the filters let through
-    are verified. A group of thousands of near copies so costs few pairs, and no link between components is lost.
+    are verified. New links only join the labels at hand. A group of thousands of near copies so costs few pairs, and
+    no link between components is lost.
     """
 
     def ordered(df: DataFrame) -> DataFrame:
@@ -387,17 +390,16 @@ def settle_links(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
         return materialise(found if tested is None else found.join(tested, ["a", "b"], "left_anti"), "pairs")
 
     def relabelled() -> DataFrame:
-        labels = connected_components(links).toDF("class", "_label")
-        named = still.drop("label").join(labels, "class", "left")
+        named = still.drop("label").join(roots.toDF("class", "_label"), "class", "left")
         return opened(named.withColumn("label", F.coalesce("_label", "class")), tile)
 
     def verified(pairs: DataFrame) -> DataFrame:
         return materialise(_verify(pairs, sets, num, den), "links")
 
-    still = opened(entries.withColumn("label", F.col("class")), 0)
+    still = opened(entries.withColumns({"label": F.col("class"), "side": F.lit(0)}), 0)
     sets = materialise(sets_of(still.select("class").distinct()), "sets")
     tested = candidates("near", None)
-    links = verified(tested)
+    roots = connected_components(verified(tested))
     still = relabelled()
     for _ in range(rounds):
         pairs = candidates("best", tested)
@@ -405,9 +407,9 @@ def settle_links(entries: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
         new = verified(pairs)
         if new.isEmpty():
             break
-        links = links.unionByName(new)
+        roots = grow_components(roots, new)
         still = relabelled()
-    return links.unionByName(verified(candidates("all", tested)))
+    return grow_components(roots, verified(candidates("all", tested)))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -433,14 +435,14 @@ def bucket_bits(tokens: int) -> int:
     return max(LEAST_BUCKET_BITS, (max(tokens, 1) // BUCKET_TOKENS).bit_length())
 
 
-def jaccard_links(docs: DataFrame, rows: DataFrame, n: int, num: int, den: int, tile: int = TILE) -> DataFrame:
-    """Links (a, b) between classes that connect exactly what all links of similarity >= num/den connect."""
+def jaccard_roots(docs: DataFrame, rows: DataFrame, n: int, num: int, den: int, tile: int = TILE) -> DataFrame:
+    """(node, root) of the classes that links of similarity >= num/den join."""
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     sent = _send(docs, n, bucket_bits(total))
     counted = sent.groupBy("bucket").applyInArrow(_count, _PARCEL)
     found = counted.groupBy("chunk").applyInArrow(_assemble(num, den), "class long, n int, lone int, tokens binary, prefix binary, mark binary")
     sets = materialise(found.dropDuplicates(["class"]), "sets")
-    return settle_links(_entries(sets), lambda classes: sets.select("class", "n", "tokens").join(classes, "class", "left_semi"), num, den, tile=tile)
+    return settle_components(_entries(sets), lambda classes: sets.select("class", "n", "tokens").join(classes, "class", "left_semi"), num, den, tile=tile)
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, tile: int = TILE) -> DataFrame:
@@ -453,7 +455,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10,
     so a document whose prefix is all such tokens is dropped at once.
     """
     rows = materialise(members(docs, n), "classes")
-    roots = connected_components(jaccard_links(docs, rows, n, num, den, tile))
+    roots = jaccard_roots(docs, rows, n, num, den, tile)
     full = rows.filter("class is not null").join(roots.toDF("class", "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     full = materialise(full, "rooted")
     least = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -13,8 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import keyed, map_arrow, materialise, mix64, unique_ids
-from .components import connected_components
-from .ngram_join import _MARKS, parity_marks, settle_links
+from .ngram_join import _MARKS, parity_marks, settle_components
 from .shingles import _BASE, _INVERSE, _power, buffers, ngram_hashes, word_hashes
 
 #: Words of a shingle; least words of a paragraph or passage that may be removed; similarity num/den.
@@ -139,15 +138,15 @@ def class_sets(docs: DataFrame, owners: DataFrame) -> DataFrame:
     return map_arrow(docs.join(wanted, "doc_id").select("text", "wanted"), one, "class long, n int, tokens binary")
 
 
-def paragraph_links(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Links (a, b) of classes that collide in a band and have Jaccard similarity >= NUM/DEN.
+def paragraph_components(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, root) of the classes joined by links: those that collide in a band and have Jaccard similarity >= NUM/DEN.
 
     Equal sets meet once a task before the shuffle, so a frequent paragraph is one row for each task that has it.
     """
     zero = F.lit(0).cast("int")
     classes = materialise(rows.groupBy("class").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n", *_BANDS, *_MARKS))), "classes")
     entries = classes.select(F.explode(F.array(*_BANDS)).alias("token"), "class", "n", zero.alias("lone"), zero.alias("at"), *_MARKS)
-    return settle_links(entries, lambda wanted: class_sets(docs, classes.select("class", "doc_id").join(wanted, "class")), NUM, DEN)
+    return settle_components(entries, lambda wanted: class_sets(docs, classes.select("class", "doc_id").join(wanted, "class")), NUM, DEN)
 
 
 def _prefixes(words: np.ndarray) -> np.ndarray:
@@ -402,7 +401,7 @@ def repeated_passages(docs: DataFrame, many_runs: int = MANY_RUNS) -> DataFrame:
 
 def _repeated_passages(texts: DataFrame, many_runs: int) -> DataFrame:
     rows = materialise(paragraph_rows(texts), "paragraphs")
-    roots = connected_components(paragraph_links(texts, rows)).toDF("class", "root")
+    roots = paragraph_components(texts, rows).toDF("class", "root")
     full = rows.select("doc_id", "start", "words", "class").join(roots, "class", "left").withColumn("cluster", F.coalesce("root", "class"))
     full = materialise(full.select("doc_id", "start", "words", "cluster"), "clustered")
     heads = full.groupBy("cluster").agg(F.min(F.struct("doc_id", "start")).alias("head"), F.count("*").alias("n")).filter("n > 1")

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from juncture.llm import common, exact_dedup, language_id, media, mixing, ngram_join, passage_dedup, secrets, sentencepiece, sharding, suffix_dedup
-from juncture.llm.components import connected_components
+from juncture.llm.components import connected_components, grow_components
 
 WORDS = [f"{a}{b}" for a in ("ba", "de", "ki", "lo", "mu", "ra", "ti", "zo") for b in ("n", "rt", "ss", "la", "ven", "qua")]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, component_id long, shard string"
@@ -134,6 +134,28 @@ def test_components_of_chains_and_hubs(spark):
     assert connected_components(rows.filter("a < 0")).count() == 0
 
 
+def test_components_grow(spark):
+    """Components and further links are those of all links together; new nodes, self links, nulls and empty tables."""
+    rng = random.Random(3)
+    first, more = ([(rng.randrange(200), rng.randrange(200)) for _ in range(n)] for n in (60, 80))
+
+    def table(rows):
+        return spark.createDataFrame(rows, "a long, b long")
+
+    def groups(df):
+        found = collections.defaultdict(set)
+        rows = df.collect()
+        for r in rows:
+            found[r.root].add(r.node)
+        assert len({r.node for r in rows}) == len(rows)
+        return sorted(map(sorted, found.values()))
+
+    old = connected_components(table(first))
+    assert groups(grow_components(old, table([*more, (7, 7), (None, 1), (1, None)]))) == groups(connected_components(table(first + more)))
+    assert groups(grow_components(old, table([]))) == groups(old)
+    assert groups(grow_components(connected_components(table([])), table(more))) == groups(connected_components(table(more)))
+
+
 def test_segmentations(docs, empty):
     vocabulary = sentencepiece.Vocabulary.load()
     rows = sentencepiece.sample_segmentations(docs.select("doc_id", "text", "kept"), 3).collect()
