@@ -164,16 +164,17 @@ def nearest(points: DataFrame, reference: DataFrame, keys: Sequence[str], pos: s
     cell = [*keys, "_bin", "_part"]
     # Empty parts that hold asks only are in the table too, so that the carry reaches them.
     table = both.groupBy(*cell).agg(F.min("_least").alias("_first"), F.max("_most").alias("_last"))
-    line = W.partitionBy(*keys).orderBy("_bin", "_part")
+    # What follows is what came before in the reverse order: a frame that ends at the last row would be summed anew for each row.
+    line, back = W.partitionBy(*keys).orderBy("_bin", "_part"), W.partitionBy(*keys).orderBy(F.desc("_bin"), F.desc("_part"))
     table = table.select(
         *cell, F.last("_last", ignorenulls=True).over(line.rowsBetween(W.unboundedPreceding, -1)).alias("_before"),
-        F.first("_first", ignorenulls=True).over(line.rowsBetween(1, W.unboundedFollowing)).alias("_after"),
+        F.last("_first", ignorenulls=True).over(back.rowsBetween(W.unboundedPreceding, -1)).alias("_after"),
     )
     # An ask stands before the references of its place, so those count as at or after it.
-    own = W.partitionBy(*cell).orderBy(pos, F.col("_asked").desc())
+    own, back = W.partitionBy(*cell).orderBy(pos, F.col("_asked").desc()), W.partitionBy(*cell).orderBy(F.desc(pos), "_asked")
     here = both.select(
         *cell, pos, "_asked", F.last("_most", ignorenulls=True).over(own.rowsBetween(W.unboundedPreceding, -1)).alias("_low"),
-        F.first("_least", ignorenulls=True).over(own.rowsBetween(1, W.unboundedFollowing)).alias("_high"),
+        F.last("_least", ignorenulls=True).over(back.rowsBetween(W.unboundedPreceding, -1)).alias("_high"),
     )
     found = here.filter("_asked").join(table, cell, "left").select(*keys, pos, F.coalesce("_low", "_before").alias("_low"), F.coalesce("_high", "_after").alias("_high"))
     at = F.col(pos)
