@@ -4,7 +4,7 @@ reciprocal overlap, two-level nearest neighbours and islands."""
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -106,7 +106,20 @@ def reciprocal_overlaps(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range
     on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "_class", "_bin"]]
     shared = F.least(F.col(f"a.{a1}"), F.col(f"b.{b1}")) - F.greatest(F.col(f"a.{a0}"), F.col(f"b.{b0}"))
     longest = F.greatest(F.col(f"a.{a1}") - F.col(f"a.{a0}"), F.col(f"b.{b1}") - F.col(f"b.{b0}"), F.lit(1))
-    return left.join(right, on).filter(shared >= least * longest).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys]).drop("_class", "_bin")
+    return left.join(right.hint("merge"), on).filter(shared >= least * longest).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys]).drop("_class", "_bin")
+
+
+def reciprocal_best(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[str, str], b_range: tuple[str, str], least: float, best: Column) -> DataFrame:
+    """Rows of a that have a reciprocal overlap in b, with _n, how many, and _best, the greatest `best` (of b) among them.
+
+    Equal intervals of either side count once: they have the same partners. So pairs grow with the different intervals,
+    not with the rows that share them. The join is by shuffle, as Spark's estimate does not know of the rows on each cell.
+    """
+    (a0, a1), (b0, b1) = a_range, b_range
+    asks = a.select(*keys, a0, a1).distinct()
+    known = b.select(*keys, F.col(b0).alias("_b0"), F.col(b1).alias("_b1"), best.alias("_best")).groupBy(*keys, "_b0", "_b1").agg(F.count("*").alias("_n"), F.max("_best").alias("_best"))
+    found = reciprocal_overlaps(asks, known, keys, a_range, ("_b0", "_b1"), least).groupBy(*keys, a0, a1).agg(F.sum("_n").alias("_n"), F.max("_best").alias("_best"))
+    return a.join(found, [*keys, a0, a1])
 
 
 def within_distance(a: DataFrame, b: DataFrame, keys: Sequence[str], pos: str, other: str, tolerance: int) -> DataFrame:
@@ -118,6 +131,59 @@ def within_distance(a: DataFrame, b: DataFrame, keys: Sequence[str], pos: str, o
     return left.join(right, on).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys]).drop("_cell")
 
 
+def least_within(a: DataFrame, b: DataFrame, keys: Sequence[str], pos: str, other: str, tolerance: int, least: Column, name: str) -> DataFrame:
+    """Rows of a with a row of b at |pos - other| <= tolerance (above 0), and the smallest `least` (of b) of those as `name`.
+
+    Rows of one place count once. A stretch of twice the tolerance ends in the cell after the one that it starts in, so
+    it is the rest of one cell and the beginning of the next: two running minima, however many rows lie in it.
+    """
+    cell = 2 * tolerance
+    known = b.select(*keys, F.col(other).alias("_at"), least.alias("_least")).filter("_at is not null").groupBy(*keys, "_at").agg(F.min("_least").alias("_least"))
+    at = F.col(pos)
+    side = lambda rest, place: F.struct(F.floor(place / cell).alias("_cell"), place.alias("_at"), F.lit(rest).alias("_rest"))
+    asks = a.select(*keys, pos).filter(at.isNotNull()).distinct().select(*keys, pos, F.inline(F.array(side(True, at - tolerance), side(False, at + tolerance))))
+    none = lambda df, c: F.lit(None).cast(df.schema[c].dataType)
+    both = known.select(*keys, none(asks, pos).alias(pos), F.floor(F.col("_at") / cell).alias("_cell"), "_at", none(asks, "_rest").alias("_rest"), "_least").unionByName(asks.withColumn("_least", none(known, "_least")))
+    # References of a place come before the asks there: both ends are included.
+    own = lambda order: W.partitionBy(*keys, "_cell").orderBy(order, F.col("_rest").asc_nulls_first(), pos).rowsBetween(W.unboundedPreceding, W.currentRow)
+    met = both.select(*keys, pos, "_rest", F.min("_least").over(own(F.asc("_at"))).alias("_begin"), F.min("_least").over(own(F.desc("_at"))).alias("_end")).filter("_rest is not null")
+    found = met.groupBy(*keys, pos).agg(F.min(F.when(F.col("_rest"), F.col("_end")).otherwise(F.col("_begin"))).alias(name)).filter(F.col(name).isNotNull())
+    return a.join(found, [*keys, pos])
+
+
+def dyadic_cover(start: Column, end: Column, levels: int) -> Column:
+    """Array of (_level, _node): the fewest aligned stretches of 2^level whole-number places that make up [start, end],
+    at most two a level; a place p lies in node p >> level of each level."""
+    node = lambda there, level, at: F.when(there, F.array(F.struct(level.alias("_level"), at.alias("_node")))).otherwise(F.array().cast("array<struct<_level:int,_node:bigint>>"))
+    odd = lambda c: c.bitwiseAND(F.lit(1).cast("long")) == 1
+    zero = F.struct(start.cast("long").alias("low"), (end.cast("long") + 1).alias("high"), F.array().cast("array<struct<_level:int,_node:bigint>>").alias("nodes"))
+
+    def step(acc: Column, level: Column) -> Column:
+        low, high = acc["low"], acc["high"]
+        first = (low < high) & odd(low)
+        after = low + first.cast("long")
+        last = (after < high) & odd(high)
+        return F.struct(F.shiftright(after, 1).alias("low"), F.shiftright(high - last.cast("long"), 1).alias("high"), F.concat(acc["nodes"], node(first, level, low), node(last, level, high - 1)).alias("nodes"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(levels - 1)), zero, step, lambda acc: acc["nodes"])
+
+
+def covering(points: DataFrame, intervals: DataFrame, keys: Sequence[str], pos: str, start: str, end: str, aggs: dict[str, tuple[Column, Callable[[str], Column]]]) -> DataFrame:
+    """Rows of points that lie in an interval [start, end], with aggregates over all that they lie in; whole-number places.
+
+    aggs: name to (aggregate over intervals, how such parts are put together). An interval is cut into aligned stretches,
+    two for each doubling of its length at most; intervals of one stretch are aggregated, and a place puts together the
+    few stretches it lies in. So no pair of a point and an interval is made, however many lie over each other.
+    """
+    longest = intervals.agg(F.max(F.col(end) - F.col(start))).first()[0]
+    levels = max(1, int(longest or 0) + 1).bit_length()
+    nodes = intervals.filter(F.col(start) <= F.col(end)).select("*", F.inline(dyadic_cover(F.col(start), F.col(end), levels))).groupBy(*keys, "_level", "_node").agg(*[part.alias(n) for n, (part, _) in aggs.items()])
+    places = points.select(*keys, pos).filter(F.col(pos).isNotNull()).distinct().select("*", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("_level"))
+    places = places.withColumn("_node", F.expr(f"shiftright(cast(`{pos}` as bigint), _level)"))
+    found = places.join(nodes.hint("merge"), [*keys, "_level", "_node"]).groupBy(*keys, pos).agg(*[join(n).alias(n) for n, (_, join) in aggs.items()])
+    return points.join(found, [*keys, pos])
+
+
 def _fine(pos: Column, width: int) -> Column:
     """Which of the FINE cells of its bin a place lies in."""
     return F.floor(F.pmod(pos, F.lit(width)) * FINE / width).cast("int")
@@ -185,6 +251,36 @@ def nearest(points: DataFrame, reference: DataFrame, keys: Sequence[str], pos: s
     return out.select(*[F.col(c) for c in points.columns], F.abs(F.col("_best.pos") - at).alias("near_distance"), *[F.col(f"_best.{c}").alias(f"near_{c}") for c in ["pos", *payload]])
 
 
+def sums_upto(asks: DataFrame, rows: DataFrame, keys: Sequence[str], pos: str, values: Sequence[str], width: int, part_rows: int = PART_ROWS) -> DataFrame:
+    """Distinct (keys, pos) of asks with the sum of each value over the rows at or before pos; 0 where there is none.
+
+    Rows of one place are added first, and places go to parts as in `nearest`; the sums of the parts before are carried.
+    Sums of doubles are exact for whole numbers; else use decimals.
+    """
+    added = rows.filter(F.col(pos).isNotNull()).groupBy(*keys, pos).agg(*[F.sum(v).alias(v) for v in values])
+    places = asks.select(*keys, pos).filter(F.col(pos).isNotNull()).distinct()
+    both = added.withColumn("_asked", F.lit(False)).unionByName(places.select(*keys, pos, *[F.lit(None).cast(added.schema[v].dataType).alias(v) for v in values], F.lit(True).alias("_asked")))
+    both = _placed(both, keys, pos, width, part_rows, 2)
+    cell = [*keys, "_bin", "_part"]
+    before = W.partitionBy(*keys).orderBy("_bin", "_part").rowsBetween(W.unboundedPreceding, -1)
+    carried = both.groupBy(*cell).agg(*[F.sum(v).alias(v) for v in values]).select(*cell, *[F.sum(v).over(before).alias(f"_{v}") for v in values])
+    own = W.partitionBy(*cell).orderBy(pos, "_asked").rowsBetween(W.unboundedPreceding, W.currentRow)
+    upto = both.select(*cell, pos, "_asked", *[F.sum(v).over(own).alias(v) for v in values]).filter("_asked")
+    zero = {v: F.lit(0).cast(added.schema[v].dataType) for v in values}
+    return upto.join(carried, cell).select(*keys, pos, *[(F.coalesce(v, zero[v]) + F.coalesce(f"_{v}", zero[v])).alias(v) for v in values])
+
+
+def sums_inside(intervals: DataFrame, points: DataFrame, keys: Sequence[str], start: str, end: str, pos: str, values: Sequence[str], width: int) -> DataFrame:
+    """Rows of intervals with _n, the points in [start, end] (whole numbers), and the sum of each value over them: what
+    lies at or before the end less what lies before the start, so no pair of an interval and a point is made."""
+    asks = intervals.select(*keys, F.explode(F.array(F.col(start) - 1, F.col(end))).alias(pos))
+    upto = sums_upto(asks, points.select(*keys, pos, *values, F.lit(1).cast("long").alias("_n")), keys, pos, ["_n", *values], width)
+    names = ["_n", *values]
+    side = lambda place, mark: upto.select(*keys, F.col(pos).alias(place), *[F.col(v).alias(f"{mark}{v}") for v in names])
+    both = intervals.withColumn("_s", F.col(start) - 1).join(side("_s", "_lo_"), [*keys, "_s"]).join(side(end, "_hi_"), [*keys, end])
+    return both.select(*[F.col(c) for c in intervals.columns], *[(F.col(f"_hi_{v}") - F.col(f"_lo_{v}")).alias(v) for v in names])
+
+
 def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, width: int = PART_ROWS, part_rows: int = PART_ROWS) -> DataFrame:
     """Union of intervals per key: overlapping or touching ones become one island (keys, start, end).
 

@@ -9,7 +9,7 @@ from ..criteria import DEFAULT, Criteria
 from ..functions.alignments import aligned_blocks, partner_hit, reference_end, walk
 from ..functions.sequence import reverse_complement
 from .cross import breakpoints
-from .ranges import overlapping
+from .ranges import overlapping, sums_upto
 
 
 #: Loci that go to every task that reads alignments; each takes a dozen rows of some 150 bytes.
@@ -126,16 +126,24 @@ def gap_profile(pairs: DataFrame, top_sizes: int = 6, top_starts: int = 5) -> Da
     return top("size", "length", top_sizes).unionByName(top("start", "start", top_starts))
 
 
-def depth_ratio(intervals: DataFrame, alignments: DataFrame, key: str, flank: int = 1000, width: int = 10_000) -> DataFrame:
+def depth_ratio(intervals: DataFrame, alignments: DataFrame, key: str, flank: int = 1000, width: int = 100_000) -> DataFrame:
     """Mean depth inside each interval and in its flanks, and their ratio, from aligned blocks."""
     def part(name: str, a: Column, b: Column) -> Column:
         return F.struct(F.lit(name).alias("part"), a.alias("p0"), b.alias("p1"))
 
     start, end = F.col("start"), F.col("end")
     parts = intervals.select(key, "sample", "chrom", F.inline(F.array(part("inside", start, end), part("flank", start - flank, start - 1), part("flank", end + 1, end + flank))))
-    blocks = alignments.select("sample", "chrom", F.inline(aligned_blocks(F.col("start0"), F.col("cigar")))).withColumn("last", F.col("start") + F.col("length") - 1)
-    hit = overlapping(parts, blocks, ["sample", "chrom"], ("p0", "p1"), ("start", "last"), width)
-    bases = hit.groupBy(key, "part").agg(F.sum(F.least("p1", "last") - F.greatest("p0", "start") + 1).alias("bases"))
+    # The depth up to a place x: each block that starts at or before x gives x - start + 1, less x - last if it ends before
+    # x. So it follows from how many blocks start and end up to x and the sums of their places; no pair is made.
+    blocks = alignments.select("sample", "chrom", F.inline(aligned_blocks(F.col("start0"), F.col("cigar")))).filter("length > 0")
+    edge = lambda place, sign: F.struct(place.alias("pos"), F.lit(sign).cast("long").alias("_open"), (place * sign).cast("long").alias("_at"))
+    edges = blocks.select("sample", "chrom", F.inline(F.array(edge(F.col("start"), 1), edge(F.col("start") + F.col("length"), -1))))
+    where = ["sample", "chrom"]
+    asks = parts.select(*where, F.explode(F.array(F.col("p0") - 1, F.col("p1"))).alias("pos"))
+    upto = sums_upto(asks, edges, where, "pos", ["_open", "_at"], width).select(*where, "pos", ((F.col("pos") + 1) * F.col("_open") - F.col("_at")).alias("depth"))
+    side = lambda place, name: upto.select(*where, F.col("pos").alias(place), F.col("depth").alias(name))
+    hit = parts.withColumn("_s", F.col("p0") - 1).join(side("_s", "_before"), [*where, "_s"]).join(side("p1", "_upto"), [*where, "p1"])
+    bases = hit.groupBy(key, "part").agg(F.sum(F.col("_upto") - F.col("_before")).alias("bases"))
     length = parts.groupBy(key, "part").agg(F.sum(F.col("p1") - F.col("p0") + 1).alias("length"))
     depth = length.join(bases, [key, "part"], "left").withColumn("depth", F.coalesce("bases", F.lit(0)) / F.col("length"))
     out = depth.groupBy(key).agg(F.max(F.when(F.col("part") == "inside", F.col("depth"))).alias("inside"), F.max(F.when(F.col("part") == "flank", F.col("depth"))).alias("flank"))

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from juncture.operators import ranges
+from juncture.operators import confidence, ranges, reads
 
 
 def plan(df):
@@ -16,8 +16,73 @@ def test_nearest_sums_no_frame_anew_for_each_row(spark):
     rng = random.Random(1)
     refs, points = [("c", rng.randrange(500), f"t{k}") for k in range(60)], [(k, "c", rng.randrange(500)) for k in range(60)]
     out = ranges.nearest(spark.createDataFrame(points, "k int, c string, pos long"), spark.createDataFrame(refs, "c string, pos long, t string"), ["c"], "pos", ["t"], 100, 20)
-    assert "unboundedfollowing" not in plan(out).lower()
+    assert "1, unboundedfollowing" not in plan(out).lower()
     for r in out.collect():
         before, after = max(((q, t) for _, q, t in refs if q < r.pos), default=None), min(((q, t) for _, q, t in refs if q >= r.pos), default=None)
         best = before if after is None or (before and r.pos - before[0] <= after[0] - r.pos) else after
         assert (r.near_distance, r.near_pos, r.near_t) == (abs(best[0] - r.pos), *best)
+
+
+def test_sums_inside_make_no_pairs(spark):
+    rng = random.Random(2)
+    rows, spans = [("ab"[k % 2], rng.randrange(-300, 300), rng.randrange(9)) for k in range(300)], [(k, "abc"[k % 3], s, s + rng.randrange(0, 90)) for k, s in enumerate(rng.randrange(-300, 300) for _ in range(90))]
+    points, asks = spark.createDataFrame(rows, "c string, pos long, v long"), spark.createDataFrame(spans, "k int, c string, s long, e long")
+    for width in (40, 10**6):
+        got = {r.k: (r._n, r.v) for r in ranges.sums_inside(asks, points, ["c"], "s", "e", "pos", ["v"], width).collect()}
+        assert got == {k: (sum(1 for d, p, _ in rows if c == d and s <= p <= e), sum(v for d, p, v in rows if c == d and s <= p <= e)) for k, c, s, e in spans}
+    upto = ranges.sums_upto(asks.withColumnRenamed("s", "pos"), points, ["c"], "pos", ["v"], 300, 20)
+    assert all(r.v == sum(v for d, p, v in rows if r.c == d and p <= r.pos) for r in upto.collect())
+
+
+def test_depth_from_edges(spark):
+    """Depth follows from where blocks start and end; a block meets no interval. Gaps and clips count as before."""
+    rng = random.Random(3)
+    spans = [(k, "s", "ab"[k % 2], s, s + rng.randrange(0, 60)) for k, s in enumerate(rng.randrange(0, 600) for _ in range(40))]
+    lines = [("s", "ab"[k % 2], rng.randrange(0, 600), *rng.choice([("30M", [(0, 30)]), ("10M50N20M", [(0, 10), (60, 20)]), ("5S7M3I4D8=", [(0, 7), (11, 8)])])) for k in range(200)]
+    intervals, reads_ = spark.createDataFrame(spans, "k int, sample string, chrom string, start long, end long"), spark.createDataFrame([x[:4] for x in lines], "sample string, chrom string, start0 long, cigar string")
+    out = reads.depth_ratio(intervals, reads_, "k", flank=25, width=100)
+    depth = lambda c, a, b: sum(max(0, min(b, s + o + n - 1) - max(a, s + o) + 1) for _, d, s, _, blocks in lines if d == c for o, n in blocks)
+    for r in out.collect():
+        _, _, c, a, b = spans[r.k]
+        assert abs(r.inside - depth(c, a, b) / (b - a + 1)) < 1e-9 and abs(r.flank - (depth(c, a - 25, a - 1) + depth(c, b + 1, b + 25)) / 50) < 1e-9
+    assert "p1" not in "".join(x for x in plan(out).splitlines() if "Join" in x and "<=" in x)
+
+
+def test_equal_intervals_overlap_once(spark):
+    rng = random.Random(4)
+    one, two = [(k, "c", s, s + rng.choice([4, 5, 9])) for k, s in enumerate(rng.randrange(0, 30) for _ in range(200))], [("c", s, s + rng.choice([3, 6, 8]), rng.randrange(50)) for s in (rng.randrange(0, 30) for _ in range(200))]
+    a, b = spark.createDataFrame(one, "k int, c string, a0 long, a1 long"), spark.createDataFrame(two, "c string, b0 long, b1 long, v int")
+    got = {r.k: (r._n, r._best) for r in ranges.reciprocal_best(a, b, ["c"], ("a0", "a1"), ("b0", "b1"), 0.5, F.col("v")).collect()}
+    met = {k: [v for _, b0, b1, v in two if min(a1, b1) - max(a0, b0) >= 0.5 * max(a1 - a0, b1 - b0)] for k, _, a0, a1 in one}
+    assert got == {k: (len(v), max(v)) for k, v in met.items() if v}
+
+
+def test_population_ties_are_settled(spark):
+    """Of records of one frequency the one with the higher first ancestry counts, a missing one before any."""
+    for order in (1, -1):
+        rows = [("1", 100, 200, 0.2, 0.1, 0.3), ("1", 101, 200, 0.2, 0.25, 0.0), ("1", 102, 200, 0.1, 0.9, 0.9), ("2", 100, 200, 0.2, None, 0.1), ("2", 100, 200, 0.2, 0.7, 0.1)][::order]
+        records = spark.createDataFrame(rows, "chrom string, start long, end long, af double, af_afr double, af_nfe double").coalesce(1)
+        events = spark.createDataFrame([(k, str(k), str(k), 100, 200, 99) for k in (1, 2)], "k int, chrom1 string, chrom2 string, pos1 long, pos2 long, event_size int")
+        assert {r.k: (r.popmax, r.popmax_population) for r in confidence.population_frequency(events, records, "k").collect()} == {1: (0.25, "afr"), 2: (0.1, "nfe")}
+
+
+def test_covering_without_pairs(spark):
+    rng = random.Random(5)
+    spans = [("ab"[k % 2], s, s + rng.choice([0, 1, 7, 64, 300, 5000]), f"g{k % 7}", k) for k, s in enumerate(rng.randrange(-3000, 3000) for _ in range(150))]
+    points = [(k, "ab"[k % 2], rng.randrange(-3100, 9000)) for k in range(200)] + [(900, "a", None), (901, None, 5)]
+    aggs = {"n": (F.count("*"), F.sum), "top": (F.min(F.struct((F.col("s") - F.col("e")).alias("z"), "v")), F.min)}
+    out = ranges.covering(spark.createDataFrame(points, "k int, c string, pos long"), spark.createDataFrame(spans, "c string, s long, e long, g string, v int"), ["c"], "pos", "s", "e", aggs)
+    over = {k: [(s - e, v) for d, s, e, _, v in spans if c == d and s <= p <= e] for k, c, p in points if p is not None}
+    assert {r.k: (r.n, tuple(r.top)) for r in out.collect()} == {k: (len(v), min(v)) for k, v in over.items() if v}
+    nodes = spark.createDataFrame([(3, 10_000_000)], "s long, e long").select(F.size(ranges.dyadic_cover(F.col("s"), F.col("e"), 24)).alias("n"))
+    assert nodes.first().n <= 48
+
+
+def test_first_call_near_an_end_without_pairs(spark):
+    rng = random.Random(6)
+    refs, points = [("ab"[k % 2], rng.randrange(-400, 400), k) for k in range(120)], [(k, "abc"[k % 3], rng.randrange(-450, 450)) for k in range(150)] + [(900, "a", None)]
+    df, ref = spark.createDataFrame(points, "k int, c string, pos long"), spark.createDataFrame(refs, "c string, up long, v int")
+    for tolerance in (1, 7, 50):
+        got = {r.k: r.first for r in ranges.least_within(df, ref, ["c"], "pos", "up", tolerance, F.col("v"), "first").collect()}
+        met = {k: [v for d, q, v in refs if c == d and abs(q - p) <= tolerance] for k, c, p in points if p is not None}
+        assert got == {k: min(v) for k, v in met.items() if v}
