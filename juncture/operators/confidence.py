@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..criteria import DEFAULT, Criteria
 from ..functions.variants import ancestry_maximum
 from .admission import passes_panel
-from .ranges import reciprocal_overlaps
+from .ranges import reciprocal_best
 
 
 def high_confidence(criteria: Criteria = DEFAULT) -> Column:
@@ -24,11 +24,17 @@ def high_confidence(criteria: Criteria = DEFAULT) -> Column:
 
 
 def population_frequency(events: DataFrame, records: DataFrame, key: str, criteria: Criteria = DEFAULT) -> DataFrame:
-    """key, af, popmax, popmax_population of the best reciprocal overlap (highest af) of sized events on one chromosome."""
+    """key, af, popmax, popmax_population of the best reciprocal overlap of sized events on one chromosome.
+
+    Best is the highest af; of equal ones the highest frequency of the first ancestry, then of the next, in the order of
+    the columns, a missing one before any.
+    """
     own = events.filter("chrom1 = chrom2 and event_size is not null").select(key, F.col("chrom1").alias("chrom"), F.least("pos1", "pos2").alias("e0"), F.greatest("pos1", "pos2").alias("e1"))
-    pairs = reciprocal_overlaps(own, records, ["chrom"], ("e0", "e1"), ("start", "end"), criteria.reciprocal_overlap)
     cols = [c for c in records.columns if c.startswith("af")]
-    best = pairs.groupBy(key).agg(F.max_by(F.struct(*cols), "af").alias("r")).select(key, "r.*")
+    ancestries = [x for c in cols if c != "af" for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(c))]
+    known = records.filter("af is not null")
+    best = reciprocal_best(own, known, ["chrom"], ("e0", "e1"), ("start", "end"), criteria.reciprocal_overlap, F.struct("af", *ancestries))
+    best = best.groupBy(key).agg(F.max("_best").alias("r")).select(key, *[F.col(f"r.{c}").alias(c) for c in cols])
     groups = {c[3:]: F.col(c) for c in cols if c.startswith("af_")}
     top = ancestry_maximum(groups) if groups else F.struct(F.col("af"), F.lit("global").alias("population"))
     return best.withColumn("_top", top).select(key, *cols, F.col("_top.af").alias("popmax"), F.col("_top.population").alias("popmax_population"))
