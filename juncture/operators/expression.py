@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..criteria import DEFAULT, Criteria
 from ..functions.variants import normal_chrom
 from .cross import breakpoints
-from .ranges import nearest, within_distance
+from .ranges import least_within, nearest
 
 
 def tpm_background(genes: DataFrame, criteria: Criteria = DEFAULT) -> DataFrame:
@@ -52,8 +52,8 @@ def fusion_at(events: DataFrame, calls: DataFrame, key: str, tolerance: int = 10
     order = ["call_row", "FusionId"] if "call_row" in calls.columns else ["FusionId"]
     ends = breakpoints(events.withColumn("chroms", pair("chrom1", "chrom2")), [key, "chroms"]).drop("chrom")
     ups = calls.select(pair("ChrUp", "ChrDown").alias("chroms"), F.col("PosUp").alias("up"), F.struct(*order).alias("_order"), "FusionId", (F.col(support) if support else F.lit(None).cast("long")).alias("_support"))
-    hits = within_distance(ends, ups, ["chroms"], "pos", "up", tolerance)
-    return hits.groupBy(key).agg(F.min_by(F.struct("FusionId", "_support"), "_order").alias("f")).select(key, F.col("f.FusionId").alias("fusion_id"), F.col("f._support").alias("fusion_fragments"))
+    hits = least_within(ends, ups, ["chroms"], "pos", "up", tolerance, F.struct("_order", "FusionId", "_support"), "_call")
+    return hits.groupBy(key).agg(F.min("_call").alias("f")).select(key, F.col("f.FusionId").alias("fusion_id"), F.col("f._support").alias("fusion_fragments"))
 
 
 def retained_introns(events: DataFrame, calls: DataFrame, key: str) -> DataFrame:
