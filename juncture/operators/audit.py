@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranges import points_in_intervals
+from .ranges import covering
 
 
 def column_profile(df: DataFrame, meanings: dict[str, str] | None = None) -> DataFrame:
@@ -85,9 +85,10 @@ def strand_p_values(composition: DataFrame, background: float) -> DataFrame:
     return composition.mapInPandas(run, ", ".join(f"`{c}` {t}" for c, t in composition.dtypes) + ", p_value double")
 
 
-def genes_at_breakends(ends: DataFrame, genes: DataFrame, width: int = 100_000) -> DataFrame:
-    """Every gene that each breakend (chrom, pos) lies in."""
-    return points_in_intervals(ends, genes, ["chrom"], "pos", "start", "end", width)
+def genes_at_breakends(ends: DataFrame, genes: DataFrame) -> DataFrame:
+    """Breakends (chrom, pos) that lie in a transcript, with n, how many they lie in, and genes, theirs, sorted."""
+    every = {"n": (F.count("*"), F.sum), "genes": (F.collect_set("gene"), lambda c: F.sort_array(F.array_distinct(F.flatten(F.collect_list(c)))))}
+    return covering(ends, genes, ["chrom"], "pos", "start", "end", every)
 
 
 def type_summary(events: DataFrame) -> DataFrame:

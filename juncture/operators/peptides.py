@@ -3,20 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..criteria import DEFAULT, Criteria
 from ..functions.sequence import spans_junction, translate, windows
-from .ranges import points_in_intervals
+from .ranges import covering
 
 
-def best_transcript(ends: DataFrame, transcripts: DataFrame, key: str, width: int = 100_000) -> DataFrame:
+def best_transcript(ends: DataFrame, transcripts: DataFrame, key: str) -> DataFrame:
     """Per breakend (key, chrom, pos) the overlapping transcript of best rank, longest span, then id."""
-    t = transcripts.select("transcript_id", "gene", "chrom", "strand", "start", "end", "exons", "cds_blocks", "cds", "rank")
-    hit = points_in_intervals(ends, t, ["chrom"], "pos", "start", "end", width)
-    w = W.partitionBy(key).orderBy("rank", F.desc(F.col("end") - F.col("start")), "transcript_id")
-    return hit.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    t = transcripts.select("transcript_id", "gene", "chrom", "strand", "start", "end", "exons", "cds_blocks", "cds", "rank").filter("start is not null and end is not null")
+    name = ["rank", "transcript_id", "chrom", "start", "end"]
+    rest = [c for c in t.columns if c not in name]
+    # Transcripts meet breakends by name; what else is known of the best ones is joined after.
+    order = F.struct("rank", (F.col("start") - F.col("end")).alias("_short"), "transcript_id", "start", "end")
+    best = covering(ends, t, ["chrom"], "pos", "start", "end", {"_best": (F.min(order), F.min)})
+    best = best.withColumns({c: F.col(f"_best.{c}") for c in name if c != "chrom"}).drop("_best")
+    first = best.groupBy(key).agg(F.min(F.struct("rank", (F.col("start") - F.col("end")).alias("_short"), "transcript_id", *[c for c in best.columns if c not in {key, "rank", "transcript_id"}])).alias("_one"))
+    first = first.select(key, *[F.col(f"_one.{c}").alias(c) for c in best.columns if c != key])
+    about = t.groupBy(*name).agg(F.min(F.struct(*rest)).alias("_rest"))
+    known = first.alias("b").join(about.alias("t"), F.expr(" and ".join(f"b.{c} <=> t.{c}" for c in name)))
+    return known.select(*[F.col(f"b.{c}") for c in ends.columns], *[F.col(f"b.{c}") if c in name else F.col(f"t._rest.{c}").alias(c) for c in t.columns if c != "chrom"])
 
 
 def head_length(blocks: Column, strand: Column, cut: Column) -> Column:
