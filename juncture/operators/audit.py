@@ -104,7 +104,10 @@ def peptides_per_variant(peptides: DataFrame, junctions: DataFrame, key: str, pe
 
 
 def audit_peptides(expected: DataFrame, generated: DataFrame, key: str, peptide: str) -> DataFrame:
-    """Per variant: agree, DISAGREE or not compared, with the first five peptides of either side alone."""
+    """Per variant: agree, DISAGREE or not compared, with the first five peptides of either side alone.
+
+    Without either side nothing is compared, so both lists are null, not empty.
+    """
     a, b = (t.groupBy(key).agg(F.collect_set(peptide).alias(n)) for t, n in ((expected, "expected"), (generated, "generated")))
     five = lambda x, y: F.slice(F.sort_array(F.array_except(x, y)), 1, 5)
     both = a.join(b, key, "full")
