@@ -49,30 +49,48 @@ def nested_place(start: Column, end: Column, width: int) -> Column:
     return out
 
 
-def nested_asks(start: Column, end: Column, width: int) -> Column:
-    """Array of (_level, _bin) where intervals that overlap [start, end] can be kept."""
+def nested_level(start: Column, end: Column, width: int) -> Column:
+    """The level that an interval is kept on; LEVELS for what is longer than the widest bin. The length is found once:
+    as the variable of a lambda, else Spark would walk a CIGAR again for every level."""
+    def level(length: Column) -> Column:
+        out = F.lit(LEVELS)
+        for k, w in reversed(list(enumerate(level_widths(width)))):
+            out = F.when(length <= w, F.lit(k)).otherwise(out)
+        return out
+
+    return F.get(F.transform(F.array(end - start), level), F.lit(0))
+
+
+def levels_in_use(levels: DataFrame) -> list[int]:
+    """Levels that hold an interval at all, of a table of them: six rows at most."""
+    return sorted(r[0] for r in levels.distinct().collect() if r[0] is not None)
+
+
+def nested_asks(start: Column, end: Column, width: int, levels: Sequence[int] | None = None) -> Column:
+    """Array of (_level, _bin) where intervals that overlap [start, end] can be kept; of the stated levels only, if given."""
     place = lambda level, low, high: F.transform(F.sequence(F.floor(low), F.floor(high)), lambda b: F.struct(F.lit(level).alias("_level"), b.cast("long").alias("_bin")))
     widths = level_widths(width)
-    return F.concat(*[place(k, (start - w) / w, end / w) for k, w in enumerate(widths)], place(LEVELS, start / widths[-1], end / widths[-1]))
+    places = [place(k, (start - w) / w, end / w) for k, w in enumerate(widths)] + [place(LEVELS, start / widths[-1], end / widths[-1])]
+    return F.concat(*[places[k] for k in (range(LEVELS + 1) if levels is None else levels or [0])])
 
 
 def overlapping(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[str, str], b_range: tuple[str, str], width: int, few: int | None = None) -> DataFrame:
     """Pairs of closed intervals with equal keys that overlap; each pair once. A missing end counts as the start.
 
     b, the larger side, goes to nested bins: one row an interval, however long it is (beyond the widest bins, width *
-    8^4, one for each of them). a asks on every level for the bins in which a partner's start can lie; choose width near
-    the usual length of b, and a's intervals short beside it where they are many. a is spread first, as a small table
-    in one piece would take its rows on every level in one task. few: a, which is counted, goes to every task if it has
-    no more rows than this, and else both sides are shuffled; without it Spark chooses by its estimate, which does not
-    know of the rows on every level.
+    8^4, one for each of them). a asks for the bins in which a partner's start can lie, on every level that b's lengths
+    use (they are looked up first); choose width near the usual length of b, and a's intervals short beside it where they
+    are many. few: a, which is counted, is spread and goes to every task if it has no more rows than this; else, and
+    without it, both sides are shuffled, as Spark's estimate does not know of the rows on every level.
     """
     (a0, a1), (b0, b1) = a_range, b_range
     # Outer, though no array is empty: else Spark asks of every row whether it is, and walks again to know.
     spots = lambda df, array: df.select("*", F.inline_outer(array))
-    left = spots(a.repartition(*keys, a0), nested_asks(F.col(a0), F.col(a1), width)).alias("a")
+    levels = levels_in_use(b.select(nested_level(F.col(b0), F.col(b1), width).alias("_level")))
+    small = few is not None and a.limit(few + 1).count() <= few
+    left = spots(a.repartition(*keys, a0) if small else a, nested_asks(F.col(a0), F.col(a1), width, levels)).alias("a")
     right = spots(b, nested_place(F.col(b0), F.col(b1), width)).alias("b")
-    if few is not None:
-        left, right = (F.broadcast(left), right) if a.limit(few + 1).count() <= few else (left, right.hint("merge"))
+    left, right = (F.broadcast(left), right) if small else (left, right.hint("merge"))
     on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "_level", "_bin"]]
     return left.join(right, on).filter(_meets(a0, a1, b0, b1, width)).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys]).drop("_level", "_bin")
 

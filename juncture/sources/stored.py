@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.alignments import walk
-from ..operators.ranges import LEVELS, _meets, level_widths, nested_asks, nested_place
+from ..operators.ranges import LEVELS, _meets, level_widths, levels_in_use, nested_asks, nested_place
 
 #: Base width of the stored bins; a region, one folder of a chromosome, is as wide as the widest of them.
 WIDTH = 1000
@@ -56,8 +56,9 @@ def alignments_at(spark: SparkSession, path: str, loci: DataFrame, start: str, e
     of both sides.
     """
     stored = spark.read.parquet(path).withColumn("chrom", F.col("chrom").cast(loci.schema["chrom"].dataType))
-    asks = loci.repartition("chrom", start).select("*", F.inline_outer(nested_asks(F.col(start), F.col(end), WIDTH))).withColumn("region", _region()).filter(F.col("_bin") >= 0)
     few = loci.limit(broadcast_loci + 1).count() <= broadcast_loci
+    spots = nested_asks(F.col(start), F.col(end), WIDTH, levels_in_use(stored.select("_level")))
+    asks = (loci.repartition("chrom", start) if few else loci).select("*", F.inline_outer(spots)).withColumn("region", _region()).filter(F.col("_bin") >= 0)
     joined = stored.alias("b").join(F.broadcast(asks.alias("a")) if few else asks.alias("a").hint("merge"), [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ["chrom", "region", "_level", "_bin", *keys]])
     hit = joined.filter(_meets(start, end, "start0", "end0", WIDTH))
     return hit.select(*[F.col(f"a.{c}").alias(c) for c in loci.columns], *[F.col(f"b.{c}").alias(c) for c in stored.columns if c not in {"chrom", "region", "_level", "_bin", *keys}])

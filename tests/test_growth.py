@@ -2,9 +2,12 @@
 
 import random
 
+import duckdb
+import oracle
 from pyspark.sql import functions as F
 
-from juncture.operators import confidence, ranges, reads
+from juncture import queries
+from juncture.operators import confidence, lineage, ranges, reads
 
 
 def plan(df):
@@ -86,3 +89,34 @@ def test_first_call_near_an_end_without_pairs(spark):
         got = {r.k: r.first for r in ranges.least_within(df, ref, ["c"], "pos", "up", tolerance, F.col("v"), "first").collect()}
         met = {k: [v for d, q, v in refs if c == d and abs(q - p) <= tolerance] for k, c, p in points if p is not None}
         assert got == {k: min(v) for k, v in met.items() if v}
+
+
+def test_audit_without_one_side_agrees_with_its_sql(spark, tmp_path):
+    """Customer 1 has generated peptides only, 2 expected ones only, 3 both: nothing is listed where nothing is compared."""
+    rows = [(9, 1), (18, 1), (50, 2), (7, 3), (50, 3)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long").write.parquet(f"file://{tmp_path}/orders.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view orders as select * from read_parquet('{tmp_path}/orders.parquet/*.parquet')")
+    oracle.assert_same(spark, con, queries.QUERIES["peptide_audit"], queries.SQL["peptide_audit"], f"file://{tmp_path}")
+    got = {r.o_custkey: (r.verdict, r.missing, r.extra) for r in queries.peptide_audit(spark, f"file://{tmp_path}").collect()}
+    assert got == {1: ("not compared", None, None), 2: ("not compared", None, None), 3: ("DISAGREE", "10", "")}
+
+
+def test_attribution_meets_one_place(spark):
+    """An end asks for the nearest breakpoint of an ancestor; the many around it make no rows."""
+    points = spark.createDataFrame([("r", "c", 100 + k % 3) for k in range(50)] + [("r", "d", 900)], "sample string, chrom string, pos long")
+    events = spark.createDataFrame([(1, "s", "c", 110, "d", 895), (2, "s", "c", 110, "d", 2000)], "k int, sample string, chrom1 string, pos1 long, chrom2 string, pos2 long")
+    above = spark.createDataFrame([("s", "r", 1)], "sample string, ancestor string, depth int")
+    out = lineage.attribute(events, points, above, "k", 20)
+    assert {r.k: (r.attributed_to, r.checked) for r in out.collect()} == {1: ("r", "r:yes"), 2: ("s", "r:no")}
+    assert "_cell" not in plan(out)
+
+
+def test_asks_go_to_levels_in_use(spark):
+    """Reads of one length have one level: an ask takes a row for each bin there, not for six levels."""
+    b = spark.createDataFrame([("c", k * 100, k * 100 + 150) for k in range(50)], "c string, b0 long, b1 long")
+    assert ranges.levels_in_use(b.select(ranges.nested_level(F.col("b0"), F.col("b1"), 1000).alias("_level"))) == [0]
+    n = lambda levels: b.select(F.size(ranges.nested_asks(F.col("b0"), F.col("b1"), 1000, levels)).alias("n")).agg(F.max("n")).first()[0]
+    assert n([0]) <= 3 < n(None)
+    out = ranges.overlapping(b.limit(0), b.withColumnsRenamed({"b0": "s", "b1": "e"}), ["c"], ("b0", "b1"), ("s", "e"), 1000)
+    assert "BroadcastHashJoin" not in plan(out) and out.count() == 0
