@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..criteria import DEFAULT
-from .ranges import within_distance
+from .ranges import nearest
 
 
 def closure(samples: DataFrame, name: str = "name", parent: str = "parent", most: int = 1000) -> DataFrame:
@@ -33,18 +33,20 @@ def processing_order(samples: DataFrame) -> DataFrame:
     return samples.join(depth.withColumnRenamed("sample", "name"), "name", "left").withColumn("level", F.coalesce("level", F.lit(0)))
 
 
-def attribute(events: DataFrame, breakpoints: DataFrame, ancestors: DataFrame, key: str, tolerance: int = DEFAULT.attribution_tolerance) -> DataFrame:
+def attribute(events: DataFrame, breakpoints: DataFrame, ancestors: DataFrame, key: str, tolerance: int = DEFAULT.attribution_tolerance, width: int = 100_000) -> DataFrame:
     """key, sample, attributed_to, checked, acquired: the root-most ancestor with both breakpoints of an event.
 
     breakpoints has (sample, chrom, pos); the two ends may be of different junctions of the ancestor. checked lists
-    the ancestors from the root up to the one found, `name:yes` or `name:no`.
+    the ancestors from the root up to the one found, `name:yes` or `name:no`. An end is held against the nearest breakpoint
+    of an ancestor only, so it meets one place however many lie around it.
     """
     ask = events.select(key, "sample", "chrom1", "pos1", "chrom2", "pos2").join(ancestors, "sample")
     hits = []
     for s in (1, 2):
         side = ask.select(key, "sample", "ancestor", F.col(f"chrom{s}").alias("chrom"), F.col(f"pos{s}").alias("pos"))
-        known = breakpoints.select(F.col("sample").alias("ancestor"), "chrom", F.col("pos").alias("at"))
-        hits.append(within_distance(side, known, ["ancestor", "chrom"], "pos", "at", tolerance).select(key, "sample", "ancestor").distinct().withColumn(f"hit{s}", F.lit(True)))
+        known = breakpoints.select(F.col("sample").alias("ancestor"), "chrom", "pos")
+        near = nearest(side, known, ["ancestor", "chrom"], "pos", [], width).filter(F.col("near_distance") <= tolerance)
+        hits.append(near.select(key, "sample", "ancestor").distinct().withColumn(f"hit{s}", F.lit(True)))
     both = ask.select(key, "sample", "ancestor", "depth")
     for h in hits:
         both = both.join(h, [key, "sample", "ancestor"], "left")
