@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from os.path import commonprefix
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 from ..criteria import DEFAULT, Criteria
-from ..functions.sequence import spans_junction, translate, windows
+from ..functions.sequence import translate, translated
 from .ranges import covering
 
 
@@ -98,18 +103,53 @@ def fusion_coding(events: DataFrame) -> DataFrame:
 
 
 def _new_windows(events: DataFrame, keys: list[str], native: list[Column], criteria: Criteria) -> DataFrame:
-    """keys, neopeptide, pep_length, spans_junction: windows of the protein of `fused` that no native protein has.
+    """keys, neopeptide, spans_junction, pep_length: windows of the protein of `fused` that no native protein has.
 
-    Proteins are translated once an event: in a step of their own, and with an outer explode, as Spark would translate
-    again for each window, or to know whether there is any.
+    Events, not their windows, are shuffled and sorted by key; a task then goes through them and holds the windows of one
+    key, an event's, at a time. A window spans the junction if it does anywhere; null where no event of the key knows it.
     """
     names = [f"_native{k}" for k in range(len(native))]
-    rows = events.filter("fused is not null").select(*keys, "junction_nt", *[translate(c).alias(n) for n, c in zip(names, native, strict=True)], translate(F.col("fused")).alias("_protein"))
-    rows = rows.select("*", F.explode_outer(windows(F.col("_protein"), criteria.peptide_lengths)).alias("w")).filter(F.col("w").isNotNull())
-    for n in names:
-        rows = rows.filter(~F.contains(n, F.col("w.peptide")))
-    span = spans_junction(F.col("w.start"), F.col("w.length"), F.col("junction_nt"))
-    return rows.groupBy(*keys, F.col("w.peptide").alias("neopeptide")).agg(F.max(span).alias("spans_junction"), F.max("w.length").alias("pep_length"))
+    rows = events.filter("fused is not null").select(*keys, F.col("junction_nt").cast("int").alias("junction_nt"), "fused", *[c.alias(n) for n, c in zip(names, native, strict=True)])
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys)
+    made = StructType([*[rows.schema[k] for k in keys], *[StructField(n, t) for n, t in (("neopeptide", StringType()), ("spans_junction", BooleanType()), ("pep_length", IntegerType()))]])
+    lengths = criteria.peptide_lengths
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, found, out, kinds = None, {}, [], []
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            *of, peptides, spans = zip(*rows, strict=True)
+            spans = pa.array([None if s < 0 else s > 0 for s in spans], pa.bool_())
+            return pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(of, kinds, strict=True)], pa.array(peptides), spans, pa.array(map(len, peptides), pa.int32())], names=made.names)
+
+        for batch in batches:
+            kinds = [batch.schema.field(k).type for k in keys]
+            values = zip(zip(*[batch[k].to_pylist() for k in keys], strict=True), *[batch[c].to_pylist() for c in ("junction_nt", "fused", *names)], strict=True)
+            for key, junction, fused, *natives in values:
+                if key != own:
+                    out += [(*own, *w) for w in found.items()] if own else []
+                    own, found = key, {}
+                    if len(out) > 50_000:
+                        yield batch_of(out)
+                        out = []
+                if None not in natives:
+                    _add_windows(found, translated(fused), list(map(translated, natives)), junction, lengths)
+        out += [(*own, *w) for w in found.items()] if own else []
+        if out:
+            yield batch_of(out)
+
+    return rows.mapInArrow(run, made)
+
+
+def _add_windows(found: dict[str, int], protein: str, natives: list[str], junction: int | None, lengths: Sequence[int]) -> None:
+    """Windows that no native protein has, with 1 if they hold the junction somewhere, 0 if not, -1 if it is unknown."""
+    shared = max([len(commonprefix([protein, native])) for native in natives])  # its windows are native ones
+    for n in lengths:
+        for i in range(max(0, shared - n + 1), len(protein) - n + 1):
+            peptide = protein[i : i + n]
+            if not any([peptide in native for native in natives]):
+                span = -1 if junction is None else int(i * 3 < junction < (i + n) * 3)
+                found[peptide] = max(span, found.get(peptide, -1))
 
 
 def fusion_peptides(events: DataFrame, keys: list[str], criteria: Criteria = DEFAULT) -> DataFrame:

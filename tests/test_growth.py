@@ -7,7 +7,8 @@ import oracle
 from pyspark.sql import functions as F
 
 from juncture import queries
-from juncture.operators import confidence, lineage, ranges, reads
+from juncture.functions import sequence
+from juncture.operators import confidence, lineage, peptides, ranges, reads
 
 
 def plan(df):
@@ -120,3 +121,28 @@ def test_asks_go_to_levels_in_use(spark):
     assert n([0]) <= 3 < n(None)
     out = ranges.overlapping(b.limit(0), b.withColumnsRenamed({"b0": "s", "b1": "e"}), ["c"], ("b0", "b1"), ("s", "e"), 1000)
     assert "BroadcastHashJoin" not in plan(out) and out.count() == 0
+
+
+def test_windows_of_a_key_meet_in_a_task(spark):
+    """Events are shuffled, not their windows; rows of one key are one event, whatever each knows of its junction."""
+    rng = random.Random(7)
+    text = lambda n: "".join(rng.choice("ACGTacgN") for _ in range(n))
+    rows = [(k % 40, rng.choice([None, 9, 40]), text(20) + "ATG" * (k % 9) + text(60), rng.choice([None, "", text(90)])) for k in range(120)]
+    df = spark.createDataFrame(rows, "k int, junction_nt int, fused string, cds string")
+    out = peptides.candidate_peptides(df, ["k"])
+    shuffles = [x for x in plan(out).splitlines() if "hashpartitioning" in x]
+    assert shuffles and not any("peptide" in x for x in shuffles)
+    codons = lambda s: "".join(sequence.CODONS.get(s[i : i + 3].upper(), "X") for i in range(0, len(s) - 2, 3)).split("*")[0]
+    want = {}
+    for k, junction, fused, cds in rows:
+        protein = codons(fused)
+        for n in (8, 9, 10, 11):
+            for i in range(len(protein) - n + 1) if cds is not None else ():
+                if (w := protein[i : i + n]) not in codons(cds):
+                    seen = [want.get((k, w)), None if junction is None else i * 3 < junction < (i + n) * 3]
+                    want[k, w] = max((x for x in seen if x is not None), default=None)
+    assert want and {(r.k, r.neopeptide): r.spans_junction for r in out.collect()} == want
+    assert all(r.pep_length == len(r.neopeptide) for r in out.collect())
+    odd = ["", "AT", "atgTAAC", "ATGßßAT\u0131GG", "ATG TTTT", "T TATG"] + [text(50) for _ in range(20)]
+    native = [r.p for r in spark.createDataFrame([(k, t) for k, t in enumerate(odd)], "k int, t string").select("k", sequence.translate(F.col("t")).alias("p")).orderBy("k").collect()]
+    assert native == [codons(t) for t in odd] == [sequence.translated(t) for t in odd]
