@@ -41,6 +41,12 @@ def level2_gene_svtype(annotation: DataFrame, catalogue: DataFrame) -> DataFrame
     return own.join(ref, "gene").withColumn("svtype_match", F.upper("svtype") == F.upper("ref_svtype"))
 
 
+def level2_variants(annotation: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """The flags of each variant's catalogue rows. A gene's classes count, not its peptides, so no row is made for each."""
+    classes = catalogue.select(F.upper(F.trim("ref_gene")).alias("ref_gene"), F.lit(None).cast("string").alias("ref_peptide"), F.upper("ref_svtype").alias("ref_svtype")).distinct()
+    return level2_flags(level2_gene_svtype(annotation, classes))
+
+
 def breakpoints(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """One row per end: keep, side, chrom, pos."""
     ends = F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"chrom{s}").alias("chrom"), F.col(f"pos{s}").alias("pos")) for s in (1, 2)])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from juncture import queries
 from juncture.functions import sequence
-from juncture.operators import confidence, lineage, peptides, ranges, reads
+from juncture.operators import confidence, cross, lineage, peptides, ranges, reads
 
 
 def plan(df):
@@ -146,3 +146,22 @@ def test_windows_of_a_key_meet_in_a_task(spark):
     odd = ["", "AT", "atgTAAC", "ATGßßAT\u0131GG", "ATG TTTT", "T TATG"] + [text(50) for _ in range(20)]
     native = [r.p for r in spark.createDataFrame([(k, t) for k, t in enumerate(odd)], "k int, t string").select("k", sequence.translate(F.col("t")).alias("p")).orderBy("k").collect()]
     assert native == [codons(t) for t in odd] == [sequence.translated(t) for t in odd]
+
+
+def _levels(spark):
+    rng = random.Random(8)
+    annotation = [(f"s{k % 3}", str(k), f"g{rng.randrange(4)}", rng.choice(["g1", None]), rng.choice(["DEL", "dup", None])) for k in range(40)]
+    catalogue = [(f"P{k}", f" G{k % 3}", rng.choice(["del", "DUP", None])) for k in range(60)]
+    made = [(f"s{k % 3}", str(k), f" p{rng.randrange(80)}", rng.choice([True, False, None])) for k in range(50) for _ in range(4)]
+    return (
+        spark.createDataFrame(made, "sample string, sample_sv_id string, neopeptide string, spans_junction boolean"),
+        spark.createDataFrame(annotation, "sample string, sample_sv_id string, gene1 string, gene2 string, svtype string"),
+        spark.createDataFrame(catalogue, "ref_peptide string, ref_gene string, ref_svtype string"),
+    )
+
+
+def test_variants_meet_classes_not_peptides(spark):
+    _, annotation, catalogue = _levels(spark)
+    got, pairs = cross.level2_variants(annotation, catalogue), cross.level2_gene_svtype(annotation, catalogue)
+    assert sorted(map(str, got.collect())) == sorted(map(str, cross.level2_flags(pairs).collect()))
+    assert cross.level2_gene_svtype(annotation, catalogue).count() > 200
