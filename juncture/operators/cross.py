@@ -25,11 +25,15 @@ def level1_identical(peptides: DataFrame, annotation: DataFrame, catalogue: Data
     """
     if require_spanning:
         peptides = peptides.filter(F.coalesce("spans_junction", F.lit(False)))
-    found = peptides.select("sample", "sample_sv_id", F.upper(F.trim("neopeptide")).alias("ref_peptide"), *[c for c in ("spans_junction", "frame_effect") if c in peptides.columns]).join(catalogue, "ref_peptide")
+    keep = [c for c in ("spans_junction", "frame_effect") if c in peptides.columns]
+    made = peptides.select("sample", "sample_sv_id", F.upper(F.trim("neopeptide")).alias("ref_peptide"), *keep).join(catalogue.select("ref_peptide").distinct(), "ref_peptide", "left_semi")
     about = first_of(annotation, ["sample", "sample_sv_id"], ["gene1", "gene2"]).select("sample", "sample_sv_id", "gene1", "gene2", "svtype")
+    # The variant is joined before the catalogue: of a peptide with many catalogue rows one row is shuffled, not one for each.
+    found = made.join(about, ["sample", "sample_sv_id"], "left").join(catalogue, "ref_peptide")
     ref = F.upper(F.trim("ref_gene"))
     sides = [ref == F.upper(F.trim(c)) for c in ("gene1", "gene2")]
-    return found.join(about, ["sample", "sample_sv_id"], "left").withColumns(
+    order = ["sample", "sample_sv_id", "ref_peptide", *keep, *[c for c in catalogue.columns if c != "ref_peptide"], "gene1", "gene2", "svtype"]
+    return found.select(*order).withColumns(
         {"gene_concordant": sides[0] | sides[1], "svtype_concordant": F.upper("ref_svtype") == F.upper("svtype")}
     )
 

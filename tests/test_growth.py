@@ -165,3 +165,20 @@ def test_variants_meet_classes_not_peptides(spark):
     got, pairs = cross.level2_variants(annotation, catalogue), cross.level2_gene_svtype(annotation, catalogue)
     assert sorted(map(str, got.collect())) == sorted(map(str, cross.level2_flags(pairs).collect()))
     assert cross.level2_gene_svtype(annotation, catalogue).count() > 200
+
+
+def test_variants_are_joined_before_the_catalogue(spark):
+    """Of a peptide with many catalogue rows one row goes to its variant."""
+    made, annotation, catalogue = _levels(spark)
+    catalogue = catalogue.withColumn("ref_peptide", F.expr("concat('P', cast(substring(ref_peptide, 2) as int) % 20)"))
+    out = cross.level1_identical(made, annotation, catalogue, require_spanning=True)
+    want = []
+    about = {(r.sample, r.sample_sv_id): r for r in annotation.collect()}
+    for m in made.collect():
+        for c in catalogue.collect():
+            if m.spans_junction and m.neopeptide.strip().upper() == c.ref_peptide:
+                a = about.get((m.sample, m.sample_sv_id))
+                want.append(str((m.sample, m.sample_sv_id, c.ref_peptide, True, c.ref_gene, c.ref_svtype, *((a.gene1, a.gene2, a.svtype) if a else (None,) * 3))))
+    assert want and sorted(want) == sorted(str(tuple(r)[:9]) for r in out.collect())
+    top = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+    assert "Inner" in top[0] and any("LeftOuter" in x for x in top[1:])
