@@ -99,14 +99,14 @@ def read_precomputed(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 def parse_population_sites(lines: DataFrame) -> DataFrame:
     """gnomad_record rows from lines (value) of a sites VCF; rows without END or AF go."""
-    f = F.split("value", "\t")
-    rows = lines.filter(~F.startswith("value", F.lit("#"))).select(f.alias("f")).filter(F.size("f") >= 8)
+    rows = lines.filter(~F.startswith("value", F.lit("#"))).select(F.split("value", "\t").alias("f"))
     text = F.get(F.col("f"), F.lit(7))
-    out = rows.select(
-        normal_chrom(F.get(F.col("f"), F.lit(0))).alias("chrom"), F.get(F.col("f"), F.lit(1)).try_cast("long").alias("start"), info(text, "END", "long").alias("end"), info(text, "AF", "double").alias("af"),
+    # What decides whether a row goes is made by a generator: else Spark searches the text for it twice.
+    known = rows.select("f", F.inline_outer(F.array(F.struct(info(text, "END", "long").alias("end"), info(text, "AF", "double").alias("af")))))
+    return known.filter("end is not null and af is not null").select(
+        normal_chrom(F.get(F.col("f"), F.lit(0))).alias("chrom"), F.get(F.col("f"), F.lit(1)).try_cast("long").alias("start"), "end", "af",
         *[info(text, f"AF_{p}", "double").alias(f"af_{p}") for p in DEFAULT.populations],
     )
-    return out.filter("end is not null and af is not null")
 
 
 def read_expression(spark: SparkSession, path: str, key: str) -> DataFrame:

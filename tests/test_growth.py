@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from juncture import queries
 from juncture.functions import sequence
 from juncture.operators import confidence, cross, lineage, peptides, ranges, reads
+from juncture.sources import readers
 
 
 def plan(df):
@@ -182,3 +183,10 @@ def test_variants_are_joined_before_the_catalogue(spark):
     assert want and sorted(want) == sorted(str(tuple(r)[:9]) for r in out.collect())
     top = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
     assert "Inner" in top[0] and any("LeftOuter" in x for x in top[1:])
+
+
+def test_population_texts_are_searched_once(spark):
+    lines = ["#x", "chr1\t5\tx\tN\t<DEL>\t.\tPASS\tEND=9;AF=0.5;AF_afr=0.25", "1\t5\tx\tN\t<DEL>\t.\tPASS\tAF=0.5", "1\t5\tx\tN\t<DEL>\t.\tPASS\tXEND=9;END=b;AF=1", "1\t5\tx", "2\tz\t\t\t\t\t\tAF=1;END=7;END=8"]
+    out = readers.parse_population_sites(spark.createDataFrame([(x,) for x in lines], "value string")).select("chrom", "start", "end", "af", "af_afr")
+    assert sorted(map(tuple, out.collect()), key=str) == [("1", 5, 9, 0.5, 0.25), ("2", None, 7, 1.0, None)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count(";)END=") == 1
