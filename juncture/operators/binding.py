@@ -72,12 +72,15 @@ def autologous(patient_peptides: DataFrame, genotypes: DataFrame, binding: DataF
     binding holds the (peptide, allele) pairs that pass the rule.
     """
     carried = patient_peptides.select("patient", F.col("neoantigen").alias("peptide")).distinct()
-    own = genotypes.select("patient", "allele").distinct().join(panel.select("allele").distinct().withColumn("_in", F.lit(True)), "allele", "left")
-    rows = carried.join(own, "patient", "left").join(binding.select("peptide", "allele").distinct().withColumn("_binds", F.lit(True)), ["peptide", "allele"], "left")
-    # Patients and alleles of a peptide are each brought together first, so that both are plain counts.
-    of_patient = rows.groupBy("peptide", "patient").agg(F.bool_or(F.col("allele").isNotNull()).alias("typed"), F.coalesce(F.bool_or("_binds"), F.lit(False)).alias("presents"))
-    patients = of_patient.groupBy("peptide").agg(F.count("patient").alias("patients"), F.count_if(F.col("typed") & F.col("patient").isNotNull()).alias("patients_typed"), F.count_if(F.col("presents") & F.col("patient").isNotNull()).alias("patients_presenting"))
-    of_allele = rows.filter("allele is not null").groupBy("peptide", "allele").agg(F.bool_or(F.col("_in").isNull()).alias("outside"), F.coalesce(F.bool_or("_binds"), F.lit(False)).alias("binds"))
+    # Alleles stay in the row of their patient, and those that present a peptide in the peptide's: what a patient carries is
+    # one row, not one for each allele, and is shuffled by the peptide only.
+    own = genotypes.select("patient", "allele").filter("allele is not null").distinct().join(panel.select("allele").distinct().withColumn("_in", F.lit(True)), "allele", "left")
+    own = own.groupBy("patient").agg(F.collect_list(F.struct("allele", F.col("_in").isNull().alias("_outside"))).alias("_own"))
+    presenting = binding.groupBy("peptide").agg(F.collect_set("allele").alias("_binding"))
+    rows = carried.join(own, "patient", "left").join(presenting, "peptide", "left")
+    there, presents = F.col("patient").isNotNull(), F.coalesce(F.arrays_overlap("_own.allele", "_binding"), F.lit(False))
+    patients = rows.groupBy("peptide").agg(F.count("patient").alias("patients"), F.count_if(F.col("_own").isNotNull() & there).alias("patients_typed"), F.count_if(presents & there).alias("patients_presenting"))
+    of_allele = rows.select("peptide", "_binding", F.inline("_own")).groupBy("peptide", "allele").agg(F.bool_or("_outside").alias("outside"), F.bool_or(F.coalesce(F.array_contains("_binding", F.col("allele")), F.lit(False))).alias("binds"))
     alleles = of_allele.groupBy("peptide").agg(F.count_if("outside").alias("alleles_outside"), F.sort_array(F.collect_list(F.when(F.col("binds"), F.col("allele")))).alias("presenting_alleles"))
     out = patients.join(alleles, "peptide", "left").withColumns({"alleles_outside": F.coalesce("alleles_outside", F.lit(0)), "presenting_alleles": F.coalesce("presenting_alleles", F.array().cast("array<string>"))})
     return out.withColumn("verdict", autologous_verdict(F.col("patients_presenting") > 0, F.col("patients_typed"), F.col("alleles_outside")))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from juncture import queries
 from juncture.functions import sequence
-from juncture.operators import confidence, cross, lineage, peptides, ranges, reads
+from juncture.operators import binding, confidence, cross, lineage, peptides, ranges, reads
 from juncture.sources import readers
 
 
@@ -190,3 +190,22 @@ def test_population_texts_are_searched_once(spark):
     out = readers.parse_population_sites(spark.createDataFrame([(x,) for x in lines], "value string")).select("chrom", "start", "end", "af", "af_afr")
     assert sorted(map(tuple, out.collect()), key=str) == [("1", 5, 9, 0.5, 0.25), ("2", None, 7, 1.0, None)]
     assert out._jdf.queryExecution().optimizedPlan().toString().count(";)END=") == 1
+
+
+def test_carried_peptides_make_no_row_for_each_allele(spark):
+    rng = random.Random(9)
+    carried = [(rng.choice([None, *range(12)]), f"p{rng.randrange(15)}") for _ in range(120)]
+    genotypes = [(rng.randrange(9), rng.choice([None, *"abcdef"])) for _ in range(30)]
+    pairs, panel = [(f"p{rng.randrange(15)}", rng.choice("abcd")) for _ in range(20)], list("abcd")
+    out = binding.autologous(
+        spark.createDataFrame(carried, "patient int, neoantigen string"), spark.createDataFrame(genotypes, "patient int, allele string"),
+        spark.createDataFrame(pairs, "peptide string, allele string"), spark.createDataFrame([(x,) for x in panel], "allele string"),
+    )
+    assert not any("hashpartitioning(peptide" in x and "," in x.split("hashpartitioning(")[1].split(")")[0].rsplit(",", 1)[0] for x in plan(out).splitlines())
+    own = lambda patient: {a for p, a in genotypes if p == patient and patient is not None and a}
+    for r in out.collect():
+        who = {p for p, x in carried if x == r.peptide}
+        mine, binds = set().union(*map(own, who)), {a for x, a in pairs if x == r.peptide}
+        named = who - {None}
+        want = (len(named), sum(1 for p in named if own(p)), sum(1 for p in named if own(p) & binds), len(mine - set(panel)), sorted(mine & binds))
+        assert (r.patients, r.patients_typed, r.patients_presenting, r.alleles_outside, r.presenting_alleles) == want
