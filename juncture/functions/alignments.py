@@ -39,6 +39,11 @@ def reference_end(start: Column, cigar: Column) -> Column:
     return F.aggregate(_steps(cigar), start.cast("long"), lambda acc, s: acc + F.when(s["op"].isin("M", "D", "N", "=", "X"), s["n"]).otherwise(0))
 
 
+def span(cigar: Column) -> Column:
+    """Places of the reference that an alignment reaches over: its end without a walk."""
+    return F.aggregate(F.regexp_extract_all(cigar, F.lit("([0-9]+)[MDN=X]"), F.lit(1)), F.lit(0).cast("long"), lambda acc, n: acc + n.cast("int"))
+
+
 def longest_softclip(cigar: Column) -> Column:
     return F.coalesce(F.array_max(F.transform(F.filter(_steps(cigar), lambda s: s["op"] == "S"), lambda s: s["n"])), F.lit(0))
 

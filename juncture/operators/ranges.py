@@ -31,6 +31,8 @@ def points_in_intervals(points: DataFrame, intervals: DataFrame, keys: Sequence[
 LEVEL_FACTOR, LEVELS = 8, 5
 #: Cells that a bin with more than this many places is cut into, and places of a part.
 FINE, PART_ROWS = 1024, 250_000
+#: Widths of the first level that a cell of `in_cells` has.
+CELL = 2
 
 
 def level_widths(width: int) -> list[int]:
@@ -74,7 +76,7 @@ def nested_asks(start: Column, end: Column, width: int, levels: Sequence[int] |
     return F.concat(*[places[k] for k in (range(LEVELS + 1) if levels is None else levels or [0])])
 
 
-def overlapping(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[str, str], b_range: tuple[str, str], width: int, few: int | None = None) -> DataFrame:
+def overlapping(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[str, str], b_range: tuple[str, str], width: int, few: int | None = None, reach: int | None = None, levels: list[int] | None = None) -> DataFrame:
     """Pairs of closed intervals with equal keys that overlap; each pair once. A missing end counts as the start.
 
     b, the larger side, goes to nested bins: one row an interval, however long it is (beyond the widest bins, width *
@@ -82,12 +84,18 @@ def overlapping(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[
     use (they are looked up first); choose width near the usual length of b, and a's intervals short beside it where they
     are many. few: a, which is counted, is spread and goes to every task if it has no more rows than this; else, and
     without it, both sides are shuffled, as Spark's estimate does not know of the rows on every level.
+
+    reach: a's intervals are no longer than this. Where both sides are shuffled and all of b are on the first level, the
+    pairs are those of `in_cells` and keep its `_cell`. levels: those in use, if they are known.
     """
     (a0, a1), (b0, b1) = a_range, b_range
     # Outer, though no array is empty: else Spark asks of every row whether it is, and walks again to know.
     spots = lambda df, array: df.select("*", F.inline_outer(array))
-    levels = levels_in_use(b.select(nested_level(F.col(b0), F.col(b1), width).alias("_level")))
+    if levels is None:
+        levels = levels_in_use(b.select(nested_level(F.col(b0), F.col(b1), width).alias("_level")))
     small = few is not None and a.limit(few + 1).count() <= few
+    if reach is not None and not small and levels == [0]:
+        return in_cells(a, b, keys, a_range, b_range, CELL * width, reach)
     left = spots(a.repartition(*keys, a0) if small else a, nested_asks(F.col(a0), F.col(a1), width, levels)).alias("a")
     right = spots(b, nested_place(F.col(b0), F.col(b1), width)).alias("b")
     left, right = (F.broadcast(left), right) if small else (left, right.hint("merge"))
@@ -95,6 +103,21 @@ def overlapping(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[
     return left.join(right, on).filter(_meets(a0, a1, b0, b1, width)).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys]).drop("_level", "_bin")
 
 
+def in_cells(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[str, str], b_range: tuple[str, str], cell: int, reach: int) -> DataFrame:
+    """Pairs of closed intervals with equal keys that overlap, each once, with the `_cell` of a's start.
+
+    a, no longer than `reach`, is in one cell; b, short beside a cell, in those that a partner can start in. So all that
+    a row of a meets is in one task, and what is grouped by the keys, `_cell` and more is not shuffled again.
+    """
+    (a0, a1), (b0, b1) = a_range, b_range
+    left = a.withColumn("_cell", F.floor(F.col(a0) / cell)).alias("a")
+    # Outer for the same reason as in `overlapping`.
+    right = b.select("*", F.explode_outer(F.sequence(F.floor((F.col(b0) - reach) / cell), F.floor(F.col(b1) / cell))).alias("_cell")).alias("b")
+    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "_cell"]]
+    meets = (F.col(f"a.{a0}") <= F.coalesce(F.col(f"b.{b1}"), F.col(f"b.{b0}"))) & (F.col(f"b.{b0}") <= F.col(f"a.{a1}"))
+    return left.join(right.hint("merge"), on).filter(meets).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys])
+
+
 def _meets(a0: str, a1: str, b0: str, b1: str, width: int) -> Column:
     """Overlap of a pair that met in a nested bin; of the widest bins that an interval is kept in, the first counts."""
     top = level_widths(width)[-1]

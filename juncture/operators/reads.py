@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..criteria import DEFAULT, Criteria
-from ..functions.alignments import aligned_blocks, partner_hit, reference_end, walk
+from ..functions.alignments import aligned_blocks, partner_hit, reference_end, span, walk
 from ..functions.sequence import reverse_complement
 from .cross import breakpoints
-from .ranges import overlapping, sums_upto
+from .ranges import levels_in_use, nested_level, overlapping, sums_upto
 
 
 #: Loci that go to every task that reads alignments; each takes a dozen rows of some 150 bytes.
@@ -63,8 +63,16 @@ def with_walks(alignments: DataFrame) -> DataFrame:
 
 
 def reads_at_breakends(junctions: DataFrame, alignments: DataFrame, width: int = 1000, criteria: Criteria = DEFAULT) -> DataFrame:
-    """Alignments that overlap a window around each breakend of their sample; one row per (event, side, alignment)."""
-    return overlapping(breakend_windows(junctions, criteria), with_walks(alignments), ["sample", "chrom"], ("w0", "w1"), ("start0", "end0"), width, FEW_LOCI)
+    """Alignments that overlap a window around each breakend of their sample; one row per (event, side, alignment). Where
+    no alignment is longer than width and each event has an id of its own, all rows of a breakend lie in one `_cell`."""
+    shared = not junctions.groupBy("sample", "sample_sv_id").count().filter("count > 1").isEmpty()
+    levels = levels_in_use(alignments.select(nested_level(F.lit(0), span(F.col("cigar")), width).alias("_level")))
+    return overlapping(breakend_windows(junctions, criteria), with_walks(alignments), ["sample", "chrom"], ("w0", "w1"), ("start0", "end0"), width, FEW_LOCI, None if shared else 2 * criteria.coverage_window, levels)
+
+
+def _place(pairs: DataFrame) -> list[str]:
+    """Columns by which pairs are dealt out, if all pairs of a breakend are in one place: grouped by them too, they stay."""
+    return ["chrom", "_cell"] if "_cell" in pairs.columns else []
 
 
 def fragment_evidence(pairs: DataFrame, criteria: Criteria = DEFAULT) -> DataFrame:
@@ -81,16 +89,17 @@ def fragment_evidence(pairs: DataFrame, criteria: Criteria = DEFAULT) -> DataFra
     }
     # Alignments of a fragment are brought together first, so that fragments are counted, not distinct names.
     keys = ["sample", "sample_sv_id", "side", "test"]
-    seen = pairs.groupBy(*keys, "qname").agg(
+    place = _place(pairs)
+    seen = pairs.groupBy(*keys, *place, "qname").agg(
         F.count("*").alias("alignments"), F.count_if(~good).alias("low_mapq"), F.count_if(good & (F.col("softclip") >= criteria.min_softclip)).alias("softclips"), F.max(good).alias("_good"),
         *[F.coalesce(F.bool_or(h), F.lit(False)).alias(f"_{n}") for n, h in hits.items()],
     )
     named = F.col("qname").isNotNull()
     any_hit = F.greatest(*[F.col(f"_{n}") for n in hits])
-    return seen.groupBy(*keys).agg(
+    return seen.groupBy(*keys, *place).agg(
         F.count_if(named & F.col("_good")).alias("coverage"), *[F.sum(c).alias(c) for c in ("alignments", "low_mapq", "softclips")],
         *[F.count_if(named & F.col(f"_{n}")).alias(f"{n}_fragments") for n in hits], F.count_if(named & any_hit).alias("junction_fragments"),
-    )
+    ).drop(*place)
 
 
 def event_evidence(junctions: DataFrame, evidence: DataFrame, has_reads: Column, criteria: Criteria = DEFAULT) -> DataFrame:

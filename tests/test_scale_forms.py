@@ -270,3 +270,34 @@ def test_reads_with_long_gaps_count_at_their_breakends(spark):
     rows = [("s", "1", "long", 700_000, 60, 0, "50M500000N50M", "A", None), ("s", "1", "own", 999_950, 60, 0, "50M221N50M", "A", None), ("s", "1", "far", 400_000, 60, 0, "50M500000N50M", "A", None), ("s", "1", "clip", 1_000_100, 60, 0, "30S70M", "A", None)]
     got = {(r.side): (r.coverage, r.sizegap_fragments, r.softclips) for r in reads.fragment_evidence(reads.reads_at_breakends(events, alignments(spark, rows))).collect()}
     assert got == {1: (3, 1, 1), 2: (3, 1, 1)}
+
+
+def test_pairs_of_a_breakend_stay_where_they_met(spark, monkeypatch):
+    """Short reads meet in one cell a breakend: same evidence as where loci go to all tasks, and pairs are not shuffled."""
+    rng = random.Random(7)
+    events = [("s", f"e{k}", "1", p, "1", p + 90 + 10 * (k % 3), "DEL", 90 + 10 * (k % 3), 0, None) for k, p in enumerate(rng.randrange(1_700, 2_300) for _ in range(30))]
+    events = spark.createDataFrame(events, "sample string, sample_sv_id string, chrom1 string, pos1 long, chrom2 string, pos2 long, svtype string, event_size int, insert_len int, insert_seq string")
+    rows = [("s", "1", rng.choice([None, *(f"q{j}" for j in range(40))]), rng.randrange(1_200, 2_800), rng.choice([5, 60]), 0, f"50M{rng.choice([0, 90, 100])}N50M", "A", None) for _ in range(300)]
+    lines = alignments(spark, rows)
+    made = {}
+    for few in (20_000, 0):
+        monkeypatch.setattr(reads, "FEW_LOCI", few)
+        pairs = reads.reads_at_breakends(events, lines)
+        made[few] = pairs, reads.fragment_evidence(pairs), reads.junction_usage(pairs)
+    assert "_cell" in made[0][0].columns and "_cell" not in made[20_000][0].columns
+    assert made[0][0].count() == made[20_000][0].count() > 1_000
+    for a, b in zip(made[0][1:], made[20_000][1:], strict=True):
+        assert a.columns == b.columns
+        assert Counter(map(tuple, a.collect())) == Counter(map(tuple, b.collect()))
+    assert plan(reads.fragment_evidence(made[0][0])).count("Exchange hashpartitioning") == 2
+    assert "_cell" not in reads.reads_at_breakends(events.unionByName(events.limit(1).withColumn("pos1", F.col("pos1") + 5_000)), lines).columns
+
+
+def test_cells_are_asked_by_what_reaches_into_them(spark):
+    rng = random.Random(3)
+    a = [(k, "c", p, p + rng.randrange(0, 31)) for k, p in enumerate(rng.randrange(-100, 500) for _ in range(150))]
+    b = [(k, "c", p, p + rng.randrange(0, 41)) for k, p in enumerate(rng.randrange(-100, 500) for _ in range(150))]
+    want = {(i, j) for i, _, p, q in a for j, _, s, e in b if p <= e and s <= q}
+    left, right = spark.createDataFrame(a, "i int, c string, a0 long, a1 long"), spark.createDataFrame(b, "j int, c string, b0 long, b1 long")
+    got = ranges.overlapping(left, right, ["c"], ("a0", "a1"), ("b0", "b1"), 40, 0, 30).select("i", "j", "_cell").collect()
+    assert len(got) == len(want) and {(r.i, r.j) for r in got} == want
