@@ -118,7 +118,13 @@ def junction_usage(pairs: DataFrame, criteria: Criteria = DEFAULT) -> DataFrame:
     own = lambda g: (F.abs(g["length"] - F.col("event_size")) <= criteria.gap_size_tolerance) & (F.abs(g["start"] - F.col("first_pos")) <= criteria.gap_position_tolerance)
     over = lambda g: (g["start"] <= F.col("first_pos") + F.col("event_size")) & (g["start"] + g["length"] >= F.col("first_pos"))
     g = F.col("gaps")
-    per = pairs.groupBy("sample", "sample_sv_id", "test", "qname").agg(F.bool_or(F.exists(g, own)).alias("match"), F.bool_or(F.exists(g, over)).alias("any"))
+    keys = ["sample", "sample_sv_id", "test"]
+    per = pairs.groupBy(*keys, *_place(pairs), "qname").agg(F.bool_or(F.exists(g, own)).alias("match"), F.bool_or(F.exists(g, over)).alias("any"))
+    if _place(pairs):
+        # The ends of an event may be in two places. Fragments without a gap there only tell that the event has reads.
+        hit = F.coalesce(F.col("match") | F.col("any"), F.lit(False))
+        told = per.groupBy(*keys, *_place(pairs), hit.alias("_hit"), F.when(hit, F.col("qname")).alias("qname")).agg(F.bool_or("match").alias("match"), F.bool_or("any").alias("any"))
+        per = told.groupBy(*keys, "_hit", "qname").agg(F.bool_or("match").alias("match"), F.bool_or("any").alias("any"))
     n = per.groupBy("sample", "sample_sv_id", "test").agg(F.count_if(F.col("match")).alias("junction"), F.count_if(F.col("match") | F.col("any")).alias("gapped"))
     ok = F.col("test") == "sizegap"
     return n.select("sample", "sample_sv_id", "test", *[F.when(ok, F.col(c)).alias(c) for c in ("junction", "gapped")], F.when(ok, F.round(F.col("junction") / F.nullif("gapped", F.lit(0)), 4)).alias("usage"))
