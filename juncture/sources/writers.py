@@ -33,12 +33,16 @@ def write_admitted(lines: DataFrame, admitted: DataFrame, path: str) -> None:
 
     lines: sample, file_row and `line` of whole files (`read_lines`), header lines (#) included, with id, chrom and pos
     of the others. A sample without an admitted line keeps its header. A task sorts and writes a sample's lines, which are
-    one file's; samples are spread over tasks. Rows are written as they were read, byte for byte.
+    one file's; samples are spread over tasks. Rows are written as they were read, byte for byte. What was admitted is
+    asked three times and found once: its ids and places are kept until the files are there.
     """
-    header = F.startswith("line", F.lit("#"))
-    kept = lines.filter(header).unionByName(admitted_lines(lines.filter(~header), admitted))
-    ordered = kept.select("sample", "file_row", F.col("line").alias("value")).repartition("sample").sortWithinPartitions("sample", "file_row")
-    ordered.select("sample", "value").write.mode("overwrite").partitionBy("sample").text(path)
+    header, known = F.startswith("line", F.lit("#")), admitted.select("sample", "id", "chrom", "pos").persist()
+    try:
+        kept = lines.filter(header).unionByName(admitted_lines(lines.filter(~header), known))
+        ordered = kept.select("sample", "file_row", F.col("line").alias("value")).repartition("sample").sortWithinPartitions("sample", "file_row")
+        ordered.select("sample", "value").write.mode("overwrite").partitionBy("sample").text(path)
+    finally:
+        known.unpersist()
 
 
 def write_manifest(spark: SparkSession, values: dict, path: str) -> None:

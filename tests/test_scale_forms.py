@@ -301,3 +301,17 @@ def test_cells_are_asked_by_what_reaches_into_them(spark):
     left, right = spark.createDataFrame(a, "i int, c string, a0 long, a1 long"), spark.createDataFrame(b, "j int, c string, b0 long, b1 long")
     got = ranges.overlapping(left, right, ["c"], ("a0", "a1"), ("b0", "b1"), 40, 0, 30).select("i", "j", "_cell").collect()
     assert len(got) == len(want) and {(r.i, r.j) for r in got} == want
+
+
+def test_admitted_records_are_found_once(spark, tmp_path):
+    found = spark.sparkContext.accumulator(0)
+
+    def mark(_):
+        found.add(1)
+        return True
+
+    rows = [("s", 0, "##x", None, None, None)] + [("s", k, f"1\t{k}\tid{k}", "1", k, f"id{k}") for k in range(1, 8)]
+    lines = spark.createDataFrame(rows, "sample string, file_row long, line string, chrom string, pos long, id string").repartition(2)
+    writers.write_admitted(lines, lines.filter("pos % 2 = 1").filter(F.udf(mark, "boolean")("id")), f"file://{tmp_path}/out")
+    assert [r.value for r in spark.read.text(f"file://{tmp_path}/out").collect()] == [r[2] for r in rows if r[4] is None or r[4] % 2]
+    assert found.value == 4
