@@ -102,26 +102,32 @@ class Encoder:
 
     def _plain(self, pieces: list[str]) -> np.ndarray:
         """Codes of texts as they stand."""
-        if new := [p for p in dict.fromkeys(pieces) if p not in self.plain]:
-            self._add(self.plain, new, *self._encoded(new))
-        return np.fromiter(map(self.plain.__getitem__, pieces), np.int64, len(pieces))
+        codes, new = _look_up(self.plain, pieces)
+        if len(new):
+            self._add(self.plain, texts := list(dict.fromkeys(pieces[k] for k in new)), *self._encoded(texts))
+            codes[new] = [self.plain[pieces[k]] for k in new]
+        return codes
 
     def _spaced(self, pieces: list[str]) -> np.ndarray:
         """Codes of distinct texts without a space in them, each behind a space. Many are encoded at once: the ids that
         begin with a space tell where each begins."""
-        new = [p for p in pieces if p not in self.spaced]
+        codes, new = _look_up(self.spaced, pieces)
         for k in range(0, len(new), 50_000):
-            part = new[k : k + 50_000]
+            at = new[k : k + 50_000]
+            part = [pieces[j] for j in at]
             ids, _ = self._encoded([" " + " ".join(part[j : j + 200]) for j in range(0, len(part), 200)])
             begins = np.flatnonzero(self.begins[ids])
+            codes[at] = np.arange(self.pieces, self.pieces + len(part))
             self._add(self.spaced, part, ids, np.diff(np.append(begins, len(ids))))
-        return np.fromiter(map(self.spaced.__getitem__, pieces), np.int64, len(pieces))
+        return codes
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after the other, and how many each text has; null is empty."""
+    def encode(self, texts: pa.Array, end_id: int) -> pa.Array:
+        """Each text's ids and then end_id, as 32-bit little-endian numbers; null is empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if not self.cuts or not len(texts):
-            return self._encoded(texts.to_pylist())
+            ids, sizes = self._encoded(texts.to_pylist())
+            ends = np.cumsum(sizes)
+            return _binary(np.insert(ids, ends, end_id), np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]))
         if self.pieces > PIECES or self.filled > PIECE_IDS:
             self.clear()
         split = pc.split_pattern(texts, " ")
@@ -150,16 +156,22 @@ class Encoder:
                 lists[k] = len(one) + np.arange(len(cut))
                 one, two = np.concatenate([one, cut]), np.concatenate([two, np.full(len(cut), -1)])
             codes, per_text = np.concatenate(lists), np.fromiter(map(len, lists), np.int64, len(lists))
-        # Ids of each distinct stretch, then those of all stretches of the texts.
+        # Ids of each distinct stretch, behind them the end; then those of all stretches of the texts, in one pass of Arrow.
         pair = np.stack([one, two], 1)
         has = pair >= 0
         pieces = pair[has]
         sizes = self.lengths[pieces]
         own = self.flat[_expanded(self.starts[pieces], sizes)]
         upto = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(has.sum(1))])]
-        sizes = np.diff(upto)[codes]
-        ids = own[_expanded(upto[codes], sizes)]
-        return ids, np.diff(np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(per_text)])])
+        stretches = _binary(np.append(own, np.uint32(end_id)), np.append(upto, upto[-1] + 1), pa.large_binary())
+        ids, cuts = _ids(stretches.take(pa.array(np.insert(codes, np.cumsum(per_text), len(one)))))
+        return _binary(ids, cuts[np.concatenate([[0], np.cumsum(per_text + 1)])])
+
+
+def _look_up(known: dict[str, int], pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of pieces, and the places of those that have none."""
+    codes = np.fromiter(map(known.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
+    return codes, np.flatnonzero(codes < 0)
 
 
 def _characters(column: pa.Array, test: Callable[[str], bool]) -> np.ndarray:
@@ -183,11 +195,7 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
         encoder = Encoder.of(vocabulary)
         for batch in joined_batches(batches, 8 << 20):
             for doc_ids, texts in _slices(batch, "text"):
-                ids, sizes = encoder.encode(texts)
-                ends = np.cumsum(sizes)
-                ids = np.insert(ids, ends, end_id).astype("<u4")
-                cuts = 4 * np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
-                yield pa.RecordBatch.from_arrays([doc_ids, _binary(ids.view(np.uint8), cuts)], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([doc_ids, encoder.encode(texts, end_id)], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids binary")
 
@@ -205,8 +213,10 @@ def _slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator
         yield batch["doc_id"].slice(begin), batch[column].slice(begin)
 
 
-def _binary(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
-    return pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(np.ascontiguousarray(cuts, np.int64)), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
+def _binary(ids: np.ndarray, cuts: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
+    """Rows of ids as a binary column, from where they begin and end."""
+    data, cuts = np.ascontiguousarray(ids, "<u4"), np.ascontiguousarray(4 * cuts, np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)]).cast(kind or pa.binary())
 
 
 def count_ids(tokens: DataFrame) -> DataFrame:
@@ -527,7 +537,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for doc_ids, _, views, start in _documents(batch):
                 ids, cuts = decode_documents(views, table)
-                data = _binary(ids.astype("<u4").view(np.uint8), 4 * cuts)
+                data = _binary(ids, cuts)
                 yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(start + cuts[:-1]), data], names=["doc_id", "start", "ids"])
 
     return _placed(spark, path).select("start", "doc_ids", "sizes", "bytes", "payload").mapInArrow(run, "doc_id long, start long, ids binary")

@@ -56,6 +56,16 @@ def test_ids_are_those_of_the_library(docs):
     assert keys == sorted(keys)
 
 
+def test_a_batch_is_encoded_with_its_ends():
+    """Each text's ids with the end behind them, as one column, where pieces are new and where they are known."""
+    import pyarrow as pa
+
+    t, e = tokenizer(), token_files.Encoder(token_files.byte_vocabulary())
+    for texts in (["the cat, the hat", None, "", "cat"], ["hat  the\tcat's", " the hat", "cat, cat. dog"], ["<|endoftext|> hat\u00e9 12 \u4e2d\u6587 dog"]):
+        want = [np.array([*t.encode(x or "", add_special_tokens=False).ids, 7], "<u4").tobytes() for x in texts]
+        assert e.encode(pa.array(texts, pa.string()), 7).to_pylist() == want
+
+
 def test_files_are_read_back_and_in_part(spark, docs, tmp_path):
     path = f"file://{tmp_path}/ids"
     token_files.write_token_files(docs, path, partitions=5)
