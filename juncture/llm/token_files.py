@@ -53,6 +53,11 @@ def _expanded(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _counted(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, 2 and so on in each stretch."""
+    return _expanded(np.zeros(len(lengths), np.int64), lengths)
+
+
 class Encoder:
     """The tokenizers library over texts of a batch; a piece that comes again in this process is not encoded again.
 
@@ -80,6 +85,13 @@ class Encoder:
             cls._known[path] = cls(path)
         return cls._known[path]
 
+    @classmethod
+    def forget(cls) -> None:
+        """Leave a worker's memory to the steps that only see ids."""
+        if cls._known:
+            cls._known.clear()
+            pa.default_memory_pool().release_unused()
+
     def clear(self) -> None:
         self.spaced: dict[str, int] = {}
         self.plain: dict[str, int] = {}
@@ -139,12 +151,13 @@ class Encoder:
         marks = (pc.binary_length(words).to_numpy() - pc.binary_length(cores).to_numpy()).astype(np.int64)
         marks[~_characters(pc.utf8_slice_codeunits(cores, -1), lambda c: c in _LETTERS)] = 0
         cores = pc.if_else(pa.array(odd_word), "x", pc.if_else(pa.array(marks > 0), cores, words)).dictionary_encode()
-        one = self._spaced(cores.dictionary.to_pylist())[cores.indices.to_numpy()]
+        one = self._spaced(_strings(cores.dictionary))[cores.indices.to_numpy()]
         two = np.full(len(words), -1, np.int64)
         marked = np.flatnonzero(marks)
-        two[marked] = self._plain([w[-n:] for w, n in zip(words.take(pa.array(marked)).to_pylist(), marks[marked].tolist(), strict=True)])
+        tails = _tails(words, marked, marks[marked]).dictionary_encode()
+        two[marked] = self._plain(_strings(tails.dictionary))[tails.indices.to_numpy()]
         # Behind the distinct words come the first one of each text, and the stretches of texts with other gaps.
-        first = self._plain(words.take(pa.array(codes[firsts])).to_pylist())
+        first = self._plain(_strings(words.take(pa.array(codes[firsts]))))
         odd = odd_word[codes]
         codes[firsts] = len(words) + np.arange(len(firsts))
         odd[firsts] = False
@@ -174,6 +187,19 @@ def _look_up(known: dict[str, int], pieces: list[str]) -> tuple[np.ndarray, np.n
     return codes, np.flatnonzero(codes < 0)
 
 
+def _strings(column: pa.Array) -> list[str]:
+    """A column without nulls as a list; made at once, not value by value."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _tails(words: pa.Array, at: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The last bytes, in these numbers, of the words at these places."""
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset + at + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[_expanded(ends - sizes, sizes)]
+    cuts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+
+
 def _characters(column: pa.Array, test: Callable[[str], bool]) -> np.ndarray:
     """A test of few distinct strings for each row."""
     few = column.dictionary_encode()
@@ -193,8 +219,8 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(vocabulary)
-        for batch in joined_batches(batches, 8 << 20):
-            for doc_ids, texts in _slices(batch, "text"):
+        for batch in joined_batches(batches, 6 << 20):
+            for doc_ids, texts in _slices(batch, "text", 12 << 20):
                 yield pa.RecordBatch.from_arrays([doc_ids, encoder.encode(texts, end_id)], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids binary")
@@ -223,6 +249,7 @@ def count_ids(tokens: DataFrame) -> DataFrame:
     """(id, count) over all documents; a task sends one row for each id it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Encoder.forget()
         counts = np.zeros(1 << 16, np.int64)
         for batch in batches:
             for _, ids in _slices(batch.append_column("doc_id", pa.nulls(batch.num_rows)), "ids"):
@@ -271,6 +298,7 @@ class Frequencies:
         self.freq[ids], self.below[ids] = own, np.cumsum(own) - own
         fields = np.repeat((ids.astype(np.uint64) << _AT_SYMBOL) | (own.astype(np.uint64) << _AT_FREQ), own)
         self.slots = fields | (np.arange(total) - np.repeat(np.cumsum(own) - own, own)).astype(np.uint64)
+        self.coding = (self.freq << np.uint64(SCALE)) | self.below
         self.pad = int(ids[order[0]])
         self.mark = zlib.crc32(self.freq.astype("<u4").tobytes())
 
@@ -290,6 +318,11 @@ def _by_stretch(begins: np.ndarray, rank: np.ndarray, steps: np.ndarray) -> np.n
     return begins[np.arange(ends[-1]) - np.repeat(ends - steps, steps)] + np.repeat(rank, steps)
 
 
+def _rows(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Rows of four 32-bit numbers, each taken as one value."""
+    return table.view(np.complex128).reshape(-1).take(at).view(np.uint32).reshape(-1, LANES)
+
+
 def encode_documents(ids: np.ndarray, cuts: np.ndarray, table: Frequencies) -> list[bytes]:
     """Each document's ids coded in blocks: its number of ids, the heads of its blocks, their checkpoints, their words."""
     sizes = np.diff(cuts)
@@ -303,29 +336,30 @@ def encode_documents(ids: np.ndarray, cuts: np.ndarray, table: Frequencies) -> l
     steps = -(-n[order] // LANES)
     active, begins, step, block = _layout(steps)
     at = (begin[order][block] + LANES * step) + np.arange(LANES)[:, None]
-    inside = at < (begin + n)[order][block]
-    symbols = np.where(inside, ids[np.where(inside, at, 0)], table.pad)
+    symbols = ids.take(at, mode="clip")
+    last = begins[steps - 1] + np.arange(len(n))  # the step in which a block may have no more ids for some lanes
+    symbols[:, last] = np.where(at[:, last] < (begin + n)[order], symbols[:, last], table.pad)
     points = -(-steps // CHECK)
     point_at = np.concatenate([[0], np.cumsum(points)])
     states = np.empty((point_at[-1], LANES), np.uint64)
-    words, sent = np.empty(symbols.shape, np.uint32), np.empty(symbols.shape, bool)
+    words, sent = np.empty((begins[-1], LANES), np.uint32), np.empty((begins[-1], LANES), bool)
     x = np.full((LANES, len(n)), LOW, np.uint64)
-    scale, half, room = np.uint64(SCALE), np.uint64(32), np.uint64(31 - SCALE + 32)
+    total, scale, half, room = np.uint64(1 << SCALE), np.uint64(SCALE), np.uint64(5), np.uint64(31 - SCALE + 32)
     for t in range(len(active) - 1, -1, -1):
-        a, rows = int(active[t]), slice(int(begins[t]), int(begins[t + 1]))
-        s, y = symbols[:, rows], x[:, :a]
-        f = table.freq.take(s)
+        rows = slice(int(begins[t]), int(begins[t + 1]))
+        y, own = x[:, : int(active[t])], table.coding.take(symbols[:, rows])
+        f = own >> scale
         full = (y >> room) >= f
-        words[:, rows], sent[:, rows] = y, full
-        y = np.where(full, y >> half, y)
-        q = y // f
-        x[:, :a] = (q << scale) + (y - q * f) + table.below.take(s)
+        words[rows], sent[rows] = y.T, full.T
+        y >>= full.astype(np.uint64) << half
+        y += (y // f) * (total - f)
+        y += own & (total - np.uint64(1))
         if t % CHECK == 0:
-            states[point_at[:a] + t // CHECK] = x[:, :a].T
+            states[point_at[: y.shape[1]] + t // CHECK] = y.T
     by_block = _by_stretch(begins, np.arange(len(n)), steps)
-    sent, stream = sent.T[by_block], words.T[by_block]
-    stream = stream[sent]
-    emitted = np.concatenate([[0], np.cumsum(sent.sum(1))])
+    sent = sent.view(np.uint32).reshape(-1).take(by_block).view(bool).reshape(-1, LANES)
+    stream = _rows(words, by_block)[sent]
+    emitted = np.concatenate([[0], np.cumsum(np.count_nonzero(sent, axis=1))])
     row_at = np.concatenate([[0], np.cumsum(steps)])
     word_at = emitted[row_at]
     ends = np.repeat(row_at[:-1], points) + CHECK * (np.arange(point_at[-1]) - np.repeat(point_at[:-1], points))
@@ -333,17 +367,19 @@ def encode_documents(ids: np.ndarray, cuts: np.ndarray, table: Frequencies) -> l
     place["states"], place["at"] = states, emitted[ends] - np.repeat(word_at[:-1], points)
     where = np.empty(len(n), np.int64)
     where[order] = np.arange(len(n))
-    out, first = [], np.concatenate([[0], np.cumsum(of_doc)])
-    raw = ids.astype("<u4")
-    for d, size in enumerate(sizes.tolist()):
-        mine = where[first[d] : first[d + 1]]
-        head = np.empty(len(mine), _HEAD)
-        head["words"] = word_at[mine + 1] - word_at[mine]
-        head["crc"] = [zlib.crc32(raw[begin[b] : begin[b] + n[b]]) for b in range(first[d], first[d + 1])]
-        parts = [np.uint64(size).tobytes(), head.tobytes()]
-        parts += [place[point_at[b] : point_at[b + 1]].tobytes() for b in mine] + [stream[word_at[b] : word_at[b + 1]].astype("<u4").tobytes() for b in mine]
-        out.append(b"".join(parts))
-    return out
+    raw = memoryview(np.ascontiguousarray(ids, "<u4").view(np.uint8))
+    head = np.empty(len(n), _HEAD)
+    head["words"] = (word_at[1:] - word_at[:-1])[where]
+    head["crc"] = [zlib.crc32(raw[a:b]) for a, b in zip((4 * begin).tolist(), (4 * (begin + n)).tolist(), strict=True)]
+    place = place[_expanded(point_at[where], points[where])]
+    stream = stream[_expanded(word_at[where], head["words"].astype(np.int64))].astype("<u4")
+    # Where a document's heads, checkpoints and words end.
+    until = np.cumsum(of_doc)
+    lead, until_point = np.uint64(sizes).tobytes(), np.concatenate([[0], np.cumsum(points[where])])[np.concatenate([[0], until])]
+    until_word = np.concatenate([[0], np.cumsum(head["words"], dtype=np.int64)])[np.concatenate([[0], until])]
+    columns = [(lead, 8 * np.arange(len(sizes) + 1)), (head.tobytes(), _HEAD.itemsize * np.concatenate([[0], until])), (place.tobytes(), _POINT.itemsize * until_point), (stream.tobytes(), 4 * until_word)]
+    parts = [[data[a:b] for a, b in itertools.pairwise(ends.tolist())] for data, ends in columns]
+    return [b"".join(p) for p in zip(*parts, strict=True)]
 
 
 def decode_documents(coded: list[bytes | memoryview], table: Frequencies, begin: int = 0, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -352,47 +388,45 @@ def decode_documents(coded: list[bytes | memoryview], table: Frequencies, begin:
     begin, end: only ids of these places of each document, from the checkpoints that lie around them; blocks that are
     read whole are held against their checksums, and a difference raises an error.
     """
-    states, pointers, counts, keep, streams, checks = [], [], [], [], [], []
-    used, sizes = 0, []
-    for data in coded:
-        size = int(np.frombuffer(data, "<u8", 1)[0])
-        blocks, at = -(-size // BLOCK), 8
-        head = np.frombuffer(data, _HEAD, blocks, at)
-        at += head.nbytes
-        n = np.minimum(BLOCK, size - BLOCK * np.arange(blocks))
-        points = -(-(-(-n // LANES)) // CHECK)
-        place = np.frombuffer(data, _POINT, int(points.sum()), at)
-        at += place.nbytes
-        word_at = np.cumsum(head["words"].astype(np.int64)) - head["words"]
-        of = np.repeat(np.arange(blocks), points)
-        local = np.arange(len(of)) - np.repeat(np.cumsum(points) - points, points)
-        origin = BLOCK * of + LANES * CHECK * local
-        length = np.minimum(LANES * CHECK, n[of] - LANES * CHECK * local)
-        low, high = min(begin, size), size if end is None else min(end, size)
-        near = np.flatnonzero((origin < high) & (origin + length > low))
-        streams.append(np.frombuffer(data, "<u4", -1, at))
-        states.append(place["states"][near])
-        pointers.append(used + word_at[of[near]] + place["at"][near])
-        counts.append(length[near])
-        keep.append(np.stack([np.maximum(low, origin[near]) - origin[near], np.minimum(high, origin[near] + length[near]) - origin[near]], 1))
-        used += len(streams[-1])
-        whole = [(b, int(n[b]), int(head["crc"][b])) for b in range(blocks) if low <= BLOCK * b and BLOCK * b + n[b] <= high]
-        checks.append((whole, near, of, low, high))
-        sizes.append(max(0, high - low))
-    stream = np.concatenate([*streams, np.zeros(1, "<u4")])
-    count, kept = np.concatenate(counts), np.concatenate(keep)
-    cuts = np.concatenate([[0], np.cumsum(sizes)])
-    if not len(count):
+    # All documents behind one another as 32-bit words: number of ids, heads, checkpoints and stream of each.
+    data = np.frombuffer(b"".join(coded), "<u4")
+    lengths = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+    at = np.cumsum(lengths) - lengths
+    sizes = data[at] + (data[at + 1].astype(np.int64) << 32)
+    blocks = -(-sizes // BLOCK)
+    doc = np.repeat(np.arange(len(coded)), blocks)
+    nth = _counted(blocks)
+    n = np.minimum(BLOCK, sizes[doc] - BLOCK * nth)
+    points = -(-(-(-n // LANES)) // CHECK)
+    head = data[_expanded(at + 2, 2 * blocks)].view(_HEAD)
+    first = np.concatenate([[0], np.cumsum(points)])[np.concatenate([[0], np.cumsum(blocks)])]
+    places = at + 2 + 2 * blocks
+    place = data[_expanded(places, _POINT.itemsize // 4 * np.diff(first))].view(_POINT)
+    used = head["words"].astype(np.int64)
+    inside = np.concatenate([[0], np.cumsum(used)])
+    word_at = (places + _POINT.itemsize // 4 * np.diff(first))[doc] + inside[:-1] - inside[np.cumsum(blocks) - blocks][doc]
+    low = np.minimum(begin, sizes)
+    high = np.maximum(low, sizes if end is None else np.minimum(end, sizes))
+    of = np.repeat(np.arange(len(n)), points)
+    local = LANES * CHECK * _counted(points)
+    origin, length = (BLOCK * nth)[of] + local, np.minimum(LANES * CHECK, n[of] - local)
+    near = np.flatnonzero((origin < high[doc[of]]) & (origin + length > low[doc[of]]))
+    cuts = np.concatenate([[0], np.cumsum(high - low)])
+    if not len(near):
         return np.empty(0, np.uint32), cuts
+    count, origin, around = length[near], origin[near], doc[of[near]]
+    skipped = np.maximum(low[around] - origin, 0)
+    taken = np.minimum(high[around] - origin, count) - skipped
+    stream, pointers = np.append(data, np.uint32(0)), word_at[of[near]] + place["at"][near]
     order = np.argsort(-count, kind="stable")
     active, begins, step, stretch = _layout(-(-count[order] // LANES))
-    x, pointer = np.ascontiguousarray(np.concatenate(states)[order].T, np.uint64), np.concatenate(pointers)[order]
-    found = np.empty((LANES, begins[-1]), np.uint32)
+    x, pointer = np.ascontiguousarray(place["states"][near][order].T, np.uint64), pointers[order]
+    found = np.empty((begins[-1], LANES), np.uint32)
     mask, scale, half, low_state = np.uint64((1 << SCALE) - 1), np.uint64(SCALE), np.uint64(32), np.uint64(LOW)
     for t, a in enumerate(active.tolist()):
         y = x[:, :a]
         entry = table.slots.take((y & mask).view(np.int64))
-        found[:, begins[t] : begins[t + 1]] = entry >> _AT_SYMBOL
+        found[begins[t] : begins[t + 1]] = (entry >> _AT_SYMBOL).T
         y = ((entry >> _AT_FREQ) & _FIELD) * (y >> scale) + (entry & _FIELD)
         short = y < low_state
         for lane in range(LANES):
@@ -402,15 +436,15 @@ def decode_documents(coded: list[bytes | memoryview], table: Frequencies, begin:
         x[:, :a] = y
     rank = np.empty(len(count), np.int64)
     rank[order] = np.arange(len(count))
-    flat = found.T[_by_stretch(begins, rank, -(-count // LANES))].reshape(-1)
+    flat = _rows(found, _by_stretch(begins, rank, -(-count // LANES))).reshape(-1)
     padded = LANES * -(-count // LANES)
-    ids = flat[_expanded(np.cumsum(padded) - padded + kept[:, 0], kept[:, 1] - kept[:, 0])]
-    raw = ids.astype("<u4")
-    for d, (whole, _, _, low, _) in enumerate(checks):
-        for b, n, crc in whole:
-            at = cuts[d] + BLOCK * b - low
-            if zlib.crc32(raw[at : at + n]) != crc:
-                raise ValueError("a block's checksum differs")
+    ids = flat if (taken == padded).all() else flat[_expanded(np.cumsum(padded) - padded + skipped, taken)]
+    raw = memoryview(np.ascontiguousarray(ids, "<u4").view(np.uint8))
+    whole = np.flatnonzero((low[doc] <= BLOCK * nth) & (BLOCK * nth + n <= high[doc]))
+    origin = 4 * (cuts[doc] + BLOCK * nth - low[doc])[whole]
+    for a, b, crc in zip(origin.tolist(), (origin + 4 * n[whole]).tolist(), head["crc"][whole].tolist(), strict=True):
+        if zlib.crc32(raw[a:b]) != crc:
+            raise ValueError("a block's checksum differs")
     return ids, cuts
 
 
@@ -429,14 +463,16 @@ def _coded(tokens: DataFrame, table: Frequencies, bounds: np.ndarray) -> DataFra
     """(part, doc_id, n, coded): parts follow doc_id; rows of an id that cuts lie on are dealt to the parts around it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Encoder.forget()
         for batch in batches:
             for doc_ids, column in _slices(batch, "ids", 4 * GROUP):
                 ids, cuts = _ids(column)
                 coded = encode_documents(ids, cuts, table)
                 key = doc_ids.fill_null(_LAST).to_numpy()
                 low, high = np.searchsorted(bounds, key, "left"), np.searchsorted(bounds, key, "right")
-                mark = np.array([zlib.crc32(c) for c in coded], np.int64)
-                part = np.where(high > low + 1, low + 1 + mark % np.maximum(high - low - 1, 1), low)
+                part = low.copy()
+                for k in np.flatnonzero(high > low + 1).tolist():
+                    part[k] += 1 + zlib.crc32(coded[k]) % int(high[k] - low[k] - 1)
                 yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), doc_ids, pa.array(np.diff(cuts)), pa.array(coded, pa.binary())], names=["part", "doc_id", "n", "coded"])
 
     return tokens.mapInArrow(run, "part int, doc_id long, n long, coded binary")
@@ -460,13 +496,13 @@ def _framed(coded: DataFrame) -> DataFrame:
         whole = pa.list_(pa.int64())
         schema = pa.schema([("part", pa.int32()), ("at", pa.int64()), ("n", pa.int64()), ("doc_ids", whole), ("sizes", whole), ("bytes", whole), ("payload", pa.binary())])
         for batch in batches:
-            for k, own in enumerate(batch["part"].to_pylist()):
+            for own, *row in zip(*(batch[c].to_pylist() for c in ("part", "doc_id", "n", "coded")), strict=True):
                 if own != part:
                     if rows:
                         yield frame()
                     part, at, held, rows = own, 0, 0, []
-                rows.append((batch["doc_id"][k].as_py(), batch["n"][k].as_py(), batch["coded"][k].as_py()))
-                held += len(rows[-1][2])
+                rows.append(tuple(row))
+                held += len(row[2])
                 if held >= FRAME:
                     yield frame()
                     at, held, rows = at + sum(r[1] for r in rows), 0, []
@@ -504,12 +540,12 @@ def read_table(spark: SparkSession, path: str) -> Frequencies:
 
 
 def _placed(spark: SparkSession, path: str) -> DataFrame:
-    """Frames with `start`, the number of ids in all files before each."""
+    """Frames with `start`, the number of ids in all files before each. There is a row a part, so frames are not shuffled."""
     frames = spark.read.schema(FRAMES).parquet(f"{path}/frames")
     parts = frames.groupBy("part").agg(F.sum("n").alias("n"))
     before = F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))
     starts = parts.select("part", F.coalesce(before, F.lit(0)).alias("_before"))
-    return frames.join(starts, "part").withColumn("start", F.col("at") + F.col("_before")).drop("_before")
+    return frames.join(F.broadcast(starts), "part").withColumn("start", F.col("at") + F.col("_before")).drop("_before")
 
 
 def _documents(batch: pa.RecordBatch) -> Iterator[tuple[list, list, list, int]]:
@@ -567,6 +603,7 @@ def summarise_files(spark: SparkSession, path: str) -> DataFrame:
     table = read_table(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Encoder.forget()
         for batch in batches:
             for doc_ids, _, views, start in _documents(batch):
                 ids, cuts = decode_documents(views, table)

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -108,6 +109,48 @@ def test_one_symbol_alone_and_a_broken_block():
         token_files.decode_documents([bytes(broken)], table)
 
 
+@pytest.mark.parametrize("step", ["code", "decode"])
+def test_documents_are_coded_together(step):
+    """Heads and checkpoints of all documents are made and read at once: few calls for each further document."""
+    calls = collections.Counter()
+    for docs in (100, 2100):
+        ids, cuts = (np.arange(5 * docs) % 40).astype(np.uint32), 5 * np.arange(docs + 1)
+        table = token_files.Frequencies({i: 25 for i in range(40)})
+        coded = token_files.encode_documents(ids, cuts, table)
+        run = (lambda a=ids, c=cuts, t=table: token_files.encode_documents(a, c, t)) if step == "code" else (lambda c=coded, t=table: token_files.decode_documents(c, t))
+        sys.setprofile(lambda frame, event, arg, n=docs: calls.update([n]) if event in ("call", "c_call") else None)
+        try:
+            run()
+        finally:
+            sys.setprofile(None)
+    assert (calls[2100] - calls[100]) / 2000 < 4
+
+
+def test_frames_are_not_shuffled_to_be_read(spark, docs, tmp_path):
+    """A frame's start comes from a small table of parts, whatever the planner thinks of its size."""
+    path = f"file://{tmp_path}/ids"
+    token_files.write_token_files(docs, path, partitions=3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = token_files.summarise_files(spark, path)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_marks_behind_words_and_a_worker_that_forgets():
+    import pyarrow as pa
+
+    t, text = tokenizer(), "a word, (word) word!? \u00e9t\u00e9... word,, 12.; x's, word"
+    want = np.array([*t.encode(text, add_special_tokens=False).ids, 0], "<u4").tobytes()
+    for _ in range(2):
+        texts = pa.array(["-", text, None]).slice(1)
+        assert token_files.Encoder.of(token_files.byte_vocabulary()).encode(texts, 0).to_pylist()[0] == want
+        token_files.Encoder.forget()
+        assert not token_files.Encoder._known
+
+
 def test_many_rows_of_one_id_are_dealt_to_parts(spark, tmp_path):
     """A third and more of all rows share an id, or have none: no part holds them all, and the order stays."""
     rows = [(5 if k % 3 else k, f"text {k}") for k in range(600)] + [(None, f"none {k}") for k in range(300)]
