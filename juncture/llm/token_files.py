@@ -8,9 +8,11 @@ reader can begin there, and each block has a checksum of its ids. The files hold
 from __future__ import annotations
 
 import itertools
+import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,9 @@ from pyspark.sql import functions as F
 
 from .common import discard, joined_batches, materialise, shared_dir
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 #: Bits of the table's total, states of a block, ids of a block, steps between checkpoints.
 SCALE, LANES, BLOCK, CHECK = 20, 4, 8192, 512
 #: States stay in [LOW, LOW << 32).
@@ -68,6 +73,7 @@ class Encoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
@@ -77,6 +83,9 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
         self.begins[[i for t, i in vocabulary.items() if t.startswith(space)]] = True
+        # Words of ASCII letters are one piece each, so that the library's model can have them without its patterns.
+        self.letters, self.space = Tokenizer(self.tokenizer.model), space
+        self.letters.pre_tokenizer = CharDelimiterSplit("\n")
         self.clear()
 
     @classmethod
@@ -108,8 +117,8 @@ class Encoder:
         known.update(zip(new, range(n, k), strict=True))
         self.pieces, self.filled = k, self.filled + len(ids)
 
-    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encoded(self, texts: list[str], tokenizer: Tokenizer | None = None) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
         return np.fromiter(itertools.chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
 
     def _plain(self, pieces: list[str]) -> np.ndarray:
@@ -124,13 +133,15 @@ class Encoder:
         """Codes of distinct texts without a space in them, each behind a space. Many are encoded at once: the ids that
         begin with a space tell where each begins."""
         codes, new = _look_up(self.spaced, pieces)
-        for k in range(0, len(new), 50_000):
-            at = new[k : k + 50_000]
-            part = [pieces[j] for j in at]
-            ids, _ = self._encoded([" " + " ".join(part[j : j + 200]) for j in range(0, len(part), 200)])
-            begins = np.flatnonzero(self.begins[ids])
-            codes[at] = np.arange(self.pieces, self.pieces + len(part))
-            self._add(self.spaced, part, ids, np.diff(np.append(begins, len(ids))))
+        letters = np.fromiter((pieces[k].isascii() and pieces[k].isalpha() for k in new.tolist()), bool, len(new))
+        for tokenizer, space, places in ((self.letters, "\n" + self.space, new[letters]), (self.tokenizer, " ", new[~letters])):
+            for k in range(0, len(places), 50_000):
+                at = places[k : k + 50_000]
+                part = [pieces[j] for j in at.tolist()]
+                ids, _ = self._encoded([space + space.join(part[j : j + 200]) for j in range(0, len(part), 200)], tokenizer)
+                begins = np.flatnonzero(self.begins[ids])
+                codes[at] = np.arange(self.pieces, self.pieces + len(part))
+                self._add(self.spaced, part, ids, np.diff(np.append(begins, len(ids))))
         return codes
 
     def encode(self, texts: pa.Array, end_id: int) -> pa.Array:
@@ -218,6 +229,7 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
     """documents to (doc_id, ids): 32-bit little-endian ids of the whole text, then end_id. A null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks share the cores; threads would each keep memory
         encoder = Encoder.of(vocabulary)
         for batch in joined_batches(batches, 6 << 20):
             for doc_ids, texts in _slices(batch, "text", 12 << 20):

@@ -151,6 +151,21 @@ def test_marks_behind_words_and_a_worker_that_forgets():
         assert not token_files.Encoder._known
 
 
+def test_only_words_of_ascii_letters_pass_by_the_patterns(monkeypatch):
+    import pyarrow as pa
+
+    t, e, sent = tokenizer(), token_files.Encoder(token_files.byte_vocabulary()), []
+    encoded = e._encoded
+    monkeypatch.setattr(e, "_encoded", lambda texts, by=None: (sent.extend(texts if by is e.letters else []), encoded(texts, by))[1])
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcXYZ's1\u00e9\u0120_", k=rng.randint(1, 9))) for _ in range(3000)] + ["".join(rng.choices("etaoinTHE", k=rng.randint(1, 12))) for _ in range(3000)]
+    rng.shuffle(words)
+    text = "first " + " ".join(words)
+    assert e.encode(pa.array([text]), 0).to_pylist() == [np.array([*t.encode(text, add_special_tokens=False).ids, 0], "<u4").tobytes()]
+    past = [w for x in sent for w in x.split("\n\u0120")[1:]]
+    assert len(past) > 2000 and len(past) == len(set(past)) and all(re.fullmatch("[A-Za-z]+", w) for w in past)
+
+
 def test_many_rows_of_one_id_are_dealt_to_parts(spark, tmp_path):
     """A third and more of all rows share an id, or have none: no part holds them all, and the order stays."""
     rows = [(5 if k % 3 else k, f"text {k}") for k in range(600)] + [(None, f"none {k}") for k in range(300)]
