@@ -62,12 +62,17 @@ def with_walks(alignments: DataFrame) -> DataFrame:
     return alignments.select("*", walk(F.col("start0"), F.col("cigar")).alias("_w")).select(*alignments.columns, "_w.end0", "_w.gaps", "_w.softclip")
 
 
+def window_reach(junctions: DataFrame, criteria: Criteria = DEFAULT) -> int | None:
+    """Length of the windows around breakends; None where events share ids, whose rows may then lie in several cells."""
+    return None if not junctions.groupBy("sample", "sample_sv_id").count().filter("count > 1").isEmpty() else 2 * criteria.coverage_window
+
+
 def reads_at_breakends(junctions: DataFrame, alignments: DataFrame, width: int = 1000, criteria: Criteria = DEFAULT) -> DataFrame:
     """Alignments that overlap a window around each breakend of their sample; one row per (event, side, alignment). Where
     no alignment is longer than width and each event has an id of its own, all rows of a breakend lie in one `_cell`."""
-    shared = not junctions.groupBy("sample", "sample_sv_id").count().filter("count > 1").isEmpty()
+    reach = window_reach(junctions, criteria)
     levels = levels_in_use(alignments.select(nested_level(F.lit(0), span(F.col("cigar")), width).alias("_level")))
-    return overlapping(breakend_windows(junctions, criteria), with_walks(alignments), ["sample", "chrom"], ("w0", "w1"), ("start0", "end0"), width, FEW_LOCI, None if shared else 2 * criteria.coverage_window, levels)
+    return overlapping(breakend_windows(junctions, criteria), with_walks(alignments), ["sample", "chrom"], ("w0", "w1"), ("start0", "end0"), width, FEW_LOCI, reach, levels)
 
 
 def _place(pairs: DataFrame) -> list[str]:

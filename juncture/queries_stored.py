@@ -31,7 +31,7 @@ def stored_read_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alignments written by region and nested bin; the evidence reads them through the breakends' windows."""
     path, junctions = scratch(spark, "alignments"), _junctions(spark, sf_dir)
     stored.write_alignments(_alignments(spark, sf_dir), path)
-    pairs = stored.alignments_at(spark, path, reads.breakend_windows(junctions), "w0", "w1", ["sample"])
+    pairs = stored.alignments_at(spark, path, reads.breakend_windows(junctions), "w0", "w1", ["sample"], reach=reads.window_reach(junctions))
     return reads.event_evidence(junctions, reads.fragment_evidence(pairs), F.lit(True)).select("sample_sv_id", "min_coverage", "junction_fragments", "rna_tier")
 
 

@@ -163,6 +163,34 @@ def above(text, node):
     return out
 
 
+def test_stored_reads_of_a_breakend_stay_where_they_met(spark, tmp_path):
+    """More breakends than are sent to tasks: same evidence, and pairs are not shuffled; longer reads and shared ids meet as before."""
+    rng = random.Random(9)
+    events = [("s", f"e{k}", "1", p, "1", p + 90 + 10 * (k % 3), "DEL", 90 + 10 * (k % 3), 0, None) for k, p in enumerate(rng.randrange(1_700, 4_300) for _ in range(30))]
+    events = spark.createDataFrame(events, "sample string, sample_sv_id string, chrom1 string, pos1 long, chrom2 string, pos2 long, svtype string, event_size int, insert_len int, insert_seq string")
+    rows = [("s", "1", rng.choice([None, *(f"q{j}" for j in range(40))]), rng.randrange(1_200, 4_800), rng.choice([5, 60]), 0, f"50M{rng.choice([0, 90, 100])}N50M", "A", None) for _ in range(400)]
+    loci, reach = reads.breakend_windows(events), reads.window_reach(events)
+    for more, cells in (([], True), ([("s", "1", "long", 1_500, 60, 0, "50M2000N50M", "A", None)], False)):
+        path = f"file://{tmp_path}/reads-{cells}"
+        stored.write_alignments(alignments(spark, rows + more), path, 3)
+        met = {few: stored.alignments_at(spark, path, loci, "w0", "w1", ["sample"], few, reach) for few in (0, 20_000)}
+        assert ("_cell" in met[0].columns) == cells and "_cell" not in met[20_000].columns
+        assert met[0].count() == met[20_000].count() > 1_000
+        near, sent = (reads.fragment_evidence(met[few]) for few in (0, 20_000))
+        assert not cells or plan(near).count("Exchange hashpartitioning") == 2
+        assert Counter(map(tuple, near.collect())) == Counter(map(tuple, sent.collect()))
+    assert reach == 400 and reads.window_reach(events.unionByName(events.limit(1))) is None
+
+
+def test_stored_reads_are_walked_when_written(spark, tmp_path):
+    """Clips, a read over two regions, and one without a CIGAR."""
+    rows = [("s", "1", "a", 10, 60, 0, "5S20M7N30M", "A", None), ("s", "1", "b", 20, 60, 0, None, "A", None), ("s", "1", "c", 5, 60, 0, "50M6000000N50M", "A", None)]
+    stored.write_alignments(alignments(spark, rows), f"file://{tmp_path}/reads", 2)
+    got = Counter((r.qname, r.end0, tuple(map(tuple, r.gaps or ())), r.softclip, r._level, r._bin, r.region) for r in spark.read.parquet(f"file://{tmp_path}/reads").collect())
+    long = [("c", 6_000_105, ((55, 6_000_000),), 0, 5, k, k) for k in (0, 1)]
+    assert got == Counter([("a", 67, ((30, 7),), 5, 0, 0, 0), ("b", None, (), None, None, None, None), *long])
+
+
 def test_stored_population_is_pruned_by_chromosome(spark, tmp_path):
     path = f"file://{tmp_path}/sites"
     stored.write_population(spark.createDataFrame([(str(k % 4), k * 10, k * 10 + 9, 0.1 + k / 1000, 0.02) for k in range(40)], "chrom string, start long, end long, af double, af_afr double"), path)
