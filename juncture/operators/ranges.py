@@ -103,8 +103,8 @@ def overlapping(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[
     return left.join(right, on).filter(_meets(a0, a1, b0, b1, width)).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys]).drop("_level", "_bin")
 
 
-def in_cells(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[str, str], b_range: tuple[str, str], cell: int, reach: int) -> DataFrame:
-    """Pairs of closed intervals with equal keys that overlap, each once, with the `_cell` of a's start.
+def in_cells(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[str, str], b_range: tuple[str, str], cell: int, reach: int, how: str = "inner") -> DataFrame:
+    """Pairs of closed intervals with equal keys that overlap, each once, with the `_cell` of a's start; how: inner or left.
 
     a, no longer than `reach`, is in one cell; b, short beside a cell, in those that a partner can start in. So all that
     a row of a meets is in one task, and what is grouped by the keys, `_cell` and more is not shuffled again.
@@ -115,7 +115,7 @@ def in_cells(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[str
     right = b.select("*", F.explode_outer(F.sequence(F.floor((F.col(b0) - reach) / cell), F.floor(F.col(b1) / cell))).alias("_cell")).alias("b")
     on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "_cell"]]
     meets = (F.col(f"a.{a0}") <= F.coalesce(F.col(f"b.{b1}"), F.col(f"b.{b0}"))) & (F.col(f"b.{b0}") <= F.col(f"a.{a1}"))
-    return left.join(right.hint("merge"), on).filter(meets).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys])
+    return left.join(right.hint("merge"), [*on, meets], how).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys])
 
 
 def _meets(a0: str, a1: str, b0: str, b1: str, width: int) -> Column:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .functions.alignments import span
 from .operators import admission, confidence, proof, reads
-from .operators.ranges import overlapping
+from .operators.ranges import levels_in_use, nested_level, overlapping
 from .queries import CODON_SQL, DAY, READS_SQL, SQL_DAY, _alignments, _junctions, derive, query
 from .sources import readers, stored, writers
 from .streaming import ingest
@@ -82,14 +83,15 @@ def junction_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = derive(spark, sf_dir, "orders", "o_orderkey as k", "'s' as sample", "cast(o_orderkey % 3 as string) as chrom", f"{place} + 20 as pos1", f"{place} + 21 + {_SIZE} as pos2", "concat('t', o_orderkey) as transcript_id")
     blocks = f"array(named_struct('start', {place} + 1, 'end', {place} + 60), named_struct('start', {place} + 101, 'end', {place} + 140))"
     transcripts = derive(spark, sf_dir, "orders", "concat('t', o_orderkey) as transcript_id", "if(o_orderkey % 2 = 0, '+', '-') as strand", f"{blocks} as cds_blocks", f"substring({_CDS}, 1, 100) as cds")
-    known = derive(spark, sf_dir, "orders", "o_orderkey", f"{_SIZE} as z", "if(o_orderkey % 2 = 0, '+', '-') as st", f"substring({_CDS}, 1, 100) as cds")
-    lines = derive(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber as i", "cast(l_quantity as int) as mapq", "cast(l_linenumber % 3 * 2 as int) as j", "cast(l_linenumber % 2 as int) as e")
-    rows = known.join(lines, F.expr("o_orderkey = l_orderkey")).withColumn("nl", F.expr("cast(if(st = '+', 20 + j, 80 - j - z) as int)")).withColumn("first", F.expr("greatest(1, nl - 24)"))
-    alignments = rows.selectExpr(
-        "'s' as sample", "cast(o_orderkey % 3 as string) as chrom", "concat_ws('.', o_orderkey, i) as qname", "o_orderkey * 1000 as start0", "mapq", "concat(20 + j, 'M', z + e, 'N50M') as cigar",
-        "if(i % 4 = 3, 'ACGT', concat(substring(cds, first, nl - first + 1), substring(cds, cast(nl + z + 1 as int), 25))) as seq",
-    )
-    return proof.prove_junctions(events, transcripts, alignments, ["k"]).withColumn("spanning", F.array_join("spanning", ","))
+    # A line's place and CIGAR follow from its order's number; only the sequence needs more of the order.
+    read = ["'s' as sample", "cast(k % 3 as string) as chrom", "concat_ws('.', k, i) as qname", "k * 1000 as start0", "mapq", "concat(20 + j, 'M', z + e, 'N50M') as cigar"]
+    lines = derive(spark, sf_dir, "lineitem", "l_orderkey as o_orderkey", "l_linenumber as i", "cast(l_quantity as int) as mapq")
+    facts = ["o_orderkey as k", "i", "mapq", "cast(i % 3 * 2 as int) as j", "cast(i % 2 as int) as e", f"{_SIZE} as z"]
+    levels = levels_in_use(lines.selectExpr(*facts).selectExpr(*read).select(nested_level(F.lit(0), span(F.col("cigar")), 1000).alias("_level")))
+    rows = derive(spark, sf_dir, "orders", "o_orderkey", "o_custkey").join(lines, "o_orderkey").selectExpr(*facts, f"substring({_CDS}, 1, 100) as cds")
+    rows = rows.withColumn("nl", F.expr("cast(if(k % 2 = 0, 20 + j, 80 - j - z) as int)")).withColumn("first", F.expr("greatest(1, nl - 24)"))
+    alignments = rows.selectExpr(*read, "if(i % 4 = 3, 'ACGT', concat(substring(cds, first, nl - first + 1), substring(cds, cast(nl + z + 1 as int), 25))) as seq")
+    return proof.prove_junctions(events, transcripts, alignments, ["k"], levels=levels).withColumn("spanning", F.array_join("spanning", ","))
 
 
 # Files

@@ -270,6 +270,46 @@ def test_proof_without_reads_or_transcript(spark):
     assert (row.supported, row.reads, row.novel, row.spanning) == ("neither", 0, None, None)
 
 
+def test_proof_counts_reads_where_they_met(spark):
+    """Events meet their reads in cells, each side shuffled once a pass: the same rows as by nested bins, and as by brute force."""
+    rng = random.Random(11)
+    events = [("e", k, rng.choice("st"), rng.choice("123"), p, p + 31 + k % 2, rng.choice(["u", "v", "w"])) for k, p in enumerate(rng.randrange(1_000, 9_000) for _ in range(40))]
+    blocks = {"u": ("+", [(900, 9_100)]), "v": ("-", [(900, 4_000), (4_500, 9_100)])}
+    codes = {t: (strand, b, "".join(rng.choice("ACGT") for _ in range(sum(y - x + 1 for x, y in b)))) for t, (strand, b) in blocks.items()}
+    back = str.maketrans("ACGT", "TGCA")
+    rows = []
+    for k in range(600):
+        _, _, sample, _, low, high, t = rng.choice(events)
+        start, size = low + rng.choice([0, 0, 2, 5]), high - low - 1 + rng.choice([0, 0, 1])
+        seq = None
+        if t in codes:
+            strand, b, cds = codes[t]
+            places = [p for x, y in b for p in range(x, y + 1)][:: 1 if strand == "+" else -1]
+            kept = "".join(c for c, p in zip(cds, places, strict=True) if start - 30 < p <= start or start + size < p <= start + size + 30)
+            seq = rng.choice([kept, kept[::-1].translate(back), "ACGT", None])
+        rows.append((sample, rng.choice("12"), f"q{k}", start - 29, rng.choice([5, 60, 60]), 0, rng.choice([f"30M{size}N30M"] * 8 + [f"30M{size}N30M{size}N9M", None]), seq, None))
+    events = spark.createDataFrame(events, "e string, k int, sample string, chrom string, pos1 long, pos2 long, transcript_id string")
+    transcripts = spark.createDataFrame([(t, *x) for t, x in codes.items()], "transcript_id string, strand string, cds_blocks array<struct<start:long,end:long>>, cds string")
+    reads_ = alignments(spark, rows)
+    near = proof.prove_junctions(events, transcripts, reads_, ["e", "k"])
+    assert plan(near).count("Exchange hashpartitioning") == 6
+    got, bins = near.collect(), proof.prove_junctions(events, transcripts, reads_, ["e", "k"], levels=[0, 1]).collect()
+    assert len(got) == 40 and sorted(map(repr, got)) == sorted(map(repr, bins))
+    assert {r.supported for r in got} == {"breakpoint", "gap", "neither"} and any(r.gap and not r.gap_hits for r in got)
+    step = lambda g: [(n, x) for n, x in ((int(x[:-1]), x[-1]) for x in (g or "").replace("M", "M ").replace("N", "N ").split())]
+    for e, r in ((e, r) for e in events.collect() for r in got if r.k == e.k):
+        n, own, other = 0, 0, 0
+        for sample, chrom, _, start, mapq, _, cigar, _, _ in rows:
+            end = start + sum(x for x, _ in step(cigar))
+            if cigar and (sample, chrom) == (e.sample, e.chrom) and start <= e.pos2 + 400 and end >= e.pos1 - 400:
+                n, at = n + 1, start
+                for length, kind in step(cigar):
+                    if kind == "N" and length == e.pos2 - e.pos1 - 1 and mapq >= 20:
+                        own, other = own + (at == e.pos1), other + (at != e.pos1)
+                    at += length
+        assert (r.reads, r.own_gaps, r.other_gaps) == (n, own, other)
+
+
 # Distinct counts
 
 
