@@ -31,8 +31,9 @@ def points_in_intervals(points: DataFrame, intervals: DataFrame, keys: Sequence[
 LEVEL_FACTOR, LEVELS = 8, 5
 #: Cells that a bin with more than this many places is cut into, and places of a part.
 FINE, PART_ROWS = 1024, 250_000
-#: Widths of the first level that a cell of `in_cells` has.
-CELL = 2
+#: Widths of the first level that a cell of `in_cells` has, and rows of the larger side that a task gets there: each may
+#: meet many, and what a task groups then should fit its memory.
+CELL, CELL_ROWS = 2, 250_000
 
 
 def level_widths(width: int) -> list[int]:
@@ -95,7 +96,7 @@ def overlapping(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[
         levels = levels_in_use(b.select(nested_level(F.col(b0), F.col(b1), width).alias("_level")))
     small = few is not None and a.limit(few + 1).count() <= few
     if reach is not None and not small and levels == [0]:
-        return in_cells(a, b, keys, a_range, b_range, CELL * width, reach)
+        return in_cells(a, b, keys, a_range, b_range, CELL * width, reach, parts=parts_of(b))
     left = spots(a.repartition(*keys, a0) if small else a, nested_asks(F.col(a0), F.col(a1), width, levels)).alias("a")
     right = spots(b, nested_place(F.col(b0), F.col(b1), width)).alias("b")
     left, right = (F.broadcast(left), right) if small else (left, right.hint("merge"))
@@ -103,16 +104,24 @@ def overlapping(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[
     return left.join(right, on).filter(_meets(a0, a1, b0, b1, width)).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys]).drop("_level", "_bin")
 
 
-def in_cells(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[str, str], b_range: tuple[str, str], cell: int, reach: int, how: str = "inner") -> DataFrame:
+def parts_of(b: DataFrame) -> int | None:
+    """Into how many parts `in_cells` deals rows, which are counted; None where Spark's own choice has as many tasks."""
+    parts = b.count() // CELL_ROWS
+    return parts if parts > b.sparkSession.sparkContext.defaultParallelism else None
+
+
+def in_cells(a: DataFrame, b: DataFrame, keys: Sequence[str], a_range: tuple[str, str], b_range: tuple[str, str], cell: int, reach: int, how: str = "inner", parts: int | None = None) -> DataFrame:
     """Pairs of closed intervals with equal keys that overlap, each once, with the `_cell` of a's start; how: inner or left.
+    parts: both sides are dealt into so many at least, which Spark does not put together by their bytes.
 
     a, no longer than `reach`, is in one cell; b, short beside a cell, in those that a partner can start in. So all that
     a row of a meets is in one task, and what is grouped by the keys, `_cell` and more is not shuffled again.
     """
     (a0, a1), (b0, b1) = a_range, b_range
-    left = a.withColumn("_cell", F.floor(F.col(a0) / cell)).alias("a")
+    dealt = lambda df: df.repartition(parts, *keys, "_cell") if parts else df
+    left = dealt(a.withColumn("_cell", F.floor(F.col(a0) / cell))).alias("a")
     # Outer for the same reason as in `overlapping`.
-    right = b.select("*", F.explode_outer(F.sequence(F.floor((F.col(b0) - reach) / cell), F.floor(F.col(b1) / cell))).alias("_cell")).alias("b")
+    right = dealt(b.select("*", F.explode_outer(F.sequence(F.floor((F.col(b0) - reach) / cell), F.floor(F.col(b1) / cell))).alias("_cell"))).alias("b")
     on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*keys, "_cell"]]
     meets = (F.col(f"a.{a0}") <= F.coalesce(F.col(f"b.{b1}"), F.col(f"b.{b0}"))) & (F.col(f"b.{b0}") <= F.col(f"a.{a1}"))
     return left.join(right.hint("merge"), [*on, meets], how).select("a.*", *[F.col(f"b.{c}") for c in b.columns if c not in keys])

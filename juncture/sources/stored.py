@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.alignments import span, walk
-from ..operators.ranges import CELL, LEVELS, _meets, in_cells, level_widths, levels_in_use, nested_asks, nested_place
+from ..operators.ranges import CELL, LEVELS, _meets, in_cells, level_widths, levels_in_use, nested_asks, nested_place, parts_of
 
 #: Base width of the stored bins; a region, one folder of a chromosome, is as wide as the widest of them.
 WIDTH = 1000
@@ -63,7 +63,7 @@ def alignments_at(spark: SparkSession, path: str, loci: DataFrame, start: str, e
     few = loci.limit(broadcast_loci + 1).count() <= broadcast_loci
     levels = levels_in_use(stored.select("_level"))
     if reach is not None and not few and levels == [0]:
-        return in_cells(loci, stored.drop("region", "_level", "_bin"), ["chrom", *keys], (start, end), ("start0", "end0"), CELL * WIDTH, reach)
+        return in_cells(loci, stored.drop("region", "_level", "_bin"), ["chrom", *keys], (start, end), ("start0", "end0"), CELL * WIDTH, reach, parts=parts_of(stored))
     spots = nested_asks(F.col(start), F.col(end), WIDTH, levels)
     asks = (loci.repartition("chrom", start) if few else loci).select("*", F.inline_outer(spots)).withColumn("region", _region()).filter(F.col("_bin") >= 0)
     joined = stored.alias("b").join(F.broadcast(asks.alias("a")) if few else asks.alias("a").hint("merge"), [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ["chrom", "region", "_level", "_bin", *keys]])

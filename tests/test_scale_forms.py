@@ -182,6 +182,19 @@ def test_stored_reads_of_a_breakend_stay_where_they_met(spark, tmp_path):
     assert reach == 400 and reads.window_reach(events.unionByName(events.limit(1))) is None
 
 
+def test_cells_of_many_rows_are_dealt_by_count(spark, monkeypatch):
+    """Many rows in few bytes are not put together in one task, whose groups would spill."""
+    a = spark.range(300).selectExpr("id as i", "id % 2 as c", "id * 3 as a0", "id * 3 + 5 as a1")
+    b = spark.range(300).selectExpr("id as j", "id % 2 as c", "id * 3 as b0", "id * 3 + 9 as b1")
+    met = {}
+    for rows in (250_000, 20):
+        monkeypatch.setattr(ranges, "CELL_ROWS", rows)
+        out = ranges.overlapping(a, b, ["c"], ("a0", "a1"), ("b0", "b1"), 10, 0, 5)
+        met[rows] = plan(out).count("REPARTITION_BY_NUM"), out.rdd.getNumPartitions(), sorted((r.i, r.j) for r in out.select("i", "j").collect())
+    assert met[20][2] == met[250_000][2] and len(met[20][2]) > 500
+    assert met[250_000][0] == 0 and met[20][0] == 2 and met[20][1] == 15
+
+
 def test_stored_reads_are_walked_when_written(spark, tmp_path):
     """Clips, a read over two regions, and one without a CIGAR."""
     rows = [("s", "1", "a", 10, 60, 0, "5S20M7N30M", "A", None), ("s", "1", "b", 20, 60, 0, None, "A", None), ("s", "1", "c", 5, 60, 0, "50M6000000N50M", "A", None)]
